@@ -88,6 +88,8 @@ def revision_manifest_parts(tree_hex: Column, author: Column, ts: Column, uuid:
     The parent is only known inside the sequential fold, so the JVM builds
     everything else once.
     """
+    # a missing date is the epoch
+    ts = F.coalesce(ts.cast("timestamp"), F.lit("1970-01-01 00:00:00").cast("timestamp"))
     stamp = F.concat(git_timestamp(ts), F.lit(" " + OFFSET_UTC))
     who = F.coalesce(author, F.lit(""))
     prefix = F.concat(F.lit("tree "), F.lower(tree_hex), F.lit("\n"))

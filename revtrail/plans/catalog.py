@@ -9,9 +9,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from revtrail.functions.hashing import INF_REV, git_timestamp
+from revtrail.functions.converters import date_parts, parse_person, svn_date
+from revtrail.functions.externals import parse_external
+from revtrail.functions.hashing import INF_REV, blob_id, git_timestamp
+from revtrail.functions.paths import ancestors
+from revtrail.functions.urls import (dump_name, is_recursive_external, root_url_candidates,
+                                     strip_credentials, url_join, url_path, url_quote,
+                                     url_unquote)
 from revtrail.operators.ordinals import asof_lookup
 from revtrail.plans import jobs
+from revtrail.sources import adapters
+from revtrail.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,3 +153,202 @@ def q_rev_at_date(spark, sf):
     out = asof_lookup(probes, c.select("origin", "date", "rev"), ["origin"], "probe", "date",
                       ["rev"], lambda t: F.to_date(t))
     return out.select("origin", F.col("day").cast("string").alias("day"), "rev")
+
+
+# ------------------------------------------------- conversations (adapter C)
+
+@register("conv_revision_chain")
+def q_conv_revision_chain(spark, sf):
+    """Linear logs without dates or paths: epoch dates, empty trees."""
+    return jobs.conversations_load(spark, sf).revisions.select("origin", "rev", "tree_id",
+                                                               "revision_id")
+
+
+@register("check_sample")
+def q_check_sample(spark, sf):
+    """Revisions verified with check_revision=3 from revision 2: every third
+    emitted revision at or after 2, plus the last one of each origin."""
+    from revtrail.plans.visits import check_sample
+    c = adapters.conversations_changelog(spark, sf).commits
+    return check_sample(c, check_revision=3, check_from=2).select(
+        "origin", "rev", "ordinal", "verify")
+
+
+@register("parse_person")
+def q_parse_person(spark, sf):
+    """Authors built from customers: name with e-mail, bare name, empty."""
+    c = read_table(spark, sf, "customer")
+    full = (F.when(F.col("c_custkey") % 7 == 0, F.lit(""))
+            .when(F.col("c_custkey") % 2 == 0,
+                  F.concat(F.col("c_name"), F.lit(" <"), F.lower("c_mktsegment"), F.lit("@example.org>")))
+            .otherwise(F.col("c_name")))
+    p = parse_person(full)
+    return c.select("c_custkey", p["fullname"].alias("fullname"), p["name"].alias("name"),
+                    p["email"].alias("email"))
+
+
+@register("svn_date")
+def q_svn_date(spark, sf):
+    """Event times written as ISO-8601 text and parsed back; every fifth
+    event has no date (-> epoch)."""
+    e = read_table(spark, sf, "events")
+    text = F.when(F.col("event_id") % 5 == 0, F.lit("")).otherwise(
+        F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    parts = date_parts(svn_date(text))
+    return e.select("event_id", parts["seconds"].alias("seconds"),
+                    parts["micros"].alias("micros"), parts["offset"].alias("offset"))
+
+
+# ----------------------------------------------------- contents (adapter D)
+
+@register("content_ids")
+def q_content_ids(spark, sf):
+    return adapters.document_contents(spark, sf).select(
+        "doc_id", "sha1", "sha1_git", "sha256", "length")
+
+
+@register("size_split")
+def q_size_split(spark, sf):
+    """Contents above the default maximum size become skipped contents
+    (hashed, data not kept); ids are unchanged."""
+    from revtrail.plans.sinks import size_split
+    c = adapters.document_contents(spark, sf)
+    return size_split(c).select("doc_id", "status", "sha1_git")
+
+
+@register("anti_archive")
+def q_anti_archive(spark, sf):
+    """New content ids: all documents minus those already archived (the
+    documents that carry labels)."""
+    from revtrail.plans.sinks import new_objects
+    c = adapters.document_contents(spark, sf)
+    labels = read_table(spark, sf, "labels").select("doc_id")
+    archived = c.join(labels, "doc_id", "left_semi").select(F.col("sha1_git").alias("id"))
+    return new_objects(c.select(F.col("sha1_git").alias("id")), archived)
+
+
+@register("diff_stat")
+def q_diff_stat(spark, sf):
+    """Line multiset difference between each document and the previous
+    document (by id) of the same source and language."""
+    from revtrail.operators.diff import diff_stat
+    d = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    w = Window.partitionBy("source", "lang").orderBy("doc_id")
+    pairs = d.select(F.col("doc_id"), F.lag("doc_id").over(w).alias("prev_doc_id")) \
+        .where(F.col("prev_doc_id").isNotNull())
+    return diff_stat(pairs, d.select("doc_id", "text"))
+
+
+@register("apply_eol")
+def q_apply_eol(spark, sf):
+    """End-of-line conversion at export by eol style (doc_id % 5 picks
+    native, LF, CRLF, CR or an invalid value); the new blob id."""
+    from revtrail.plans.export import apply_eol
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    styles = F.element_at(F.array(*[F.lit(s) for s in ["native", "LF", "CRLF", "CR", "bogus"]]),
+                          (F.col("doc_id") % 5 + 1).cast("int"))
+    out = d.select("doc_id", styles.alias("eol"),
+                   apply_eol(F.encode("text", "UTF-8"), styles).alias("data"))
+    return out.select("doc_id", "eol", blob_id(F.col("data")).alias("sha1_git"))
+
+
+# -------------------------------------------------- static tree (adapter N)
+
+@register("static_tree")
+def q_static_tree(spark, sf):
+    """Directory ids of the region/nation tree at its head (root as '')."""
+    res = jobs.nations_load(spark, sf)
+    head = res.log.commits.groupBy("origin").agg(F.max("rev").alias("head"))
+    return (res.trees.dirs.join(head, "origin")
+            .where((F.col("from_rev") <= F.col("head")) & (F.col("head") < F.col("to_rev")))
+            .select("path", "tree_id"))
+
+
+# -------------------------------------------------------- urls (adapter P)
+
+REPO_URL = "http://s.example/r/main"
+HOST_DIR = "trunk/ext"
+
+
+def _pages(spark, sf):
+    return read_table(spark, sf, "pages").select("page_id", "url")
+
+
+@register("url_quote")
+def q_url_quote(spark, sf):
+    p = _pages(spark, sf)
+    raw = F.when(F.col("page_id") % 2 == 0,
+                 F.concat("url", F.lit("/a b%c/é~x"))).otherwise(F.col("url"))
+    return p.select("page_id", url_quote(raw).alias("quoted"),
+                    url_unquote(url_quote(raw)).alias("roundtrip"))
+
+
+@register("url_join")
+def q_url_join(spark, sf):
+    p = _pages(spark, sf)
+    part = F.concat(F.lit("../lib"), (F.col("page_id") % 10).cast("string"))
+    return p.select("page_id", url_join(F.col("url"), F.lit("trunk/"), part).alias("joined"))
+
+
+@register("root_url_candidates")
+def q_root_url_candidates(spark, sf):
+    p = _pages(spark, sf)
+    return p.select("page_id", F.posexplode(root_url_candidates(F.col("url")))
+                    .alias("pos", "candidate"))
+
+
+@register("strip_credentials")
+def q_strip_credentials(spark, sf):
+    p = _pages(spark, sf)
+    with_user = F.when(
+        F.col("page_id") % 3 == 0,
+        F.regexp_replace("url", "^([a-z]+://)",
+                         F.concat(F.lit("$1user"), F.col("page_id").cast("string"),
+                                  F.lit(":secret@")))).otherwise(F.col("url"))
+    s = strip_credentials(with_user)
+    return p.select("page_id", s["username"].alias("username"), s["url"].alias("url"))
+
+
+@register("dump_name")
+def q_dump_name(spark, sf):
+    return _pages(spark, sf).select("page_id", dump_name(F.col("url")).alias("dump_name"))
+
+
+@register("ancestors")
+def q_ancestors(spark, sf):
+    """Proper prefixes of each page's url path (as a repository path)."""
+    p = _pages(spark, sf)
+    path = F.regexp_replace(url_path(F.col("url")), "^/+|/+$", "")
+    return p.select("page_id", F.posexplode(ancestors(path, include_self=True))
+                    .alias("pos", "prefix"))
+
+
+def external_lines(spark, sf):
+    """Externals definitions derived from pages, one form per page_id % 6."""
+    p = _pages(spark, sf)
+    name = F.concat(F.lit("lib"), F.col("page_id").cast("string"))
+    n = (F.col("page_id") % 50 + 1).cast("string")
+    form = F.col("page_id") % 6
+    line = (F.when(form == 0, F.concat_ws(" ", name, "url"))
+            .when(form == 1, F.concat_ws(" ", "url", name))
+            .when(form == 2, F.concat_ws(" ", F.concat(F.lit("-r"), n), "url", name))
+            .when(form == 3, F.concat_ws(" ", F.concat("url", F.lit("@"), n), name))
+            .when(form == 4, F.concat_ws(" ", F.when(F.col("page_id") % 12 == 4, F.lit("^/trunk"))
+                                         .otherwise(F.concat(F.lit("^/vendor/"), name)), name))
+            .otherwise(F.concat_ws(" ", F.concat(F.lit("../"), name),
+                                   F.concat(F.lit("sub/"), name))))
+    return p.select("page_id", line.alias("line"))
+
+
+@register("parse_external")
+def q_parse_external(spark, sf):
+    lines = external_lines(spark, sf)
+    parsed = lines.select("page_id", parse_external(F.col("line"), F.lit(HOST_DIR),
+                                                    F.lit(REPO_URL)).alias("d"))
+    d = F.col("d")
+    return parsed.select(
+        "page_id", d["path"].alias("path"), d["url"].alias("url"), d["revision"].alias("revision"),
+        d["peg_revision"].alias("peg_revision"), d["relative_url"].alias("relative_url"),
+        d["legacy_format"].alias("legacy_format"),
+        is_recursive_external(F.lit(REPO_URL), F.lit(HOST_DIR), d["path"], d["url"])
+        .alias("recursive"))

@@ -30,3 +30,13 @@ def memo(spark: SparkSession, sf_dir: str, name: str, build):
 def events_load(spark: SparkSession, sf_dir: str) -> LoadResult:
     return memo(spark, sf_dir, "events_load",
                 lambda: load(adapters.events_changelog(spark, sf_dir), max_depth=2))
+
+
+def conversations_load(spark: SparkSession, sf_dir: str) -> LoadResult:
+    return memo(spark, sf_dir, "conversations_load",
+                lambda: load(adapters.conversations_changelog(spark, sf_dir), max_depth=1))
+
+
+def nations_load(spark: SparkSession, sf_dir: str) -> LoadResult:
+    return memo(spark, sf_dir, "nations_load",
+                lambda: load(adapters.nations_changelog(spark, sf_dir), max_depth=2))

@@ -191,3 +191,177 @@ SELECT p.origin, CAST(p.day AS VARCHAR) AS day,
        (SELECT max(rev) FROM ev WHERE ev.origin = p.origin AND ev.ts <= p.probe) AS rev
 FROM p
 """
+
+ORACLE_SQL["conv_revision_chain"] = f"""
+WITH meta AS (
+  SELECT 'v' || CAST(conv_id AS VARCHAR) AS origin, turn + 1 AS rev, {EMPTY} AS tree_id,
+         role || ' 0 +0000' AS who,
+         'svn_repo_uuid ' || {UUID.format(o="('v' || CAST(conv_id AS VARCHAR))")} || chr(10)
+           || 'svn_revision ' || CAST(turn + 1 AS VARCHAR) || chr(10) || chr(10) || text AS tail
+  FROM conversations),
+chain AS (
+  SELECT * FROM (
+    WITH RECURSIVE c(origin, rev, revision_id) AS (
+      SELECT origin, rev, {git_sha('commit', "hex('tree ' || tree_id || chr(10) || 'author ' || who || chr(10) || 'committer ' || who || chr(10) || tail)")}
+      FROM meta WHERE rev = 1
+      UNION ALL
+      SELECT m.origin, m.rev, {git_sha('commit', "hex('tree ' || m.tree_id || chr(10) || 'parent ' || c.revision_id || chr(10) || 'author ' || m.who || chr(10) || 'committer ' || m.who || chr(10) || m.tail)")}
+      FROM meta m JOIN c ON m.origin = c.origin AND m.rev = c.rev + 1)
+    SELECT * FROM c))
+SELECT origin, rev, {EMPTY} AS tree_id, revision_id FROM chain
+"""
+
+ORACLE_SQL["check_sample"] = """
+WITH c AS (SELECT 'v' || CAST(conv_id AS VARCHAR) AS origin, turn + 1 AS rev FROM conversations),
+o AS (SELECT origin, rev, row_number() OVER (PARTITION BY origin ORDER BY rev) AS ordinal,
+             max(rev) OVER (PARTITION BY origin) AS last_rev FROM c)
+SELECT origin, rev, ordinal, (rev >= 2 AND ordinal % 3 = 0) OR rev = last_rev AS verify FROM o
+"""
+
+ORACLE_SQL["parse_person"] = """
+WITH f AS (
+  SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN ''
+                         WHEN c_custkey % 2 = 0 THEN c_name || ' <' || lower(c_mktsegment) || '@example.org>'
+                         ELSE c_name END AS fullname
+  FROM customer)
+SELECT c_custkey, fullname,
+       nullif(trim(CASE WHEN strpos(fullname, '<') > 0 THEN split_part(fullname, '<', 1) ELSE fullname END), '') AS name,
+       CASE WHEN strpos(fullname, '<') > 0 THEN nullif(regexp_extract(fullname, '<(.*)>', 1), '') END AS email
+FROM f
+"""
+
+ORACLE_SQL["svn_date"] = """
+SELECT event_id,
+       CASE WHEN event_id % 5 = 0 THEN 0 ELSE epoch_us(ts) // 1000000 END AS seconds,
+       CAST(CASE WHEN event_id % 5 = 0 THEN 0 ELSE epoch_us(ts) % 1000000 END AS INTEGER) AS micros,
+       '+0000' AS "offset"
+FROM events
+"""
+
+ORACLE_SQL["content_ids"] = f"""
+SELECT doc_id, sha1(text) AS sha1, {git_sha('blob', 'hex(text)')} AS sha1_git,
+       sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS length
+FROM documents
+"""
+
+ORACLE_SQL["size_split"] = f"""
+SELECT doc_id, CASE WHEN strlen(text) > 100000 THEN 'skipped' ELSE 'content' END AS status,
+       {git_sha('blob', 'hex(text)')} AS sha1_git
+FROM documents
+"""
+
+ORACLE_SQL["anti_archive"] = f"""
+SELECT DISTINCT {git_sha('blob', 'hex(d.text)')} AS id FROM documents d
+EXCEPT
+SELECT {git_sha('blob', 'hex(d.text)')} FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM labels)
+"""
+
+ORACLE_SQL["diff_stat"] = """
+WITH p AS (
+  SELECT doc_id, lag(doc_id) OVER (PARTITION BY source, lang ORDER BY doc_id) AS prev_doc_id
+  FROM documents),
+p2 AS (SELECT * FROM p WHERE prev_doc_id IS NOT NULL),
+lc AS (SELECT doc_id, line, count(*) AS n
+       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+       GROUP BY doc_id, line),
+nw AS (SELECT p2.doc_id, p2.prev_doc_id, lc.line, lc.n FROM p2 JOIN lc ON lc.doc_id = p2.doc_id),
+od AS (SELECT p2.doc_id, p2.prev_doc_id, lc.line, lc.n FROM p2 JOIN lc ON lc.doc_id = p2.prev_doc_id),
+j AS (SELECT coalesce(nw.doc_id, od.doc_id) AS doc_id, coalesce(nw.prev_doc_id, od.prev_doc_id) AS prev_doc_id,
+             coalesce(nw.n, 0) AS n_new, coalesce(od.n, 0) AS n_old
+      FROM nw FULL OUTER JOIN od ON nw.doc_id = od.doc_id AND nw.prev_doc_id = od.prev_doc_id AND nw.line = od.line)
+SELECT doc_id, prev_doc_id, CAST(sum(greatest(n_new - n_old, 0)) AS BIGINT) AS lines_added,
+       CAST(sum(greatest(n_old - n_new, 0)) AS BIGINT) AS lines_removed
+FROM j GROUP BY doc_id, prev_doc_id
+"""
+
+ORACLE_SQL["apply_eol"] = f"""
+WITH s AS (SELECT doc_id, text, ['native', 'LF', 'CRLF', 'CR', 'bogus'][doc_id % 5 + 1] AS eol FROM documents),
+c AS (SELECT doc_id, eol, CASE eol
+        WHEN 'native' THEN regexp_replace(text, '\\r\\n|\\r|\\n', chr(10), 'g')
+        WHEN 'LF' THEN regexp_replace(text, '\\r\\n|\\r|\\n', chr(10), 'g')
+        WHEN 'CRLF' THEN regexp_replace(text, '\\r\\n|\\r|\\n', chr(13) || chr(10), 'g')
+        WHEN 'CR' THEN regexp_replace(text, '\\r\\n|\\r|\\n', chr(13), 'g')
+        ELSE text END AS data FROM s)
+SELECT doc_id, eol, {git_sha('blob', 'hex(data)')} AS sha1_git FROM c
+"""
+
+ORACLE_SQL["static_tree"] = f"""
+WITH f AS (
+  SELECT r.r_name, n.n_name, {git_sha('blob', 'hex(n.n_name)')} AS blob_id
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+d AS (SELECT r_name, string_agg(hex('100644 ' || n_name) || '00' || blob_id, '' ORDER BY n_name) AS body
+      FROM f GROUP BY r_name),
+dt AS (SELECT r_name AS path, {git_sha('tree', 'body')} AS tree_id FROM d),
+rt AS (SELECT '' AS path, {git_sha('tree', "string_agg(hex('40000 ' || path) || '00' || tree_id, '' ORDER BY path || '/')")} AS tree_id FROM dt)
+SELECT path, tree_id FROM dt UNION ALL SELECT path, tree_id FROM rt
+"""
+
+_SAFE_HEX = "'" + "','".join(sorted({format(ord(c), "02X") for c in
+                                       "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_.-~/:!$&'()*+,=@"})).replace("'27'", "'27'") + "'"
+
+
+def _quote_sql(expr: str) -> str:
+    h = f"upper(hex({expr}))"
+    return (f"array_to_string(list_transform(range(0, strlen({expr})), lambda i: CASE WHEN "
+            f"substr({h}, 2*i+1, 2) IN ({_SAFE_HEX}) THEN chr(CAST(('0x' || substr({h}, 2*i+1, 2)) AS INTEGER)) "
+            f"ELSE '%' || substr({h}, 2*i+1, 2) END), '')")
+
+
+ORACLE_SQL["url_quote"] = f"""
+WITH r AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN url || '/a b%c/é~x' ELSE url END AS raw FROM pages)
+SELECT page_id, {_quote_sql('raw')} AS quoted, raw AS roundtrip FROM r
+"""
+
+ORACLE_SQL["url_join"] = """
+WITH b AS (
+  SELECT page_id, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1) AS scheme,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS netloc,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+j AS (SELECT page_id, scheme, netloc,
+             rtrim(CASE WHEN path = '' THEN '/' ELSE path END, '/') || '/trunk/../lib' || CAST(page_id % 10 AS VARCHAR) AS joined
+      FROM b)
+SELECT page_id, scheme || '://' || netloc || '/' || array_to_string(list_reduce(string_split(joined, '/'),
+  lambda acc, x: CASE WHEN x IN ('', '.') THEN acc WHEN x = '..' THEN acc[1:len(acc)-1] ELSE list_append(acc, x) END,
+  []::VARCHAR[]), '/') AS joined
+FROM j
+"""
+
+ORACLE_SQL["root_url_candidates"] = """
+WITH s AS (SELECT page_id, string_split(url, '/') AS parts FROM pages)
+SELECT page_id, CAST(i AS INTEGER) AS pos, array_to_string(parts[1:len(parts) - i], '/') AS candidate
+FROM s, range(0, len(parts)) t(i)
+"""
+
+ORACLE_SQL["strip_credentials"] = """
+SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'user' || CAST(page_id AS VARCHAR) END AS username, url
+FROM pages
+"""
+
+ORACLE_SQL["dump_name"] = """
+SELECT page_id, regexp_replace(url, '[^\\p{L}\\p{N}]', '', 'g') AS dump_name FROM pages
+"""
+
+ORACLE_SQL["ancestors"] = """
+WITH s AS (SELECT page_id, string_split(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '^/+|/+$', '', 'g'), '/') AS parts FROM pages)
+SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, array_to_string(parts[1:i], '/') AS prefix
+FROM s, range(1, len(parts) + 1) t(i)
+WHERE NOT (len(parts) = 1 AND parts[1] = '')
+"""
+
+ORACLE_SQL["parse_external"] = """
+WITH p AS (SELECT page_id, url, 'lib' || CAST(page_id AS VARCHAR) AS name,
+                  page_id % 50 + 1 AS n, page_id % 6 AS form FROM pages)
+SELECT page_id,
+       CASE WHEN form = 5 THEN 'sub/' || name ELSE name END AS path,
+       CASE WHEN form IN (0, 1, 2, 3) THEN url
+            WHEN form = 4 AND page_id % 12 = 4 THEN 'http://s.example/r/main/trunk'
+            WHEN form = 4 THEN 'http://s.example/r/main/vendor/' || name
+            ELSE 'http://s.example/r/main/trunk/' || name END AS url,
+       CASE WHEN form = 2 THEN CAST(n AS BIGINT) END AS revision,
+       CASE WHEN form = 3 THEN CAST(n AS BIGINT) END AS peg_revision,
+       false AS relative_url,
+       form = 0 AS legacy_format,
+       form = 4 AND page_id % 12 = 4 AS recursive
+FROM p
+"""

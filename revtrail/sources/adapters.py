@@ -98,3 +98,51 @@ def events_changelog(spark: SparkSession, sf_dir: str) -> ChangeLog:
         "origin", uuid_of(F.col("origin")).alias("uuid"),
         F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url"))
     return ChangeLog(origins, commits, changes)
+
+
+def conversations_changelog(spark: SparkSession, sf_dir: str) -> ChangeLog:
+    """Adapter C: one origin per conversation, one revision per turn, no
+    date (-> epoch), no changed path (every tree is empty)."""
+    cv = read_table(spark, sf_dir, "conversations")
+    origin = F.concat(F.lit("v"), F.col("conv_id").cast("string"))
+    commits = cv.select(origin.alias("origin"), (F.col("turn") + 1).cast("long").alias("rev"),
+                        F.lit(None).cast("timestamp").alias("date"),
+                        F.col("role").alias("author"), F.col("text").alias("message"))
+    origins = commits.select("origin").distinct().select(
+        "origin", uuid_of(F.col("origin")).alias("uuid"),
+        F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url"))
+    empty = commits.limit(0).select(*change_row(
+        F.col("origin"), F.col("rev"), SEQ_PUT, F.lit(""), "file", "put"))
+    return ChangeLog(origins, commits, empty)
+
+
+def document_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter D: every document is a file ``<lang>/<doc_id>`` of origin
+    ``<source>``; ids are computed where the text is read."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    data = F.encode(F.col("text"), "UTF-8")
+    return d.select(
+        "doc_id", F.col("source").alias("origin"),
+        F.concat_ws("/", "lang", F.col("doc_id").cast("string")).alias("path"),
+        F.sha1(data).alias("sha1"), blob_id(data).alias("sha1_git"),
+        F.sha2(data, 256).alias("sha256"), F.octet_length(data).cast("long").alias("length"))
+
+
+def nations_changelog(spark: SparkSession, sf_dir: str) -> ChangeLog:
+    """Adapter N: one commit adding ``<region>/<nation>`` files holding the
+    nation name."""
+    n = read_table(spark, sf_dir, "nation")
+    r = read_table(spark, sf_dir, "region")
+    j = n.join(r, n.n_regionkey == r.r_regionkey)
+    data = F.col("n_name")
+    changes = j.select(*change_row(
+        F.lit("world"), F.lit(1).cast("long"), SEQ_PUT,
+        F.concat_ws("/", "r_name", "n_name"), "file", "put",
+        blob=blob_id(data), length=F.octet_length(data).cast("long")))
+    commits = changes.select("origin", "rev").distinct().select(
+        "origin", "rev", F.lit(None).cast("timestamp").alias("date"),
+        F.lit("").alias("author"), F.lit("nations").alias("message"))
+    origins = commits.select("origin").distinct().select(
+        "origin", uuid_of(F.col("origin")).alias("uuid"),
+        F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url"))
+    return ChangeLog(origins, commits, changes)
