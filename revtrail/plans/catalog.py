@@ -352,3 +352,97 @@ def q_parse_external(spark, sf):
         d["legacy_format"].alias("legacy_format"),
         is_recursive_external(F.lit(REPO_URL), F.lit(HOST_DIR), d["path"], d["url"])
         .alias("recursive"))
+
+
+# ------------------------------------------------- visits (adapter V) and runs
+
+def _heads(res):
+    return res.log.commits.groupBy("origin").agg(F.max("rev").alias("head"))
+
+
+def _uid():
+    return F.regexp_extract("origin", r"(\d+)$", 1).cast("long")
+
+
+@register("latest_visit")
+def q_latest_visit(spark, sf):
+    from revtrail.plans.visits import latest_visit
+    return latest_visit(jobs.events_visits(spark, sf)).select("origin", "visit_no", "status")
+
+
+@register("latest_snapshot_revision")
+def q_latest_snapshot_revision(spark, sf):
+    from revtrail.plans.visits import latest_snapshot_revision
+    res = jobs.events_load(spark, sf)
+    return latest_snapshot_revision(jobs.events_visits(spark, sf), res.revisions).select(
+        "origin", "rev", "revision_id")
+
+
+@register("last_loaded_rev")
+def q_last_loaded_rev(spark, sf):
+    from revtrail.plans.visits import last_loaded_rev
+    res = jobs.events_load(spark, sf)
+    return last_loaded_rev(res.log.origins, jobs.events_visits(spark, sf), res.revisions)
+
+
+@register("history_check")
+def q_history_check(spark, sf):
+    return jobs.history_check(spark, sf)
+
+
+def _plan(spark, sf):
+    from revtrail.plans.visits import last_loaded_rev, plan_range
+    res = jobs.events_load(spark, sf)
+    llr = last_loaded_rev(res.log.origins, jobs.events_visits(spark, sf), res.revisions)
+    return plan_range(_heads(res), llr, jobs.history_check(spark, sf)).join(llr, "origin")
+
+
+@register("plan_range")
+def q_plan_range(spark, sf):
+    return _plan(spark, sf).select("origin", "start_rev", "end_rev", "uneventful")
+
+
+@register("stale_check")
+def q_stale_check(spark, sf):
+    """Origins whose archived head equals the current head with unaltered
+    history: all work is skipped and the snapshot reused."""
+    res = jobs.events_load(spark, sf)
+    from revtrail.plans.visits import last_loaded_rev
+    llr = last_loaded_rev(res.log.origins, jobs.events_visits(spark, sf), res.revisions)
+    j = _heads(res).join(llr, "origin").join(jobs.history_check(spark, sf), "origin", "left")
+    return j.select("origin", ((F.col("head") == F.col("last_loaded_rev"))
+                               & F.coalesce("unaltered", F.lit(True))).alias("stale"))
+
+
+@register("visit_outcome")
+def q_visit_outcome(spark, sf):
+    """Outcome of a new visit under injected failures: repository gone
+    (uid % 11 = 0), exception at the third new revision (uid % 5 = 0),
+    divergence in the final check (uid % 13 = 0)."""
+    from revtrail.plans.visits import visit_outcome
+    plan = _plan(spark, sf)
+    flags = plan.select(
+        "origin", (_uid() % 11 == 0).alias("not_found"),
+        F.when(_uid() % 5 == 0, F.col("start_rev") + 2).alias("fail_at"),
+        (_uid() % 13 == 0).alias("diverged"))
+    return visit_outcome(plan, flags)
+
+
+@register("incremental_equals_full")
+def q_incremental_equals_full(spark, sf):
+    """Revisions after the midpoint of each origin, loaded incrementally
+    from the archived state at the midpoint (must equal the full load)."""
+    from revtrail.plans.load import load, load_incremental
+    from revtrail.sources.adapters import ChangeLog
+
+    def build():
+        log = jobs.events_load(spark, sf).log
+        mid = _heads(jobs.events_load(spark, sf)).select(
+            "origin", F.floor(F.col("head") / 2).cast("long").alias("at_rev"))
+        prefix = ChangeLog(
+            log.origins,
+            log.commits.join(mid, "origin").where(F.col("rev") <= F.col("at_rev")).drop("at_rev"),
+            log.changes.join(mid, "origin").where(F.col("rev") <= F.col("at_rev")).drop("at_rev"))
+        previous = load(prefix, max_depth=2)
+        return load_incremental(log, previous, mid, max_depth=2).revisions
+    return jobs.memo(spark, sf, "incremental", build).select("origin", "rev", "revision_id")

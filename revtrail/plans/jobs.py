@@ -40,3 +40,46 @@ def conversations_load(spark: SparkSession, sf_dir: str) -> LoadResult:
 def nations_load(spark: SparkSession, sf_dir: str) -> LoadResult:
     return memo(spark, sf_dir, "nations_load",
                 lambda: load(adapters.nations_changelog(spark, sf_dir), max_depth=2))
+
+
+def events_visits(spark: SparkSession, sf_dir: str):
+    from revtrail.plans.visits import synthetic_visits
+    return memo(spark, sf_dir, "events_visits",
+                lambda: synthetic_visits(events_load(spark, sf_dir).revisions).cache())
+
+
+def history_check(spark: SparkSession, sf_dir: str):
+    """Recompute the id of each origin's last archived revision from the
+    current log and its archived parent; compare with the archived id.
+
+    The archive is the event load, where origins with ``user_id % 7 = 0``
+    had the last archived revision written from a different message
+    (history rewritten since) -- a failure-injection table like the
+    reference's altered-history tests.
+    """
+    from pyspark.sql import functions as F
+
+    from revtrail.operators.chain import revision_bodies, revision_chain
+    from revtrail.plans.visits import last_loaded_rev
+
+    def build():
+        res = events_load(spark, sf_dir)
+        llr = last_loaded_rev(res.log.origins, events_visits(spark, sf_dir), res.revisions) \
+            .where(F.col("last_loaded_rev") >= 1)
+        uid = F.regexp_extract("origin", r"(\d+)$", 1).cast("long")
+        archived = (res.revisions.join(llr, "origin", "left")
+                    .withColumn("revision_id", F.when(
+                        (uid % 7 == 0) & (F.col("rev") == F.col("last_loaded_rev")),
+                        F.sha1(F.concat(F.lit("tampered "), F.col("revision_id"))))
+                        .otherwise(F.col("revision_id")))
+                    .select("origin", "rev", "revision_id"))
+        at_p = res.log.commits.join(llr, "origin").where(F.col("rev") == F.col("last_loaded_rev"))
+        bodies = revision_bodies(at_p.drop("last_loaded_rev"), res.tree_at_rev, res.log.origins)
+        parents = (archived.join(llr, "origin").where(F.col("rev") == F.col("last_loaded_rev") - 1)
+                   .select("origin", F.col("revision_id").alias("seed_parent")))
+        recomputed = revision_chain(bodies, parents)
+        return (recomputed.join(archived.withColumnRenamed("revision_id", "archived_id"),
+                                ["origin", "rev"])
+                .select("origin", "rev", (F.col("revision_id") == F.col("archived_id"))
+                        .alias("unaltered")).cache())
+    return memo(spark, sf_dir, "history_check", build)

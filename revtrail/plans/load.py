@@ -59,3 +59,39 @@ def load(log: ChangeLog, seeds: DataFrame | None = None, max_depth: int | None =
     chain = revision_chain(bodies, seeds)
     revisions = tar.join(chain, ["origin", "rev"])
     return LoadResult(log, iv, trees, tar, revisions, head_snapshots(revisions))
+
+
+def archived_state(res: LoadResult, at_rev: DataFrame) -> DataFrame:
+    """The tree in force at each origin's ``at_rev`` (origin, at_rev) as put
+    rows at that revision: the persisted open intervals a later batch
+    resumes from, so nothing is replayed from revision 1."""
+    from revtrail.sources.adapters import SEQ_PUT
+    iv = res.intervals
+    files = (iv.files.join(at_rev, "origin")
+             .where((F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
+             .select("origin", F.col("at_rev").alias("rev"), "path", F.lit("file").alias("kind"),
+                     "blob_id", "length"))
+    dirs = (iv.dirs.join(at_rev, "origin")
+            .where((F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
+            .select("origin", F.col("at_rev").alias("rev"), "path", F.lit("dir").alias("kind"),
+                    F.lit(None).cast("string").alias("blob_id"), F.lit(None).cast("long").alias("length")))
+    return files.unionByName(dirs).select(
+        "origin", "rev", F.lit(SEQ_PUT).alias("seq"), "path", "kind", F.lit("put").alias("action"),
+        F.lit(None).cast("string").alias("copyfrom_path"), F.lit(-1).cast("long").alias("copyfrom_rev"),
+        "blob_id", "length")
+
+
+def load_incremental(log: ChangeLog, previous: LoadResult, last_rev: DataFrame,
+                     max_depth: int | None = None) -> LoadResult:
+    """Load only the revisions after each origin's ``last_rev`` (origin,
+    at_rev), starting from the archived tree and chained onto the archived
+    revision id."""
+    new_changes = log.changes.join(last_rev, "origin").where(F.col("rev") > F.col("at_rev")) \
+        .drop("at_rev")
+    new_commits = log.commits.join(last_rev, "origin").where(F.col("rev") > F.col("at_rev")) \
+        .drop("at_rev")
+    state = archived_state(previous, last_rev)
+    inc_log = ChangeLog(log.origins, new_commits, state.unionByName(new_changes))
+    seeds = (previous.revisions.join(last_rev, "origin").where(F.col("rev") == F.col("at_rev"))
+             .select("origin", F.col("revision_id").alias("seed_parent")))
+    return load(inc_log, seeds=seeds, max_depth=max_depth)

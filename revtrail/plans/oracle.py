@@ -365,3 +365,76 @@ SELECT page_id,
        form = 4 AND page_id % 12 = 4 AS recursive
 FROM p
 """
+
+V_BASE = f"""
+{E_BASE},
+heads AS (SELECT origin, max(rev) AS head, CAST(substr(origin, 2) AS BIGINT) AS uid FROM revs GROUP BY origin),
+visits AS (
+  SELECT h.origin, CAST(v AS BIGINT) AS visit_no, CAST(v * 10 AS BIGINT) AS visit_rev,
+         ['full', 'partial', 'failed', 'not_found'][(v + h.uid) % 4 + 1] AS status
+  FROM heads h, range(1, h.head // 10 + 1) t(v)),
+llr AS (
+  SELECT h.origin, h.head, h.uid,
+         coalesce((SELECT max(visit_rev) FROM visits v WHERE v.origin = h.origin
+                   AND v.status IN ('full', 'partial')), -1) AS last_loaded_rev
+  FROM heads h),
+hc AS (SELECT origin, last_loaded_rev AS rev, uid % 7 <> 0 AS unaltered FROM llr WHERE last_loaded_rev >= 1),
+plan AS (
+  SELECT l.origin, l.head, l.uid, l.last_loaded_rev,
+         CAST(CASE WHEN l.last_loaded_rev < 0 THEN 1 WHEN coalesce(hc.unaltered, true)
+                   THEN l.last_loaded_rev + 1 ELSE 1 END AS BIGINT) AS start_rev,
+         CAST(l.head AS BIGINT) AS end_rev
+  FROM llr l LEFT JOIN hc ON hc.origin = l.origin)
+"""
+
+ORACLE_SQL["latest_visit"] = f"""
+WITH {V_BASE}
+SELECT origin, CAST(visit_no AS INTEGER) AS visit_no, status FROM visits v
+WHERE visit_no = (SELECT max(visit_no) FROM visits w WHERE w.origin = v.origin)
+"""
+
+ORACLE_SQL["latest_snapshot_revision"] = f"""
+WITH {V_BASE}
+SELECT l.origin, l.last_loaded_rev AS rev, c.revision_id
+FROM llr l JOIN chain c ON c.origin = l.origin AND c.rev = l.last_loaded_rev
+"""
+
+ORACLE_SQL["last_loaded_rev"] = f"WITH {V_BASE} SELECT origin, CAST(last_loaded_rev AS BIGINT) AS last_loaded_rev FROM llr"
+
+ORACLE_SQL["history_check"] = f"WITH {V_BASE} SELECT origin, rev, unaltered FROM hc"
+
+ORACLE_SQL["plan_range"] = f"""
+WITH {V_BASE} SELECT origin, start_rev, end_rev, start_rev > end_rev AS uneventful FROM plan
+"""
+
+ORACLE_SQL["stale_check"] = f"""
+WITH {V_BASE}
+SELECT l.origin, l.head = l.last_loaded_rev AND coalesce(hc.unaltered, true) AS stale
+FROM llr l LEFT JOIN hc ON hc.origin = l.origin
+"""
+
+ORACLE_SQL["visit_outcome"] = f"""
+WITH {V_BASE},
+f AS (SELECT *, uid % 11 = 0 AS nf, start_rev > end_rev AS unev,
+             CASE WHEN uid % 5 = 0 THEN start_rev + 2 END AS fail_at, uid % 13 = 0 AS div,
+             CASE WHEN last_loaded_rev >= 0 THEN last_loaded_rev END AS prev FROM plan),
+g AS (SELECT *, fail_at IS NOT NULL AND fail_at <= end_rev AS fm,
+             CASE WHEN fail_at IS NOT NULL AND fail_at <= end_rev THEN
+               CASE WHEN fail_at - 1 >= start_rev THEN fail_at - 1 ELSE prev END END AS last_good
+      FROM f)
+SELECT origin,
+       CASE WHEN nf THEN 'uneventful' WHEN unev THEN 'uneventful' WHEN div THEN 'failed'
+            WHEN fm AND (last_good IS NULL OR last_good = prev) THEN 'uneventful'
+            ELSE 'eventful' END AS load_status,
+       CASE WHEN nf THEN 'not_found' WHEN unev THEN 'full' WHEN fm OR div THEN 'partial'
+            ELSE 'full' END AS visit_status,
+       CAST(CASE WHEN nf THEN NULL WHEN unev THEN prev WHEN fm THEN last_good ELSE end_rev END AS BIGINT) AS snapshot_rev
+FROM g
+"""
+
+ORACLE_SQL["incremental_equals_full"] = f"""
+WITH {E_BASE},
+heads AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin)
+SELECT c.origin, c.rev, c.revision_id FROM chain c JOIN heads h ON h.origin = c.origin
+WHERE c.rev > h.head // 2
+"""
