@@ -446,3 +446,74 @@ def q_incremental_equals_full(spark, sf):
         previous = load(prefix, max_depth=2)
         return load_incremental(log, previous, mid, max_depth=2).revisions
     return jobs.memo(spark, sf, "incremental", build).select("origin", "rev", "revision_id")
+
+
+# ------------------------------------------------ copies (adapter O)
+
+SUBPATH_ROOT = "p4"
+
+
+@register("orders_tree_ids")
+def q_orders_tree_ids(spark, sf):
+    """Root tree id at every revision of the orders log (copies, 4 levels);
+    checked against a sequential replay in tests (no SQL oracle)."""
+    return jobs.orders_load(spark, sf).tree_at_rev.select("origin", "rev", "tree_id")
+
+
+@register("expand_copies")
+def q_expand_copies(spark, sf):
+    """Files born by copies: every file alive under the source at the
+    source revision, re-rooted under the destination."""
+    res = jobs.orders_load(spark, sf)
+    return res.log.changes.where((F.col("seq") == 1) & (F.col("kind") == "file")).select(
+        "origin", "rev", "path", "blob_id")
+
+
+@register("copy_filter")
+def q_copy_filter(spark, sf):
+    c = adapters.orders_changelog(spark, sf).changes
+    return c.where(F.col("copyfrom_rev") != -1).select(
+        "origin", "rev", "path", "copyfrom_path", "copyfrom_rev")
+
+
+@register("low_water_mark")
+def q_low_water_mark(spark, sf):
+    log = adapters.orders_changelog(spark, sf)
+    lw = log.changes.where(F.col("copyfrom_rev") != -1).groupBy("origin", "rev").agg(
+        F.min("copyfrom_rev").alias("m"))
+    return log.commits.join(lw, ["origin", "rev"], "left").select(
+        "origin", "rev", F.coalesce(F.col("m"), F.col("rev") + 1).alias("low_water_mark"))
+
+
+def _has_changes(changes, root):
+    """Raw string prefix rule: a changed path starts with the root, or a
+    copy brings in a parent of the root."""
+    hit = F.col("path").startswith(root) | (
+        (F.col("copyfrom_rev") != -1) & F.lit(root).startswith(F.col("path")))
+    return changes.groupBy("origin", "rev").agg(F.bool_or(hit).alias("has_changes"))
+
+
+@register("has_changes")
+def q_has_changes(spark, sf):
+    log = adapters.orders_changelog(spark, sf)
+    hc = _has_changes(log.changes, SUBPATH_ROOT)
+    return log.commits.join(hc, ["origin", "rev"], "left").select(
+        "origin", "rev", F.coalesce("has_changes", F.lit(False)).alias("has_changes"))
+
+
+@register("root_projection")
+def q_root_projection(spark, sf):
+    """Sub-path origins rooted at SUBPATH_ROOT: emitted revisions (those
+    with changes for the root) and the tree id of the root directory at
+    each (empty tree when absent)."""
+    from revtrail.functions.hashing import EMPTY_TREE_ID
+    res = jobs.orders_load(spark, sf)
+    log = adapters.orders_changelog(spark, sf)
+    emitted = _has_changes(log.changes, SUBPATH_ROOT).where("has_changes").select("origin", "rev")
+    d = res.trees.dirs.where(F.col("path") == SUBPATH_ROOT).select("origin", "from_rev", "to_rev",
+                                                                   "tree_id")
+    at = asof_lookup(emitted, d.select("origin", "from_rev", "to_rev", "tree_id"), ["origin"],
+                     "rev", "from_rev", ["to_rev", "tree_id"], lambda c: F.floor(c / 4096))
+    alive = F.col("to_rev").isNotNull() & (F.col("rev") < F.col("to_rev"))
+    return at.select("origin", "rev", F.when(alive, F.col("tree_id"))
+                     .otherwise(F.lit(EMPTY_TREE_ID)).alias("tree_id"))

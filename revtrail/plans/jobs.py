@@ -83,3 +83,8 @@ def history_check(spark: SparkSession, sf_dir: str):
                 .select("origin", "rev", (F.col("revision_id") == F.col("archived_id"))
                         .alias("unaltered")).cache())
     return memo(spark, sf_dir, "history_check", build)
+
+
+def orders_load(spark: SparkSession, sf_dir: str) -> LoadResult:
+    return memo(spark, sf_dir, "orders_load",
+                lambda: load(adapters.orders_changelog(spark, sf_dir), max_depth=4))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from revtrail.functions.hashing import snapshot_branch_hex, snapshot_id
 from revtrail.operators.chain import revision_bodies, revision_chain
-from revtrail.operators.intervals import Intervals, build_intervals
+from revtrail.operators.copies import expand_copies
+from revtrail.operators.intervals import Intervals
 from revtrail.operators.ordinals import asof_lookup
 from revtrail.operators.trees import TreeVersions, build_trees
 from revtrail.sources.adapters import ChangeLog
@@ -52,7 +53,8 @@ def head_snapshots(revisions: DataFrame) -> DataFrame:
 
 def load(log: ChangeLog, seeds: DataFrame | None = None, max_depth: int | None = None
          ) -> LoadResult:
-    iv = build_intervals(log.changes)
+    changes, iv = expand_copies(log.changes)
+    log = ChangeLog(log.origins, log.commits, changes)
     trees = build_trees(iv, log.origins, max_depth=max_depth)
     tar = tree_at_revision(log.commits, trees.root)
     bodies = revision_bodies(log.commits, tar, log.origins)

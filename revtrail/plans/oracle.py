@@ -438,3 +438,62 @@ heads AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin)
 SELECT c.origin, c.rev, c.revision_id FROM chain c JOIN heads h ON h.origin = c.origin
 WHERE c.rev > h.head // 2
 """
+
+O_BASE = f"""
+o AS (SELECT *, 'c' || CAST(o_custkey AS VARCHAR) AS origin,
+             row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rev
+      FROM orders),
+li AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
+                                    l_suppkey, l_extendedprice) AS line FROM lineitem),
+j AS (SELECT o.origin, o.rev, o.o_orderkey, o.o_orderstatus, li.* FROM li JOIN o ON li.l_orderkey = o.o_orderkey),
+puts AS (SELECT origin, rev, 'p' || CAST(l_partkey % 50 AS VARCHAR) || '/' || l_returnflag || '/' || CAST(line AS VARCHAR) AS path,
+                {git_sha('blob', "hex(CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_partkey AS VARCHAR) || ':' || CAST(l_suppkey AS VARCHAR))")} AS blob_id
+         FROM j),
+cp AS (SELECT origin, rev, 'tags/o' || CAST(o_orderkey AS VARCHAR) AS dst, 'p' || CAST(l_partkey % 50 AS VARCHAR) AS src
+       FROM j WHERE line = 1 AND o_orderstatus = 'F' AND rev > 1),
+revs AS (SELECT origin, rev FROM o)
+"""
+
+ORACLE_SQL["expand_copies"] = f"""
+WITH {O_BASE}
+SELECT cp.origin, cp.rev, cp.dst || substr(p.path, strlen(cp.src) + 1) AS path, arg_max(p.blob_id, p.rev) AS blob_id
+FROM cp JOIN puts p ON p.origin = cp.origin AND starts_with(p.path, cp.src || '/') AND p.rev <= cp.rev - 1
+GROUP BY cp.origin, cp.rev, cp.dst, cp.src, p.path
+"""
+
+ORACLE_SQL["copy_filter"] = f"""
+WITH {O_BASE}
+SELECT origin, rev, dst AS path, src AS copyfrom_path, CAST(rev - 1 AS BIGINT) AS copyfrom_rev FROM cp
+"""
+
+ORACLE_SQL["low_water_mark"] = f"""
+WITH {O_BASE}
+SELECT r.origin, r.rev, coalesce((SELECT min(cp.rev - 1) FROM cp WHERE cp.origin = r.origin AND cp.rev = r.rev), r.rev + 1) AS low_water_mark
+FROM revs r
+"""
+
+ORACLE_SQL["has_changes"] = f"""
+WITH {O_BASE},
+ch AS (SELECT origin, rev, path, false AS is_copy FROM puts UNION ALL SELECT origin, rev, dst, true FROM cp)
+SELECT r.origin, r.rev, coalesce(bool_or(starts_with(ch.path, '{'p4'}') OR (ch.is_copy AND starts_with('{'p4'}', ch.path))), false) AS has_changes
+FROM revs r LEFT JOIN ch ON ch.origin = r.origin AND ch.rev = r.rev
+GROUP BY r.origin, r.rev
+"""
+
+ORACLE_SQL["root_projection"] = f"""
+WITH {O_BASE},
+em AS (SELECT DISTINCT origin, rev FROM (
+         SELECT origin, rev FROM puts WHERE starts_with(path, 'p4')
+         UNION ALL SELECT origin, rev FROM cp WHERE starts_with(dst, 'p4') OR starts_with('p4', dst))),
+st AS (SELECT e.origin, e.rev AS at_rev, p.path, arg_max(p.blob_id, p.rev) AS blob_id
+       FROM em e JOIN puts p ON p.origin = e.origin AND p.rev <= e.rev AND starts_with(p.path, 'p4/')
+       GROUP BY e.origin, e.rev, p.path),
+st2 AS (SELECT origin, at_rev, split_part(path, '/', 2) AS flag, split_part(path, '/', 3) AS fname, blob_id FROM st),
+ft AS (SELECT origin, at_rev, flag, string_agg(hex('100644 ' || fname) || '00' || blob_id, '' ORDER BY fname) AS body
+       FROM st2 GROUP BY origin, at_rev, flag),
+fti AS (SELECT origin, at_rev, flag, {git_sha('tree', 'body')} AS tree_id FROM ft),
+rt AS (SELECT origin, at_rev, string_agg(hex('40000 ' || flag) || '00' || tree_id, '' ORDER BY flag || '/') AS body
+       FROM fti GROUP BY origin, at_rev)
+SELECT e.origin, e.rev, coalesce({git_sha('tree', 'rt.body')}, {EMPTY}) AS tree_id
+FROM em e LEFT JOIN rt ON rt.origin = e.origin AND rt.at_rev = e.rev
+"""

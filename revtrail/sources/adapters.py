@@ -146,3 +146,42 @@ def nations_changelog(spark: SparkSession, sf_dir: str) -> ChangeLog:
         "origin", uuid_of(F.col("origin")).alias("uuid"),
         F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url"))
     return ChangeLog(origins, commits, changes)
+
+
+def orders_changelog(spark: SparkSession, sf_dir: str) -> ChangeLog:
+    """Adapter O: one origin per customer, one revision per order (by date,
+    key); each line item writes ``p<partkey % 50>/<returnflag>/<line>``;
+    an order with status ``F`` also copies the part directory of its
+    first line, as of the previous revision, to ``tags/o<orderkey>``."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                                   "o_orderdate")
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag")
+    o = o.withColumn("origin", F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
+    o = dense_ordinal(o, ["origin"], [F.col("o_orderdate"), F.col("o_orderkey")],
+                      F.year("o_orderdate"), out="rev")
+    o = cut_lineage(o)
+    from pyspark.sql import Window
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey",
+                                                  "l_extendedprice")
+    li = li.withColumn("line", F.row_number().over(w))
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    part_dir = F.concat(F.lit("p"), (F.col("l_partkey") % 50).cast("string"))
+    data = F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"),
+                       F.col("l_suppkey").cast("string"))
+    puts = j.select(*change_row(
+        F.col("origin"), F.col("rev"), SEQ_PUT,
+        F.concat_ws("/", part_dir, F.col("l_returnflag"), F.col("line").cast("string")),
+        "file", "put", blob=blob_id(data), length=F.octet_length(data).cast("long")))
+    copies = j.where((F.col("line") == 1) & (F.col("o_orderstatus") == "F")
+                     & (F.col("rev") > 1)).select(*change_row(
+                         F.col("origin"), F.col("rev"), SEQ_COPY,
+                         F.concat(F.lit("tags/o"), F.col("o_orderkey").cast("string")), "dir", "copy",
+                         copyfrom_path=part_dir, copyfrom_rev=F.col("rev") - 1))
+    commits = o.select("origin", "rev", F.col("o_orderdate").cast("timestamp").alias("date"),
+                       F.concat(F.lit("customer"), F.col("o_custkey").cast("string")).alias("author"),
+                       F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("message"))
+    origins = commits.select("origin").distinct().select(
+        "origin", uuid_of(F.col("origin")).alias("uuid"),
+        F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url"))
+    return ChangeLog(origins, commits, puts.unionByName(copies))

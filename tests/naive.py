@@ -72,3 +72,55 @@ def replay_events(pdf):
             rows.append((rev, t, parent))
         out[origin] = rows
     return out
+
+
+def replay_orders(orders, lineitem):
+    """Adapter O replayed sequentially: {origin: [(rev, tree, files)]}."""
+    li = lineitem.sort_values(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                               "l_extendedprice"]).copy()
+    li["line"] = li.groupby("l_orderkey").cumcount() + 1
+    by_order = {k: g for k, g in li.groupby("l_orderkey")}
+    out = {}
+    for cust, g in orders.sort_values(["o_custkey", "o_orderdate", "o_orderkey"]).groupby("o_custkey"):
+        files: dict[str, str] = {}
+        hist = []
+        for rev, o in enumerate(g.itertuples(index=False), start=1):
+            lines = by_order.get(o.o_orderkey)
+            before = dict(files)
+            if lines is not None:
+                first = lines[lines.line == 1]
+                if o.o_orderstatus == "F" and rev > 1 and len(first):
+                    src = f"p{int(first.l_partkey.iloc[0]) % 50}"
+                    dst = f"tags/o{o.o_orderkey}"
+                    for pth in [p for p in files if p == dst or p.startswith(dst + "/")]:
+                        del files[pth]
+                    for pth, b in before.items():
+                        if pth.startswith(src + "/"):
+                            files[dst + pth[len(src):]] = b
+                for r in lines.itertuples(index=False):
+                    data = f"{r.l_orderkey}:{r.l_partkey}:{r.l_suppkey}".encode()
+                    files[f"p{r.l_partkey % 50}/{r.l_returnflag}/{r.line}"] = git_id(b"blob", data)
+            hist.append((rev, nested_tree_id(files), dict(files)))
+        out[f"c{cust}"] = hist
+    return out
+
+
+def nested_tree_id(files: dict[str, str]) -> str:
+    """Tree id of a flat {path: blob} map (directories implied)."""
+    tree: dict = {}
+    for path, b in files.items():
+        parts = path.split("/")
+        node = tree
+        for p in parts[:-1]:
+            node = node.setdefault(p, {})
+        node[parts[-1]] = b
+
+    def rec(node) -> str:
+        entries = {}
+        for name, v in node.items():
+            if isinstance(v, dict):
+                entries[name] = (0o40000, rec(v), True)
+            else:
+                entries[name] = (0o100644, v, False)
+        return tree_id(entries)
+    return rec(tree)
