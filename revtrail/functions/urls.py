@@ -119,3 +119,30 @@ def partial_load_possible(message: Column) -> Column:
     for c in PARTIAL_LOAD_CODES:
         cond = cond | F.contains(message, F.lit(c))
     return cond
+
+
+def alternate_urls(url: Column, fast_host: str, fast_scheme: str = "svn") -> Column:
+    """Candidate URLs in the order to try: for ``fast_host`` reached over
+    http(s), the same URL over ``fast_scheme`` first."""
+    swapped = F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*:", fast_scheme + ":")
+    eligible = (url_netloc(url) == fast_host) & url_scheme(url).startswith("http")
+    return F.when(eligible, F.array(swapped, url)).otherwise(F.array(url))
+
+
+# Error message patterns carrying a redirection target.
+REDIRECT_PATTERNS = (r"^URL '(.+)' non-existent in revision.*$",
+                     r"^Repository moved temporarily to '(.+)'.*$")
+
+
+def redirect_target(message: Column) -> Column:
+    a, b = (F.nullif(F.regexp_extract(message, p, 1), F.lit("")) for p in REDIRECT_PATTERNS)
+    return F.coalesce(a, b)
+
+
+def root_directory(origin_url: Column, root_url: Column) -> Column:
+    """Origin url minus the repository root url (schemes aligned), without
+    surrounding slashes."""
+    o = F.regexp_replace(origin_url, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    r = F.regexp_replace(root_url, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    rest = F.when(o.startswith(r), F.substring(o, F.length(r) + 1, 1 << 30)).otherwise(o)
+    return F.regexp_replace(rest, "^/+|/+$", "")

@@ -517,3 +517,257 @@ def q_root_projection(spark, sf):
     alive = F.col("to_rev").isNotNull() & (F.col("rev") < F.col("to_rev"))
     return at.select("origin", "rev", F.when(alive, F.col("tree_id"))
                      .otherwise(F.lit(EMPTY_TREE_ID)).alias("tree_id"))
+
+
+# ------------------------------------------------ dumps, logs and failures
+
+def _event_dump_frames(spark, sf):
+    """One dump per origin of the event log, one frame per revision; the
+    head frame of origins with uid % 9 = 0 is cut short (truncated dump)."""
+    c = jobs.events_load(spark, sf).log.commits
+    head = c.groupBy("origin").agg(F.max("rev").alias("head"))
+    body = F.concat(F.lit("svn:log "), F.col("message"), F.lit("\nsvn:author "), F.col("author"))
+    c = c.join(head, "origin").withColumn("body", body)
+    cut = (_uid() % 9 == 0) & (F.col("rev") == F.col("head"))
+    shown = F.when(cut, F.substring("body", 1, 5)).otherwise(F.col("body"))
+    frame = F.concat(F.col("rev").cast("string"), F.lit("\nContent-length: "),
+                     F.octet_length("body").cast("string"), F.lit("\n\n"), shown)
+    return c.select("origin", frame.alias("frame"))
+
+
+@register("dump_frames")
+def q_dump_frames(spark, sf):
+    from revtrail.sources.dumps import dump_summary
+    return dump_summary(_event_dump_frames(spark, sf), key="origin")
+
+
+def _dump_log(spark, sf):
+    """Dumper log lines: every origin dumps revisions 0..head; for
+    uid % 9 = 0 the dump breaks 3 revisions early (connection reset), for
+    uid % 11 = 0 the repository is not found."""
+    res = jobs.events_load(spark, sf)
+    head = _heads(res)
+    broken = _uid() % 9 == 0
+    missing = _uid() % 11 == 0
+    last = F.when(missing, F.lit(-1)).when(broken, F.col("head") - 3).otherwise(F.col("head"))
+    revs = F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last.cast("long"))) \
+        .otherwise(F.array().cast("array<bigint>"))
+    lines = head.select("origin", F.explode(revs).alias("r")).select(
+        "origin", (F.col("r") + 1).alias("line_no"),
+        F.concat(F.lit("* Dumped revision "), F.col("r").cast("string"), F.lit(".")).alias("line"))
+    err = head.where(broken | missing).select(
+        "origin", F.lit(1_000_000).cast("long").alias("line_no"),
+        F.when(missing, F.lit("svnrdump: E170013: Unable to connect to a repository at URL"))
+        .otherwise(F.lit("svnrdump: E000104: Connection reset by peer")).alias("line"))
+    exit_codes = head.select("origin", F.when(broken | missing, 1).otherwise(0).alias("exit_code"))
+    return lines.unionByName(err), exit_codes
+
+
+@register("dump_log_status")
+def q_dump_log_status(spark, sf):
+    from revtrail.plans.visits import last_loaded_rev
+    from revtrail.sources.dumps import dump_log_status
+    res = jobs.events_load(spark, sf)
+    lines, codes = _dump_log(spark, sf)
+    llr = last_loaded_rev(res.log.origins, jobs.events_visits(spark, sf), res.revisions)
+    return dump_log_status(lines, codes, llr)
+
+
+@register("classify_dump_error")
+def q_classify_dump_error(spark, sf):
+    """Error lines of the dumper logs, with partial loading possible or not."""
+    from revtrail.functions.urls import partial_load_possible
+    lines, _ = _dump_log(spark, sf)
+    e = lines.where(F.col("line").rlike(r"E\d{6}"))
+    return e.select("origin", F.regexp_extract("line", r"(E\d{6})", 1).alias("code"),
+                    partial_load_possible(F.col("line")).alias("partial_possible"))
+
+
+# Failure messages cycled through by the synthetic attempts table.
+ATTEMPT_MESSAGES = [
+    None, "Connection timed out", "Unable to connect to a repository at URL 'x'",
+    "Error running context: The server unexpectedly closed the connection.",
+    "ra_serf: The server sent a truncated HTTP response body",
+    "Unexpected HTTP status 504 'Gateway Time-out' on '/r'", "E170013: not found", None,
+]
+
+
+def _attempts(spark, sf):
+    res = jobs.events_load(spark, sf)
+    msgs = F.array(*[F.lit(m).cast("string") for m in ATTEMPT_MESSAGES])
+    n = len(ATTEMPT_MESSAGES)
+    return res.log.origins.select("origin", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("attempt")) \
+        .select("origin", "attempt",
+                F.element_at(msgs, ((_uid() * 3 + F.col("attempt")) % n + 1).cast("int")).alias("error"))
+
+
+@register("retry_plan")
+def q_retry_plan(spark, sf):
+    from revtrail.plans.failures import retry_plan
+    return retry_plan(_attempts(spark, sf))
+
+
+@register("retryable")
+def q_retryable(spark, sf):
+    from revtrail.functions.urls import is_retryable
+    a = _attempts(spark, sf).where(F.col("error").isNotNull())
+    return a.select("origin", "attempt", is_retryable(F.col("error")).alias("retryable"))
+
+
+@register("classify_open_error")
+def q_classify_open_error(spark, sf):
+    from revtrail.plans.failures import classify_open_error
+    a = _attempts(spark, sf).where(F.col("error").isNotNull())
+    return a.select("origin", "attempt",
+                    classify_open_error(F.col("error"), F.col("attempt")).alias("action"))
+
+
+# ------------------------------------------------ more scans, sinks, checks
+
+@register("normalize_changes")
+def q_normalize_changes(spark, sf):
+    """Change rows as node events: explicit puts and deletes plus the
+    parent directories a put implies."""
+    from revtrail.operators.intervals import node_events
+    ch = jobs.events_load(spark, sf).log.changes
+    return node_events(ch).select("origin", "rev", "seq", "path", "kind", "is_put")
+
+
+@register("origin_info")
+def q_origin_info(spark, sf):
+    res = jobs.events_load(spark, sf)
+    head = _heads(res)
+    return res.log.origins.join(head, "origin").select(
+        "origin", "url", F.col("url").alias("root_url"), F.col("head").alias("head_rev"),
+        F.when(F.col("head") == 0, 0).otherwise(1).alias("initial_rev"))
+
+
+@register("dump_plan")
+def q_dump_plan(spark, sf):
+    """Sub-path origins ``<customer>/p4``: dump the whole customer
+    repository up to the last revision where ``p4`` exists."""
+    res = jobs.orders_load(spark, sf)
+    head = _heads(res)
+    d = res.intervals.dirs.where(F.col("path") == SUBPATH_ROOT).join(head, "origin")
+    last = d.groupBy("origin").agg(F.max(F.least(F.col("to_rev") - 1, F.col("head"))).alias("max_rev"))
+    return last.select(F.col("origin").alias("dump_root"), F.lit(SUBPATH_ROOT).alias("sub_path"),
+                       F.col("max_rev").alias("dump_max_rev"))
+
+
+@register("export_snapshot")
+def q_export_snapshot(spark, sf):
+    """Export snapshot at each origin's head: HEAD alias -> rev_<n> -> tree."""
+    from revtrail.functions.hashing import snapshot_branch_hex, snapshot_id
+    s = jobs.events_load(spark, sf).snapshots
+    name = F.concat(F.lit("rev_"), F.col("head_rev").cast("string"))
+    alias = F.struct(F.lit("HEAD").cast("binary").alias("name"),
+                     snapshot_branch_hex(F.lit("HEAD"), F.lit("alias"), F.hex(name.cast("binary")))
+                     .alias("branch_hex"))
+    target = F.struct(name.cast("binary").alias("name"),
+                      snapshot_branch_hex(name, F.lit("directory"), F.col("tree_id")).alias("branch_hex"))
+    return s.select("origin", F.col("head_rev").alias("rev"),
+                    snapshot_id(F.array(alias, target)).alias("snapshot_id"))
+
+
+def _listing_at(res, at: DataFrame) -> DataFrame:
+    """(origin, path, kind, id) of every node alive at at(origin, at_rev)."""
+    files = res.intervals.files.select("origin", "path", F.lit("file").alias("kind"),
+                                       F.col("blob_id").alias("id"), "from_rev", "to_rev")
+    dirs = res.trees.dirs.where(F.col("path") != "").select(
+        "origin", "path", F.lit("dir").alias("kind"), F.col("tree_id").alias("id"), "from_rev", "to_rev")
+    return (files.unionByName(dirs).join(at, "origin")
+            .where((F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
+            .select("origin", "path", "kind", "id"))
+
+
+@register("export_tree")
+def q_export_tree(spark, sf):
+    """Files and directories of each origin at its head, with modes and ids."""
+    res = jobs.events_load(spark, sf)
+    at = _heads(res).select("origin", F.col("head").alias("at_rev"))
+    lst = _listing_at(res, at)
+    return lst.select("origin", "path", F.when(F.col("kind") == "dir", 0o040000)
+                      .otherwise(0o100644).alias("perms"), "id")
+
+
+@register("export_subpaths")
+def q_export_subpaths(spark, sf):
+    """Only ``d1`` (whole subtree) and ``d3/f35`` at head, with parents."""
+    res = jobs.events_load(spark, sf)
+    at = _heads(res).select("origin", F.col("head").alias("at_rev"))
+    lst = _listing_at(res, at)
+    wanted = F.array(F.lit("d1"), F.lit("d3/f35"))
+    sel = lst.select("*", F.explode(wanted).alias("sub")).where(
+        (F.col("path") == F.col("sub")) | F.col("path").startswith(F.concat("sub", F.lit("/")))
+        | F.col("sub").startswith(F.concat("path", F.lit("/"))))
+    return sel.select("origin", "path", "kind").distinct()
+
+
+@register("tree_diff")
+def q_tree_diff(spark, sf):
+    """What differs between each origin's tree at head and at head - 1:
+    files and directories missing, extra or with another id."""
+    from revtrail.operators.diff import tree_diff
+    res = jobs.events_load(spark, sf)
+    h = _heads(res)
+    new = _listing_at(res, h.select("origin", F.col("head").alias("at_rev")))
+    old = _listing_at(res, h.select("origin", (F.col("head") - 1).alias("at_rev")))
+    return tree_diff(new, old)
+
+
+@register("emit_filter")
+def q_emit_filter(spark, sf):
+    """Revisions emitted for sub-path origins rooted at p4 (start = 1)."""
+    log = adapters.orders_changelog(spark, sf)
+    return _has_changes(log.changes, SUBPATH_ROOT).where("has_changes").select("origin", "rev")
+
+
+@register("collect_objects")
+def q_collect_objects(spark, sf):
+    """Objects of each origin by type (distinct ids)."""
+    res = jobs.events_load(spark, sf)
+    c = res.intervals.files.groupBy("origin").agg(F.countDistinct("blob_id").alias("contents"))
+    d = res.trees.dirs.groupBy("origin").agg(F.countDistinct("tree_id").alias("directories"))
+    r = res.revisions.groupBy("origin").agg(F.count(F.lit(1)).alias("revisions"))
+    return r.join(c, "origin", "left").join(d, "origin", "left").select(
+        "origin", F.coalesce("contents", F.lit(0)).alias("contents"), "directories", "revisions")
+
+
+@register("first_working_credential")
+def q_first_working_credential(spark, sf):
+    """First attempt (of none, two anonymous variants) that opened."""
+    a = _attempts(spark, sf).where(F.col("attempt") <= 3)
+    ok = a.where(F.col("error").isNull()).groupBy("origin").agg(F.min("attempt").alias("attempt"))
+    return a.select("origin").distinct().join(ok, "origin", "left").select(
+        "origin", F.col("attempt").alias("first_ok_attempt"))
+
+
+@register("alternate_urls")
+def q_alternate_urls(spark, sf):
+    from revtrail.functions.urls import alternate_urls
+    p = _pages(spark, sf)
+    url = F.when(F.col("page_id") % 4 == 0,
+                 F.regexp_replace("url", r"://[^/?#]*", "://svn.example.net")).otherwise(F.col("url"))
+    return p.select("page_id", F.posexplode(alternate_urls(url, "svn.example.net")).alias("pos", "url"))
+
+
+@register("redirect_target")
+def q_redirect_target(spark, sf):
+    from revtrail.functions.urls import redirect_target
+    p = _pages(spark, sf)
+    msg = (F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("URL '"), F.col("url"),
+                                                      F.lit("' non-existent in revision 5")))
+           .when(F.col("page_id") % 3 == 1, F.concat(F.lit("Repository moved temporarily to '"),
+                                                     F.col("url"), F.lit("'; please relocate")))
+           .otherwise(F.concat(F.lit("Unable to connect to "), F.col("url"))))
+    return p.select("page_id", redirect_target(msg).alias("target"))
+
+
+@register("root_directory")
+def q_root_directory(spark, sf):
+    from revtrail.functions.urls import root_directory, url_netloc, url_scheme
+    p = _pages(spark, sf)
+    origin_url = F.concat(F.regexp_replace("url", r"[?#].*$", ""),
+                          F.when(F.col("page_id") % 2 == 0, F.lit("/")).otherwise(F.lit("")))
+    root = F.concat(url_scheme(F.col("url")), F.lit("://"), url_netloc(F.col("url")))
+    return p.select("page_id", root_directory(origin_url, root).alias("root_directory"))

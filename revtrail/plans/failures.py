@@ -1,0 +1,44 @@
+"""Failure tables: retry plans and error classes, evaluated as windows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from revtrail.functions.urls import RETRY_EXP_BASE, RETRY_MAX_ATTEMPTS, is_retryable
+
+# Message fragments deciding how a failed repository open is handled.
+OPEN_NOT_FOUND_PHRASES = ("Unknown URL type", "is not a working copy")
+OPEN_RETRY_PHRASES = ("Unable to connect to a repository at URL", "No provider registered for")
+CREDENTIAL_ATTEMPTS = 3
+
+
+def retry_plan(attempts: DataFrame) -> DataFrame:
+    """attempts (origin, attempt, error) with error NULL on success ->
+    per origin: attempts made, final status and total wait in seconds.
+    Retry only retryable errors, at most RETRY_MAX_ATTEMPTS attempts, the
+    n-th retry waiting RETRY_EXP_BASE ** (n - 1) seconds."""
+    stops = F.col("error").isNull() | ~is_retryable(F.col("error"))
+    w = Window.partitionBy("origin").orderBy("attempt")
+    a = (attempts.where(F.col("attempt") <= RETRY_MAX_ATTEMPTS)
+         .withColumn("stopped_before", F.coalesce(F.bool_or(stops).over(
+             w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)))
+         .where(~F.col("stopped_before")))
+    return a.groupBy("origin").agg(
+        F.count(F.lit(1)).alias("n_attempts"),
+        F.when(F.max_by(F.col("error"), F.col("attempt")).isNull(), "ok").otherwise("failed")
+        .alias("final_status"),
+        F.sum(F.when(F.col("attempt") > 1, F.pow(F.lit(RETRY_EXP_BASE), F.col("attempt") - 2)))
+        .cast("long").alias("wait_seconds"))
+
+
+def classify_open_error(message, attempt) -> F.Column:
+    """'not_found', 'next_credentials' or 'raise' for a failed open."""
+    nf = F.lit(False)
+    for p in OPEN_NOT_FOUND_PHRASES:
+        nf = nf | F.contains(message, F.lit(p))
+    retry = F.lit(False)
+    for p in OPEN_RETRY_PHRASES:
+        retry = retry | F.contains(message, F.lit(p))
+    return (F.when(attempt >= CREDENTIAL_ATTEMPTS, "not_found").when(nf, "not_found")
+            .when(retry, "next_credentials").otherwise("raise"))

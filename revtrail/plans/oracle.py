@@ -497,3 +497,178 @@ rt AS (SELECT origin, at_rev, string_agg(hex('40000 ' || flag) || '00' || tree_i
 SELECT e.origin, e.rev, coalesce({git_sha('tree', 'rt.body')}, {EMPTY}) AS tree_id
 FROM em e LEFT JOIN rt ON rt.origin = e.origin AND rt.at_rev = e.rev
 """
+
+ORACLE_SQL["dump_frames"] = f"""
+WITH {E_BASE},
+heads AS (SELECT origin, max(rev) AS head, CAST(substr(origin, 2) AS BIGINT) AS uid FROM revs GROUP BY origin)
+SELECT h.origin, count(*) AS n_revisions, h.uid % 9 = 0 AS truncated,
+       CASE WHEN h.uid % 9 = 0 THEN max(ev.rev) - 1 ELSE max(ev.rev) END AS max_complete_rev
+FROM heads h JOIN ev ON ev.origin = h.origin GROUP BY h.origin, h.uid
+"""
+
+ORACLE_SQL["dump_log_status"] = f"""
+WITH {V_BASE},
+d AS (SELECT origin, last_loaded_rev, uid,
+             CASE WHEN uid % 11 = 0 THEN NULL WHEN uid % 9 = 0 THEN head - 3 ELSE head END AS last_dumped,
+             CASE WHEN uid % 11 = 0 THEN 'E170013' WHEN uid % 9 = 0 THEN 'E000104' ELSE '' END AS error_codes,
+             (uid % 11 = 0 OR uid % 9 = 0) AS failed
+      FROM llr)
+SELECT origin, CAST(last_dumped AS BIGINT) AS last_dumped, error_codes,
+       CASE WHEN NOT failed THEN 'complete'
+            WHEN coalesce(last_dumped, -1) > last_loaded_rev THEN 'partial'
+            WHEN coalesce(last_dumped, -1) <> -1 AND last_dumped < last_loaded_rev THEN 'behind_archive'
+            WHEN error_codes LIKE '%E170013%' THEN 'not_found' ELSE 'error' END AS outcome
+FROM d
+"""
+
+ORACLE_SQL["classify_dump_error"] = f"""
+WITH {E_BASE},
+heads AS (SELECT DISTINCT origin, CAST(substr(origin, 2) AS BIGINT) AS uid FROM revs)
+SELECT origin, CASE WHEN uid % 11 = 0 THEN 'E170013' ELSE 'E000104' END AS code, false AS partial_possible
+FROM heads WHERE uid % 11 = 0 OR uid % 9 = 0
+"""
+
+_MSGS = ("[NULL, 'Connection timed out', 'Unable to connect to a repository at URL ''x''', "
+         "'Error running context: The server unexpectedly closed the connection.', "
+         "'ra_serf: The server sent a truncated HTTP response body', "
+         "'Unexpected HTTP status 504 ''Gateway Time-out'' on ''/r''', 'E170013: not found', NULL]")
+
+ATTEMPTS = f"""
+o AS (SELECT DISTINCT 'u' || CAST(user_id AS VARCHAR) AS origin, user_id AS uid FROM events),
+a AS (SELECT origin, CAST(t.attempt AS INTEGER) AS attempt, ({_MSGS})[(uid * 3 + t.attempt) % 8 + 1] AS error
+      FROM o, range(1, 5) t(attempt)),
+ar AS (SELECT *, error IS NOT NULL AND (starts_with(error, 'Connection timed out')
+         OR starts_with(error, 'Unable to connect to a repository at URL')
+         OR starts_with(error, 'Error running context: The server unexpectedly closed the connection')
+         OR starts_with(error, 'ra_serf: The server sent a truncated HTTP response body')
+         OR starts_with(error, 'Unexpected HTTP status 504 ''Gateway Time-out''')) AS retryable FROM a)
+"""
+
+ORACLE_SQL["retry_plan"] = f"""
+WITH {ATTEMPTS},
+k AS (SELECT ar.*, coalesce(bool_or(NOT retryable) OVER (PARTITION BY origin ORDER BY attempt
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS stopped FROM ar WHERE attempt <= 3)
+SELECT origin, count(*) AS n_attempts,
+       CASE WHEN arg_max(error, attempt) IS NULL THEN 'ok' ELSE 'failed' END AS final_status,
+       CAST(sum(CASE WHEN attempt > 1 THEN pow(10, attempt - 2) END) AS BIGINT) AS wait_seconds
+FROM k WHERE NOT stopped GROUP BY origin
+"""
+
+ORACLE_SQL["retryable"] = f"""
+WITH {ATTEMPTS} SELECT origin, attempt, retryable FROM ar WHERE error IS NOT NULL
+"""
+
+ORACLE_SQL["classify_open_error"] = f"""
+WITH {ATTEMPTS}
+SELECT origin, attempt,
+       CASE WHEN attempt >= 3 THEN 'not_found'
+            WHEN contains(error, 'Unknown URL type') OR contains(error, 'is not a working copy') THEN 'not_found'
+            WHEN contains(error, 'Unable to connect to a repository at URL') OR contains(error, 'No provider registered for') THEN 'next_credentials'
+            ELSE 'raise' END AS action
+FROM ar WHERE error IS NOT NULL
+"""
+
+ORACLE_SQL["normalize_changes"] = f"""
+WITH {E_BASE}
+SELECT origin, rev, CASE WHEN op = 'put' THEN 2 ELSE 0 END AS seq,
+       CASE WHEN op = 'deldir' THEN dname ELSE dname || '/' || fname END AS path,
+       CASE WHEN op = 'deldir' THEN 'dir' ELSE 'file' END AS kind, op = 'put' AS is_put
+FROM ch
+UNION ALL
+SELECT origin, rev, 2, dname, 'dir', true FROM ch WHERE op = 'put'
+"""
+
+ORACLE_SQL["origin_info"] = f"""
+WITH {E_BASE}
+SELECT origin, 'file:///repos/' || origin AS url, 'file:///repos/' || origin AS root_url,
+       max(rev) AS head_rev, CASE WHEN max(rev) = 0 THEN 0 ELSE 1 END AS initial_rev
+FROM revs GROUP BY origin
+"""
+
+ORACLE_SQL["dump_plan"] = f"""
+WITH {O_BASE},
+heads AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin)
+SELECT h.origin AS dump_root, 'p4' AS sub_path, h.head AS dump_max_rev
+FROM heads h WHERE EXISTS (SELECT 1 FROM puts p WHERE p.origin = h.origin AND starts_with(p.path, 'p4/'))
+"""
+
+ORACLE_SQL["export_snapshot"] = f"""
+WITH {E_BASE},
+head AS (SELECT origin, max(rev) AS rev FROM revs GROUP BY origin),
+b AS (SELECT h.origin, h.rev, 'rev_' || CAST(h.rev AS VARCHAR) AS name, t.tree_id
+      FROM head h JOIN rtid t ON t.origin = h.origin AND t.rev = h.rev)
+SELECT origin, rev, {git_sha('snapshot', "hex('alias HEAD') || '00' || hex(CAST(strlen(name) AS VARCHAR) || ':') || hex(name) || hex('directory ' || name) || '00' || hex('20:') || tree_id")} AS snapshot_id
+FROM b
+"""
+
+E_LISTING = f"""
+{E_BASE},
+head AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin),
+lst AS (
+  SELECT f.origin, f.at_rev, f.dname || '/' || f.fname AS path, 'file' AS kind, f.blob_id AS id FROM falive f
+  UNION ALL SELECT origin, at_rev, dname, 'dir', tree_id FROM dtid)
+"""
+
+ORACLE_SQL["export_tree"] = f"""
+WITH {E_LISTING}
+SELECT l.origin, l.path, CASE WHEN kind = 'dir' THEN 16384 ELSE 33188 END AS perms, l.id
+FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head
+"""
+
+ORACLE_SQL["export_subpaths"] = f"""
+WITH {E_LISTING}
+SELECT DISTINCT l.origin, l.path, l.kind
+FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head
+WHERE l.path = 'd1' OR starts_with(l.path, 'd1/') OR l.path = 'd3/f35' OR l.path = 'd3'
+"""
+
+ORACLE_SQL["tree_diff"] = f"""
+WITH {E_LISTING},
+n AS (SELECT l.* FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head),
+o AS (SELECT l.* FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head - 1)
+SELECT coalesce(n.origin, o.origin) AS origin, coalesce(n.path, o.path) AS path,
+       coalesce(n.kind, o.kind) AS kind,
+       CASE WHEN o.id IS NULL THEN 'missing' WHEN n.id IS NULL THEN 'extra' ELSE 'different' END AS status
+FROM n FULL OUTER JOIN o ON n.origin = o.origin AND n.path = o.path
+WHERE n.id IS DISTINCT FROM o.id
+"""
+
+ORACLE_SQL["emit_filter"] = f"""
+WITH {O_BASE}
+SELECT DISTINCT origin, rev FROM (
+  SELECT origin, rev FROM puts WHERE starts_with(path, 'p4')
+  UNION ALL SELECT origin, rev FROM cp WHERE starts_with(dst, 'p4') OR starts_with('p4', dst))
+"""
+
+ORACLE_SQL["collect_objects"] = f"""
+WITH {E_BASE}
+SELECT r.origin,
+       (SELECT count(DISTINCT blob_id) FROM fe WHERE fe.origin = r.origin AND op = 'put') AS contents,
+       (SELECT count(DISTINCT id) FROM (SELECT tree_id AS id FROM dtid d WHERE d.origin = r.origin
+                                        UNION SELECT tree_id FROM rtid t WHERE t.origin = r.origin
+                                        UNION SELECT {EMPTY})) AS directories,
+       count(*) AS revisions
+FROM revs r GROUP BY r.origin
+"""
+
+ORACLE_SQL["first_working_credential"] = f"""
+WITH {ATTEMPTS}
+SELECT origin, CAST(min(CASE WHEN error IS NULL THEN attempt END) AS INTEGER) AS first_ok_attempt
+FROM ar WHERE attempt <= 3 GROUP BY origin
+"""
+
+ORACLE_SQL["alternate_urls"] = """
+WITH u AS (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN regexp_replace(url, '://[^/?#]*', '://svn.example.net')
+                                ELSE url END AS url FROM pages)
+SELECT page_id, 0 AS pos, CASE WHEN page_id % 4 = 0 THEN regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*:', 'svn:') ELSE url END AS url FROM u
+UNION ALL SELECT page_id, 1, url FROM u WHERE page_id % 4 = 0
+"""
+
+ORACLE_SQL["redirect_target"] = """
+SELECT page_id, CASE WHEN page_id % 3 = 2 THEN NULL ELSE url END AS target FROM pages
+"""
+
+ORACLE_SQL["root_directory"] = """
+SELECT page_id, regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '^/+|/+$', '', 'g') AS root_directory
+FROM pages
+"""
