@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +41,9 @@ def file_entries(files: DataFrame, perms_col=None) -> DataFrame:
 def dir_versions(kids: DataFrame, lifetimes: DataFrame) -> DataFrame:
     """kids: ENTRY_COLS; lifetimes: origin, path, from_rev, to_rev.
 
-    Returns origin, path, from_rev, to_rev, tree_id for every version.
+    Returns (origin, path, from_rev, to_rev, tree_id for every version) and
+    the persisted boundary table, to be released by the caller once the
+    result is materialised.
     """
     bnd = (kids.select("origin", F.col("parent").alias("path"), F.col("from_rev").alias("rev"),
                        F.lit(0).alias("delta"))
@@ -57,6 +60,8 @@ def dir_versions(kids: DataFrame, lifetimes: DataFrame) -> DataFrame:
            .withColumn("next_rev", F.lead("rev").over(w))
            .withColumn("is_start", (F.col("alive") > 0) & (F.col("rev") < F.lit(INF_REV)))
            .withColumn("ord", F.sum(F.col("is_start").cast("long")).over(run)))
+    # read three times below (versions and both ends of every child run)
+    bnd = bnd.persist(StorageLevel.MEMORY_AND_DISK)
     versions = bnd.where("is_start").select(
         "origin", "path", "ord", F.col("rev").alias("from_rev"),
         F.coalesce("next_rev", F.lit(INF_REV).cast("long")).alias("to_rev"))
@@ -75,9 +80,10 @@ def dir_versions(kids: DataFrame, lifetimes: DataFrame) -> DataFrame:
                                 tree_entry_hex(F.col("perms"), F.col("name"), F.col("target"))
                                 .alias("entry_hex")).alias("e")))
     listed = covered.groupBy("origin", "path", "ord").agg(F.collect_list("e").alias("entries"))
-    return (versions.join(listed, ["origin", "path", "ord"], "left")
-            .select("origin", "path", "from_rev", "to_rev",
-                    sorted_entries_tree_id(F.col("entries")).alias("tree_id")))
+    out = (versions.join(listed, ["origin", "path", "ord"], "left")
+           .select("origin", "path", "from_rev", "to_rev",
+                   sorted_entries_tree_id(F.col("entries")).alias("tree_id")))
+    return out, bnd
 
 
 def build_trees(iv: Intervals, origins: DataFrame, max_depth: int | None = None
@@ -102,11 +108,11 @@ def build_trees(iv: Intervals, origins: DataFrame, max_depth: int | None = None
             kids = kids.unionByName(child_dirs)
         lives = root_life if d == 0 else lifetimes.where(F.col("depth") == d).select(
             "origin", "path", "from_rev", "to_rev", "depth")
-        dv = dir_versions(kids, lives.select("origin", "path", "from_rev", "to_rev")) \
-            .withColumn("depth", F.lit(d))
+        dv, bnd = dir_versions(kids, lives.select("origin", "path", "from_rev", "to_rev"))
         # each level is read twice (as output and as the next level's
         # children): materialise it and cut the lineage
-        dv = cut_lineage(dv)
+        dv = cut_lineage(dv.withColumn("depth", F.lit(d)))
+        bnd.unpersist()
         all_dirs = dv if all_dirs is None else all_dirs.unionByName(dv)
         child_dirs = dv.select(
             "origin",

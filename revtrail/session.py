@@ -42,10 +42,22 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
 def configure(spark: SparkSession) -> SparkSession:
     """Settings every job needs regardless of who built the session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package()
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def ship_package() -> None:
+    """Pickle this package's functions by value, so Python workers run the
+    Arrow UDFs without the package being installed on the executors."""
+    import revtrail
+    from pyspark import cloudpickle
+    try:
+        cloudpickle.register_pickle_by_value(revtrail)
+    except ValueError:  # already registered
+        pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only when it is
     unset (local tests) fall back to a fresh scratch folder."""
