@@ -95,7 +95,7 @@ def build_intervals(changes: DataFrame) -> Intervals:
     versions = cut_lineage(versions)
     files = _with_path_parts(
         versions.where(F.col("kind") == "file")
-        .select("origin", "path", "blob_id", "length", "from_rev", "to_rev"))
+        .select("origin", "path", "blob_id", "length", "from_rev", "to_rev", "continues"))
     dv = versions.where(F.col("kind") == "dir").select("origin", "path", "from_rev", "to_rev",
                                                         "continues")
     lw = Window.partitionBy("origin", "path").orderBy("from_rev")
@@ -109,3 +109,14 @@ def build_intervals(changes: DataFrame) -> Intervals:
 
 def alive_at(df: DataFrame, rev_col) -> DataFrame:
     return df.where((F.col("from_rev") <= rev_col) & (rev_col < F.col("to_rev")))
+
+
+def lifetimes(versions: DataFrame) -> DataFrame:
+    """Merge consecutive versions of a path that follow each other without
+    a delete in between: (origin, path, life_from, life_to)."""
+    lw = Window.partitionBy("origin", "path").orderBy("from_rev")
+    v = (versions.withColumn("born", ~F.coalesce(F.lag("continues").over(lw), F.lit(False)))
+         .withColumn("life", F.sum(F.col("born").cast("int")).over(
+             lw.rowsBetween(Window.unboundedPreceding, 0))))
+    return v.groupBy("origin", "path", "life").agg(
+        F.min("from_rev").alias("life_from"), F.max("to_rev").alias("life_to")).drop("life")

@@ -771,3 +771,57 @@ def q_root_directory(spark, sf):
                           F.when(F.col("page_id") % 2 == 0, F.lit("/")).otherwise(F.lit("")))
     root = F.concat(url_scheme(F.col("url")), F.lit("://"), url_netloc(F.col("url")))
     return p.select("page_id", root_directory(origin_url, root).alias("root_directory"))
+
+
+# ------------------------------------------------------------- properties
+
+def _prop_state(spark, sf):
+    from revtrail.operators.props import prop_state
+
+    def build():
+        res = jobs.events_load(spark, sf)
+        return prop_state(adapters.events_properties(spark, sf), res.intervals.files).cache()
+    return jobs.memo(spark, sf, "prop_state", build)
+
+
+@register("prop_state")
+def q_prop_state(spark, sf):
+    """Value intervals of every property within its node's lifetime."""
+    s = _prop_state(spark, sf)
+    return s.select("origin", "path", "name", "value", "from_rev",
+                    _open_end(F.col("to_rev")).alias("to_rev"))
+
+
+@register("propget")
+def q_propget(spark, sf):
+    """``svn:eol-style`` of every path that has it at each origin's head."""
+    from revtrail.operators.props import props_at
+    res = jobs.events_load(spark, sf)
+    at = _heads(res).select("origin", F.col("head").alias("at_rev"))
+    return props_at(_prop_state(spark, sf), at).where(F.col("name") == "svn:eol-style") \
+        .select("origin", "path", "value")
+
+
+@register("apply_executable")
+def q_apply_executable(spark, sf):
+    """Export modes at head: executable files get 100755."""
+    from revtrail.operators.props import props_at
+    from revtrail.plans.export import file_perms
+    res = jobs.events_load(spark, sf)
+    at = _heads(res).select("origin", F.col("head").alias("at_rev"))
+    files = res.intervals.files.join(at, "origin").where(
+        (F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
+    ex = props_at(_prop_state(spark, sf), at).where(F.col("name") == "svn:executable") \
+        .select("origin", "path", F.lit(True).alias("executable"))
+    return files.join(ex, ["origin", "path"], "left").select(
+        "origin", "path", file_perms(F.lit(False), F.col("executable")).alias("perms"))
+
+
+@register("decode_props")
+def q_decode_props(spark, sf):
+    """Property values read as bytes: undecodable ones become empty."""
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    raw = F.when(F.col("doc_id") % 3 == 0, F.concat(F.unhex(F.lit("FF")), F.encode("text", "UTF-8"))) \
+        .otherwise(F.encode("text", "UTF-8"))
+    txt = F.coalesce(F.try_validate_utf8(raw.cast("string")), F.lit(""))
+    return d.select("doc_id", F.length(txt).cast("long").alias("value_chars"))

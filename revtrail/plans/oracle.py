@@ -672,3 +672,55 @@ ORACLE_SQL["root_directory"] = """
 SELECT page_id, regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '^/+|/+$', '', 'g') AS root_directory
 FROM pages
 """
+
+E_PROPS = f"""
+{E_BASE},
+pe AS (
+  SELECT origin, rev, dname || '/' || fname AS path,
+         CASE WHEN event_type = 'click' THEN 'svn:eol-style' WHEN event_type = 'purchase' THEN 'svn:executable'
+              WHEN event_type = 'view' AND CAST(substr(fname, 2) AS INTEGER) % 3 = 0 THEN 'svn:executable' END AS name,
+         CASE WHEN event_type = 'click' THEN ['native', 'LF', 'CRLF', 'CR', 'bogus'][CAST(substr(fname, 2) AS INTEGER) % 5 + 1]
+              WHEN event_type = 'purchase' THEN '*' END AS value
+  FROM ch),
+files AS (SELECT DISTINCT origin, dname, dname || '/' || fname AS path FROM ch WHERE op <> 'deldir'),
+kills AS (SELECT origin, dname || '/' || fname AS path, rev FROM ch WHERE op = 'delfile'
+          UNION ALL
+          SELECT c.origin, f.path, c.rev FROM ch c JOIN files f ON f.origin = c.origin AND f.dname = c.dname
+          WHERE c.op = 'deldir'),
+putsp AS (SELECT origin, dname || '/' || fname AS path, rev FROM ch WHERE op = 'put'),
+pe2 AS (
+  SELECT pe.*,
+    (SELECT min(p.rev) FROM putsp p WHERE p.origin = pe.origin AND p.path = pe.path AND p.rev <= pe.rev
+       AND p.rev > coalesce((SELECT max(k.rev) FROM kills k WHERE k.origin = pe.origin AND k.path = pe.path
+                             AND k.rev < pe.rev), 0)) AS life_from,
+    (SELECT min(k.rev) FROM kills k WHERE k.origin = pe.origin AND k.path = pe.path AND k.rev > pe.rev) AS life_to
+  FROM pe WHERE name IS NOT NULL),
+pst AS (
+  SELECT * FROM (
+    SELECT origin, path, name, value, rev AS from_rev,
+           coalesce(lead(rev) OVER (PARTITION BY origin, path, life_from, name ORDER BY rev), life_to) AS to_rev
+    FROM pe2) WHERE value IS NOT NULL),
+head AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin)
+"""
+
+ORACLE_SQL["prop_state"] = f"WITH {E_PROPS} SELECT origin, path, name, value, from_rev, to_rev FROM pst"
+
+ORACLE_SQL["propget"] = f"""
+WITH {E_PROPS}
+SELECT p.origin, p.path, p.value FROM pst p JOIN head h ON h.origin = p.origin
+WHERE p.name = 'svn:eol-style' AND p.from_rev <= h.head AND (p.to_rev IS NULL OR h.head < p.to_rev)
+"""
+
+ORACLE_SQL["apply_executable"] = f"""
+WITH {E_PROPS},
+ex AS (SELECT DISTINCT p.origin, p.path FROM pst p JOIN head h ON h.origin = p.origin
+       WHERE p.name = 'svn:executable' AND p.from_rev <= h.head AND (p.to_rev IS NULL OR h.head < p.to_rev))
+SELECT f.origin, f.dname || '/' || f.fname AS path,
+       CASE WHEN ex.path IS NOT NULL THEN 33261 ELSE 33188 END AS perms
+FROM falive f JOIN head h ON h.origin = f.origin AND f.at_rev = h.head
+LEFT JOIN ex ON ex.origin = f.origin AND ex.path = f.dname || '/' || f.fname
+"""
+
+ORACLE_SQL["decode_props"] = """
+SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN 0 ELSE length(text) END AS BIGINT) AS value_chars FROM documents
+"""

@@ -185,3 +185,25 @@ def orders_changelog(spark: SparkSession, sf_dir: str) -> ChangeLog:
         "origin", uuid_of(F.col("origin")).alias("uuid"),
         F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url"))
     return ChangeLog(origins, commits, puts.unionByName(copies))
+
+
+# Eol styles cycled through by the property adapter.
+EOL_STYLES = ["native", "LF", "CRLF", "CR", "bogus"]
+
+
+def events_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Property events on the files of adapter E: ``click`` sets
+    ``svn:eol-style`` (cycling through EOL_STYLES by k), ``purchase`` sets
+    ``svn:executable``, ``view`` with k % 3 = 0 unsets it."""
+    ev = events_base(spark, sf_dir)
+    dir_path = F.concat(F.lit("d"), F.floor(F.col("k") / 10).cast("string"))
+    file_path = F.concat(dir_path, F.lit("/f"), F.col("k").cast("string"))
+    styles = F.array(*[F.lit(s) for s in EOL_STYLES])
+    t = F.col("event_type")
+    name = (F.when(t == "click", F.lit("svn:eol-style"))
+            .when(t == "purchase", F.lit("svn:executable"))
+            .when((t == "view") & (F.col("k") % 3 == 0), F.lit("svn:executable")))
+    value = (F.when(t == "click", F.element_at(styles, (F.col("k") % 5 + 1).cast("int")))
+             .when(t == "purchase", F.lit("*")))
+    return ev.select("origin", "rev", file_path.alias("path"), name.alias("name"),
+                     value.alias("value")).where(F.col("name").isNotNull())
