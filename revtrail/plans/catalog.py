@@ -825,3 +825,153 @@ def q_decode_props(spark, sf):
         .otherwise(F.encode("text", "UTF-8"))
     txt = F.coalesce(F.try_validate_utf8(raw.cast("string")), F.lit(""))
     return d.select("doc_id", F.length(txt).cast("long").alias("value_chars"))
+
+
+# -------------------------------------------------------------- externals
+
+def _ext(spark, sf):
+    return jobs.externals(spark, sf)
+
+
+@register("externals_lines")
+def q_externals_lines(spark, sf):
+    """Usable lines of every svn:externals value, per value interval."""
+    d = _ext(spark, sf)["defs"]
+    return d.select("origin", "dir", "from_rev", "line_no", "line")
+
+
+@register("classify_external")
+def q_classify_external(spark, sf):
+    s = _ext(spark, sf)["status"]
+    return s.select("origin", "dir", "from_rev", "line_no", "status")
+
+
+@register("resolve_externals")
+def q_resolve_externals(spark, sf):
+    """Target repository (longest url prefix), sub path and revision of each
+    usable definition."""
+    x = _ext(spark, sf)
+    d = x["defs"].where(~F.col("void") & ~F.col("recursive"))
+    res = jobs.events_load(spark, sf)
+    dates = res.log.commits.select("origin", F.col("rev").alias("from_rev"), F.col("date").alias("host_date"))
+    r = x["resolved"].select("url", "rev_k", "peg_k", "host_date", "target_origin", "sub_path", "target_rev")
+    d = d.join(dates, ["origin", "from_rev"]).withColumn("rev_k", F.coalesce("revision", F.lit(-1))) \
+        .withColumn("peg_k", F.coalesce("peg_revision", F.lit(-1)))
+    return d.join(r, ["url", "rev_k", "peg_k", "host_date"], "left").select(
+        "origin", "dir", "from_rev", "line_no", "target_origin", "sub_path", "target_rev")
+
+
+@register("external_rank")
+def q_external_rank(spark, sf):
+    d = _ext(spark, sf)["defs"].where(F.col("error").isNull())
+    return d.select("origin", "dir", "from_rev", "line_no", "path", "rank")
+
+
+@register("dedupe_externals")
+def q_dedupe_externals(spark, sf):
+    """Definitions in force over all intervals vs distinct ones resolved."""
+    x = _ext(spark, sf)
+    n = x["defs"].where(~F.col("void") & ~F.col("recursive")).agg(F.count(F.lit(1)).alias("n_definitions"))
+    m = x["resolved"].agg(F.count(F.lit(1)).alias("n_distinct"))
+    return n.join(m, how="inner")
+
+
+def _defs_at_head(spark, sf):
+    res = jobs.events_load(spark, sf)
+    at = _heads(res).select("origin", F.col("head").alias("at_rev"))
+    s = _ext(spark, sf)["status"].join(at, "origin").where(
+        (F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
+    return s.withColumn("dest", F.concat_ws("/", "dir", "path")), at
+
+
+@register("externals_flags")
+def q_externals_flags(spark, sf):
+    """Per origin at head: any valid relative definition, any recursive one."""
+    s, at = _defs_at_head(spark, sf)
+    f = s.groupBy("origin").agg(
+        F.bool_or((F.col("status") == "valid") & F.coalesce("relative_url", F.lit(False))).alias("has_relative"),
+        F.bool_or(F.col("status") == "recursive").alias("has_recursive"))
+    return at.select("origin").join(f, "origin", "left").select(
+        "origin", F.coalesce("has_relative", F.lit(False)).alias("has_relative"),
+        F.coalesce("has_recursive", F.lit(False)).alias("has_recursive"))
+
+
+@register("externals_removed")
+def q_externals_removed(spark, sf):
+    """Definitions dropped when a value ends: in the interval ending at r but
+    not in the one starting at r (same directory)."""
+    d = _ext(spark, sf)["defs"].where(F.col("error").isNull())
+    key = ["path", "url", "rev_k", "peg_k"]
+    d = d.withColumn("rev_k", F.coalesce("revision", F.lit(-1))).withColumn(
+        "peg_k", F.coalesce("peg_revision", F.lit(-1)))
+    prev = d.where(F.col("to_rev") < F.lit(INF_REV)).select("origin", "dir", F.col("to_rev").alias("rev"), *key)
+    cur = d.select("origin", "dir", F.col("from_rev").alias("rev"), *key)
+    return prev.join(cur, ["origin", "dir", "rev", *key], "left_anti").select(
+        "origin", "dir", "rev", "path", "url").distinct()
+
+
+def _overlay(spark, sf):
+    from revtrail.operators.externals import overlay_at
+
+    def build():
+        res = jobs.events_load(spark, sf)
+        s, at = _defs_at_head(spark, sf)
+        g = _ext(spark, sf)["grafted"].join(at, "origin").where(
+            (F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
+        versioned = _listing_at(res, at)
+        from revtrail.session import cut_lineage
+        return cut_lineage(overlay_at(versioned, g.select("origin", "path", "kind", "id"),
+                                      s.select("origin", "dest", "rank", "status")))
+    return jobs.memo(spark, sf, "overlay", build)
+
+
+@register("overlay_externals")
+def q_overlay_externals(spark, sf):
+    """Listing at head with externals applied (ids of files; directories
+    are re-hashed by ``externals_tree``)."""
+    o = _overlay(spark, sf)
+    return o.select("origin", "path", "kind", F.when(F.col("kind") == "file", F.col("id")).alias("id"))
+
+
+@register("external_paths")
+def q_external_paths(spark, sf):
+    """Paths owned by externals at head: grafted nodes and destination prefixes."""
+    s, at = _defs_at_head(spark, sf)
+    g = _ext(spark, sf)["grafted"].join(at, "origin").where(
+        (F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
+    pre = s.where(F.col("status").isin("valid", "dead")).select(
+        "origin", F.explode(ancestors(F.col("dest"), include_self=True)).alias("path"))
+    return g.select("origin", "path").unionByName(pre).distinct()
+
+
+@register("external_owner")
+def q_external_owner(spark, sf):
+    """Versioned paths at head hidden by an external."""
+    res = jobs.events_load(spark, sf)
+    _, at = _defs_at_head(spark, sf)
+    versioned = _listing_at(res, at).select("origin", "path", "id")
+    o = _overlay(spark, sf).select("origin", "path", F.col("id").alias("oid"), "kind")
+    j = versioned.join(o, ["origin", "path"], "left")
+    return j.where(F.col("kind").isNull() | (F.col("kind") == "file") & ~F.col("id").eqNullSafe(F.col("oid"))) \
+        .select("origin", "path")
+
+
+@register("externals_tree")
+def q_externals_tree(spark, sf):
+    """Root tree id at head with externals applied (tested against a
+    sequential replay; no SQL oracle)."""
+    from revtrail.operators.intervals import Intervals
+    from revtrail.operators.trees import build_trees
+    from revtrail.functions import paths as PP
+    res = jobs.events_load(spark, sf)
+    _, at = _defs_at_head(spark, sf)
+    o = _overlay(spark, sf).join(at, "origin")
+    span = [F.col("at_rev").alias("from_rev"), (F.col("at_rev") + 1).alias("to_rev")]
+    parts = [PP.parent(F.col("path")).alias("parent"), PP.basename(F.col("path")).alias("name"),
+             PP.depth(F.col("path")).alias("depth")]
+    files = o.where(F.col("kind") == "file").select("origin", "path", *parts, F.col("id").alias("blob_id"),
+                                                    F.lit(None).cast("long").alias("length"), *span)
+    dirs = o.where(F.col("kind") == "dir").select("origin", "path", *parts, *span)
+    trees = build_trees(Intervals(files, dirs), res.log.origins)
+    return trees.root.join(at, "origin").where(F.col("from_rev") == F.col("at_rev")).select(
+        "origin", F.col("at_rev").alias("rev"), "tree_id")

@@ -88,3 +88,21 @@ def history_check(spark: SparkSession, sf_dir: str):
 def orders_load(spark: SparkSession, sf_dir: str) -> LoadResult:
     return memo(spark, sf_dir, "orders_load",
                 lambda: load(adapters.orders_changelog(spark, sf_dir), max_depth=4))
+
+
+def externals(spark: SparkSession, sf_dir: str) -> dict:
+    """Externals of the event log: definitions, resolution and grafts."""
+    from revtrail.operators import externals as X
+    from revtrail.sources.adapters import events_externals
+
+    def build():
+        res = events_load(spark, sf_dir)
+        iv = res.intervals
+        ints = X.external_intervals(events_externals(spark, sf_dir), iv.dirs)
+        from revtrail.session import cut_lineage
+        defs = cut_lineage(X.definitions(ints, res.log.origins))
+        resolved = cut_lineage(X.resolve(defs, res.log.origins, res.log.commits))
+        grafted = cut_lineage(X.graft(defs, resolved, res.log.commits, iv.files, iv.dirs))
+        status = cut_lineage(X.classify(defs, grafted))
+        return {"defs": defs, "resolved": resolved, "grafted": grafted, "status": status}
+    return memo(spark, sf_dir, "externals", build)

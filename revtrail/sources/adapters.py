@@ -207,3 +207,24 @@ def events_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(t == "purchase", F.lit("*")))
     return ev.select("origin", "rev", file_path.alias("path"), name.alias("name"),
                      value.alias("value")).where(F.col("name").isNotNull())
+
+
+def events_externals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``svn:externals`` events on the directories of adapter E: a ``view``
+    with k % 10 = 7 sets, on ``d<k div 10>``, a legacy line grafting
+    directory ``d<(k div 10 + 1) % 10>`` of the next user's repository
+    (floating), plus for even event ids a modern line pinned at revision 3
+    of the user after; a ``view`` with k % 10 = 8 unsets it."""
+    ev = events_base(spark, sf_dir)
+    j = F.floor(F.col("k") / 10)
+    uid = F.col("user_id")
+    line1 = F.concat(F.lit("ext/lib file:///repos/u"), (uid + 1).cast("string"), F.lit("/d"),
+                     ((j + 1) % 10).cast("string"))
+    line2 = F.concat(F.lit("-r3 file:///repos/u"), (uid + 2).cast("string"), F.lit("/d0 pinned"))
+    value = F.when(F.col("event_id") % 2 == 0, F.concat_ws("\n", line1, F.lit("# pinned copy"), line2)) \
+        .otherwise(line1)
+    is_set = (F.col("event_type") == "view") & (F.col("k") % 10 == 7)
+    is_unset = (F.col("event_type") == "view") & (F.col("k") % 10 == 8)
+    return ev.where(is_set | is_unset).select(
+        "origin", "rev", F.concat(F.lit("d"), j.cast("string")).alias("path"),
+        F.lit("svn:externals").alias("name"), F.when(is_set, value).alias("value"))

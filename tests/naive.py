@@ -124,3 +124,82 @@ def nested_tree_id(files: dict[str, str]) -> str:
                 entries[name] = (0o100644, v, False)
         return tree_id(entries)
     return rec(tree)
+
+
+def replay_events_with_externals(pdf):
+    """Head trees of adapter E with the externals of the property adapter
+    applied: {origin: tree id at head}."""
+    users = set(int(u) for u in pdf.user_id.unique())
+    hist = {}      # origin -> list of (rev, ts, dirs snapshot)
+    props = {}     # origin -> {dir: (value, set_ts)} at head
+    for user, g in pdf.sort_values(["user_id", "ts", "event_id"]).groupby("user_id"):
+        dirs: dict[str, dict[str, str]] = {}
+        ext: dict[str, tuple] = {}
+        snaps = []
+        for rev, r in enumerate(g.itertuples(index=False), start=1):
+            k = json.loads(r.props)["k"]
+            d, f = f"d{k // 10}", f"f{k}"
+            if r.event_type == "error":
+                if d in dirs:
+                    dirs[d].pop(f, None)
+            elif r.event_type == "signup" and k % 10 == 0:
+                dirs.pop(d, None)
+                ext.pop(d, None)
+            else:
+                dirs.setdefault(d, {})[f] = git_id(b"blob", f"{r.event_type} {r.event_id}".encode())
+                if r.event_type == "view" and k % 10 == 7:
+                    ext[d] = (int(user), r.event_id, r.ts)
+                elif r.event_type == "view" and k % 10 == 8:
+                    ext.pop(d, None)
+            snaps.append((rev, r.ts, {dn: dict(fs) for dn, fs in dirs.items()}))
+        hist[int(user)] = snaps
+        props[int(user)] = ext
+
+    def target_state(uid, rev=None, at_ts=None):
+        if uid not in users:
+            return None
+        snaps = hist[uid]
+        if at_ts is not None:
+            ok = [s for s in snaps if s[1] <= at_ts]
+            return ok[-1][2] if ok else None
+        return snaps[rev - 1][2] if 1 <= rev <= len(snaps) else None
+
+    out = {}
+    for uid, snaps in hist.items():
+        files = {f"{dn}/{fn}": b for dn, fs in snaps[-1][2].items() for fn, b in fs.items()}
+        empty_dirs = set(snaps[-1][2])
+        for dname, (u, event_id, ts) in props[uid].items():
+            j = int(dname[1:])
+            lines = [("ext/lib", u + 1, f"d{(j + 1) % 10}", None)]
+            if event_id % 2 == 0:
+                lines.append(("pinned", u + 2, "d0", 3))
+            for dest, tuid, sub, pinned in lines:
+                st = target_state(tuid, rev=pinned) if pinned else target_state(tuid, at_ts=ts)
+                parts = f"{dname}/{dest}".split("/")
+                for i in range(1, len(parts)):
+                    empty_dirs.add("/".join(parts[:i]))
+                if st is not None and sub in st:
+                    empty_dirs.add(f"{dname}/{dest}")
+                    for fn, b in st[sub].items():
+                        files[f"{dname}/{dest}/{fn}"] = b
+        out[f"u{uid}"] = listing_tree_id(files, empty_dirs)
+    return out
+
+
+def listing_tree_id(files: dict[str, str], dirs: set[str]) -> str:
+    tree: dict = {}
+    for d in dirs:
+        node = tree
+        for p in d.split("/"):
+            node = node.setdefault(p, {})
+    for path, b in files.items():
+        parts = path.split("/")
+        node = tree
+        for p in parts[:-1]:
+            node = node.setdefault(p, {})
+        node[parts[-1]] = b
+
+    def rec(node) -> str:
+        return tree_id({name: ((0o40000, rec(v), True) if isinstance(v, dict) else (0o100644, v, False))
+                        for name, v in node.items()})
+    return rec(tree)

@@ -48,3 +48,10 @@ def test_second_visit_is_uneventful(spark):
     b = {r.origin: r.snapshot_id
          for r in load(events_changelog(spark, SF_SMALL), max_depth=2).snapshots.collect()}
     assert a == b
+
+
+def test_externals_tree_matches_sequential(spark):
+    from revtrail.plans.catalog import QUERIES
+    exp = naive.replay_events_with_externals(pd.read_parquet(f"{SF_SMALL}/events.parquet"))
+    got = {r.origin: r.tree_id for r in QUERIES["externals_tree"](spark, SF_SMALL).collect()}
+    assert got == exp
