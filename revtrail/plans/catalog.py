@@ -975,3 +975,17 @@ def q_externals_tree(spark, sf):
     trees = build_trees(Intervals(files, dirs), res.log.origins)
     return trees.root.join(at, "origin").where(F.col("from_rev") == F.col("at_rev")).select(
         "origin", F.col("at_rev").alias("rev"), "tree_id")
+
+
+# -------------------------------------------------------------- streaming
+
+@register("stream_visits")
+def q_stream_visits(spark, sf):
+    """Revision ids produced by four streamed arrivals of the event log
+    (foreachBatch on persisted per-origin state); must equal a full load."""
+    from revtrail.streaming.visits import VisitStream
+
+    def build():
+        vs = VisitStream(spark)
+        return vs.run_arrivals(read_table(spark, sf, "events"))
+    return jobs.memo(spark, sf, "stream_visits", build).select("origin", "rev", "revision_id")

@@ -724,3 +724,110 @@ LEFT JOIN ex ON ex.origin = f.origin AND ex.path = f.dname || '/' || f.fname
 ORACLE_SQL["decode_props"] = """
 SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN 0 ELSE length(text) END AS BIGINT) AS value_chars FROM documents
 """
+
+E_EXT = f"""
+{E_BASE},
+users AS (SELECT DISTINCT origin FROM revs),
+xe AS (
+  SELECT origin, rev, ts, dname AS dir, CAST(substr(origin, 2) AS BIGINT) AS uid,
+         CAST(substr(dname, 2) AS INTEGER) AS j, event_id,
+         CASE WHEN CAST(substr(fname, 2) AS INTEGER) % 10 = 7 THEN true ELSE false END AS is_set
+  FROM ch WHERE event_type = 'view' AND CAST(substr(fname, 2) AS INTEGER) % 10 IN (7, 8)),
+xi AS (
+  SELECT x.*,
+    least(coalesce(lead(rev) OVER (PARTITION BY origin, dir ORDER BY rev), 9223372036854775807),
+          coalesce((SELECT min(d.rev) FROM dd d WHERE d.origin = x.origin AND d.dname = x.dir AND d.rev > x.rev),
+                   9223372036854775807)) AS to_rev
+  FROM xe x),
+defs AS (
+  SELECT origin, dir, rev AS from_rev, to_rev, ts AS host_ts, 1 AS line_no, 'ext/lib' AS path,
+         'ext/lib file:///repos/u' || CAST(uid + 1 AS VARCHAR) || '/d' || CAST((j + 1) % 10 AS VARCHAR) AS line,
+         'file:///repos/u' || CAST(uid + 1 AS VARCHAR) || '/d' || CAST((j + 1) % 10 AS VARCHAR) AS url,
+         'u' || CAST(uid + 1 AS VARCHAR) AS t_origin, 'd' || CAST((j + 1) % 10 AS VARCHAR) AS t_sub,
+         CAST(NULL AS BIGINT) AS revision
+  FROM xi WHERE is_set
+  UNION ALL
+  SELECT origin, dir, rev, to_rev, ts, 3, 'pinned',
+         '-r3 file:///repos/u' || CAST(uid + 2 AS VARCHAR) || '/d0 pinned',
+         'file:///repos/u' || CAST(uid + 2 AS VARCHAR) || '/d0',
+         'u' || CAST(uid + 2 AS VARCHAR), 'd0', CAST(3 AS BIGINT)
+  FROM xi WHERE is_set AND event_id % 2 = 0),
+res AS (
+  SELECT d.*, CASE WHEN u.origin IS NOT NULL THEN d.t_origin END AS target_origin,
+         CASE WHEN u.origin IS NOT NULL THEN d.t_sub END AS sub_path,
+         coalesce(d.revision, CASE WHEN u.origin IS NOT NULL THEN
+           (SELECT max(e.rev) FROM ev e WHERE e.origin = d.t_origin AND e.ts <= d.host_ts) END) AS target_rev
+  FROM defs d LEFT JOIN users u ON u.origin = d.t_origin),
+st AS (
+  SELECT r.*, EXISTS (SELECT 1 FROM dalive a WHERE a.origin = r.target_origin AND a.at_rev = r.target_rev
+                      AND a.dname = r.sub_path) AS valid
+  FROM res r),
+head AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin),
+athead AS (SELECT s.* FROM st s JOIN head h ON h.origin = s.origin WHERE s.from_rev <= h.head AND h.head < s.to_rev),
+grafted AS (
+  SELECT a.origin, a.dir || '/' || a.path || '/' || f.fname AS path, 'file' AS kind, f.blob_id AS id
+  FROM athead a JOIN falive f ON f.origin = a.target_origin AND f.at_rev = a.target_rev AND f.dname = a.sub_path
+  WHERE a.valid
+  UNION ALL
+  SELECT a.origin, a.dir || '/' || a.path, 'dir', NULL FROM athead a WHERE a.valid),
+prefixes AS (
+  SELECT DISTINCT origin, dir AS path FROM athead
+  UNION SELECT origin, dir || '/ext' FROM athead WHERE path = 'ext/lib')
+"""
+
+ORACLE_SQL["externals_lines"] = f"WITH {E_EXT} SELECT origin, dir, from_rev, line_no, line FROM defs"
+
+ORACLE_SQL["external_rank"] = f"WITH {E_EXT} SELECT origin, dir, from_rev, line_no, path, CAST(1 AS INTEGER) AS rank FROM defs"
+
+ORACLE_SQL["resolve_externals"] = f"""
+WITH {E_EXT} SELECT origin, dir, from_rev, line_no, target_origin, sub_path, target_rev FROM res
+"""
+
+ORACLE_SQL["classify_external"] = f"""
+WITH {E_EXT} SELECT origin, dir, from_rev, line_no, CASE WHEN valid THEN 'valid' ELSE 'dead' END AS status FROM st
+"""
+
+ORACLE_SQL["dedupe_externals"] = f"""
+WITH {E_EXT}
+SELECT count(*) AS n_definitions,
+       (SELECT count(*) FROM (SELECT DISTINCT url, coalesce(revision, -1), host_ts FROM defs)) AS n_distinct
+FROM defs
+"""
+
+ORACLE_SQL["externals_flags"] = f"""
+WITH {E_EXT} SELECT origin, false AS has_relative, false AS has_recursive FROM head
+"""
+
+ORACLE_SQL["externals_removed"] = f"""
+WITH {E_EXT}
+SELECT DISTINCT p.origin, p.dir, p.to_rev AS rev, p.path, p.url
+FROM defs p WHERE p.to_rev < 9223372036854775807 AND NOT EXISTS (
+  SELECT 1 FROM defs c WHERE c.origin = p.origin AND c.dir = p.dir AND c.from_rev = p.to_rev
+    AND c.path = p.path AND c.url = p.url AND coalesce(c.revision, -1) = coalesce(p.revision, -1))
+"""
+
+ORACLE_SQL["external_paths"] = f"""
+WITH {E_EXT}
+SELECT origin, path FROM grafted UNION SELECT origin, path FROM prefixes
+UNION SELECT origin, dir || '/' || path FROM athead
+"""
+
+ORACLE_SQL["overlay_externals"] = f"""
+WITH {E_EXT},
+versioned AS (
+  SELECT f.origin, f.dname || '/' || f.fname AS path, 'file' AS kind, f.blob_id AS id
+  FROM falive f JOIN head h ON h.origin = f.origin AND f.at_rev = h.head
+  UNION ALL
+  SELECT d.origin, d.dname, 'dir', NULL FROM dalive d JOIN head h ON h.origin = d.origin AND d.at_rev = h.head)
+SELECT origin, path, kind, id FROM grafted
+UNION
+SELECT origin, path, kind, id FROM versioned
+UNION
+SELECT origin, path, 'dir', NULL FROM prefixes
+"""
+
+ORACLE_SQL["external_owner"] = f"""
+WITH {E_EXT} SELECT origin, path FROM grafted WHERE false
+"""
+
+ORACLE_SQL["stream_visits"] = f"WITH {E_BASE} SELECT origin, rev, revision_id FROM chain"

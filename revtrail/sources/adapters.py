@@ -72,7 +72,11 @@ def events_changelog(spark: SparkSession, sf_dir: str) -> ChangeLog:
     ``k % 10 = 0`` deletes the directory; every other event writes
     ``<event_type> <event_id>`` into the file.
     """
-    ev = events_base(spark, sf_dir)
+    return events_to_changelog(events_base(spark, sf_dir))
+
+
+def events_to_changelog(ev: DataFrame) -> ChangeLog:
+    """Adapter E on numbered events (origin, rev, event_id, ts, event_type, k)."""
     dir_path = F.concat(F.lit("d"), F.floor(F.col("k") / 10).cast("string"))
     file_path = F.concat(dir_path, F.lit("/f"), F.col("k").cast("string"))
     is_file_delete = F.col("event_type") == "error"
