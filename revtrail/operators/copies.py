@@ -51,12 +51,28 @@ def _chained(copies: DataFrame) -> bool:
     return src_anc.join(dst, ["origin", "anc"], "left_semi").limit(1).count() > 0
 
 
+def _top(path):
+    return F.element_at(F.split(path, "/"), 1)
+
+
+def _merge(base: Intervals, rebuilt: Intervals, tops: DataFrame) -> Intervals:
+    """Intervals of ``base`` outside the rebuilt top-level subtrees, plus the
+    rebuilt ones."""
+    def pick(a: DataFrame, b: DataFrame) -> DataFrame:
+        keep = a.withColumn("_top", _top(F.col("path"))).join(tops, ["origin", "_top"], "left_anti") \
+            .drop("_top")
+        return keep.unionByName(b)
+    return Intervals(pick(base.files, rebuilt.files), pick(base.dirs, rebuilt.dirs))
+
+
 def expand_copies(changes: DataFrame, max_rounds: int = 64) -> tuple[DataFrame, Intervals]:
     """Changes with every copy expanded into put rows, and their intervals.
 
     When no copy source lies under a copy destination one round is exact;
     otherwise rounds repeat (copy-of-copy) until the expanded rows stop
-    changing.
+    changing.  Expanded rows only land below copy destinations, so only
+    the top-level subtrees holding a destination are rebuilt; the intervals
+    of every other path come from the first build unchanged.
     """
     copies = copy_rows(changes).cache()
     plain = changes.where(F.col("copyfrom_rev") == -1)
@@ -70,14 +86,18 @@ def expand_copies(changes: DataFrame, max_rounds: int = 64) -> tuple[DataFrame,
                           F.lit(None).cast("string").alias("blob_id"),
                           F.lit(None).cast("long").alias("length"))
     plain = plain.unionByName(clear)
-    iv = build_intervals(plain)
+    base = build_intervals(plain)
+    tops = copies.select("origin", _top(F.col("dst")).alias("_top")).distinct().cache()
+    affected = plain.withColumn("_top", _top(F.col("path"))) \
+        .join(tops, ["origin", "_top"], "left_semi").drop("_top")
+    iv = base
     rounds = max_rounds if _chained(copies) else 1
     expanded = None
     prev_n = -1
     for _ in range(rounds):
         expanded = expand_once(copies, iv).cache()
         n = expanded.count()
-        iv = build_intervals(plain.unionByName(expanded))
+        iv = _merge(base, build_intervals(affected.unionByName(expanded)), tops)
         if n == prev_n:
             break
         prev_n = n

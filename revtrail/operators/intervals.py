@@ -13,14 +13,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revtrail.functions import paths as P
 from revtrail.functions.hashing import INF_REV
+from revtrail.operators.ordinals import next_matching
 from revtrail.session import cut_lineage
 
 SEQ_PUT = 2
+REV_BUCKET = 4096  # revisions per block of the skew-split windows
+
+
+def _rev_bucket(c):
+    return F.floor(c / REV_BUCKET)
 
 
 @dataclass
@@ -42,7 +49,7 @@ def node_events(changes: DataFrame) -> DataFrame:
     implied = puts.select(
         "origin", "rev", "seq", F.explode(P.ancestors(F.col("path"))).alias("path"),
         F.lit("dir").alias("kind"), F.lit(None).cast("string").alias("blob_id"),
-        F.lit(None).cast("long").alias("length"))
+        F.lit(None).cast("long").alias("length")).distinct()
     dels = changes.where(F.col("action") == "delete").select(
         "origin", "rev", "seq", "path", "kind", F.lit(None).cast("string").alias("blob_id"),
         F.lit(None).cast("long").alias("length"))
@@ -65,21 +72,29 @@ def ancestor_deaths(versions: DataFrame, deletes: DataFrame) -> DataFrame:
          .unionByName(deletes.select("origin", F.col("path").alias("anc"), F.col("rev").alias("t"),
                                      F.col("seq").alias("s"), F.lit(None).cast("string").alias("path"),
                                      F.col("rev").alias("del_rev"))))
-    # descending order: the rows before a probe are the events after it
-    w = (Window.partitionBy("origin", "anc").orderBy(F.col("t").desc(), F.col("s").desc())
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return (u.withColumn("next_del", F.last("del_rev", ignorenulls=True).over(w))
-            .where(F.col("path").isNotNull())
-            .groupBy("origin", "path", F.col("t").alias("from_rev"))
-            .agg(F.min("next_del").alias("anc_death")))
+    u = u.persist(StorageLevel.MEMORY_AND_DISK)  # read by the window and the bucket summaries
+    u = next_matching(u, ["origin", "anc"], "t", "s", _rev_bucket, F.col("path").isNull(),
+                      ["del_rev"], out="nd")
+    deaths = (u.where(F.col("path").isNotNull())
+              .groupBy("origin", "path", F.col("t").alias("from_rev"))
+              .agg(F.min(F.col("nd.del_rev")).alias("anc_death")))
+    return cut_lineage(deaths)
 
 
 def build_intervals(changes: DataFrame) -> Intervals:
+    # one row per (path, revision, order): implied parent puts repeat
+    # implied parent puts repeat within a revision; duplicates that remain
+    # (an explicit and an implied put of one directory) give zero-length
+    # versions, dropped below
     ev = node_events(changes)
-    w = Window.partitionBy("origin", "path").orderBy("rev", "seq")
-    ev = (ev.withColumn("next_rev", F.lead("rev").over(w))
-          .withColumn("next_is_put", F.lead("is_put").over(w)))
-    ev = cut_lineage(ev)
+    ev = ev.persist(StorageLevel.MEMORY_AND_DISK)  # read by the window and the bucket summaries
+    nx = next_matching(ev, ["origin", "path"], "rev", "seq", _rev_bucket, F.lit(True),
+                       ["rev", "is_put"], out="nx")
+    nx = nx.withColumn("next_rev", F.col("nx.rev")).withColumn("next_is_put", F.col("nx.is_put")) \
+        .drop("nx")
+    nx = cut_lineage(nx)
+    ev.unpersist()
+    ev = nx
     versions = ev.where("is_put").select(
         "origin", "path", "kind", "blob_id", "length", F.col("rev").alias("from_rev"),
         "next_rev", "next_is_put")

@@ -81,3 +81,36 @@ def asof_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t:
            .withColumn("_v", F.coalesce("_local", "_carry")))
     out_cols = [c for c in left.columns]
     return res.select(*out_cols, *[F.col("_v")[v].alias(v) for v in values])
+
+
+def next_matching(df: DataFrame, keys: Sequence[str], t: str, s: str, bucket_of,
+                  is_candidate: Column, values: Sequence[str], out: str = "next") -> DataFrame:
+    """For every row, the ``values`` (as struct ``out``) of the first
+    candidate row strictly after it in (t, s) order within ``keys``.
+
+    The row-level window runs per (keys, bucket); the first candidate of
+    every later bucket comes from a per-bucket summary stitched by a small
+    per-key window, so one hot key is spread over its buckets.
+    """
+    keys = list(keys)
+    packed = F.struct(*[F.col(v) for v in values])
+    d = df.withColumn("_bkt", bucket_of(F.col(t))).withColumn(
+        "_cand", F.when(is_candidate, packed))
+    w = (Window.partitionBy(*keys, "_bkt").orderBy(F.col(t).desc(), F.col(s).desc())
+         .rowsBetween(Window.unboundedPreceding, -1))
+    d = d.withColumn("_local", F.last("_cand", ignorenulls=True).over(w))
+    summary = (d.where(is_candidate).groupBy(*keys, "_bkt")
+               .agg(F.min_by(packed, F.struct(F.col(t), F.col(s))).alias("_first")))
+    rows_b = d.select(*keys, "_bkt").distinct().withColumn(
+        "_first", F.lit(None).cast(summary.schema["_first"].dataType))
+    # descending buckets: a row bucket sorts before the summary of its own
+    # bucket, so only strictly later buckets feed the carry
+    cw = (Window.partitionBy(*keys).orderBy(F.col("_bkt").desc(), F.col("_is_summary"))
+          .rowsBetween(Window.unboundedPreceding, -1))
+    carry = (summary.withColumn("_is_summary", F.lit(1))
+             .unionByName(rows_b.withColumn("_is_summary", F.lit(0)))
+             .withColumn("_carry", F.last("_first", ignorenulls=True).over(cw))
+             .where(F.col("_is_summary") == 0).select(*keys, "_bkt", "_carry"))
+    return (d.join(carry, [*keys, "_bkt"], "left")
+            .withColumn(out, F.coalesce("_local", "_carry"))
+            .drop("_bkt", "_cand", "_local", "_carry"))

@@ -989,3 +989,20 @@ def q_stream_visits(spark, sf):
         vs = VisitStream(spark)
         return vs.run_arrivals(read_table(spark, sf, "events"))
     return jobs.memo(spark, sf, "stream_visits", build).select("origin", "rev", "revision_id")
+
+
+@register("altered_reload")
+def q_altered_reload(spark, sf):
+    """Origins whose archived history was rewritten reload from revision 1,
+    but (as the reference does) the first reloaded revision keeps the old
+    archived head as its parent."""
+    from revtrail.operators.chain import revision_bodies, revision_chain
+    res = jobs.events_load(spark, sf)
+    hc = jobs.history_check(spark, sf).where(~F.col("unaltered"))
+    archived_head = (res.revisions.join(hc.select("origin", F.col("rev").alias("p")), "origin")
+                     .where(F.col("rev") == F.col("p"))
+                     .select("origin", F.sha1(F.concat(F.lit("tampered "), F.col("revision_id")))
+                             .alias("seed_parent")))
+    commits = res.log.commits.join(hc.select("origin"), "origin", "left_semi")
+    bodies = revision_bodies(commits, res.tree_at_rev, res.log.origins)
+    return revision_chain(bodies, archived_head).select("origin", "rev", "revision_id")

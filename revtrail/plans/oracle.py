@@ -831,3 +831,21 @@ WITH {E_EXT} SELECT origin, path FROM grafted WHERE false
 """
 
 ORACLE_SQL["stream_visits"] = f"WITH {E_BASE} SELECT origin, rev, revision_id FROM chain"
+
+ORACLE_SQL["altered_reload"] = f"""
+WITH {V_BASE},
+alt AS (SELECT h.origin, h.rev AS p FROM hc h WHERE NOT h.unaltered),
+seed AS (SELECT a.origin, sha1('tampered ' || c.revision_id) AS parent
+         FROM alt a JOIN chain c ON c.origin = a.origin AND c.rev = a.p),
+m2 AS (SELECT m.* FROM meta m JOIN alt a ON a.origin = m.origin),
+chain2 AS (
+  SELECT * FROM (
+    WITH RECURSIVE c(origin, rev, revision_id) AS (
+      SELECT m.origin, m.rev, {git_sha('commit', "hex('tree ' || m.tree_id || chr(10) || 'parent ' || s.parent || chr(10) || 'author ' || m.who || chr(10) || 'committer ' || m.who || chr(10) || m.tail)")}
+      FROM m2 m JOIN seed s ON s.origin = m.origin WHERE m.rev = 1
+      UNION ALL
+      SELECT m.origin, m.rev, {git_sha('commit', "hex('tree ' || m.tree_id || chr(10) || 'parent ' || c.revision_id || chr(10) || 'author ' || m.who || chr(10) || 'committer ' || m.who || chr(10) || m.tail)")}
+      FROM m2 m JOIN c ON m.origin = c.origin AND m.rev = c.rev + 1)
+    SELECT * FROM c))
+SELECT origin, rev, revision_id FROM chain2
+"""

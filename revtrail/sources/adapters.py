@@ -188,7 +188,9 @@ def orders_changelog(spark: SparkSession, sf_dir: str) -> ChangeLog:
     origins = commits.select("origin").distinct().select(
         "origin", uuid_of(F.col("origin")).alias("uuid"),
         F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url"))
-    return ChangeLog(origins, commits, puts.unionByName(copies))
+    # materialised once: read by the copy expansion, both interval builds
+    # and the load
+    return ChangeLog(origins, commits, cut_lineage(puts.unionByName(copies)))
 
 
 # Eol styles cycled through by the property adapter.
