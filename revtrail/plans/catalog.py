@@ -1006,3 +1006,35 @@ def q_altered_reload(spark, sf):
     commits = res.log.commits.join(hc.select("origin"), "origin", "left_semi")
     bodies = revision_bodies(commits, res.tree_at_rev, res.log.origins)
     return revision_chain(bodies, archived_head).select("origin", "rev", "revision_id")
+
+
+# ------------------------------------------------------------------ sinks
+
+@register("append_new_objects")
+def q_append_new_objects(spark, sf):
+    """Append the objects of a full event-log load to an archive (skipped
+    contents, contents, directories, revisions, snapshots -- children
+    first), unknown ids only; a second visit appends nothing."""
+    import uuid
+
+    from revtrail.plans.sinks import DEFAULT_MAX_CONTENT_SIZE, append_new
+    from revtrail.session import ensure_checkpoint_dir
+
+    def build():
+        res = jobs.events_load(spark, sf)
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/revtrail-archive-{uuid.uuid4().hex}"
+        big = F.col("length") > DEFAULT_MAX_CONTENT_SIZE
+        objs = [
+            ("skipped_content", res.intervals.files.where(big).select(F.col("blob_id").alias("id"))),
+            ("content", res.intervals.files.where(~big).select(F.col("blob_id").alias("id"))),
+            ("directory", res.trees.dirs.select(F.col("tree_id").alias("id"))),
+            ("revision", res.revisions.select(F.col("revision_id").alias("id"))),
+            ("snapshot", res.snapshots.select(F.col("snapshot_id").alias("id"))),
+        ]
+        rows = []
+        for name, df in objs:
+            first = append_new(df, f"{root}/{name}", "id")
+            second = append_new(df, f"{root}/{name}", "id")
+            rows.append((name, first, second))
+        return spark.createDataFrame(rows, "object_type string, first_visit long, second_visit long")
+    return jobs.memo(spark, sf, "append_new_objects", build)

@@ -849,3 +849,13 @@ chain2 AS (
     SELECT * FROM c))
 SELECT origin, rev, revision_id FROM chain2
 """
+
+ORACLE_SQL["append_new_objects"] = f"""
+WITH {E_BASE}
+SELECT 'skipped_content' AS object_type, CAST(0 AS BIGINT) AS first_visit, CAST(0 AS BIGINT) AS second_visit
+UNION ALL SELECT 'content', count(DISTINCT blob_id), 0 FROM fe WHERE op = 'put'
+UNION ALL SELECT 'directory', count(DISTINCT id), 0 FROM (
+  SELECT tree_id AS id FROM dtid UNION SELECT tree_id FROM rtid UNION SELECT {EMPTY})
+UNION ALL SELECT 'revision', count(DISTINCT revision_id), 0 FROM chain
+UNION ALL SELECT 'snapshot', count(DISTINCT origin), 0 FROM revs
+"""
