@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,7 +56,7 @@ def node_events(changes: DataFrame) -> DataFrame:
             .unionByName(dels.withColumn("is_put", F.lit(False))))
 
 
-def ancestor_deaths(versions: DataFrame, deletes: DataFrame) -> DataFrame:
+def ancestor_deaths(versions: DataFrame, deletes: DataFrame, split: bool = False) -> DataFrame:
     """First delete of any ancestor strictly after each version start.
 
     Returns (origin, path, from_rev, anc_death).  Only versions below a
@@ -72,13 +71,23 @@ def ancestor_deaths(versions: DataFrame, deletes: DataFrame) -> DataFrame:
          .unionByName(deletes.select("origin", F.col("path").alias("anc"), F.col("rev").alias("t"),
                                      F.col("seq").alias("s"), F.lit(None).cast("string").alias("path"),
                                      F.col("rev").alias("del_rev"))))
-    u = u.persist(StorageLevel.MEMORY_AND_DISK)  # read by the window and the bucket summaries
-    u = next_matching(u, ["origin", "anc"], "t", "s", _rev_bucket, F.col("path").isNull(),
-                      ["del_rev"], out="nd")
-    deaths = (u.where(F.col("path").isNotNull())
+    held = None
+    if split:
+        u, held = next_matching(u, ["origin", "anc"], "t", "s", _rev_bucket,
+                                F.col("path").isNull(), ["del_rev"], out="nd")
+        nd = F.col("nd.del_rev")
+    else:
+        # descending order: the rows before a probe are the events after it
+        w = (Window.partitionBy("origin", "anc").orderBy(F.col("t").desc(), F.col("s").desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+        nd = F.last("del_rev", ignorenulls=True).over(w)
+    deaths = (u.withColumn("_nd", nd).where(F.col("path").isNotNull())
               .groupBy("origin", "path", F.col("t").alias("from_rev"))
-              .agg(F.min(F.col("nd.del_rev")).alias("anc_death")))
-    return cut_lineage(deaths)
+              .agg(F.min("_nd").alias("anc_death")))
+    deaths = cut_lineage(deaths)
+    if held is not None:
+        held.unpersist()
+    return deaths
 
 
 def build_intervals(changes: DataFrame) -> Intervals:
@@ -87,19 +96,26 @@ def build_intervals(changes: DataFrame) -> Intervals:
     # (an explicit and an implied put of one directory) give zero-length
     # versions, dropped below
     ev = node_events(changes)
-    ev = ev.persist(StorageLevel.MEMORY_AND_DISK)  # read by the window and the bucket summaries
-    nx = next_matching(ev, ["origin", "path"], "rev", "seq", _rev_bucket, F.lit(True),
-                       ["rev", "is_put"], out="nx")
-    nx = nx.withColumn("next_rev", F.col("nx.rev")).withColumn("next_is_put", F.col("nx.is_put")) \
-        .drop("nx")
-    nx = cut_lineage(nx)
-    ev.unpersist()
-    ev = nx
+    # Histories longer than one block of revisions get the block-split
+    # windows (a hot path or ancestor is spread over its blocks); shorter
+    # ones fit in one block, where the split cannot help.
+    split = (changes.agg(F.max("rev")).first()[0] or 0) >= REV_BUCKET
+    if split:
+        nx, held = next_matching(ev, ["origin", "path"], "rev", "seq", _rev_bucket, F.lit(True),
+                                 ["rev", "is_put"], out="nx")
+        nx = nx.withColumn("next_rev", F.col("nx.rev")) \
+            .withColumn("next_is_put", F.col("nx.is_put")).drop("nx")
+        ev = cut_lineage(nx)
+        held.unpersist()
+    else:
+        w = Window.partitionBy("origin", "path").orderBy("rev", "seq")
+        ev = cut_lineage(ev.withColumn("next_rev", F.lead("rev").over(w))
+                         .withColumn("next_is_put", F.lead("is_put").over(w)))
     versions = ev.where("is_put").select(
         "origin", "path", "kind", "blob_id", "length", F.col("rev").alias("from_rev"),
         "next_rev", "next_is_put")
     deletes = ev.where(~F.col("is_put")).select("origin", "path", "rev", "seq")
-    deaths = ancestor_deaths(versions, deletes)
+    deaths = ancestor_deaths(versions, deletes, split)
     inf = F.lit(INF_REV).cast("long")
     versions = (versions.join(deaths, ["origin", "path", "from_rev"], "left")
                 .withColumn("anc_death", F.coalesce("anc_death", inf))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,13 +85,19 @@ def asof_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t:
 
 
 def next_matching(df: DataFrame, keys: Sequence[str], t: str, s: str, bucket_of,
-                  is_candidate: Column, values: Sequence[str], out: str = "next") -> DataFrame:
+                  is_candidate: Column, values: Sequence[str], out: str = "next"
+                  ) -> tuple[DataFrame, DataFrame]:
     """For every row, the ``values`` (as struct ``out``) of the first
     candidate row strictly after it in (t, s) order within ``keys``.
 
     The row-level window runs per (keys, bucket); the first candidate of
     every later bucket comes from a per-bucket summary stitched by a small
-    per-key window, so one hot key is spread over its buckets.
+    per-key window, so one hot key is spread over its buckets.  Only rows
+    with no candidate after them in their own bucket (at most the tail of
+    each bucket) are joined with that carry.
+
+    Returns (result, held): ``held`` is persisted and read by ``result``;
+    unpersist it once the result is materialised.
     """
     keys = list(keys)
     packed = F.struct(*[F.col(v) for v in values])
@@ -99,9 +106,11 @@ def next_matching(df: DataFrame, keys: Sequence[str], t: str, s: str, bucket_of,
     w = (Window.partitionBy(*keys, "_bkt").orderBy(F.col(t).desc(), F.col(s).desc())
          .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("_local", F.last("_cand", ignorenulls=True).over(w))
-    summary = (d.where(is_candidate).groupBy(*keys, "_bkt")
-               .agg(F.min_by(packed, F.struct(F.col(t), F.col(s))).alias("_first")))
-    rows_b = d.select(*keys, "_bkt").distinct().withColumn(
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    summary = (d.where(F.col("_cand").isNotNull()).groupBy(*keys, "_bkt")
+               .agg(F.min_by(F.col("_cand"), F.struct(F.col(t), F.col(s))).alias("_first")))
+    tails = d.where(F.col("_local").isNull())
+    rows_b = tails.select(*keys, "_bkt").distinct().withColumn(
         "_first", F.lit(None).cast(summary.schema["_first"].dataType))
     # descending buckets: a row bucket sorts before the summary of its own
     # bucket, so only strictly later buckets feed the carry
@@ -111,6 +120,7 @@ def next_matching(df: DataFrame, keys: Sequence[str], t: str, s: str, bucket_of,
              .unionByName(rows_b.withColumn("_is_summary", F.lit(0)))
              .withColumn("_carry", F.last("_first", ignorenulls=True).over(cw))
              .where(F.col("_is_summary") == 0).select(*keys, "_bkt", "_carry"))
-    return (d.join(carry, [*keys, "_bkt"], "left")
-            .withColumn(out, F.coalesce("_local", "_carry"))
-            .drop("_bkt", "_cand", "_local", "_carry"))
+    head = d.where(F.col("_local").isNotNull()).withColumn(out, F.col("_local"))
+    tail = tails.join(carry, [*keys, "_bkt"], "left").withColumn(out, F.col("_carry")).drop("_carry")
+    res = head.unionByName(tail).drop("_bkt", "_cand", "_local")
+    return res, d

@@ -871,9 +871,11 @@ def q_external_rank(spark, sf):
 def q_dedupe_externals(spark, sf):
     """Definitions in force over all intervals vs distinct ones resolved."""
     x = _ext(spark, sf)
-    n = x["defs"].where(~F.col("void") & ~F.col("recursive")).agg(F.count(F.lit(1)).alias("n_definitions"))
-    m = x["resolved"].agg(F.count(F.lit(1)).alias("n_distinct"))
-    return n.join(m, how="inner")
+    d = x["defs"].where(~F.col("void") & ~F.col("recursive")).select(
+        F.lit(1).alias("d"), F.lit(0).alias("r"))
+    r = x["resolved"].select(F.lit(0).alias("d"), F.lit(1).alias("r"))
+    return d.unionByName(r).agg(F.sum("d").cast("long").alias("n_definitions"),
+                                F.sum("r").cast("long").alias("n_distinct"))
 
 
 def _defs_at_head(spark, sf):
@@ -949,11 +951,12 @@ def q_external_owner(spark, sf):
     """Versioned paths at head hidden by an external."""
     res = jobs.events_load(spark, sf)
     _, at = _defs_at_head(spark, sf)
-    versioned = _listing_at(res, at).select("origin", "path", "id")
-    o = _overlay(spark, sf).select("origin", "path", F.col("id").alias("oid"), "kind")
+    versioned = _listing_at(res, at).select("origin", "path", "kind", "id")
+    o = _overlay(spark, sf).select("origin", "path", F.col("id").alias("oid"), F.col("kind").alias("okind"))
     j = versioned.join(o, ["origin", "path"], "left")
-    return j.where(F.col("kind").isNull() | (F.col("kind") == "file") & ~F.col("id").eqNullSafe(F.col("oid"))) \
-        .select("origin", "path")
+    replaced = (F.col("okind").isNull() | (F.col("okind") != F.col("kind"))
+                | ((F.col("kind") == "file") & ~F.col("id").eqNullSafe(F.col("oid"))))
+    return j.where(replaced).select("origin", "path")
 
 
 @register("externals_tree")

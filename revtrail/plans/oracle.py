@@ -730,7 +730,7 @@ E_EXT = f"""
 users AS (SELECT DISTINCT origin FROM revs),
 xe AS (
   SELECT origin, rev, ts, dname AS dir, CAST(substr(origin, 2) AS BIGINT) AS uid,
-         CAST(substr(dname, 2) AS INTEGER) AS j, event_id,
+         CAST(substr(dname, 2) AS INTEGER) AS j, event_id, CAST(substr(fname, 2) AS INTEGER) AS k,
          CASE WHEN CAST(substr(fname, 2) AS INTEGER) % 10 = 7 THEN true ELSE false END AS is_set
   FROM ch WHERE event_type = 'view' AND CAST(substr(fname, 2) AS INTEGER) % 10 IN (7, 8)),
 xi AS (
@@ -751,7 +751,13 @@ defs AS (
          '-r3 file:///repos/u' || CAST(uid + 2 AS VARCHAR) || '/d0 pinned',
          'file:///repos/u' || CAST(uid + 2 AS VARCHAR) || '/d0',
          'u' || CAST(uid + 2 AS VARCHAR), 'd0', CAST(3 AS BIGINT)
-  FROM xi WHERE is_set AND event_id % 2 = 0),
+  FROM xi WHERE is_set AND event_id % 2 = 0
+  UNION ALL
+  SELECT origin, dir, rev, to_rev, ts, CASE WHEN event_id % 2 = 0 THEN 4 ELSE 2 END, 'f' || CAST(k AS VARCHAR),
+         'f' || CAST(k AS VARCHAR) || ' file:///repos/u' || CAST(uid + 1 AS VARCHAR) || '/d' || CAST((j + 1) % 10 AS VARCHAR),
+         'file:///repos/u' || CAST(uid + 1 AS VARCHAR) || '/d' || CAST((j + 1) % 10 AS VARCHAR),
+         'u' || CAST(uid + 1 AS VARCHAR), 'd' || CAST((j + 1) % 10 AS VARCHAR), CAST(NULL AS BIGINT)
+  FROM xi WHERE is_set AND event_id % 3 = 0),
 res AS (
   SELECT d.*, CASE WHEN u.origin IS NOT NULL THEN d.t_origin END AS target_origin,
          CASE WHEN u.origin IS NOT NULL THEN d.t_sub END AS sub_path,
@@ -821,13 +827,21 @@ versioned AS (
   SELECT d.origin, d.dname, 'dir', NULL FROM dalive d JOIN head h ON h.origin = d.origin AND d.at_rev = h.head)
 SELECT origin, path, kind, id FROM grafted
 UNION
-SELECT origin, path, kind, id FROM versioned
+SELECT v.origin, v.path, v.kind, v.id FROM versioned v WHERE NOT EXISTS (
+  SELECT 1 FROM athead a WHERE a.valid AND a.origin = v.origin
+    AND (v.path = a.dir || '/' || a.path OR starts_with(v.path, a.dir || '/' || a.path || '/')))
 UNION
 SELECT origin, path, 'dir', NULL FROM prefixes
 """
 
 ORACLE_SQL["external_owner"] = f"""
-WITH {E_EXT} SELECT origin, path FROM grafted WHERE false
+WITH {E_EXT},
+versioned AS (
+  SELECT f.origin, f.dname || '/' || f.fname AS path FROM falive f JOIN head h ON h.origin = f.origin AND f.at_rev = h.head
+  UNION ALL
+  SELECT d.origin, d.dname FROM dalive d JOIN head h ON h.origin = d.origin AND d.at_rev = h.head)
+SELECT DISTINCT v.origin, v.path FROM versioned v JOIN athead a ON a.origin = v.origin AND a.valid
+  AND (v.path = a.dir || '/' || a.path OR starts_with(v.path, a.dir || '/' || a.path || '/'))
 """
 
 ORACLE_SQL["stream_visits"] = f"WITH {E_BASE} SELECT origin, rev, revision_id FROM chain"

@@ -220,15 +220,22 @@ def events_externals(spark: SparkSession, sf_dir: str) -> DataFrame:
     with k % 10 = 7 sets, on ``d<k div 10>``, a legacy line grafting
     directory ``d<(k div 10 + 1) % 10>`` of the next user's repository
     (floating), plus for even event ids a modern line pinned at revision 3
-    of the user after; a ``view`` with k % 10 = 8 unsets it."""
+    of the user after, plus for event ids divisible by 3 a line grafting the
+    same directory over the file ``f<k>``; a ``view`` with k % 10 = 8 unsets
+    it."""
     ev = events_base(spark, sf_dir)
     j = F.floor(F.col("k") / 10)
     uid = F.col("user_id")
     line1 = F.concat(F.lit("ext/lib file:///repos/u"), (uid + 1).cast("string"), F.lit("/d"),
                      ((j + 1) % 10).cast("string"))
     line2 = F.concat(F.lit("-r3 file:///repos/u"), (uid + 2).cast("string"), F.lit("/d0 pinned"))
+    # every third setting also grafts a directory over the versioned file
+    # f<k> the event wrote (the external replaces it while in force)
+    line3 = F.concat(F.lit("f"), F.col("k").cast("string"), F.lit(" file:///repos/u"),
+                     (uid + 1).cast("string"), F.lit("/d"), ((j + 1) % 10).cast("string"))
     value = F.when(F.col("event_id") % 2 == 0, F.concat_ws("\n", line1, F.lit("# pinned copy"), line2)) \
         .otherwise(line1)
+    value = F.when(F.col("event_id") % 3 == 0, F.concat_ws("\n", value, line3)).otherwise(value)
     is_set = (F.col("event_type") == "view") & (F.col("k") % 10 == 7)
     is_unset = (F.col("event_type") == "view") & (F.col("k") % 10 == 8)
     return ev.where(is_set | is_unset).select(

@@ -173,13 +173,18 @@ def replay_events_with_externals(pdf):
             lines = [("ext/lib", u + 1, f"d{(j + 1) % 10}", None)]
             if event_id % 2 == 0:
                 lines.append(("pinned", u + 2, "d0", 3))
+            if event_id % 3 == 0:
+                lines.append((f"f{10 * j + 7}", u + 1, f"d{(j + 1) % 10}", None))
             for dest, tuid, sub, pinned in lines:
                 st = target_state(tuid, rev=pinned) if pinned else target_state(tuid, at_ts=ts)
                 parts = f"{dname}/{dest}".split("/")
                 for i in range(1, len(parts)):
                     empty_dirs.add("/".join(parts[:i]))
                 if st is not None and sub in st:
-                    empty_dirs.add(f"{dname}/{dest}")
+                    target = f"{dname}/{dest}"
+                    for pth in [p for p in files if p == target or p.startswith(target + "/")]:
+                        del files[pth]
+                    empty_dirs.add(target)
                     for fn, b in st[sub].items():
                         files[f"{dname}/{dest}/{fn}"] = b
         out[f"u{uid}"] = listing_tree_id(files, empty_dirs)
