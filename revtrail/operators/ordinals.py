@@ -124,3 +124,22 @@ def next_matching(df: DataFrame, keys: Sequence[str], t: str, s: str, bucket_of,
     tail = tails.join(carry, [*keys, "_bkt"], "left").withColumn(out, F.col("_carry")).drop("_carry")
     res = head.unionByName(tail).drop("_bkt", "_cand", "_local")
     return res, d
+
+
+def prefix_sum(df: DataFrame, keys: Sequence[str], order: str, bucket_of, value: Column,
+               out: str) -> DataFrame:
+    """Inclusive running sum of ``value`` over ``keys`` ordered by ``order``
+    (unique within a key), computed per (keys, bucket) plus the totals of
+    the earlier buckets, so a hot key is spread over its buckets."""
+    keys = list(keys)
+    d = df.withColumn("_bkt", bucket_of(F.col(order))).withColumn("_v", value)
+    lw = (Window.partitionBy(*keys, "_bkt").orderBy(order)
+          .rowsBetween(Window.unboundedPreceding, 0))
+    d = d.withColumn("_local", F.sum("_v").over(lw))
+    totals = d.groupBy(*keys, "_bkt").agg(F.sum("_v").alias("_tot"))
+    ow = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(ow), F.lit(0))) \
+        .select(*keys, "_bkt", "_off")
+    return (d.join(offsets, [*keys, "_bkt"])
+            .withColumn(out, F.col("_off") + F.col("_local"))
+            .drop("_bkt", "_v", "_local", "_off"))

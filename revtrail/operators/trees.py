@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from revtrail.functions.hashing import (INF_REV, PERM_DIR, PERM_FILE, entry_sort_key,
                                         sorted_entries_tree_id, tree_entry_hex)
+from revtrail.operators import intervals
 from revtrail.operators.intervals import Intervals
+from revtrail.operators.ordinals import next_matching, prefix_sum
 from revtrail.session import cut_lineage
 
 ENTRY_COLS = ["origin", "parent", "name", "is_dir", "perms", "target", "from_rev", "to_rev"]
@@ -38,7 +40,7 @@ def file_entries(files: DataFrame, perms_col=None) -> DataFrame:
                         "from_rev", "to_rev", "depth")
 
 
-def dir_versions(kids: DataFrame, lifetimes: DataFrame) -> DataFrame:
+def dir_versions(kids: DataFrame, lifetimes: DataFrame, split: bool = False) -> DataFrame:
     """kids: ENTRY_COLS; lifetimes: origin, path, from_rev, to_rev.
 
     Returns (origin, path, from_rev, to_rev, tree_id for every version) and
@@ -54,14 +56,31 @@ def dir_versions(kids: DataFrame, lifetimes: DataFrame) -> DataFrame:
            .unionByName(lifetimes.select("origin", "path", F.col("to_rev").alias("rev"),
                                          F.lit(-1).alias("delta")))
            .groupBy("origin", "path", "rev").agg(F.sum("delta").alias("delta")))
-    w = Window.partitionBy("origin", "path").orderBy("rev")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    bnd = (bnd.withColumn("alive", F.sum("delta").over(run))
-           .withColumn("next_rev", F.lead("rev").over(w))
-           .withColumn("is_start", (F.col("alive") > 0) & (F.col("rev") < F.lit(INF_REV)))
-           .withColumn("ord", F.sum(F.col("is_start").cast("long")).over(run)))
+    held = None
+    if split:
+        # long histories: running sums and the next boundary per block of
+        # revisions, so a directory touched by every revision (the root)
+        # is spread over its blocks
+        bkt = intervals._rev_bucket
+        bnd = prefix_sum(bnd, ["origin", "path"], "rev", bkt, F.col("delta"), "alive")
+        bnd = bnd.withColumn("is_start", (F.col("alive") > 0) & (F.col("rev") < F.lit(INF_REV)))
+        bnd = prefix_sum(bnd, ["origin", "path"], "rev", bkt, F.col("is_start").cast("long"), "ord")
+        bnd = bnd.withColumn("_s", F.lit(0))
+        bnd, held = next_matching(bnd, ["origin", "path"], "rev", "_s", bkt, F.lit(True), ["rev"],
+                                  out="_nx")
+        bnd = bnd.withColumn("next_rev", F.col("_nx.rev")).drop("_nx", "_s")
+    else:
+        w = Window.partitionBy("origin", "path").orderBy("rev")
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        bnd = (bnd.withColumn("alive", F.sum("delta").over(run))
+               .withColumn("next_rev", F.lead("rev").over(w))
+               .withColumn("is_start", (F.col("alive") > 0) & (F.col("rev") < F.lit(INF_REV)))
+               .withColumn("ord", F.sum(F.col("is_start").cast("long")).over(run)))
     # read three times below (versions and both ends of every child run)
     bnd = bnd.persist(StorageLevel.MEMORY_AND_DISK)
+    if held is not None:
+        bnd.count()
+        held.unpersist()
     versions = bnd.where("is_start").select(
         "origin", "path", "ord", F.col("rev").alias("from_rev"),
         F.coalesce("next_rev", F.lit(INF_REV).cast("long")).alias("to_rev"))
@@ -92,9 +111,11 @@ def build_trees(iv: Intervals, origins: DataFrame, max_depth: int | None = None
 
     ``max_depth`` is the deepest path depth (one small aggregate if unset).
     """
+    stats = (iv.files.select("depth", "from_rev").unionByName(iv.dirs.select("depth", "from_rev"))
+             .agg(F.max("depth"), F.max("from_rev")).first())
     if max_depth is None:
-        max_depth = (iv.files.select("depth").unionByName(iv.dirs.select("depth"))
-                     .agg(F.max("depth")).first()[0]) or 1
+        max_depth = stats[0] or 1
+    split = (stats[1] or 0) >= intervals.REV_BUCKET
     files = file_entries(iv.files)
     lifetimes = iv.dirs
     root_life = origins.select("origin", F.lit("").alias("path"), F.lit(0).cast("long")
@@ -108,7 +129,7 @@ def build_trees(iv: Intervals, origins: DataFrame, max_depth: int | None = None
             kids = kids.unionByName(child_dirs)
         lives = root_life if d == 0 else lifetimes.where(F.col("depth") == d).select(
             "origin", "path", "from_rev", "to_rev", "depth")
-        dv, bnd = dir_versions(kids, lives.select("origin", "path", "from_rev", "to_rev"))
+        dv, bnd = dir_versions(kids, lives.select("origin", "path", "from_rev", "to_rev"), split)
         # each level is read twice (as output and as the next level's
         # children): materialise it and cut the lineage
         dv = cut_lineage(dv.withColumn("depth", F.lit(d)))
