@@ -1041,3 +1041,33 @@ def q_append_new_objects(spark, sf):
             rows.append((name, first, second))
         return spark.createDataFrame(rows, "object_type string, first_visit long, second_visit long")
     return jobs.memo(spark, sf, "append_new_objects", build)
+
+
+@register("apply_special")
+def q_apply_special(spark, sf):
+    """Special files at export: every fourth document is written as
+    ``link <lang>/<doc_id>``; with the special property (every eighth) it
+    becomes a symlink to that target, without it a regular file holding
+    the text."""
+    from revtrail.plans.export import apply_special, file_perms
+    d = read_table(spark, sf, "documents").select("doc_id", "lang", "text")
+    linky = F.col("doc_id") % 4 == 0
+    data = F.when(linky, F.concat(F.lit("link "), F.col("lang"), F.lit("/"),
+                                  F.col("doc_id").cast("string"))).otherwise(F.col("text"))
+    special = F.col("doc_id") % 8 == 0
+    new, is_link = apply_special(F.encode(data, "UTF-8"), special)
+    return d.select("doc_id", file_perms(is_link, F.lit(False)).alias("perms"),
+                    blob_id(new).alias("sha1_git"))
+
+
+@register("full_reload")
+def q_full_reload(spark, sf):
+    """A non-incremental reload of an unchanged log: parentless chain, same
+    snapshot as the first load, so the load is uneventful."""
+    from revtrail.plans.load import load
+    first = jobs.events_load(spark, sf).snapshots
+    again = jobs.memo(spark, sf, "full_reload",
+                      lambda: load(adapters.events_changelog(spark, sf), max_depth=2).snapshots)
+    j = again.join(first.select("origin", F.col("snapshot_id").alias("previous")), "origin", "left")
+    return j.select("origin", "snapshot_id", F.when(F.col("snapshot_id") == F.col("previous"), "uneventful")
+                    .otherwise("eventful").alias("load_status"))

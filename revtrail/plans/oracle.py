@@ -873,3 +873,20 @@ UNION ALL SELECT 'directory', count(DISTINCT id), 0 FROM (
 UNION ALL SELECT 'revision', count(DISTINCT revision_id), 0 FROM chain
 UNION ALL SELECT 'snapshot', count(DISTINCT origin), 0 FROM revs
 """
+
+ORACLE_SQL["apply_special"] = f"""
+WITH d AS (
+  SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'link ' || lang || '/' || CAST(doc_id AS VARCHAR) ELSE text END AS data
+  FROM documents),
+e AS (SELECT doc_id, CASE WHEN doc_id % 8 = 0 THEN 40960 ELSE 33188 END AS perms,
+             CASE WHEN doc_id % 8 = 0 THEN substr(data, 6) ELSE data END AS content FROM d)
+SELECT doc_id, perms, {git_sha('blob', 'hex(content)')} AS sha1_git FROM e
+"""
+
+ORACLE_SQL["full_reload"] = f"""
+WITH {E_BASE},
+head AS (SELECT origin, max(rev) AS head_rev FROM revs GROUP BY origin)
+SELECT h.origin, {git_sha('snapshot', "hex('revision HEAD') || '00' || hex('20:') || c.revision_id")} AS snapshot_id,
+       'uneventful' AS load_status
+FROM head h JOIN chain c ON c.origin = h.origin AND c.rev = h.head_rev
+"""
