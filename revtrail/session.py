@@ -32,6 +32,8 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("REVTRAIL_DRIVER_MEMORY", "16g"))
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        # checkpointed levels are dropped from the shared folder once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
