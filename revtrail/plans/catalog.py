@@ -1071,3 +1071,30 @@ def q_full_reload(spark, sf):
     j = again.join(first.select("origin", F.col("snapshot_id").alias("previous")), "origin", "left")
     return j.select("origin", "snapshot_id", F.when(F.col("snapshot_id") == F.col("previous"), "uneventful")
                     .otherwise("eventful").alias("load_status"))
+
+
+@register("write_visit")
+def q_write_visit(spark, sf):
+    """Append one row per origin for the new visit (type, status and the
+    snapshot of the revision it reached) to a visits table; returns the
+    rows as read back."""
+    import uuid
+
+    from revtrail.session import ensure_checkpoint_dir
+
+    def build():
+        res = jobs.events_load(spark, sf)
+        out = q_visit_outcome(spark, sf)
+        from revtrail.functions.hashing import snapshot_branch_hex, snapshot_id
+        branch = F.struct(F.lit("HEAD").cast("binary").alias("name"),
+                          snapshot_branch_hex(F.lit("HEAD"), F.lit("revision"), F.col("revision_id"))
+                          .alias("branch_hex"))
+        snaps = res.revisions.select("origin", F.col("rev").alias("snapshot_rev"),
+                                     snapshot_id(F.array(branch)).alias("snapshot_id"))
+        rows = out.join(snaps, ["origin", "snapshot_rev"], "left").select(
+            "origin", F.lit("svn").alias("visit_type"), F.col("visit_status").alias("status"),
+            "snapshot_id")
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/revtrail-visits-{uuid.uuid4().hex}"
+        rows.write.mode("append").parquet(path)
+        return spark.read.parquet(path)
+    return jobs.memo(spark, sf, "write_visit", build)

@@ -890,3 +890,12 @@ SELECT h.origin, {git_sha('snapshot', "hex('revision HEAD') || '00' || hex('20:'
        'uneventful' AS load_status
 FROM head h JOIN chain c ON c.origin = h.origin AND c.rev = h.head_rev
 """
+
+ORACLE_SQL["write_visit"] = f"""
+WITH outcome AS ({ORACLE_SQL["visit_outcome"].replace("WITH ", "WITH ", 1)}),
+{E_BASE}
+SELECT o.origin, 'svn' AS visit_type, o.visit_status AS status,
+       CASE WHEN o.snapshot_rev IS NOT NULL THEN
+         {git_sha('snapshot', "hex('revision HEAD') || '00' || hex('20:') || c.revision_id")} END AS snapshot_id
+FROM outcome o LEFT JOIN chain c ON c.origin = o.origin AND c.rev = o.snapshot_rev
+"""
