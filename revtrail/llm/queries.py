@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, token_store
+from . import decontam, exact_dedup, langid, packing, token_store, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,12 +22,29 @@ def op5_progressive_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), with_digest=True)
 
 
+def op6_positional_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, slack=2)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        "contaminated", "n_near_items")
+
+
 def op7_ranked_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op9_boundary_chain_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_output_code_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_best_two_fit_packing, op5_progressive_exact_dedup, op7_ranked_token_store)}
+    op3_best_two_fit_packing, op5_progressive_exact_dedup, op6_positional_index_decontamination,
+    op7_ranked_token_store, op9_boundary_chain_warc, op10_output_code_language_id)}
 
 ORACLE_SQL = {
     "op5_progressive_exact_dedup": """
