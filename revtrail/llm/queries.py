@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, packing, token_store, warc
+from . import decontam, exact_dedup, langid, packing, token_store, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op7_ranked_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op8_compression_distance_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op9_boundary_chain_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -44,7 +48,7 @@ def op10_output_code_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op3_best_two_fit_packing, op5_progressive_exact_dedup, op6_positional_index_decontamination,
-    op7_ranked_token_store, op9_boundary_chain_warc, op10_output_code_language_id)}
+    op7_ranked_token_store, op8_compression_distance_toxicity, op9_boundary_chain_warc, op10_output_code_language_id)}
 
 ORACLE_SQL = {
     "op5_progressive_exact_dedup": """

@@ -57,23 +57,25 @@ def parts(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20):
         start = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and for each of the n values its n + 1 word offsets."""
-    if len(data) == 0:
-        return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lowered bytes (eight more at the end), starts and sizes of all words."""
     low = np.zeros(len(data) + 8, U8)
-    low[:-8] = LOWER[data]
-    inside = IN_WORD[low[:-8]]
-    before = np.empty_like(inside)
-    before[0], before[1:] = False, inside[:-1]
-    after = np.empty_like(inside)
-    after[-1], after[:-1] = False, inside[1:]
+    low[:len(data)] = LOWER[data]
+    inside = IN_WORD[low[:len(data)]]
+    before = np.zeros_like(inside)
+    before[1:] = inside[:-1]
+    after = np.zeros_like(inside)
+    after[:-1] = inside[1:]
     edges = offsets[:-1][offsets[:-1] < offsets[1:]]  # first bytes of values that have any
     before[edges] = False
     after[edges[1:] - 1] = False
     starts = np.flatnonzero(inside & ~before)
-    sizes = np.flatnonzero(inside & ~after) + 1 - starts
-    eight = np.ndarray((len(data) + 1,), "<u8", low, 0, (1,))
+    return low, starts, np.flatnonzero(inside & ~after) + 1 - starts
+
+
+def span_hashes(low: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of ``low``, which has eight bytes more."""
+    eight = np.ndarray((len(low) - 7,), "<u8", low, 0, (1,))
     h = mix((eight[starts] & FEW_BYTES[np.minimum(sizes, 8)]) + sizes.astype(U64) * U64(0x9E3779B97F4A7C15))
     live, done = np.flatnonzero(sizes > 8), 8
     while len(live) and done < LONG_WORD:
@@ -85,7 +87,15 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         rest = low[starts[i] + done:starts[i] + sizes[i]].tobytes()
         digest = hashlib.blake2b(rest, digest_size=8).digest()
         h[i] = mix(h[i:i + 1] + np.frombuffer(digest, "<u8"))[0]
-    return h, np.searchsorted(starts, offsets).astype(np.int64)
+    return h
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and for the n values their n + 1 word offsets."""
+    if len(data) == 0:
+        return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
+    low, starts, sizes = word_spans(data, offsets)
+    return span_hashes(low, starts, sizes), np.searchsorted(starts, offsets).astype(np.int64)
 
 
 def ngrams(hashes: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

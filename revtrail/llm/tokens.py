@@ -18,7 +18,7 @@ import types
 
 import numpy as np
 
-from .text import FEW_BYTES, U64, mix, string_bytes
+from .text import span_hashes, string_bytes
 
 MOST_CHUNKS, MOST_BYTES = 1_000_000, 32_000_000
 #: Byte classes.
@@ -130,19 +130,8 @@ class ChunkEncoder:
 
 
 def distinct(low: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of one chunk of each distinct kind, and for every chunk its kind.
-    Chunks of up to 64 bytes are told apart by a 64-bit hash and their size,
-    longer ones are each a kind of their own."""
-    eight = np.ndarray((len(low) - 7,), "<u8", low, 0, (1,))
-    h = mix((eight[starts] & FEW_BYTES[np.minimum(sizes, 8)]) + sizes.astype(U64) * U64(0x9E3779B97F4A7C15))
-    live, done = np.flatnonzero(sizes > 8), 8
-    while len(live) and done < 64:
-        left = np.minimum(sizes[live] - done, 8)
-        h[live] = mix(h[live] * U64(0x9E3779B97F4A7C15) + (eight[starts[live] + done] & FEW_BYTES[left]))
-        done += 8
-        live = live[sizes[live] > done]
-    h[live] += live.astype(U64)
-    _, first, which = np.unique(h, return_index=True, return_inverse=True)
+    """Index of one chunk of each distinct kind (by 64-bit hash), and for every chunk its kind."""
+    _, first, which = np.unique(span_hashes(low, starts, sizes), return_index=True, return_inverse=True)
     return first, which
 
 
