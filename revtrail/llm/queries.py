@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, ngram_join, packing, token_store, toxicity, warc
+from . import decontam, exact_dedup, langid, lm_score, ngram_join, packing, token_store, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_minhash_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=5, similarity=0.8)
 
@@ -51,7 +55,7 @@ def op10_output_code_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_minhash_ngram_join, op3_best_two_fit_packing, op5_progressive_exact_dedup, op6_positional_index_decontamination,
+    op1_masked_pseudo_likelihood, op2_minhash_ngram_join, op3_best_two_fit_packing, op5_progressive_exact_dedup, op6_positional_index_decontamination,
     op7_ranked_token_store, op8_compression_distance_toxicity, op9_boundary_chain_warc, op10_output_code_language_id)}
 
 ORACLE_SQL = {
