@@ -250,15 +250,12 @@ def train_round(hashed: DataFrame, id_of: np.ndarray, start: Network) -> Network
                 pa.array([float(trainer.words)] * CHUNKS), pa.array([c.tobytes() for c in flat], pa.binary())],
                 names=["chunk", "part", "weight", "params"])
 
-    def average(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, weight = None, 0.0
-        for batch in batches:
-            for w, raw in zip(batch["weight"].to_pylist(), batch["params"].to_pylist()):
-                x = np.frombuffer(raw, np.float32).astype(np.float64) * w
-                total, weight = x if total is None else total + x, weight + w
-        row = [key[0].as_py(), key[1].as_py() if len(key) > 1 else 0, weight, (total / weight).astype(np.float32).tobytes()]
+    def average(key, rows):  # an Arrow table: the parameters of some tasks, of one chunk
+        weight = rows["weight"].to_numpy()
+        total = sum(np.frombuffer(x, np.float32) * w for x, w in zip(rows["params"].to_pylist(), weight))
+        row = [key[0].as_py(), 0, weight.sum(), (total / weight.sum()).astype(np.float32).tobytes()]
         kinds = [pa.int32(), pa.int32(), pa.float64(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=["chunk", "part", "weight", "params"])
+        return pa.table([pa.array([x], t) for x, t in zip(row, kinds)], names=["chunk", "part", "weight", "params"])
 
     schema = "chunk int, part int, weight double, params binary"
     learned = hashed.mapInArrow(train, schema).groupBy("chunk", "part").applyInArrow(average, schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, lm_score, ngram_join, packing, token_store, toxicity, warc
+from . import decontam, exact_dedup, langid, lm_score, ngram_join, packing, pii, token_store, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   end_id=0, capacity=2048)
 
 
+def op4_keyed_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(table(spark, sf_dir, "documents"), key="a production key comes from a secret store")
+
+
 def op5_progressive_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), with_digest=True)
 
@@ -55,7 +59,7 @@ def op10_output_code_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_masked_pseudo_likelihood, op2_minhash_ngram_join, op3_best_two_fit_packing, op5_progressive_exact_dedup, op6_positional_index_decontamination,
+    op1_masked_pseudo_likelihood, op2_minhash_ngram_join, op3_best_two_fit_packing, op4_keyed_pii_surrogates, op5_progressive_exact_dedup, op6_positional_index_decontamination,
     op7_ranked_token_store, op8_compression_distance_toxicity, op9_boundary_chain_warc, op10_output_code_language_id)}
 
 ORACLE_SQL = {
