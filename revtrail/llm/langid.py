@@ -130,40 +130,42 @@ def fit(labelled: DataFrame) -> Model:
     return Model(languages, code, weights, trust)
 
 
+def decode(model: Model, buckets: np.ndarray, offsets: np.ndarray, ambiguous_gap: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the best language, its share, and whether the runner-up is as near, for each value."""
+    n = np.diff(offsets)
+    margin = np.zeros((len(n), model.code.shape[1]))
+    some = n > 0
+    for b in range(model.code.shape[1]):
+        if some.any():
+            margin[some, b] = np.add.reduceat(model.weights[b][buckets], offsets[:-1][some], dtype=np.float64)
+    margin *= (1 / (1 + n / ENOUGH_GRAMS))[:, None]
+    # loss of a language: sum over bits of trust * log(1 + exp(-code * margin))
+    loss = np.stack([(np.logaddexp(0, -word * margin) * model.trust).sum(1) for word in model.code], 1)
+    low = loss.min(1)
+    share = 1 / np.exp(low[:, None] - loss).sum(1)
+    second = np.partition(loss, 1, axis=1)[:, 1] if loss.shape[1] > 1 else np.full(len(n), np.inf)
+    return loss.argmin(1), share, second - low < ambiguous_gap
+
+
+def has_letter() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(docs: DataFrame, model: Model, ambiguous_gap: float = AMBIGUOUS_GAP) -> DataFrame:
-    """``docs`` (doc_id, text) with lang_pred, score, ambiguous."""
+    """doc_id, lang_pred, score, ambiguous of every document."""
     small_batches(docs.sparkSession)
 
-    def decode(buckets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        n = np.diff(offsets)
-        margin = np.zeros((len(n), model.code.shape[1]))
-        some = n > 0
-        for b in range(model.code.shape[1]):
-            if some.any():
-                margin[some, b] = np.add.reduceat(model.weights[b][buckets], offsets[:-1][some], dtype=np.float64)
-        margin *= (1 / (1 + n / ENOUGH_GRAMS))[:, None]
-        # loss of language l: sum over bits of trust * log(1 + exp(-code * margin))
-        loss = np.zeros((len(n), len(model.languages)))
-        for i in range(len(model.languages)):
-            loss[:, i] = (np.logaddexp(0, -model.code[i] * margin) * model.trust).sum(1)
-        best = loss.argmin(1)
-        low = loss.min(1)
-        share = 1 / np.exp(low[:, None] - loss).sum(1)
-        second = np.partition(loss, 1, axis=1)[:, 1] if loss.shape[1] > 1 else np.full(len(n), np.inf)
-        return best, share, second - low < ambiguous_gap
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in parts(batch, "text", 1 << 20):
-                best, share, unsure = decode(*grams(part.column(1)))
+                best, share, unsure = decode(model, *grams(part.column(1)), ambiguous_gap)
                 letter = part.column(2).to_numpy(False)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([model.languages[i] if a else UNKNOWN for i, a in zip(best, letter)]),
                     pa.array(np.where(letter, share, 0.0)), pa.array(unsure | ~letter)],
                     names=["doc_id", "lang_pred", "score", "ambiguous"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                       F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", has_letter().alias("letter"))
     if not model.languages:
         return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("ambiguous"))
     return rows.mapInArrow(score, "doc_id long, lang_pred string, score double, ambiguous boolean")
@@ -180,9 +182,21 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
 
 
-def drop_unknown(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language can be told: they have a letter,
-    and no second language is as near."""
-    bad = (identify(docs).filter((F.col("lang_pred") == UNKNOWN) | F.col("ambiguous"))
-           .select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+def drop_unknown(docs: DataFrame, ambiguous_gap: float = AMBIGUOUS_GAP) -> DataFrame:
+    """The rows of ``docs``, whole, whose language can be told: they have a
+    letter, and no second language is as near.  Nothing is shuffled."""
+    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+    if not model.languages:
+        return docs.limit(0)
+    small_batches(docs.sparkSession)
+    flag = "_" + "_".join(docs.columns)  # a name that no column has
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in parts(batch, "text", 1 << 20):
+                _, _, unsure = decode(model, *grams(part.column(at)), ambiguous_gap)
+                sure = pa.array(part.column(part.num_columns - 1).to_numpy(False) & ~unsure)
+                yield part.select(range(part.num_columns - 1)).filter(sure)
+
+    return docs.withColumn(flag, has_letter()).mapInArrow(keep, docs.schema)
