@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import small_batches, written
+from .scratch import small_batches, without, written
 from .text import U64, parts, string_bytes, word_hashes, words
 
 #: Words between two documents of a block; phrases and their proximity don't reach over.
@@ -246,5 +246,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, slack
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs."""
-    bad = contamination(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    return without(docs, contamination(docs, benchmark, window).filter("contaminated").select("doc_id"))

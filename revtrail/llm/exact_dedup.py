@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import written
+from .scratch import without, written
 
 BLANKS = " \t\n\x0b\x0c\r"
 PREFIX_CHARS = 256
@@ -75,8 +75,6 @@ def exact_groups(docs: DataFrame, with_digest: bool = False) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, whole.  Rows that repeat a doc_id with
-    the same text stay once."""
-    dropped = exact_groups(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
-    left = docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
-    return left
+    """The rows of ``docs`` that stay, whole (rows that repeat the doc_id
+    that stays, with the same text, are one document and stay together)."""
+    return without(docs, exact_groups(docs).filter(~F.col("kept")).select("doc_id"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import small_batches, written
+from .scratch import small_batches, without, written
 from .text import U64, ngrams, parts, string_bytes, words
 
 #: Classes of a bucket that meet in one block.
@@ -266,5 +266,4 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` with the least doc_id of their component."""
     dropped = near_duplicates(docs, **options).filter(~F.col("doc_id").eqNullSafe(F.col("class_id")))
-    dropped = dropped.select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
+    return without(docs, dropped.select("doc_id"))

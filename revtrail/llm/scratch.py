@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -30,3 +31,10 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Bound the rows of an Arrow batch; texts are long, so the default of
     10,000 rows would make batches of tens of megabytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs``, whole, whose doc_id isn't in ``dropped`` (one column; null is a doc_id like others)."""
+    name = "_" + "_".join(docs.columns)  # a name that no column has
+    ids = dropped.toDF(name).distinct()
+    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_anti")
