@@ -3,7 +3,8 @@
 *Writing.*  Of records with equal payloads the one with the largest page_id
 is a response, the others are revisits that refer to it.  A record is a
 string, so Spark's text writer lays the files out: its line separator is the
-blank line pair that ends a WARC record.
+blank line pair that ends a WARC record.  Files are gzipped as a whole;
+offsets are those of the archive inside.
 
 *Reading.*  The magic that starts a record may also stand inside a payload.
 So a task emits every place with the magic as a candidate, together with the
@@ -22,6 +23,7 @@ such.  Further columns are ignored.  An empty table gives no records.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import math
 from collections.abc import Iterator
@@ -50,7 +52,7 @@ def base32_sha1(data: Column) -> Column:
     return F.concat(*(letters(i) for i in range(8)))
 
 
-def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def records(pages: DataFrame, least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """The pages' records as strings, without the blank lines at their end.
     Payloads of fewer than ``least_bytes`` are always responses."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
@@ -68,6 +70,7 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     head = F.concat(
         F.lit(MAGIC.decode()), line("WARC-Type", F.when(F.col("revisit"), F.lit("revisit")).otherwise(F.lit("response"))),
         line("WARC-Record-ID", urn(F.col("page_id"))), line("WARC-Target-URI", clean),
+        line("WARC-Date", F.lit(date)),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         line("X-Payload-Length", F.col("bytes").cast("string")),
         F.when(F.col("revisit"), F.concat(line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.0/revisit/identical-payload-digest")),
@@ -77,8 +80,10 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     return rows.select(F.concat(head, block).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE) -> None:
-    (records(pages, least_bytes).write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).text(path))
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE,
+                   compression: str = "gzip") -> None:
+    (records(pages, least_bytes).write.option("lineSep", END).option("maxRecordsPerFile", records_per_file)
+     .option("compression", compression).text(path))
 
 
 def parse(content: bytes, at: int) -> dict | None:
@@ -126,7 +131,8 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                content, at, found = row["content"], row["content"].find(MAGIC), []
+                content = gzip.decompress(row["content"]) if row["path"].endswith(".gz") else row["content"]
+                at, found = content.find(MAGIC), []
                 while at >= 0:
                     if (record := parse(content, at)) is not None:
                         found.append({"file": row["path"]} | record)
