@@ -35,6 +35,9 @@ from pyspark.sql import functions as F
 
 from .scratch import written
 
+#: Names and addresses grow with the attempts and never run out; numbers can, then it is an error.
+MOST_ATTEMPTS = 64
+
 # Titles by gender (f, m, n: not told).
 TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Srta", "Госпожа", "Κυρία"],
           "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"],
@@ -95,14 +98,14 @@ def drawn(stream: Column, i: Column, most: int) -> Column:
     return F.conv(F.substring(stream, (F.pmod(i * 4, F.lit(124)) + 1).cast("int"), 4), 16, 10).cast("int") % most
 
 
-def like(value: Column, stream: Column, same: int = 0) -> Column:
+def like(value: Column, stream: Column, same: int = 0, hexed: Column | bool = False) -> Column:
     """A string of the same format: digits for digits, letters for letters
-    (hex ones in a hex number); the first ``same`` stay."""
-    hexed = value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
+    (hex ones where ``hexed``); the first ``same`` stay."""
+    letters = F.when(F.lit(hexed) if isinstance(hexed, bool) else hexed, 6).otherwise(26)
 
     def one(i):
         c = F.substring(value, i, 1)
-        letter = F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), F.pmod(drawn(stream, i, 26 * 6), F.when(hexed, 6).otherwise(26)) + 1, 1)
+        letter = F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), F.pmod(drawn(stream, i, 26 * 6), letters) + 1, 1)
         return (F.when((i <= same) | ~c.rlike("[0-9A-Za-z]"), c).when(c.rlike("[0-9]"), drawn(stream, i, 10).cast("string"))
                 .when(c.rlike("[a-z]"), letter).otherwise(F.upper(letter)))
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), one), "")
@@ -115,9 +118,12 @@ def draw(type_: Column, value: Column, attempt: Column, key: str) -> Column:
     domain = F.substring(value, at + 1, 1_000_000)
     domain_stream = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), domain), 512)
     suffix = F.regexp_extract(domain, r"\.[^.]+$", 0)
-    email = F.concat(like(F.substring(value, F.lit(1), at - 1), stream), F.lit("@"),
+    # an address grows by a letter every four attempts, so there is always a free one
+    longer = F.concat(F.substring(value, F.lit(1), at - 1), F.repeat(F.lit("a"), F.floor(attempt / 4).cast("int")))
+    email = F.concat(like(longer, stream), F.lit("@"),
                      like(F.substring(domain, F.lit(1), F.length(domain) - F.length(suffix)), domain_stream), suffix)
-    ip = F.concat(F.regexp_extract(value, r"^\d+", 0), *(x for i in range(3) for x in (F.lit("."), drawn(stream, F.lit(i), 256).cast("string"))))
+    octet = F.when(attempt < 8, F.regexp_extract(value, r"^\d+", 0)).otherwise(drawn(stream, F.lit(3), 256).cast("string"))
+    ip = F.concat(octet, *(x for i in range(3) for x in (F.lit("."), drawn(stream, F.lit(i), 256).cast("string"))))
     card = like(value, stream, same=1)
     body = F.substring(card, F.lit(1), F.length(card) - 1)
     right = F.filter(F.array(*(F.lit(str(i)) for i in range(10))), lambda c: F.call_function("luhn_check", F.concat(body, c)))
@@ -133,15 +139,16 @@ def draw(type_: Column, value: Column, attempt: Column, key: str) -> Column:
         return F.initcap(F.concat(F.array_join(F.transform(F.sequence(F.lit(1), length), lambda i: F.element_at(syllables, drawn(stream, i, many) + 1)), ""), end))
     person = F.when(value.rlike(r"\p{IsCyrillic}"), name("cyrillic")).when(value.rlike(r"\p{IsGreek}"), name("greek")).otherwise(name("latin"))
     return (F.when(type_ == "email", email).when(type_ == "ip", ip).when(type_ == "card", card)
-            .when(type_.isin("secret", "phone", "ssn"), like(value, stream)).otherwise(person))
+            .when(type_.isin("phone", "ssn"), like(value, stream))
+            .when(type_ == "secret", like(value, stream, hexed=value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"))).otherwise(person))
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(type, value, surrogate) of distinct entities (type, value), without collisions."""
     entities = written(entities, "entities")
     real = entities.select("type", F.col("value").alias("surrogate"))
-    todo, done, attempt = entities, None, 0
-    while True:
+    todo, done = entities, None
+    for attempt in range(MOST_ATTEMPTS):
         tried = todo.withColumn("surrogate", draw(F.col("type"), F.col("value"), F.lit(attempt), key))
         first = tried.groupBy("type", "surrogate").agg(F.min("value").alias("value"))
         first = first.join(real, ["type", "surrogate"], "left_anti")
@@ -150,9 +157,9 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         first = first.select("type", "value", "surrogate")
         done = written(first if done is None else done.unionByName(first), "surrogates")
         todo = written(entities.join(done, ["type", "value"], "left_anti"), "colliding")
-        attempt += 1
         if todo.isEmpty():
             return done
+    raise ValueError(f"no free surrogates after {MOST_ATTEMPTS} attempts")
 
 
 def in_format(piece: Column, type_: Column, value: Column, surrogate: Column) -> Column:
@@ -169,9 +176,8 @@ def in_format(piece: Column, type_: Column, value: Column, surrogate: Column) ->
         s = F.substring(surrogate, i, 1)
         return F.when(c.rlike("[A-Z]"), F.upper(s)).otherwise(s)
 
-    places = F.sequence(F.lit(1), F.length(piece))
-    return (F.when(type_.isin("card", "phone", "ssn"), F.array_join(F.transform(places, digit), ""))
-            .when(type_ == "email", F.array_join(F.transform(places, cased), ""))
+    return (F.when(type_.isin("card", "phone", "ssn"), F.array_join(F.transform(F.sequence(F.lit(1), F.length(piece)), digit), ""))
+            .when(type_ == "email", F.array_join(F.transform(F.sequence(F.lit(1), new), cased), ""))
             .when(type_ == "secret", F.replace(piece, value, surrogate)).otherwise(surrogate))
 
 
