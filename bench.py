@@ -24,7 +24,7 @@ HEADLINE = [
     "rev_at_date", "object_stats", "content_ids", "anti_archive", "diff_stat",
     "conv_revision_chain", "url_quote", "parse_external", "static_tree",
     "expand_copies", "orders_tree_ids", "tree_diff", "visit_outcome", "incremental_equals_full",
-    "dump_log_status", "retry_plan", "export_tree",
+    "dump_log_status", "export_tree",
 ]
 
 

@@ -27,7 +27,3 @@ def ancestors(path: Column, include_self: bool = False) -> Column:
     return F.when((path == "") | (n < 1), F.array().cast("array<string>")).otherwise(
         F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(parts, 1, i), "/")))
 
-
-def is_under(path: Column, prefix: Column) -> Column:
-    """``path`` equals ``prefix`` or lies below it on a ``/`` boundary."""
-    return (prefix == "") | (path == prefix) | path.startswith(F.concat(prefix, F.lit("/")))

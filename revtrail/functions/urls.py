@@ -12,18 +12,8 @@ from pyspark.sql import functions as F
 QUOTE_EXTRA_SAFE = "/:!$&'()*+,=@"
 UNRESERVED = string.ascii_letters + string.digits + "_.-~"
 SAFE_HEX = sorted({format(ord(c), "02X") for c in UNRESERVED + QUOTE_EXTRA_SAFE})
-# Message prefixes of network errors worth retrying.
-RETRYABLE_PREFIXES = (
-    "Connection timed out",
-    "Unable to connect to a repository at URL",
-    "Error running context: The server unexpectedly closed the connection",
-    "ra_serf: The server sent a truncated HTTP response body",
-    "Unexpected HTTP status 504 'Gateway Time-out'",
-)
 # Dump loading errors after which a partial load is kept.
 PARTIAL_LOAD_CODES = ("E000002", "E160013", "E200014")
-RETRY_MAX_ATTEMPTS = 3
-RETRY_EXP_BASE = 10
 
 
 def url_quote(url: Column) -> Column:
@@ -91,7 +81,7 @@ def strip_credentials(url: Column) -> Column:
     userinfo = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*)@", 1)
     user = F.nullif(F.regexp_extract(userinfo, r"^([^:]*)", 1), F.lit(""))
     clean = F.regexp_replace(url, r"^([A-Za-z][A-Za-z0-9+.-]*://)[^/?#@]*@", "$1")
-    return F.struct(F.url_decode(user).alias("username"), clean.alias("url"))
+    return F.struct(F.try_url_decode(user).alias("username"), clean.alias("url"))
 
 
 def dump_name(url: Column) -> Column:
@@ -107,13 +97,6 @@ def is_recursive_external(origin_url: Column, dir_path: Column, ext_path: Column
     return (F.regexp_replace(host, "/+$", "") != ext) & host.startswith(F.concat(ext, F.lit("/")))
 
 
-def is_retryable(message: Column) -> Column:
-    cond = F.lit(False)
-    for p in RETRYABLE_PREFIXES:
-        cond = cond | message.startswith(p)
-    return cond
-
-
 def partial_load_possible(message: Column) -> Column:
     cond = F.lit(False)
     for c in PARTIAL_LOAD_CODES:

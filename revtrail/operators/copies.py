@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from revtrail.functions import paths as P
 from revtrail.operators.intervals import Intervals, build_intervals
+from revtrail.session import cut_lineage
 from revtrail.sources.adapters import SEQ_COPY
 
 
@@ -32,11 +33,13 @@ def expand_once(copies: DataFrame, iv: Intervals) -> DataFrame:
                                          F.lit(None).cast("long").alias("length"),
                                          "from_rev", "to_rev")))
     srcs = copies.select("origin", F.col("src").alias("anc")).distinct()
-    under = (nodes.select("*", F.explode(P.ancestors(F.col("path"), include_self=True)).alias("anc"))
-             .join(srcs, ["origin", "anc"], "left_semi"))
+    # the root ("") is above every path
+    above = F.concat(F.array(F.lit("")), P.ancestors(F.col("path"), include_self=True))
+    under = nodes.select("*", F.explode(above).alias("anc")).join(srcs, ["origin", "anc"], "left_semi")
     hit = under.join(copies.withColumnRenamed("src", "anc"), ["origin", "anc"]) \
         .where((F.col("from_rev") <= F.col("src_rev")) & (F.col("src_rev") < F.col("to_rev")))
-    rel = F.substring(F.col("path"), F.length("anc") + 1, 1 << 30)
+    rel = F.when(F.col("anc") == "", F.concat(F.lit("/"), F.col("path"))).otherwise(
+        F.substring(F.col("path"), F.length("anc") + 1, 1 << 30))
     return hit.select(
         "origin", "rev", F.lit(SEQ_COPY).alias("seq"), F.concat(F.col("dst"), rel).alias("path"),
         "kind", F.lit("put").alias("action"), F.lit(None).cast("string").alias("copyfrom_path"),
@@ -44,11 +47,14 @@ def expand_once(copies: DataFrame, iv: Intervals) -> DataFrame:
 
 
 def _chained(copies: DataFrame) -> bool:
-    """Does any copy read from below (or above) another copy's destination?"""
-    dst = copies.select("origin", F.col("dst").alias("anc")).distinct()
-    src_anc = copies.select("origin", F.explode(P.ancestors(F.col("src"), include_self=True))
-                            .alias("anc"))
-    return src_anc.join(dst, ["origin", "anc"], "left_semi").limit(1).count() > 0
+    """Does any copy read at, below or above another copy's destination?"""
+    def up(c, name):
+        paths = F.concat(F.array(F.lit("")), P.ancestors(F.col(c), include_self=True))
+        return copies.select("origin", F.explode(paths).alias(name))
+    at = lambda c, name: copies.select("origin", F.col(c).alias(name)).distinct()
+    below = up("src", "p").join(at("dst", "p"), ["origin", "p"], "left_semi")
+    holds = up("dst", "p").join(at("src", "p"), ["origin", "p"], "left_semi")
+    return not (below.isEmpty() and holds.isEmpty())
 
 
 def _top(path):
@@ -65,19 +71,29 @@ def _merge(base: Intervals, rebuilt: Intervals, tops: DataFrame) -> Intervals:
     return Intervals(pick(base.files, rebuilt.files), pick(base.dirs, rebuilt.dirs))
 
 
-def expand_copies(changes: DataFrame, max_rounds: int = 64) -> tuple[DataFrame, Intervals]:
+def _content(df: DataFrame) -> tuple:
+    """Row count and order-free hash of all columns."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("x")).first()
+    return r["n"], r["x"]
+
+
+def expand_copies(changes: DataFrame) -> tuple[DataFrame, Intervals]:
     """Changes with every copy expanded into put rows, and their intervals.
 
-    When no copy source lies under a copy destination one round is exact;
-    otherwise rounds repeat (copy-of-copy) until the expanded rows stop
-    changing.  Expanded rows only land below copy destinations, so only
+    One round is exact when no copy reads at, below or above the place
+    another one writes to.  Otherwise rounds repeat until the expanded rows
+    stay as they are.  A copy reads an earlier revision than its own, so
+    each round settles one more link of every chain of copies, and the
+    rounds end.  Expanded rows only land below copy destinations, so only
     the top-level subtrees holding a destination are rebuilt; the intervals
     of every other path come from the first build unchanged.
     """
-    copies = copy_rows(changes).cache()
+    copies = cut_lineage(copy_rows(changes))
     plain = changes.where(F.col("copyfrom_rev") == -1)
-    if copies.limit(1).count() == 0:
+    if copies.isEmpty():
         return plain, build_intervals(plain)
+    if not copies.where(F.col("src_rev") >= F.col("rev")).isEmpty():
+        raise ValueError("a copy reads a revision that isn't before its own")
     # the destination is cleared first (a no-op when it does not exist)
     clear = copies.select("origin", "rev", F.lit(0).alias("seq"), F.col("dst").alias("path"),
                           F.lit("dir").alias("kind"), F.lit("delete").alias("action"),
@@ -85,20 +101,25 @@ def expand_copies(changes: DataFrame, max_rounds: int = 64) -> tuple[DataFrame,
                           F.lit(-1).cast("long").alias("copyfrom_rev"),
                           F.lit(None).cast("string").alias("blob_id"),
                           F.lit(None).cast("long").alias("length"))
-    plain = plain.unionByName(clear)
+    # the root has no node of its own: a copy of it makes its destination
+    made = copies.where(F.col("src") == "").select(
+        "origin", "rev", F.lit(SEQ_COPY).alias("seq"), F.col("dst").alias("path"), F.lit("dir").alias("kind"),
+        F.lit("put").alias("action"), F.lit(None).cast("string").alias("copyfrom_path"),
+        F.lit(-1).cast("long").alias("copyfrom_rev"), F.lit(None).cast("string").alias("blob_id"),
+        F.lit(None).cast("long").alias("length"))
+    plain = plain.unionByName(clear).unionByName(made)
     base = build_intervals(plain)
-    tops = copies.select("origin", _top(F.col("dst")).alias("_top")).distinct().cache()
+    tops = cut_lineage(copies.select("origin", _top(F.col("dst")).alias("_top")).distinct())
     affected = plain.withColumn("_top", _top(F.col("path"))) \
         .join(tops, ["origin", "_top"], "left_semi").drop("_top")
-    iv = base
-    rounds = max_rounds if _chained(copies) else 1
-    expanded = None
-    prev_n = -1
-    for _ in range(rounds):
-        expanded = expand_once(copies, iv).cache()
-        n = expanded.count()
+    chained = _chained(copies)
+    iv, before = base, None
+    while True:
+        expanded = cut_lineage(expand_once(copies, iv))
+        now = _content(expanded) if chained else None
+        if chained and now == before:
+            return plain.unionByName(expanded), iv
         iv = _merge(base, build_intervals(affected.unionByName(expanded)), tops)
-        if n == prev_n:
-            break
-        prev_n = n
-    return plain.unionByName(expanded), iv
+        if not chained:
+            return plain.unionByName(expanded), iv
+        before = now

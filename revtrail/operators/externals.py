@@ -46,7 +46,7 @@ def definitions(intervals: DataFrame, origins: DataFrame) -> DataFrame:
     out = parsed.select("origin", "origin_url", "dir", "from_rev", "to_rev", "line_no", "line",
                         d["path"].alias("path"), d["url"].alias("url"),
                         d["revision"].alias("revision"), d["peg_revision"].alias("peg_revision"),
-                        d["relative_url"].alias("relative_url"),
+                        d["peg_date"].alias("peg_date"), d["relative_url"].alias("relative_url"),
                         d["legacy_format"].alias("legacy_format"), d["error"].alias("error"))
     w = Window.partitionBy("origin", "dir", "from_rev")
     out = out.withColumn("void", F.bool_or(F.col("error").isNotNull()).over(w))
@@ -60,21 +60,23 @@ def definitions(intervals: DataFrame, origins: DataFrame) -> DataFrame:
 def _with_keys(df: DataFrame) -> DataFrame:
     """Null-safe join keys for the optional revisions."""
     return (df.withColumn("rev_k", F.coalesce(F.col("revision"), F.lit(-1)))
-            .withColumn("peg_k", F.coalesce(F.col("peg_revision"), F.lit(-1))))
+            .withColumn("peg_k", F.coalesce(F.col("peg_revision"), F.lit(-1)))
+            .withColumn("date_k", F.coalesce(F.col("peg_date"), F.lit(""))))
 
 
 def resolve(defs: DataFrame, origins: DataFrame, commits: DataFrame) -> DataFrame:
     """Distinct usable definitions -> target origin, sub path, target revision.
 
     The target origin is the known origin whose url is the longest
-    ``/``-prefix of the definition url.  The revision is the peg, else
-    the operative revision, else the target revision current at the date
-    of the host revision that set the definition.
+    ``/``-prefix of the definition url.  The revision is the peg (a dated
+    one: the target revision current at that date, if any), else the
+    operative revision, else the target revision current at the date of
+    the host revision that set the definition.
     """
     usable = defs.where(~F.col("void") & ~F.col("recursive"))
     dates = commits.select("origin", F.col("rev").alias("from_rev"), F.col("date").alias("host_date"))
     keyed = _with_keys(usable.join(dates, ["origin", "from_rev"])).select(
-        "url", "revision", "peg_revision", "rev_k", "peg_k", "legacy_format", "host_date").distinct()
+        "url", "revision", "peg_revision", "peg_date", "rev_k", "peg_k", "date_k", "legacy_format", "host_date").distinct()
     cands = keyed.select("url", F.posexplode(root_url_candidates(F.col("url"))).alias("pos", "cand"))
     hit = cands.join(origins.select(F.col("url").alias("cand"), F.col("origin").alias("target")), "cand")
     best = hit.groupBy("url").agg(F.min_by(F.struct("target", "cand"), F.col("pos")).alias("b"))
@@ -82,17 +84,22 @@ def resolve(defs: DataFrame, origins: DataFrame, commits: DataFrame) -> DataFram
         "*", F.col("b.target").alias("target_origin"),
         F.regexp_replace(F.substring(F.col("url"), F.length("b.cand") + 1, 1 << 30), "^/+|/+$", "")
         .alias("sub_path")).drop("b")
-    floating = r.where(F.col("peg_revision").isNull() & F.col("revision").isNull()
-                       & F.col("target_origin").isNotNull())
-    at = asof_lookup(floating.select("url", "target_origin", "host_date", "rev_k", "peg_k")
-                     .withColumnRenamed("target_origin", "origin"),
-                     commits.select("origin", "date", F.col("rev").alias("asof_rev")),
-                     ["origin"], "host_date", "date", ["asof_rev"], lambda t: F.to_date(t))
-    at = at.withColumnRenamed("origin", "target_origin")
-    r = r.join(at.select("url", "rev_k", "peg_k", "host_date", "asof_rev"),
-               ["url", "rev_k", "peg_k", "host_date"], "left")
-    rev = F.coalesce(F.col("peg_revision"), F.col("revision"), F.col("asof_rev"))
-    return r.withColumn("target_rev", rev).drop("asof_rev")
+    known = commits.select("origin", "date", F.col("rev").alias("asof_rev"))
+    keys = ["url", "rev_k", "peg_k", "date_k", "host_date"]
+
+    def current(rows: DataFrame, when: str, out: str) -> DataFrame:
+        """The target revision current at ``when`` for each key."""
+        rows = rows.where(F.col("target_origin").isNotNull()).withColumnRenamed("target_origin", "origin")
+        at = asof_lookup(rows.select("origin", F.col(when).alias("_when"), *[k for k in keys]), known,
+                         ["origin"], "_when", "date", ["asof_rev"], lambda t: F.to_date(t), highest=True)
+        return at.select(*keys, F.col("asof_rev").alias(out))
+
+    r = r.withColumn("peg_at", F.try_to_timestamp("peg_date").cast(commits.schema["date"].dataType))
+    dated = current(r.where(F.col("peg_revision").isNull() & F.col("peg_at").isNotNull()), "peg_at", "peg_rev")
+    floating = current(r.where(F.col("peg_revision").isNull() & F.col("revision").isNull()), "host_date", "asof_rev")
+    r = r.join(dated, keys, "left").join(floating, keys, "left")
+    return r.withColumn("target_rev", F.coalesce("peg_revision", "peg_rev", "revision", "asof_rev")) \
+        .drop("asof_rev", "peg_rev", "peg_at")
 
 
 def graft(defs: DataFrame, resolved: DataFrame, commits: DataFrame, files: DataFrame,
@@ -102,8 +109,8 @@ def graft(defs: DataFrame, resolved: DataFrame, commits: DataFrame, files: DataF
     path of the grafted node.  ``status``: valid or dead."""
     dates = commits.select("origin", F.col("rev").alias("from_rev"), F.col("date").alias("host_date"))
     d = (_with_keys(defs.where(~F.col("void") & ~F.col("recursive")).join(dates, ["origin", "from_rev"]))
-         .join(resolved.drop("revision", "peg_revision", "legacy_format"),
-               ["url", "rev_k", "peg_k", "host_date"], "left"))
+         .join(resolved.drop("revision", "peg_revision", "peg_date", "legacy_format"),
+               ["url", "rev_k", "peg_k", "date_k", "host_date"], "left"))
     d = d.withColumn("dest", F.concat_ws("/", "dir", "path"))
     nodes = (files.select("origin", "path", F.lit("file").alias("kind"), F.col("blob_id").alias("id"),
                           "from_rev", "to_rev")
@@ -135,8 +142,8 @@ def classify(defs: DataFrame, grafted: DataFrame) -> DataFrame:
 def overlay_at(versioned: DataFrame, grafted: DataFrame, defs_at: DataFrame) -> DataFrame:
     """Listing at one revision per origin with externals applied.
 
-    versioned / grafted: (origin, path, kind, id) already restricted to the
-    revision; defs_at: definitions in force (origin, dest, rank, status).
+    versioned: (origin, path, kind, id), grafted: these with dir and line_no,
+    already restricted to the revision; defs_at: definitions in force (origin, dest, rank, status).
     Versioned nodes at or below the destination of a valid first-ranked
     definition are replaced; grafted nodes win on equal paths; every
     parent directory of a destination exists even for dead definitions.
@@ -151,7 +158,11 @@ def overlay_at(versioned: DataFrame, grafted: DataFrame, defs_at: DataFrame) ->
         "origin", F.explode(ancestors(F.col("dest"))).alias("path")).distinct() \
         .select("origin", "path", F.lit("dir").alias("kind"), F.lit(None).cast("string").alias("id"),
                 F.lit(2).alias("prio"))
-    g = grafted.select("origin", "path", "kind", "id", F.lit(0).alias("prio"))
-    allrows = g.unionByName(kept).unionByName(parents)
-    w = Window.partitionBy("origin", "path").orderBy("prio")
-    return allrows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "prio")
+    none = F.lit(None).cast("int")
+    g = grafted.select("origin", "path", "kind", "id", F.lit(0).alias("prio"), "dir", F.col("line_no").cast("int").alias("line_no"))
+    other = kept.unionByName(parents).withColumn("dir", F.lit(None).cast("string")).withColumn("line_no", none)
+    # of grafts on one path that of the deepest host directory wins, then the later line
+    w = Window.partitionBy("origin", "path").orderBy(
+        "prio", F.length("dir").desc(), F.col("dir").desc(), F.col("line_no").desc(), "kind", "id")
+    return (g.unionByName(other).withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
+            .drop("_rn", "prio", "dir", "line_no"))

@@ -138,10 +138,6 @@ def build_intervals(changes: DataFrame) -> Intervals:
     return Intervals(files, cut_lineage(dirs))
 
 
-def alive_at(df: DataFrame, rev_col) -> DataFrame:
-    return df.where((F.col("from_rev") <= rev_col) & (rev_col < F.col("to_rev")))
-
-
 def lifetimes(versions: DataFrame) -> DataFrame:
     """Merge consecutive versions of a path that follow each other without
     a delete in between: (origin, path, life_from, life_to)."""

@@ -39,12 +39,16 @@ def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 
 def asof_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: str,
-                right_t: str, values: Sequence[str], bucket_of, inclusive: bool = True
-                ) -> DataFrame:
+                right_t: str, values: Sequence[str], bucket_of, inclusive: bool = True,
+                highest: bool = False) -> DataFrame:
     """For every ``left`` row, the ``values`` of the ``right`` row of the same
     ``keys`` with the largest ``right_t`` <= ``left_t`` (``<`` when not
     ``inclusive``).  Right rows must be unique on (keys, right_t).
 
+    With ``highest`` the values of all earlier right rows compete and the
+    largest (by the first value) wins; then right rows need not be unique,
+    nor the values ascend with time.
+
     ``bucket_of(col)`` maps an order value to a coarser, monotone bucket.
     Left rows with no earlier right row get NULL values.
     """
@@ -63,10 +67,11 @@ def asof_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t:
     u = u.withColumn("_bkt", bucket_of(F.col("_t")))
     w = (Window.partitionBy(*keys, "_bkt").orderBy("_t", "_side")
          .rowsBetween(Window.unboundedPreceding, 0))
-    u = u.withColumn("_local", F.last("_val", ignorenulls=True).over(w))
+    best = F.max if highest else (lambda c: F.last(c, ignorenulls=True))
+    u = u.withColumn("_local", best("_val").over(w))
     # per-bucket carry: last right value of every earlier bucket
     summary = (rgt.withColumn("_bkt", bucket_of(F.col("_t")))
-               .groupBy(*keys, "_bkt").agg(F.max_by(packed, F.col("_t")).alias("_last")))
+               .groupBy(*keys, "_bkt").agg((F.max(packed) if highest else F.max_by(packed, F.col("_t"))).alias("_last")))
     lb = lft.select(*keys, bucket_of(F.col("_t")).alias("_bkt")).distinct() \
         .withColumn("_last", F.lit(None).cast(summary.schema["_last"].dataType))
     # a left bucket sorts before the summary of its own bucket, so only
@@ -75,11 +80,11 @@ def asof_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t:
                .rowsBetween(Window.unboundedPreceding, -1))
     carry = (summary.withColumn("_is_summary", F.lit(1))
              .unionByName(lb.withColumn("_is_summary", F.lit(0)))
-             .withColumn("_carry", F.last("_last", ignorenulls=True).over(carry_w))
+             .withColumn("_carry", best("_last").over(carry_w))
              .where(F.col("_is_summary") == 0).select(*keys, "_bkt", "_carry"))
     res = (u.where(F.col("_side") == l_side)
            .join(carry, [*keys, "_bkt"], "left")
-           .withColumn("_v", F.coalesce("_local", "_carry")))
+           .withColumn("_v", F.greatest("_local", "_carry") if highest else F.coalesce("_local", "_carry")))
     out_cols = [c for c in left.columns]
     return res.select(*out_cols, *[F.col("_v")[v].alias(v) for v in values])
 

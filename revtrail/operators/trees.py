@@ -105,16 +105,11 @@ def dir_versions(kids: DataFrame, lifetimes: DataFrame, split: bool = False) ->
     return out, bnd
 
 
-def build_trees(iv: Intervals, origins: DataFrame, max_depth: int | None = None
-                ) -> TreeVersions:
-    """Tree ids of every directory version, deepest level first.
-
-    ``max_depth`` is the deepest path depth (one small aggregate if unset).
-    """
+def build_trees(iv: Intervals, origins: DataFrame) -> TreeVersions:
+    """Tree ids of every directory version, deepest level first."""
     stats = (iv.files.select("depth", "from_rev").unionByName(iv.dirs.select("depth", "from_rev"))
              .agg(F.max("depth"), F.max("from_rev")).first())
-    if max_depth is None:
-        max_depth = stats[0] or 1
+    max_depth = stats[0] or 1
     split = (stats[1] or 0) >= intervals.REV_BUCKET
     files = file_entries(iv.files)
     lifetimes = iv.dirs

@@ -151,7 +151,7 @@ def q_rev_at_date(spark, sf):
     probes = days.unionByName(before).withColumn(
         "probe", F.to_timestamp(F.concat(F.col("day").cast("string"), F.lit(" 12:00:00"))))
     out = asof_lookup(probes, c.select("origin", "date", "rev"), ["origin"], "probe", "date",
-                      ["rev"], lambda t: F.to_date(t))
+                      ["rev"], lambda t: F.to_date(t), highest=True)
     return out.select("origin", F.col("day").cast("string").alias("day"), "rev")
 
 
@@ -443,8 +443,8 @@ def q_incremental_equals_full(spark, sf):
             log.origins,
             log.commits.join(mid, "origin").where(F.col("rev") <= F.col("at_rev")).drop("at_rev"),
             log.changes.join(mid, "origin").where(F.col("rev") <= F.col("at_rev")).drop("at_rev"))
-        previous = load(prefix, max_depth=2)
-        return load_incremental(log, previous, mid, max_depth=2).revisions
+        previous = load(prefix)
+        return load_incremental(log, previous, mid).revisions
     return jobs.memo(spark, sf, "incremental", build).select("origin", "rev", "revision_id")
 
 
@@ -583,45 +583,6 @@ def q_classify_dump_error(spark, sf):
                     partial_load_possible(F.col("line")).alias("partial_possible"))
 
 
-# Failure messages cycled through by the synthetic attempts table.
-ATTEMPT_MESSAGES = [
-    None, "Connection timed out", "Unable to connect to a repository at URL 'x'",
-    "Error running context: The server unexpectedly closed the connection.",
-    "ra_serf: The server sent a truncated HTTP response body",
-    "Unexpected HTTP status 504 'Gateway Time-out' on '/r'", "E170013: not found", None,
-]
-
-
-def _attempts(spark, sf):
-    res = jobs.events_load(spark, sf)
-    msgs = F.array(*[F.lit(m).cast("string") for m in ATTEMPT_MESSAGES])
-    n = len(ATTEMPT_MESSAGES)
-    return res.log.origins.select("origin", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("attempt")) \
-        .select("origin", "attempt",
-                F.element_at(msgs, ((_uid() * 3 + F.col("attempt")) % n + 1).cast("int")).alias("error"))
-
-
-@register("retry_plan")
-def q_retry_plan(spark, sf):
-    from revtrail.plans.failures import retry_plan
-    return retry_plan(_attempts(spark, sf))
-
-
-@register("retryable")
-def q_retryable(spark, sf):
-    from revtrail.functions.urls import is_retryable
-    a = _attempts(spark, sf).where(F.col("error").isNotNull())
-    return a.select("origin", "attempt", is_retryable(F.col("error")).alias("retryable"))
-
-
-@register("classify_open_error")
-def q_classify_open_error(spark, sf):
-    from revtrail.plans.failures import classify_open_error
-    a = _attempts(spark, sf).where(F.col("error").isNotNull())
-    return a.select("origin", "attempt",
-                    classify_open_error(F.col("error"), F.col("attempt")).alias("action"))
-
-
 # ------------------------------------------------ more scans, sinks, checks
 
 @register("normalize_changes")
@@ -733,15 +694,6 @@ def q_collect_objects(spark, sf):
         "origin", F.coalesce("contents", F.lit(0)).alias("contents"), "directories", "revisions")
 
 
-@register("first_working_credential")
-def q_first_working_credential(spark, sf):
-    """First attempt (of none, two anonymous variants) that opened."""
-    a = _attempts(spark, sf).where(F.col("attempt") <= 3)
-    ok = a.where(F.col("error").isNull()).groupBy("origin").agg(F.min("attempt").alias("attempt"))
-    return a.select("origin").distinct().join(ok, "origin", "left").select(
-        "origin", F.col("attempt").alias("first_ok_attempt"))
-
-
 @register("alternate_urls")
 def q_alternate_urls(spark, sf):
     from revtrail.functions.urls import alternate_urls
@@ -922,7 +874,7 @@ def _overlay(spark, sf):
             (F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
         versioned = _listing_at(res, at)
         from revtrail.session import cut_lineage
-        return cut_lineage(overlay_at(versioned, g.select("origin", "path", "kind", "id"),
+        return cut_lineage(overlay_at(versioned, g.select("origin", "path", "kind", "id", "dir", "line_no"),
                                       s.select("origin", "dest", "rank", "status")))
     return jobs.memo(spark, sf, "overlay", build)
 
@@ -1067,7 +1019,7 @@ def q_full_reload(spark, sf):
     from revtrail.plans.load import load
     first = jobs.events_load(spark, sf).snapshots
     again = jobs.memo(spark, sf, "full_reload",
-                      lambda: load(adapters.events_changelog(spark, sf), max_depth=2).snapshots)
+                      lambda: load(adapters.events_changelog(spark, sf)).snapshots)
     j = again.join(first.select("origin", F.col("snapshot_id").alias("previous")), "origin", "left")
     return j.select("origin", "snapshot_id", F.when(F.col("snapshot_id") == F.col("previous"), "uneventful")
                     .otherwise("eventful").alias("load_status"))

@@ -10,15 +10,17 @@ from revtrail.functions.hashing import PERM_EXEC, PERM_FILE, PERM_LINK
 # Eol-style property values and the line ending they produce.
 EOL_TARGETS = {"native": "\n", "LF": "\n", "CRLF": "\r\n", "CR": "\r"}
 SPECIAL_PREFIX = "link "
+#: One character for each byte, so data of any encoding comes back as it was.
+BYTES = "ISO-8859-1"
 
 
 def apply_eol(data: Column, style: Column) -> Column:
     """Rewrite every line ending (CRLF, lone CR, lone LF) to the style's
     ending; unknown styles leave the data unchanged."""
-    text = F.decode(data, "UTF-8")
+    text = F.decode(data, BYTES)
     out = data
     for name, nl in EOL_TARGETS.items():
-        out = F.when(style == name, F.encode(F.regexp_replace(text, "\r\n|\r|\n", nl), "UTF-8")) \
+        out = F.when(style == name, F.encode(F.regexp_replace(text, "\r\n|\r|\n", nl), BYTES)) \
             .otherwise(out)
     return out
 
@@ -26,9 +28,9 @@ def apply_eol(data: Column, style: Column) -> Column:
 def apply_special(data: Column, special: Column) -> tuple[Column, Column]:
     """(data, is_link): with the special property and ``link X`` data the
     node is a symlink whose content is X; otherwise unchanged."""
-    text = F.decode(data, "UTF-8")
+    text = F.decode(data, BYTES)
     is_link = F.coalesce(special, F.lit(False)) & text.startswith(SPECIAL_PREFIX)
-    new = F.when(is_link, F.encode(F.substring(text, len(SPECIAL_PREFIX) + 1, 1 << 30), "UTF-8")) \
+    new = F.when(is_link, F.encode(F.substring(text, len(SPECIAL_PREFIX) + 1, 1 << 30), BYTES)) \
         .otherwise(data)
     return new, is_link
 

@@ -29,17 +29,17 @@ def memo(spark: SparkSession, sf_dir: str, name: str, build):
 
 def events_load(spark: SparkSession, sf_dir: str) -> LoadResult:
     return memo(spark, sf_dir, "events_load",
-                lambda: load(adapters.events_changelog(spark, sf_dir), max_depth=2))
+                lambda: load(adapters.events_changelog(spark, sf_dir)))
 
 
 def conversations_load(spark: SparkSession, sf_dir: str) -> LoadResult:
     return memo(spark, sf_dir, "conversations_load",
-                lambda: load(adapters.conversations_changelog(spark, sf_dir), max_depth=1))
+                lambda: load(adapters.conversations_changelog(spark, sf_dir)))
 
 
 def nations_load(spark: SparkSession, sf_dir: str) -> LoadResult:
     return memo(spark, sf_dir, "nations_load",
-                lambda: load(adapters.nations_changelog(spark, sf_dir), max_depth=2))
+                lambda: load(adapters.nations_changelog(spark, sf_dir)))
 
 
 def events_visits(spark: SparkSession, sf_dir: str):
@@ -87,7 +87,7 @@ def history_check(spark: SparkSession, sf_dir: str):
 
 def orders_load(spark: SparkSession, sf_dir: str) -> LoadResult:
     return memo(spark, sf_dir, "orders_load",
-                lambda: load(adapters.orders_changelog(spark, sf_dir), max_depth=4))
+                lambda: load(adapters.orders_changelog(spark, sf_dir)))
 
 
 def externals(spark: SparkSession, sf_dir: str) -> dict:

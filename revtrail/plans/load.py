@@ -51,11 +51,10 @@ def head_snapshots(revisions: DataFrame) -> DataFrame:
                        snapshot_id(F.array(branch)).alias("snapshot_id"))
 
 
-def load(log: ChangeLog, seeds: DataFrame | None = None, max_depth: int | None = None
-         ) -> LoadResult:
+def load(log: ChangeLog, seeds: DataFrame | None = None) -> LoadResult:
     changes, iv = expand_copies(log.changes)
     log = ChangeLog(log.origins, log.commits, changes)
-    trees = build_trees(iv, log.origins, max_depth=max_depth)
+    trees = build_trees(iv, log.origins)
     tar = tree_at_revision(log.commits, trees.root)
     bodies = revision_bodies(log.commits, tar, log.origins)
     chain = revision_chain(bodies, seeds)
@@ -83,8 +82,7 @@ def archived_state(res: LoadResult, at_rev: DataFrame) -> DataFrame:
         "blob_id", "length")
 
 
-def load_incremental(log: ChangeLog, previous: LoadResult, last_rev: DataFrame,
-                     max_depth: int | None = None) -> LoadResult:
+def load_incremental(log: ChangeLog, previous: LoadResult, last_rev: DataFrame) -> LoadResult:
     """Load only the revisions after each origin's ``last_rev`` (origin,
     at_rev), starting from the archived tree and chained onto the archived
     revision id."""
@@ -96,4 +94,4 @@ def load_incremental(log: ChangeLog, previous: LoadResult, last_rev: DataFrame,
     inc_log = ChangeLog(log.origins, new_commits, state.unionByName(new_changes))
     seeds = (previous.revisions.join(last_rev, "origin").where(F.col("rev") == F.col("at_rev"))
              .select("origin", F.col("revision_id").alias("seed_parent")))
-    return load(inc_log, seeds=seeds, max_depth=max_depth)
+    return load(inc_log, seeds=seeds)

@@ -528,46 +528,6 @@ SELECT origin, CASE WHEN uid % 11 = 0 THEN 'E170013' ELSE 'E000104' END AS code,
 FROM heads WHERE uid % 11 = 0 OR uid % 9 = 0
 """
 
-_MSGS = ("[NULL, 'Connection timed out', 'Unable to connect to a repository at URL ''x''', "
-         "'Error running context: The server unexpectedly closed the connection.', "
-         "'ra_serf: The server sent a truncated HTTP response body', "
-         "'Unexpected HTTP status 504 ''Gateway Time-out'' on ''/r''', 'E170013: not found', NULL]")
-
-ATTEMPTS = f"""
-o AS (SELECT DISTINCT 'u' || CAST(user_id AS VARCHAR) AS origin, user_id AS uid FROM events),
-a AS (SELECT origin, CAST(t.attempt AS INTEGER) AS attempt, ({_MSGS})[(uid * 3 + t.attempt) % 8 + 1] AS error
-      FROM o, range(1, 5) t(attempt)),
-ar AS (SELECT *, error IS NOT NULL AND (starts_with(error, 'Connection timed out')
-         OR starts_with(error, 'Unable to connect to a repository at URL')
-         OR starts_with(error, 'Error running context: The server unexpectedly closed the connection')
-         OR starts_with(error, 'ra_serf: The server sent a truncated HTTP response body')
-         OR starts_with(error, 'Unexpected HTTP status 504 ''Gateway Time-out''')) AS retryable FROM a)
-"""
-
-ORACLE_SQL["retry_plan"] = f"""
-WITH {ATTEMPTS},
-k AS (SELECT ar.*, coalesce(bool_or(NOT retryable) OVER (PARTITION BY origin ORDER BY attempt
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS stopped FROM ar WHERE attempt <= 3)
-SELECT origin, count(*) AS n_attempts,
-       CASE WHEN arg_max(error, attempt) IS NULL THEN 'ok' ELSE 'failed' END AS final_status,
-       CAST(sum(CASE WHEN attempt > 1 THEN pow(10, attempt - 2) END) AS BIGINT) AS wait_seconds
-FROM k WHERE NOT stopped GROUP BY origin
-"""
-
-ORACLE_SQL["retryable"] = f"""
-WITH {ATTEMPTS} SELECT origin, attempt, retryable FROM ar WHERE error IS NOT NULL
-"""
-
-ORACLE_SQL["classify_open_error"] = f"""
-WITH {ATTEMPTS}
-SELECT origin, attempt,
-       CASE WHEN attempt >= 3 THEN 'not_found'
-            WHEN contains(error, 'Unknown URL type') OR contains(error, 'is not a working copy') THEN 'not_found'
-            WHEN contains(error, 'Unable to connect to a repository at URL') OR contains(error, 'No provider registered for') THEN 'next_credentials'
-            ELSE 'raise' END AS action
-FROM ar WHERE error IS NOT NULL
-"""
-
 ORACLE_SQL["normalize_changes"] = f"""
 WITH {E_BASE}
 SELECT origin, rev, CASE WHEN op = 'put' THEN 2 ELSE 0 END AS seq,
@@ -622,8 +582,12 @@ FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head
 WHERE l.path = 'd1' OR starts_with(l.path, 'd1/') OR l.path = 'd3/f35' OR l.path = 'd3'
 """
 
+# only the last two revisions of each origin are listed
+_LAST_TWO = E_LISTING.replace(
+    "revs AS (SELECT origin, rev FROM ev)",
+    "revs AS (SELECT origin, rev FROM ev QUALIFY rev >= max(rev) OVER (PARTITION BY origin) - 1)")
 ORACLE_SQL["tree_diff"] = f"""
-WITH {E_LISTING},
+WITH {_LAST_TWO},
 n AS (SELECT l.* FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head),
 o AS (SELECT l.* FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head - 1)
 SELECT coalesce(n.origin, o.origin) AS origin, coalesce(n.path, o.path) AS path,
@@ -651,12 +615,6 @@ SELECT r.origin,
 FROM revs r GROUP BY r.origin
 """
 
-ORACLE_SQL["first_working_credential"] = f"""
-WITH {ATTEMPTS}
-SELECT origin, CAST(min(CASE WHEN error IS NULL THEN attempt END) AS INTEGER) AS first_ok_attempt
-FROM ar WHERE attempt <= 3 GROUP BY origin
-"""
-
 ORACLE_SQL["alternate_urls"] = """
 WITH u AS (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN regexp_replace(url, '://[^/?#]*', '://svn.example.net')
                                 ELSE url END AS url FROM pages)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revtrail.session import path_exists
+
 # Fixed value: default maximum content size in bytes.
 DEFAULT_MAX_CONTENT_SIZE = 100_000
 
@@ -25,21 +27,17 @@ def new_objects(candidates: DataFrame, archive: DataFrame, key: str = "id") -> D
     return candidates.dropDuplicates([key]).join(archive.select(key), key, "left_anti")
 
 
-def append_new(df: DataFrame, archive_path: str, key: str, partition_by: str | None = None,
+def append_new(df: DataFrame, archive_path: str, key: str,
                max_records_per_file: int = 1_000_000) -> int:
     """Append rows whose ``key`` is not yet in the archive table at
     ``archive_path``; returns the number of rows written."""
     spark = df.sparkSession
-    try:
-        archived = spark.read.parquet(archive_path).select(key)
-        fresh = new_objects(df, archived, key)
-    except Exception:  # noqa: BLE001 - no archive yet
+    if path_exists(spark, archive_path):
+        fresh = new_objects(df, spark.read.parquet(archive_path).select(key), key)
+    else:
         fresh = df.dropDuplicates([key])
     fresh = fresh.cache()
     n = fresh.count()
-    w = fresh.write.mode("append").option("maxRecordsPerFile", max_records_per_file)
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(archive_path)
+    fresh.write.mode("append").option("maxRecordsPerFile", max_records_per_file).parquet(archive_path)
     fresh.unpersist()
     return n

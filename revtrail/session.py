@@ -61,8 +61,9 @@ def ship_package() -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is
-    unset (local tests) fall back to a fresh scratch folder."""
+    """Use the cluster's shared ``spark.checkpoint.dir``; a local session
+    without it gets a scratch folder, a cluster without it is an error (its
+    executors would each write to their own disk)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -70,11 +71,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(DEFAULT_CHECKPOINT_KEY, None) or sc.getConf().get(
         DEFAULT_CHECKPOINT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"set {DEFAULT_CHECKPOINT_KEY} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="revtrail-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder at ``path`` (on any store Spark reaches)?
+    Storage errors are raised, not taken for absence."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives the
     loss of an executor, unlike a local checkpoint)."""

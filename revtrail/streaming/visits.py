@@ -24,20 +24,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revtrail.plans.load import archived_state, load
-from revtrail.session import cut_lineage, ensure_checkpoint_dir
+from revtrail.session import cut_lineage, ensure_checkpoint_dir, path_exists
 from revtrail.sources.adapters import ChangeLog, events_to_changelog, uuid_of
 from revtrail.sources.tables import TABLE_SCHEMAS
 
-STATE_BUCKETS = 64
-
-
-def _bucket(c):
-    return F.abs(F.hash(c)) % STATE_BUCKETS
-
-
 class VisitStream:
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    """``buckets``: files of the state tables; fixed for a stream's life, so
+    set it to the archive's size when the stream is created."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int = 64):
         self.spark = spark
+        self.buckets = buckets
         base = ensure_checkpoint_dir(spark).rstrip("/")
         self.root = root or f"{base}/revtrail-stream-{uuid.uuid4().hex}"
         self.incoming = f"{self.root}/incoming"
@@ -49,20 +46,22 @@ class VisitStream:
 
     # ---------------------------------------------------------------- state
     def _read(self, path, schema):
-        try:
+        if path_exists(self.spark, path):
             return self.spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - no state yet
-            return self.spark.createDataFrame([], schema)
+        return self.spark.createDataFrame([], schema)
+
+    def _bucket(self, c):
+        return F.pmod(F.hash(c), F.lit(self.buckets))
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = self.spark
         ev = batch.select("event_id", "ts", "user_id", "event_type", "props") \
             .withColumn("origin", F.concat(F.lit("u"), F.col("user_id").cast("string"))) \
             .withColumn("k", F.get_json_object("props", "$.k").cast("int")).drop("props")
-        ev = cut_lineage(ev.withColumn("bkt", _bucket(F.col("origin"))))
+        ev = cut_lineage(ev.withColumn("bkt", self._bucket(F.col("origin"))))
         heads = self._read(self.heads, "origin string, last_rev long, last_ts timestamp_ntz, "
                                        "last_id string, bkt int")
-        touched_b = [r[0] for r in ev.select("bkt").distinct().collect()]  # <= STATE_BUCKETS ints
+        touched_b = [r[0] for r in ev.select("bkt").distinct().collect()]  # <= buckets ints
         heads_t = heads.where(F.col("bkt").isin(touched_b))
         ev = ev.join(heads_t.select("origin", "last_rev", "last_ts"), "origin", "left")
         late = ev.where(F.col("last_ts").isNotNull() & (F.col("ts") <= F.col("last_ts")))
@@ -80,15 +79,14 @@ class VisitStream:
         prior = tree.where(F.col("bkt").isin(touched_b) & (F.col("action") == "put")) \
             .join(origins.select("origin"), "origin", "left_semi").drop("bkt")
         seeds = heads_t.select("origin", F.col("last_id").alias("seed_parent"))
-        res = load(ChangeLog(origins, log.commits, prior.unionByName(log.changes)), seeds=seeds,
-                   max_depth=2)
+        res = load(ChangeLog(origins, log.commits, prior.unionByName(log.changes)), seeds=seeds)
         new_revs = res.revisions.select("origin", "rev", "tree_id", "revision_id")
         new_revs.write.mode("append").parquet(self.revisions)
         # new heads and tree state of the touched origins
         last = ev.groupBy("origin").agg(F.max("rev").alias("last_rev"), F.max("ts").alias("last_ts"))
         new_heads = (last.join(new_revs.withColumnRenamed("rev", "last_rev"), ["origin", "last_rev"])
                      .select("origin", "last_rev", "last_ts", F.col("revision_id").alias("last_id"))
-                     .withColumn("bkt", _bucket(F.col("origin"))))
+                     .withColumn("bkt", self._bucket(F.col("origin"))))
         keep_heads = heads_t.join(new_heads.select("origin"), "origin", "left_anti")
         state = archived_state(res, last.select("origin", F.col("last_rev").alias("at_rev")))
         # one marker row per origin: a bucket whose trees all became empty
@@ -100,7 +98,7 @@ class VisitStream:
                              F.lit(-1).cast("long").alias("copyfrom_rev"),
                              F.lit(None).cast("string").alias("blob_id"),
                              F.lit(None).cast("long").alias("length"))
-        new_tree = state.unionByName(marker).withColumn("bkt", _bucket(F.col("origin")))
+        new_tree = state.unionByName(marker).withColumn("bkt", self._bucket(F.col("origin")))
         keep_tree = tree.where(F.col("bkt").isin(touched_b)).join(new_heads.select("origin"), "origin",
                                                                   "left_anti")
         # materialise both new states before replacing either: both are

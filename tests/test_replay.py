@@ -46,7 +46,7 @@ def test_second_visit_is_uneventful(spark):
     from revtrail.sources.adapters import events_changelog
     a = {r.origin: r.snapshot_id for r in jobs.events_load(spark, SF_SMALL).snapshots.collect()}
     b = {r.origin: r.snapshot_id
-         for r in load(events_changelog(spark, SF_SMALL), max_depth=2).snapshots.collect()}
+         for r in load(events_changelog(spark, SF_SMALL)).snapshots.collect()}
     assert a == b
 
 
@@ -67,7 +67,7 @@ def test_block_split_windows_match_sequential(spark, monkeypatch):
     pdf = pd.read_parquet(f"{SF_SMALL}/events.parquet")
     exp = naive.replay_events(pdf)
     got = {(r.origin, r.rev): (r.tree_id, r.revision_id)
-           for r in load(events_changelog(spark, SF_SMALL), max_depth=2).revisions.collect()}
+           for r in load(events_changelog(spark, SF_SMALL)).revisions.collect()}
     for origin, hist in exp.items():
         for rev, tree, rid in hist:
             assert got[(origin, rev)] == (tree, rid), (origin, rev)
@@ -75,7 +75,7 @@ def test_block_split_windows_match_sequential(spark, monkeypatch):
     li = pd.read_parquet(f"{SF_SMALL}/lineitem.parquet")
     exp_o = naive.replay_orders(o, li)
     got_o = {(r.origin, r.rev): r.tree_id
-             for r in load(orders_changelog(spark, SF_SMALL), max_depth=4).tree_at_rev.collect()}
+             for r in load(orders_changelog(spark, SF_SMALL)).tree_at_rev.collect()}
     for origin, hist in exp_o.items():
         for rev, tree, _ in hist:
             assert got_o[(origin, rev)] == tree, (origin, rev)
