@@ -35,7 +35,7 @@ class Intervals:
     dirs: DataFrame        # origin, path, parent, name, depth, from_rev, to_rev (lifetimes)
 
 
-def _with_path_parts(df: DataFrame) -> DataFrame:
+def with_path_parts(df: DataFrame) -> DataFrame:
     return (df.withColumn("parent", P.parent(F.col("path")))
             .withColumn("name", P.basename(F.col("path")))
             .withColumn("depth", P.depth(F.col("path"))))
@@ -124,7 +124,7 @@ def build_intervals(changes: DataFrame) -> Intervals:
                             & (F.col("next_rev") < F.col("anc_death")))
                 .where(F.col("from_rev") < F.col("to_rev")))
     versions = cut_lineage(versions)
-    files = _with_path_parts(
+    files = with_path_parts(
         versions.where(F.col("kind") == "file")
         .select("origin", "path", "blob_id", "length", "from_rev", "to_rev", "continues"))
     dv = versions.where(F.col("kind") == "dir").select("origin", "path", "from_rev", "to_rev",
@@ -133,7 +133,7 @@ def build_intervals(changes: DataFrame) -> Intervals:
     dv = (dv.withColumn("born", ~F.coalesce(F.lag("continues").over(lw), F.lit(False)))
           .withColumn("life", F.sum(F.col("born").cast("int")).over(
               lw.rowsBetween(Window.unboundedPreceding, 0))))
-    dirs = _with_path_parts(dv.groupBy("origin", "path", "life").agg(
+    dirs = with_path_parts(dv.groupBy("origin", "path", "life").agg(
         F.min("from_rev").alias("from_rev"), F.max("to_rev").alias("to_rev")).drop("life"))
     return Intervals(files, cut_lineage(dirs))
 

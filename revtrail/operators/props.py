@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from revtrail.operators.intervals import lifetimes
 from revtrail.operators.ordinals import asof_lookup
+from revtrail.plans.export import file_perms
 
 
 def prop_state(prop_events: DataFrame, versions: DataFrame) -> DataFrame:
@@ -30,6 +31,53 @@ def prop_state(prop_events: DataFrame, versions: DataFrame) -> DataFrame:
         "origin", "path", "name", "value", F.col("rev").alias("from_rev"), "to_rev")
 
 
+def exported_files(files: DataFrame, state: DataFrame, variants: DataFrame) -> DataFrame:
+    """File versions as an export writes them: with the properties in force
+    applied to data and mode.
+
+    files (origin, path, blob_id, from_rev, to_rev), state as of
+    ``prop_state``, variants (blob_id and the ids that its data has as a
+    link, link_id, and with each line ending, id_lf, id_crlf, id_cr) ->
+    (origin, path, blob_id, perms, from_rev, to_rev), a row for each stretch
+    of one id and mode.  Version and property intervals are merged as one
+    event list per path, so a long-lived property meets a path's versions
+    without being joined to each of them.
+    """
+    names = {"special": "svn:special", "executable": "svn:executable", "eol": "svn:eol-style"}
+    ids = ["blob_id", "link_id", "id_lf", "id_crlf", "id_cr"]
+    versions = files.select("origin", "path", "blob_id", "from_rev", "to_rev").join(variants, "blob_id", "left")
+    version = F.struct(F.lit(True).alias("on"), *ids)
+    nothing = F.lit(None).cast("struct<on:boolean,value:string>")
+    gone = F.struct(F.lit(False).alias("on"), *[F.lit(None).cast("string").alias(c) for c in ids])
+    events = (versions.select("origin", "path", F.col("from_rev").alias("rev"), version.alias("v"))
+              .unionByName(versions.select("origin", "path", F.col("to_rev").alias("rev"), gone.alias("v")))
+              .withColumns({k: nothing for k in names}))
+    wanted = state.where(F.col("name").isin(list(names.values())))
+    ends = (wanted.select("origin", "path", F.col("from_rev").alias("rev"), "name",
+                          F.struct(F.lit(True).alias("on"), F.col("value").alias("value")).alias("p"))
+            .unionByName(wanted.select("origin", "path", F.col("to_rev").alias("rev"), "name",
+                                       F.struct(F.lit(False).alias("on"), F.lit(None).cast("string").alias("value")).alias("p"))))
+    events = events.unionByName(ends.select("origin", "path", "rev", F.lit(None).cast(events.schema["v"].dataType).alias("v"),
+                                            *[F.when(F.col("name") == n, F.col("p")).alias(k) for k, n in names.items()]))
+    # what starts at a revision counts over what ends there
+    events = events.groupBy("origin", "path", "rev").agg(F.max("v").alias("v"), *[F.max(k).alias(k) for k in names])
+    order = Window.partitionBy("origin", "path").orderBy("rev")
+    now = order.rowsBetween(Window.unboundedPreceding, 0)
+    at = events.select("origin", "path", "rev", *[F.last(c, ignorenulls=True).over(now).alias(c) for c in ("v", *names)])
+    on = lambda k: F.coalesce(F.col(k)["on"], F.lit(False))
+    link = on("special") & F.col("v")["link_id"].isNotNull()
+    eol = F.when(on("eol"), F.col("eol")["value"])
+    ending = (F.when(eol.isin("native", "LF"), F.col("v")["id_lf"]).when(eol == "CRLF", F.col("v")["id_crlf"])
+              .when(eol == "CR", F.col("v")["id_cr"]))
+    written = F.when(link, F.col("v")["link_id"]).otherwise(F.coalesce(ending, F.col("v")["blob_id"]))
+    at = at.select("origin", "path", "rev", F.when(on("v"), F.struct(written.alias("blob_id"),
+                                                                    file_perms(link, on("executable")).alias("perms"))).alias("s"))
+    at = at.withColumn("same", F.col("s").eqNullSafe(F.lag("s").over(order)) & (F.row_number().over(order) > 1))
+    at = at.where(~F.col("same")).withColumn("to_rev", F.lead("rev").over(order))
+    return at.where(F.col("s").isNotNull()).select(
+        "origin", "path", F.col("s.blob_id").alias("blob_id"), F.col("s.perms").alias("perms"), F.col("rev").alias("from_rev"), "to_rev")
+
+
 def props_at(state: DataFrame, at: DataFrame) -> DataFrame:
     """Property map rows in force at at(origin, at_rev)."""
     return (state.join(at, "origin")

@@ -33,8 +33,9 @@ class TreeVersions:
     root: DataFrame   # origin, from_rev, to_rev, tree_id
 
 
-def file_entries(files: DataFrame, perms_col=None) -> DataFrame:
-    perms = perms_col if perms_col is not None else F.lit(PERM_FILE)
+def file_entries(files: DataFrame) -> DataFrame:
+    """Entries of file versions; their mode is ``perms`` if they have it."""
+    perms = F.col("perms") if "perms" in files.columns else F.lit(PERM_FILE)
     return files.select("origin", "parent", "name", F.lit(False).alias("is_dir"),
                         perms.cast("int").alias("perms"), F.col("blob_id").alias("target"),
                         "from_rev", "to_rev", "depth")

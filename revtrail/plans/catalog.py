@@ -50,6 +50,22 @@ def q_tree_ids(spark, sf):
     return jobs.events_load(spark, sf).tree_at_rev.select("origin", "rev", "tree_id")
 
 
+@register("tree_ids_with_props")
+def q_tree_ids_with_props(spark, sf):
+    """Root tree id at every revision, files hashed as exported: symbolic
+    links, executable modes and line endings follow their properties."""
+    return jobs.export_load(spark, sf).tree_at_rev.select("origin", "rev", "tree_id")
+
+
+@register("export_modes")
+def q_export_modes(spark, sf):
+    """(path, mode, id) of every exported file at each origin's head."""
+    res = jobs.export_load(spark, sf)
+    head = res.log.commits.groupBy("origin").agg(F.max("rev").alias("head"))
+    return res.intervals.files.join(head, "origin").where(
+        (F.col("from_rev") <= F.col("head")) & (F.col("head") < F.col("to_rev"))).select("origin", "path", "perms", "blob_id")
+
+
 @register("revision_chain")
 def q_revision_chain(spark, sf):
     return jobs.events_load(spark, sf).revisions.select("origin", "rev", "revision_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from revtrail.functions.hashing import PERM_EXEC, PERM_FILE, PERM_LINK
+from revtrail.functions.hashing import PERM_EXEC, PERM_FILE, PERM_LINK, blob_id
 
 # Eol-style property values and the line ending they produce.
 EOL_TARGETS = {"native": "\n", "LF": "\n", "CRLF": "\r\n", "CR": "\r"}
@@ -35,6 +35,15 @@ def apply_special(data: Column, special: Column) -> tuple[Column, Column]:
     return new, is_link
 
 
+def content_variants(data: Column) -> list[Column]:
+    """Ids of the data as exported: as it is, as a link (null if it is none)
+    and with each line ending."""
+    link, is_link = apply_special(data, F.lit(True))
+    ending = lambda style: blob_id(apply_eol(data, F.lit(style)))
+    return [blob_id(data).alias("blob_id"), F.when(is_link, blob_id(link)).alias("link_id"), ending("LF").alias("id_lf"),
+            ending("CRLF").alias("id_crlf"), ending("CR").alias("id_cr")]
+
+
 def file_perms(is_link: Column, executable: Column) -> Column:
     """Links win over the executable bit; the bit counts again once the
     node is a regular file."""

@@ -32,6 +32,14 @@ def events_load(spark: SparkSession, sf_dir: str) -> LoadResult:
                 lambda: load(adapters.events_changelog(spark, sf_dir)))
 
 
+def export_load(spark: SparkSession, sf_dir: str) -> LoadResult:
+    """Load of the log whose files properties change."""
+    def build():
+        log, props, variants = adapters.events_export_log(spark, sf_dir)
+        return load(log, props=props, variants=variants)
+    return memo(spark, sf_dir, "export_load", build)
+
+
 def conversations_load(spark: SparkSession, sf_dir: str) -> LoadResult:
     return memo(spark, sf_dir, "conversations_load",
                 lambda: load(adapters.conversations_changelog(spark, sf_dir)))

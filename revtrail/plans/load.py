@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from revtrail.functions.hashing import snapshot_branch_hex, snapshot_id
 from revtrail.operators.chain import revision_bodies, revision_chain
 from revtrail.operators.copies import expand_copies
-from revtrail.operators.intervals import Intervals
+from revtrail.operators.intervals import Intervals, with_path_parts
 from revtrail.operators.ordinals import asof_lookup
+from revtrail.operators.props import exported_files, prop_state
 from revtrail.operators.trees import TreeVersions, build_trees
+from revtrail.session import cut_lineage
 from revtrail.sources.adapters import ChangeLog
 
 REV_BUCKET = 4096  # revisions per as-of bucket
@@ -51,8 +53,14 @@ def head_snapshots(revisions: DataFrame) -> DataFrame:
                        snapshot_id(F.array(branch)).alias("snapshot_id"))
 
 
-def load(log: ChangeLog, seeds: DataFrame | None = None) -> LoadResult:
+def load(log: ChangeLog, seeds: DataFrame | None = None, props: DataFrame | None = None,
+         variants: DataFrame | None = None) -> LoadResult:
+    """The full load.  With property events and the variants of the
+    contents (see ``props.exported_files``), files are hashed as exported."""
     changes, iv = expand_copies(log.changes)
+    if props is not None:
+        exported = cut_lineage(exported_files(iv.files, prop_state(props, iv.files), variants))
+        iv = Intervals(with_path_parts(exported), iv.dirs)
     log = ChangeLog(log.origins, log.commits, changes)
     trees = build_trees(iv, log.origins)
     tar = tree_at_revision(log.commits, trees.root)

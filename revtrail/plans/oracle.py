@@ -663,6 +663,55 @@ head AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin)
 
 ORACLE_SQL["prop_state"] = f"WITH {E_PROPS} SELECT origin, path, name, value, from_rev, to_rev FROM pst"
 
+# the same state rules, on contents that links and line endings change
+_DATA = "event_type || ' ' || CAST(event_id AS VARCHAR) AS data"
+_EXPORT_DATA = """CASE event_id % 3 WHEN 0 THEN 'link ' || CAST(event_id AS VARCHAR)
+       WHEN 1 THEN event_type || chr(13) || chr(10) || CAST(event_id AS VARCHAR) || chr(10)
+       ELSE event_type || ' ' || CAST(event_id AS VARCHAR) END AS data"""
+_SPECIAL = """FROM ch
+  UNION ALL
+  SELECT origin, rev, dname || '/' || fname, 'svn:special', CASE WHEN event_type = 'view' THEN '*' END
+  FROM ch WHERE event_type IN ('view', 'purchase') AND CAST(substr(fname, 2) AS INTEGER) % 3 = 1),
+files AS"""
+E_EXPORT = E_PROPS.replace(_DATA, _EXPORT_DATA).replace("FROM ch),\nfiles AS", _SPECIAL) + f""",
+force AS (
+  SELECT f.origin, f.at_rev, f.dname, f.fname, f.put_rev, max(p.value) FILTER (p.name = 'svn:eol-style') AS eol,
+         bool_or(p.name = 'svn:executable') AS exe, bool_or(p.name = 'svn:special') AS special
+  FROM falive f LEFT JOIN pst p ON p.origin = f.origin AND p.path = f.dname || '/' || f.fname
+    AND p.from_rev <= f.at_rev AND (p.to_rev IS NULL OR f.at_rev < p.to_rev)
+  GROUP BY ALL),
+xf AS (
+  SELECT force.*, coalesce(special, false) AND starts_with(data, 'link ') AS link, data FROM force
+  JOIN ch ON ch.origin = force.origin AND ch.rev = force.put_rev),
+xo AS (
+  SELECT origin, at_rev, dname, fname, CASE WHEN link THEN '120000' WHEN exe THEN '100755' ELSE '100644' END AS mode,
+         CASE WHEN link THEN substr(data, 6)
+              WHEN eol IN ('native', 'LF') THEN replace(data, chr(13) || chr(10), chr(10))
+              WHEN eol = 'CRLF' THEN replace(replace(data, chr(13) || chr(10), chr(10)), chr(10), chr(13) || chr(10))
+              WHEN eol = 'CR' THEN replace(replace(data, chr(13) || chr(10), chr(10)), chr(10), chr(13))
+              ELSE data END AS content
+  FROM xf),
+xi AS (SELECT *, {git_sha('blob', 'hex(content)')} AS id FROM xo),
+xd AS (
+  SELECT d.origin, d.at_rev, d.dname,
+         coalesce(string_agg(hex(f.mode || ' ' || f.fname) || '00' || f.id, '' ORDER BY f.fname), '') AS body
+  FROM dalive d LEFT JOIN xi f ON f.origin = d.origin AND f.at_rev = d.at_rev AND f.dname = d.dname
+  GROUP BY d.origin, d.at_rev, d.dname),
+xt AS (SELECT origin, at_rev, dname, {git_sha('tree', 'body')} AS tree_id FROM xd),
+xr AS (
+  SELECT r.origin, r.rev, coalesce(string_agg(hex('40000 ' || t.dname) || '00' || t.tree_id, '' ORDER BY t.dname || '/'), '') AS body
+  FROM revs r LEFT JOIN xt t ON t.origin = r.origin AND t.at_rev = r.rev
+  GROUP BY r.origin, r.rev)
+"""
+ORACLE_SQL["tree_ids_with_props"] = f"WITH {E_EXPORT} SELECT origin, rev, {git_sha('tree', 'body')} AS tree_id FROM xr"
+
+ORACLE_SQL["export_modes"] = f"""
+WITH {E_EXPORT}
+SELECT x.origin, x.dname || '/' || x.fname AS path, x.id AS blob_id,
+       CASE x.mode WHEN '120000' THEN 40960 WHEN '100755' THEN 33261 ELSE 33188 END AS perms
+FROM xi x JOIN head h ON h.origin = x.origin AND x.at_rev = h.head
+"""
+
 ORACLE_SQL["propget"] = f"""
 WITH {E_PROPS}
 SELECT p.origin, p.path, p.value FROM pst p JOIN head h ON h.origin = p.origin

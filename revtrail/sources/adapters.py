@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from revtrail.functions.hashing import blob_id
 from revtrail.operators.ordinals import dense_ordinal
+from revtrail.plans.export import content_variants
 from revtrail.session import cut_lineage
 from revtrail.sources.tables import read_table
 
@@ -75,13 +76,34 @@ def events_changelog(spark: SparkSession, sf_dir: str) -> ChangeLog:
     return events_to_changelog(events_base(spark, sf_dir))
 
 
-def events_to_changelog(ev: DataFrame) -> ChangeLog:
+def events_export_log(spark: SparkSession, sf_dir: str) -> tuple[ChangeLog, DataFrame, DataFrame]:
+    """Adapter E with contents that properties change: of event ids divisible
+    by 3 the data is ``link <event_id>``, of the next ones two lines with
+    mixed endings.  Properties as in ``events_properties``, and on files with
+    k % 3 = 1 a ``view`` sets ``svn:special`` and a ``purchase`` unsets it.
+    Returns the log, the property events and the content variants."""
+    ev = events_base(spark, sf_dir)
+    number = F.col("event_id").cast("string")
+    kind = F.col("event_id") % 3
+    data = (F.when(kind == 0, F.concat(F.lit("link "), number))
+            .when(kind == 1, F.concat(F.col("event_type"), F.lit("\r\n"), number, F.lit("\n")))
+            .otherwise(F.concat_ws(" ", F.col("event_type"), number)))
+    path = F.concat(F.lit("d"), F.floor(F.col("k") / 10).cast("string"), F.lit("/f"), F.col("k").cast("string"))
+    special = ev.where((F.col("k") % 3 == 1) & F.col("event_type").isin("view", "purchase")).select(
+        "origin", "rev", path.alias("path"), F.lit("svn:special").alias("name"),
+        F.when(F.col("event_type") == "view", F.lit("*")).alias("value"))
+    variants = ev.select(*content_variants(F.encode(data, "UTF-8"))).dropDuplicates(["blob_id"])
+    return events_to_changelog(ev, data), events_properties(spark, sf_dir).unionByName(special), variants
+
+
+def events_to_changelog(ev: DataFrame, data: Column | None = None) -> ChangeLog:
     """Adapter E on numbered events (origin, rev, event_id, ts, event_type, k)."""
     dir_path = F.concat(F.lit("d"), F.floor(F.col("k") / 10).cast("string"))
     file_path = F.concat(dir_path, F.lit("/f"), F.col("k").cast("string"))
     is_file_delete = F.col("event_type") == "error"
     is_dir_delete = (F.col("event_type") == "signup") & (F.col("k") % 10 == 0)
-    data = F.concat_ws(" ", F.col("event_type"), F.col("event_id").cast("string"))
+    if data is None:
+        data = F.concat_ws(" ", F.col("event_type"), F.col("event_id").cast("string"))
 
     commits = ev.select(
         "origin", "rev", F.col("ts").cast("timestamp").alias("date"),
