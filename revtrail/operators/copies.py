@@ -46,6 +46,17 @@ def expand_once(copies: DataFrame, iv: Intervals) -> DataFrame:
         F.lit(-1).cast("long").alias("copyfrom_rev"), "blob_id", "length")
 
 
+def cleared(copies: DataFrame) -> DataFrame:
+    """What a copy does besides its nodes: its destination is cleared first (a
+    no-op when it does not exist); the root has no node of its own, so a
+    copy of it makes the destination."""
+    none = [F.lit(None).cast("string").alias("copyfrom_path"), F.lit(-1).cast("long").alias("copyfrom_rev"),
+            F.lit(None).cast("string").alias("blob_id"), F.lit(None).cast("long").alias("length")]
+    row = lambda seq, action: ["origin", "rev", F.lit(seq).alias("seq"), F.col("dst").alias("path"),
+                               F.lit("dir").alias("kind"), F.lit(action).alias("action"), *none]
+    return copies.select(*row(0, "delete")).unionByName(copies.where(F.col("src") == "").select(*row(SEQ_COPY, "put")))
+
+
 def _chained(copies: DataFrame) -> bool:
     """Does any copy read at, below or above another copy's destination?"""
     def up(c, name):
@@ -94,20 +105,7 @@ def expand_copies(changes: DataFrame) -> tuple[DataFrame, Intervals]:
         return plain, build_intervals(plain)
     if not copies.where(F.col("src_rev") >= F.col("rev")).isEmpty():
         raise ValueError("a copy reads a revision that isn't before its own")
-    # the destination is cleared first (a no-op when it does not exist)
-    clear = copies.select("origin", "rev", F.lit(0).alias("seq"), F.col("dst").alias("path"),
-                          F.lit("dir").alias("kind"), F.lit("delete").alias("action"),
-                          F.lit(None).cast("string").alias("copyfrom_path"),
-                          F.lit(-1).cast("long").alias("copyfrom_rev"),
-                          F.lit(None).cast("string").alias("blob_id"),
-                          F.lit(None).cast("long").alias("length"))
-    # the root has no node of its own: a copy of it makes its destination
-    made = copies.where(F.col("src") == "").select(
-        "origin", "rev", F.lit(SEQ_COPY).alias("seq"), F.col("dst").alias("path"), F.lit("dir").alias("kind"),
-        F.lit("put").alias("action"), F.lit(None).cast("string").alias("copyfrom_path"),
-        F.lit(-1).cast("long").alias("copyfrom_rev"), F.lit(None).cast("string").alias("blob_id"),
-        F.lit(None).cast("long").alias("length"))
-    plain = plain.unionByName(clear).unionByName(made)
+    plain = plain.unionByName(cleared(copies))
     base = build_intervals(plain)
     tops = cut_lineage(copies.select("origin", _top(F.col("dst")).alias("_top")).distinct())
     affected = plain.withColumn("_top", _top(F.col("path"))) \

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from revtrail.functions.hashing import snapshot_branch_hex, snapshot_id
 from revtrail.operators.chain import revision_bodies, revision_chain
-from revtrail.operators.copies import expand_copies
+from revtrail.operators.copies import cleared, copy_rows, expand_copies, expand_once
 from revtrail.operators.intervals import Intervals, with_path_parts
 from revtrail.operators.ordinals import asof_lookup
 from revtrail.operators.props import exported_files, prop_state
@@ -98,6 +98,13 @@ def load_incremental(log: ChangeLog, previous: LoadResult, last_rev: DataFrame)
         .drop("at_rev")
     new_commits = log.commits.join(last_rev, "origin").where(F.col("rev") > F.col("at_rev")) \
         .drop("at_rev")
+    # a copy from an archived revision reads the archived intervals, closed ones too
+    copies = copy_rows(new_changes).join(last_rev, "origin").withColumn("archived", F.col("src_rev") <= F.col("at_rev")).drop("at_rev")
+    old = cut_lineage(copies.where("archived").drop("archived"))
+    of_old = old.select("origin", "rev", F.col("dst").alias("path"))
+    rest = new_changes.where(F.col("copyfrom_rev") == -1).unionByName(
+        new_changes.where(F.col("copyfrom_rev") != -1).join(of_old, ["origin", "rev", "path"], "left_anti"))
+    new_changes = rest.unionByName(cleared(old)).unionByName(expand_once(old, previous.intervals))
     state = archived_state(previous, last_rev)
     inc_log = ChangeLog(log.origins, new_commits, state.unionByName(new_changes))
     seeds = (previous.revisions.join(last_rev, "origin").where(F.col("rev") == F.col("at_rev"))

@@ -49,3 +49,20 @@ def test_highest_revision_of_equal_and_unordered_dates(spark):
     for width in (1, 4, 100):
         got = asof_lookup(probes, commits, ["origin"], "t", "d", ["rev"], lambda c: F.floor(c / width), highest=True)
         assert {r.t: r.rev for r in got.collect()} == {4: None, 5: 2, 6: 2, 8: 4, 9: 4, 20: 4, 31: 5}
+
+
+def test_incremental_copy_from_an_archived_revision(spark):
+    from revtrail.plans.load import load, load_incremental
+    from revtrail.sources.adapters import ChangeLog
+    rows = [put(1, "trunk/m"), put(1, "trunk/old"), ("o", 2, 0, "trunk/old", "file", "delete", None, -1, None, None),
+            put(3, "trunk/m"), copy(4, "trunk", 1, "tags/1"), copy(5, "tags", 4, "more"), put(5, "z")]
+    changes = spark.createDataFrame(rows, CHANGES)
+    commits = spark.createDataFrame([("o", r, None, "me", f"c{r}") for r in range(1, 6)],
+                                    "origin string, rev long, date timestamp, author string, message string")
+    origins = spark.createDataFrame([("o", "u", "file:///o")], "origin string, uuid string, url string")
+    full = load(ChangeLog(origins, commits, changes))
+    want = {r.rev: r.revision_id for r in full.revisions.collect()}
+    before = load(ChangeLog(origins, commits.where("rev <= 3"), changes.where("rev <= 3")))
+    at = spark.createDataFrame([("o", 3)], "origin string, at_rev long")
+    got = {r.rev: r.revision_id for r in load_incremental(ChangeLog(origins, commits, changes), before, at).revisions.collect()}
+    assert got == {r: want[r] for r in (4, 5)}
