@@ -962,6 +962,19 @@ def q_stream_visits(spark, sf):
     return jobs.memo(spark, sf, "stream_visits", build).select("origin", "rev", "revision_id")
 
 
+@register("out_of_order")
+def q_out_of_order(spark, sf):
+    """The events arrive in two parts that both span all time, so the second
+    alters every history it touches: those origins are loaded anew, and the
+    revisions equal those of a full load."""
+    from revtrail.streaming.visits import VisitStream
+
+    def build():
+        ev = read_table(spark, sf, "events")
+        return VisitStream(spark).run_parts([ev.where("event_id % 2 = 1"), ev.where("event_id % 2 = 0")])
+    return jobs.memo(spark, sf, "out_of_order", build).select("origin", "rev", "revision_id")
+
+
 @register("altered_reload")
 def q_altered_reload(spark, sf):
     """Origins whose archived history was rewritten reload from revision 1,

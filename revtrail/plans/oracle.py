@@ -586,6 +586,8 @@ WHERE l.path = 'd1' OR starts_with(l.path, 'd1/') OR l.path = 'd3/f35' OR l.path
 _LAST_TWO = E_LISTING.replace(
     "revs AS (SELECT origin, rev FROM ev)",
     "revs AS (SELECT origin, rev FROM ev QUALIFY rev >= max(rev) OVER (PARTITION BY origin) - 1)")
+ORACLE_SQL["out_of_order"] = f"WITH {E_BASE} SELECT origin, rev, revision_id FROM chain"
+
 ORACLE_SQL["tree_diff"] = f"""
 WITH {_LAST_TWO},
 n AS (SELECT l.* FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head),

@@ -2,32 +2,48 @@
 
 New events arrive as files; each trigger runs ``foreachBatch`` which
 continues every touched origin from its persisted state -- last
-revision number, last revision id and the tree in force (open
-intervals as put rows) -- instead of replaying from revision 1.  State
-lives in tables under the shared checkpoint folder, partitioned by a
-hash bucket of the origin; a batch rewrites only the buckets it touches
-(dynamic partition overwrite), so the cost of a batch follows the
-touched origins, not the whole archive.
-
-Arrival order matters (revisions are numbered by time per origin):
-``run_arrivals`` feeds the arrival files one group at a time and runs
-the query with an ``availableNow`` trigger after each, like scheduled
-visits.  Events older than an origin's last archived time are reported
-as late (the altered-history path) and not applied.
+revision number, last event, last revision id and the tree in force (open
+intervals as put rows) -- instead of replaying from revision 1.
+
+*Exactly once.*  State and output are partitioned by the batch that wrote
+them.  Batch N reads, for each bucket of origins, the newest state of a
+batch before N, and overwrites only partitions of batch N.  So a batch that
+is run again after a failure, however far it came, writes the same rows to
+the same place.  A batch rewrites only the buckets it touches, so its cost
+follows the touched origins, not the whole archive.
+
+*Order.*  Revisions are numbered by (time, event id) per origin.  Events
+that sort after the last one continue the origin, also at an equal time.
+An event that sorts before it alters the history: its origin is loaded
+anew from all its events, and the rows of that batch on count
+(``reloaded`` is the batch of the last such load).
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revtrail.operators.ordinals import dense_ordinal
 from revtrail.plans.load import archived_state, load
 from revtrail.session import cut_lineage, ensure_checkpoint_dir, path_exists
 from revtrail.sources.adapters import ChangeLog, events_to_changelog, uuid_of
 from revtrail.sources.tables import TABLE_SCHEMAS
 
+HEADS = ("origin string, reloaded long, last_rev long, last_ts timestamp_ntz, last_event long, last_id string, "
+         "batch long, bkt int")
+TREE = ("origin string, rev long, seq int, path string, kind string, action string, copyfrom_path string, "
+        "copyfrom_rev long, blob_id string, length long, batch long, bkt int")
+
+
+def _events(raw: DataFrame) -> DataFrame:
+    return raw.select("event_id", "ts", "user_id", "event_type",
+                      F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("origin"),
+                      F.get_json_object("props", "$.k").cast("int").alias("k"))
+
+
 class VisitStream:
     """``buckets``: files of the state tables; fixed for a stream's life, so
     set it to the archive's size when the stream is created."""
@@ -38,59 +54,65 @@ class VisitStream:
         base = ensure_checkpoint_dir(spark).rstrip("/")
         self.root = root or f"{base}/revtrail-stream-{uuid.uuid4().hex}"
         self.incoming = f"{self.root}/incoming"
-        self.heads = f"{self.root}/state/heads"        # origin, last_rev, last_ts, last_id, bkt
-        self.tree = f"{self.root}/state/tree"          # put rows of the tree at last_rev, bkt
-        self.revisions = f"{self.root}/out/revisions"  # origin, rev, tree_id, revision_id
-        self.late = f"{self.root}/out/late"
+        self.heads = f"{self.root}/state/heads"        # see HEADS
+        self.tree = f"{self.root}/state/tree"          # see TREE
+        self.revisions = f"{self.root}/out/revisions"  # by batch; see read_revisions
         self.checkpoint = f"{self.root}/checkpoint"
 
     # ---------------------------------------------------------------- state
     def _read(self, path, schema):
         if path_exists(self.spark, path):
-            return self.spark.read.parquet(path)
+            return self.spark.read.schema(schema).parquet(path)
         return self.spark.createDataFrame([], schema)
 
     def _bucket(self, c):
         return F.pmod(F.hash(c), F.lit(self.buckets))
 
+    def _state(self, path: str, schema: str, batch_id: int) -> DataFrame:
+        """Of each bucket the rows of the newest batch before ``batch_id``."""
+        rows = self._read(path, schema).where(F.col("batch") < batch_id)
+        newest = rows.groupBy("bkt").agg(F.max("batch").alias("batch"))  # a row per bucket
+        return rows.join(newest, ["bkt", "batch"], "left_semi").drop("batch")
+
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = self.spark
-        ev = batch.select("event_id", "ts", "user_id", "event_type", "props") \
-            .withColumn("origin", F.concat(F.lit("u"), F.col("user_id").cast("string"))) \
-            .withColumn("k", F.get_json_object("props", "$.k").cast("int")).drop("props")
-        ev = cut_lineage(ev.withColumn("bkt", self._bucket(F.col("origin"))))
-        heads = self._read(self.heads, "origin string, last_rev long, last_ts timestamp_ntz, "
-                                       "last_id string, bkt int")
+        heads = self._state(self.heads, HEADS, batch_id)
+        tree = self._state(self.tree, TREE, batch_id)
+        ev = cut_lineage(_events(batch).withColumn("bkt", self._bucket(F.col("origin"))))
         touched_b = [r[0] for r in ev.select("bkt").distinct().collect()]  # <= buckets ints
         heads_t = heads.where(F.col("bkt").isin(touched_b))
-        ev = ev.join(heads_t.select("origin", "last_rev", "last_ts"), "origin", "left")
-        late = ev.where(F.col("last_ts").isNotNull() & (F.col("ts") <= F.col("last_ts")))
-        late.select("origin", "event_id", "ts").write.mode("append").parquet(self.late)
-        ev = ev.where(F.col("last_ts").isNull() | (F.col("ts") > F.col("last_ts")))
-        w = Window.partitionBy("origin").orderBy("ts", "event_id")
-        ev = ev.withColumn("rev", F.coalesce("last_rev", F.lit(0)) + F.row_number().over(w))
+        ev = ev.join(heads_t.select("origin", "last_rev", "last_ts", "last_event", "reloaded"), "origin", "left")
+        is_late = F.struct("ts", "event_id") <= F.struct("last_ts", "last_event")
+        altered = cut_lineage(ev.where(F.col("last_ts").isNotNull() & is_late).select("origin").distinct())
+        ev = ev.join(altered, "origin", "left_anti")
+        again = _events(spark.read.schema(TABLE_SCHEMAS["events"]).parquet(self.incoming)).join(altered, "origin", "left_semi") \
+            .dropDuplicates(["origin", "event_id"])
+        ev = ev.drop("bkt").unionByName(again.withColumn("reloaded", F.lit(batch_id).cast("long")), allowMissingColumns=True)
+        ev = ev.withColumn("reloaded", F.coalesce("reloaded", F.lit(-1).cast("long")))
+        ev = dense_ordinal(ev, ["origin"], ["ts", "event_id"], F.to_date("ts"), out="n")
+        ev = cut_lineage(ev.withColumn("rev", F.coalesce("last_rev", F.lit(0)) + F.col("n")).drop("n"))
         log = events_to_changelog(ev)
         origins = ev.select("origin").distinct().select(
             "origin", uuid_of(F.col("origin")).alias("uuid"),
             F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url"))
-        tree = self._read(self.tree, "origin string, rev long, seq int, path string, kind string, "
-                                     "action string, copyfrom_path string, copyfrom_rev long, "
-                                     "blob_id string, length long, bkt int")
         prior = tree.where(F.col("bkt").isin(touched_b) & (F.col("action") == "put")) \
-            .join(origins.select("origin"), "origin", "left_semi").drop("bkt")
-        seeds = heads_t.select("origin", F.col("last_id").alias("seed_parent"))
+            .join(origins.select("origin"), "origin", "left_semi").join(altered, "origin", "left_anti").drop("bkt")
+        seeds = heads_t.join(altered, "origin", "left_anti").select("origin", F.col("last_id").alias("seed_parent"))
         res = load(ChangeLog(origins, log.commits, prior.unionByName(log.changes)), seeds=seeds)
-        new_revs = res.revisions.select("origin", "rev", "tree_id", "revision_id")
-        new_revs.write.mode("append").parquet(self.revisions)
-        # new heads and tree state of the touched origins
-        last = ev.groupBy("origin").agg(F.max("rev").alias("last_rev"), F.max("ts").alias("last_ts"))
-        new_heads = (last.join(new_revs.withColumnRenamed("rev", "last_rev"), ["origin", "last_rev"])
-                     .select("origin", "last_rev", "last_ts", F.col("revision_id").alias("last_id"))
+        last = ev.groupBy("origin").agg(
+            F.max(F.struct("ts", "event_id", "rev")).alias("m"), F.max("reloaded").alias("reloaded")).select(
+            "origin", "reloaded", F.col("m.rev").alias("last_rev"), F.col("m.ts").alias("last_ts"), F.col("m.event_id").alias("last_event"))
+        new_revs = res.revisions.select("origin", "rev", "tree_id", "revision_id") \
+            .join(last.select("origin", "reloaded"), "origin")
+        self._put(new_revs, self.revisions, batch_id)
+        # new heads and tree state of the touched buckets
+        new_heads = (last.join(res.revisions.select("origin", F.col("rev").alias("last_rev"), F.col("revision_id").alias("last_id")),
+                               ["origin", "last_rev"])
                      .withColumn("bkt", self._bucket(F.col("origin"))))
-        keep_heads = heads_t.join(new_heads.select("origin"), "origin", "left_anti")
+        keep_heads = heads_t.join(last.select("origin"), "origin", "left_anti")
         state = archived_state(res, last.select("origin", F.col("last_rev").alias("at_rev")))
         # one marker row per origin: a bucket whose trees all became empty
-        # must still be rewritten, or its stale rows would survive
+        # must still be written, or its older rows would count
         marker = last.select("origin", F.col("last_rev").alias("rev"), F.lit(2).alias("seq"),
                              F.lit("").alias("path"), F.lit("root").alias("kind"),
                              F.lit("state").alias("action"),
@@ -99,18 +121,20 @@ class VisitStream:
                              F.lit(None).cast("string").alias("blob_id"),
                              F.lit(None).cast("long").alias("length"))
         new_tree = state.unionByName(marker).withColumn("bkt", self._bucket(F.col("origin")))
-        keep_tree = tree.where(F.col("bkt").isin(touched_b)).join(new_heads.select("origin"), "origin",
-                                                                  "left_anti")
-        # materialise both new states before replacing either: both are
-        # derived from the state being replaced
-        nh = cut_lineage(new_heads.unionByName(keep_heads))
-        nt = cut_lineage(new_tree.unionByName(keep_tree))
-        self._overwrite(nh, self.heads)
-        self._overwrite(nt, self.tree)
-
-    def _overwrite(self, df: DataFrame, path: str) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("bkt").parquet(path))
+        keep_tree = tree.where(F.col("bkt").isin(touched_b)).join(last.select("origin"), "origin", "left_anti")
+        self._put(new_heads.unionByName(keep_heads), self.heads, batch_id, "bkt")
+        self._put(new_tree.unionByName(keep_tree), self.tree, batch_id, "bkt")
+
+    def _put(self, df: DataFrame, path: str, batch_id: int, *by: str) -> None:
+        """Write the rows as those of the batch, in place of what an earlier try wrote."""
+        (df.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch", *by).parquet(path))
+
+    def read_revisions(self) -> DataFrame:
+        """origin, rev, tree_id, revision_id as of the last batch."""
+        rows = self._read(self.revisions, "origin string, rev long, tree_id string, revision_id string, reloaded long, batch long")
+        valid = rows.groupBy("origin").agg(F.max("reloaded").alias("reloaded"))
+        return rows.join(valid, ["origin", "reloaded"], "left_semi").drop("reloaded", "batch")
 
     # ------------------------------------------------------------ streaming
     def run_once(self) -> None:
@@ -136,4 +160,11 @@ class VisitStream:
                 part = part.where(secs <= F.lit(bounds[i + 1]))
             part.write.mode("append").parquet(f"{self.incoming}/arrival={i:04d}")
             self.run_once()
-        return self.spark.read.parquet(self.revisions)
+        return self.read_revisions()
+
+    def run_parts(self, parts: list[DataFrame]) -> DataFrame:
+        """Let the parts arrive one after the other, in whatever order their events are."""
+        for i, part in enumerate(parts):
+            part.write.mode("append").parquet(f"{self.incoming}/arrival={i:04d}")
+            self.run_once()
+        return self.read_revisions()
