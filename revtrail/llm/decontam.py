@@ -1,9 +1,9 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
 *Index.*  Documents are tokenized once, in blocks of a few megabytes of
-text.  A block's postings (for each term the ascending positions) are one
-row of a Parquet table, so the index is spread like the documents are, and a
-search never sees texts again.  Positions run on through the block's
+text.  A block's postings (for each term the first position and the gaps to
+the next ones) are one row of a Parquet table, so the index is spread like
+the documents are, and a search never sees texts again.  Positions run on through the block's
 documents with a gap between two, which no phrase spans.
 
 *Search.*  The test items are broadcast in chunks of bounded size.  In each
@@ -40,7 +40,7 @@ GAP = 64
 #: Characters of test items that are broadcast at once.
 CHUNK_CHARS = 8 << 20
 INDEX_SCHEMA = ("block string, doc_ids binary, doc_nulls binary, doc_words binary, "
-                "terms binary, term_counts binary, positions binary")
+                "terms binary, term_counts binary, gaps binary")
 SPANS = "array<struct<item_id:string,start:long,length:long>>"
 MATCH_SCHEMA = f"block string, doc_no int, doc_id long, n_words long, spans {SPANS}, near array<string>"
 
@@ -48,7 +48,7 @@ MATCH_SCHEMA = f"block string, doc_no int, doc_id long, n_words long, spans {SPA
 def build_index(docs: DataFrame) -> DataFrame:
     """The written positional index of doc_id, text."""
     small_batches(docs.sparkSession)
-    names = ["block", "doc_ids", "doc_nulls", "doc_words", "terms", "term_counts", "positions"]
+    names = ["block", "doc_ids", "doc_nulls", "doc_words", "terms", "term_counts", "gaps"]
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,15 +59,18 @@ def build_index(docs: DataFrame) -> DataFrame:
                 order = np.argsort(h, kind="stable")
                 ranked = h[order]
                 first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(h) else order
+                gaps = at[order]
+                gaps[1:] -= gaps[:-1].copy()
+                gaps[first] = at[order][first]
                 ids = part.column(0)
                 row = [uuid.uuid4().hex, ids.fill_null(0).to_numpy().astype("<i8").tobytes(),
                        ids.is_null().to_numpy(False).astype(np.uint8).tobytes(), n_words.astype("<i8").tobytes(),
                        ranked[first].tobytes(), np.diff(np.append(first, len(h))).astype("<u4").tobytes(),
-                       at[order].astype("<u4").tobytes()]
+                       gaps.astype("<u4").tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=names)
 
     return written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(index, INDEX_SCHEMA),
-                   "positional-index")
+                   "positional-index", compression="zstd")
 
 
 class Windows:
@@ -98,14 +101,16 @@ class Block:
         self.doc_ids = [None if z else int(d) for d, z in zip(np.frombuffer(row["doc_ids"], "<i8"), nulls)]
         self.doc_start = np.cumsum(self.n_words + GAP) - self.n_words - GAP
         terms, counts = np.frombuffer(row["terms"], "<u8"), np.frombuffer(row["term_counts"], "<u4").astype(np.int64)
-        positions = np.frombuffer(row["positions"], "<u4")
+        gaps = np.frombuffer(row["gaps"], "<u4")
         starts = np.cumsum(counts) - counts
         at = np.minimum(np.searchsorted(terms, windows.terms), max(len(terms) - 1, 0))
         there = terms[at] == windows.terms if len(terms) else np.zeros(len(windows.terms), bool)
         self.count = np.where(there, counts[at], 0) if len(terms) else np.zeros(len(windows.terms), np.int64)
         start = starts[at] if len(terms) else self.count
         self.first = np.cumsum(self.count) - self.count
-        self.postings = positions[np.repeat(start - self.first, self.count) + np.arange(self.count.sum())].astype(np.int64)
+        own = gaps[np.repeat(start - self.first, self.count) + np.arange(self.count.sum())].astype(np.int64)
+        upto = np.concatenate([[0], np.cumsum(own)])
+        self.postings = upto[1:] - np.repeat(upto[self.first], self.count)
         #: term that stands at a position, -1 for one of no window
         self.term_at = np.full(int(self.n_words.sum()) + (len(self.n_words) + 1) * GAP, -1, np.int32)
         self.term_at[self.postings] = np.repeat(np.arange(len(windows.terms)), self.count)
