@@ -34,7 +34,10 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs``, whole, whose doc_id isn't in ``dropped`` (one column; null is a doc_id like others)."""
+    """The rows of ``docs``, whole, whose doc_id isn't in ``dropped`` (one
+    column; null is a doc_id like others).  The ids are written first: their
+    size is then known when the join is planned, which is a broadcast below
+    Spark's threshold (the texts stay where they are) and a shuffle beyond."""
     name = "_" + "_".join(docs.columns)  # a name that no column has
-    ids = dropped.toDF(name).distinct()
+    ids = written(dropped.toDF(name).distinct(), "dropped-ids")
     return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_anti")
