@@ -178,13 +178,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     spark = docs.sparkSession
     # at most TOXIC_SAMPLE + ORDINARY_SAMPLE ids: a proven bound for the broadcast and for the driver
     known = labels.select(F.col("doc_id").alias("of"), F.col("toxic").cast("int").alias("toxic")).filter("of is not null")
-    sizes = docs.select(F.col("doc_id").alias("of")).filter(F.octet_length("text").between(1, SAMPLE_BYTES)).distinct()
+    docs = docs.select("doc_id", "text")
+    sizes = docs.filter(F.octet_length("text").between(1, SAMPLE_BYTES)).select(F.col("doc_id").alias("of")).distinct()
     known = known.join(sizes, "of", "left_semi").dropDuplicates(["of"])
     sample = []
     for toxic, most in ((1, TOXIC_SAMPLE), (0, ORDINARY_SAMPLE)):
         ids = [r["of"] for r in known.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("of"), "of").limit(most).collect()]
         few = spark.createDataFrame([(i,) for i in ids], "of long")
-        rows = docs.join(F.broadcast(few), F.col("doc_id") == F.col("of"), "left_semi").select("doc_id", "text").toPandas()
+        rows = docs.join(F.broadcast(few), F.col("doc_id") == F.col("of"), "left_semi").toPandas()
         rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
         sample.append(rows["text"].tolist())
     bad, good = sample
@@ -196,7 +197,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     texts = bad[1::2] + good[1::2]
     x = describe(*Compressors(model).savings(pa.array(texts)))
     y = np.array([1.0] * len(bad[1::2]) + [0.0] * len(good[1::2]))
-    # a calibration text stands for as many as its kind has labels
     model.mean, model.scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     model.weights, model.bias = logistic((x - model.mean) / model.scale, y)
     return model
