@@ -75,5 +75,16 @@ r AS (
 k AS (SELECT text_sha256, doc_id AS keep_id FROM r WHERE place = 1)
 SELECT r.doc_id, k.keep_id, r.group_size, r.doc_id IS NOT DISTINCT FROM k.keep_id AS kept, text_sha256
 FROM r JOIN k USING (text_sha256)
+""",
+    "op9_boundary_chain_warc": """
+WITH t AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT *, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS stands FROM t)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31)
+              + 1 AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM stands THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM stands THEN stands END AS refers_to
+FROM h
 """,
 }
