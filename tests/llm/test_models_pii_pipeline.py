@@ -7,7 +7,6 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from revtrail.llm import langid, lm_score, pii, toxicity
 
@@ -210,7 +209,6 @@ def test_savings_of_windows():
 
 def test_pipeline_stages(spark):
     import corpus_pipeline
-    from revtrail.llm import decontam, exact_dedup, ngram_join
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
     got = corpus_pipeline.run(spark, SF).collect()
