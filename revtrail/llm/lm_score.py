@@ -3,9 +3,16 @@
 Every word is predicted from the ``SIDE`` words on either side of it, itself
 left out; the summed conditional log-probabilities score a document.
 
-*Vocabulary.*  Words are hashed to 2**16 buckets, and buckets are counted
-over the whole corpus.  The most frequent get ids of their own, by rank;
-the others share ``TAIL`` ids, so every word is predicted.
+*Vocabulary.*  Every distinct word (by its 64-bit hash) is counted over the
+whole corpus, in a Spark table that grows with it.  The most frequent get
+ids of their own, by rank; each of the others belongs to one of ``TAIL``
+cells, by its hash.  The network predicts a frequent word or a cell, and the
+word's own share of its cell's occurrences makes that the probability of the
+word: over all words of the corpus they sum to 1, less what a corpus of few
+words leaves to ids that have none.  The shares of the
+``KNOWN`` most frequent words go to every task; those of all others are
+joined from the table of counts, once per document and distinct word, so no
+hot word is shuffled.
 
 *Network.*  Each of the window's places has its own embedding of the word
 that stands there; their sum goes through tanh, and a two-level softmax
@@ -32,7 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import small_batches, written
@@ -42,6 +49,10 @@ SIDE = 2
 CLASSES, PER_CLASS = 32, 32
 VOCABULARY = CLASSES * PER_CLASS
 TAIL = 128
+#: Words whose counts every task holds (a megabyte); the others' are joined.
+KNOWN = 1 << 16
+#: Distinct words that a task counts before it hands them on.
+MOST_COUNTED = 1 << 20
 WIDTH = 16
 BATCH = 8192
 ROUNDS = 2
@@ -173,49 +184,121 @@ class Trainer:
         self.words += len(ids)
 
 
+def cell_of(word: np.ndarray) -> np.ndarray:
+    """The cell of a word hash (``TAIL`` is a power of two)."""
+    return (word >> U64(64 - (TAIL - 1).bit_length())).astype(np.int32)
+
+
+@dataclass
+class Vocabulary:
+    """Ids of words; ``words`` are the ``KNOWN`` most frequent, sorted by hash."""
+    words: np.ndarray   # word hashes
+    ids: np.ndarray     # their network ids
+    shares: np.ndarray  # log of their share of their cell, 0 for words with an own id
+    cells: np.ndarray   # occurrences in each cell
+
+    def look_up(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word hash its id, its log share, and is it known."""
+        if not len(self.words):
+            return VOCABULARY - TAIL + cell_of(word), np.zeros(len(word)), np.zeros(len(word), bool)
+        at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
+        known = self.words[at] == word
+        return (np.where(known, self.ids[at], VOCABULARY - TAIL + cell_of(word)).astype(np.int32),
+                np.where(known, self.shares[at], 0.0), known)
+
+
 def hashed_words(docs: DataFrame) -> DataFrame:
-    """Written doc_id, buckets (unsigned 16-bit hashes of the words)."""
+    """row (a number), doc_id, words (their 64-bit hashes) of every document."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in parts(batch, "text"):
-                h, offsets = words(*string_bytes(part.column(1)))
-                b = (h >> U64(48)).astype("<u2")
-                raw = [b[x:y].tobytes() for x, y in zip(offsets[:-1], offsets[1:])]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(raw, pa.binary())], names=["doc_id", "buckets"])
+                h, offsets = words(*string_bytes(part.column(2)))
+                raw = [h[x:y].tobytes() for x, y in zip(offsets[:-1], offsets[1:])]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(raw, pa.binary())],
+                                                 names=["row", "doc_id", "words"])
 
-    return written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, buckets binary"), "hashed-words")
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       "text").mapInArrow(run, "row long, doc_id long, words binary")
 
 
-def bucket_counts(hashed: DataFrame) -> np.ndarray:
-    """How often each of the 2**16 buckets occurs in the corpus."""
+def bucket_counts(hashed: DataFrame) -> DataFrame:
+    """Written word, n: how often each distinct word occurs in the corpus."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for raw in batch.column(0):
-                n += np.bincount(np.frombuffer(raw.as_py(), "<u2"), minlength=1 << 16)
-        used = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(n[used])], names=["bucket", "n"])
-
-    rows = hashed.select("buckets").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(1 << 16, np.int64)
-    out[rows["bucket"]] = rows["n"]
-    return out
-
+        held, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-def vocabulary(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Id of each bucket (the frequent by rank, the rest spread over the tail), and the ids' counts."""
-    order = np.argsort(-counts, kind="stable")
-    ids = np.zeros(1 << 16, np.int32)
-    head = VOCABULARY - TAIL
-    ids[order[:head]] = np.arange(head)
-    ids[order[head:]] = head + np.arange((1 << 16) - head) % TAIL
-    return ids, np.bincount(ids, counts, VOCABULARY)
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(n)], names=["word", "n"])
 
-
-def shares(batches: Iterator[pa.RecordBatch], column: int, id_of: np.ndarray, most_words: int = 1 << 18):
+        for batch in batches:
+            new, times = np.unique(np.frombuffer(b"".join(x.as_py() for x in batch.column(0)), "<u8"), return_counts=True)
+            held, of = np.unique(np.concatenate([held, new]), return_inverse=True)
+            n = np.bincount(of, np.concatenate([n, times]), len(held)).astype(np.int64)
+            if len(held) > MOST_COUNTED:
+                yield out()
+                held, n = held[:0], n[:0]
+        if len(held):
+            yield out()
+
+    rows = hashed.select("words").mapInArrow(run, "word long, n long")
+    return written(rows.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def cell_column(word: Column) -> Column:
+    return F.shiftrightunsigned(word, 64 - (TAIL - 1).bit_length()).cast("int")
+
+
+def vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+    """The ids of all words (the frequent by rank, the rest by cell), and the ids' counts."""
+    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).toPandas()  # KNOWN rows at most
+    word, n = top["word"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    head = min(VOCABULARY - TAIL, len(word))
+    cells = np.zeros(TAIL, np.int64)
+    for r in counts.groupBy(cell_column(F.col("word")).alias("cell")).agg(F.sum("n").alias("n")).collect():  # TAIL rows
+        cells[r["cell"]] = r["n"]
+    np.subtract.at(cells, cell_of(word[:head]), n[:head])
+    ids = VOCABULARY - TAIL + cell_of(word)
+    shares = np.log(n / np.maximum(cells[cell_of(word)], 1))
+    ids[:head], shares[:head] = np.arange(head), 0
+    order = np.argsort(word)
+    own = np.zeros(VOCABULARY - TAIL, np.int64)
+    own[:head] = n[:head]
+    return Vocabulary(word[order], ids[order], shares[order], cells), np.concatenate([own, cells])
+
+
+def encode(hashed: DataFrame, id_of: Vocabulary) -> DataFrame:
+    """row, doc_id, ids (network ids, unsigned 16-bit), share (sum of the known
+    words' log shares), rare and times (the distinct words that aren't known)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, share, rare, times = [], [], [], []
+            for x in batch.column(2):
+                word = np.frombuffer(x.as_py(), "<u8")
+                own, log_share, known = id_of.look_up(word)
+                ids.append(own.astype("<u2").tobytes())
+                share.append(log_share.sum())
+                few, n = np.unique(word[~known], return_counts=True)
+                rare.append(few.view(np.int64))
+                times.append(n)
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(share, pa.float64()),
+                                              pa.array(rare, longs), pa.array(times, longs)],
+                                             names=["row", "doc_id", "ids", "share", "rare", "times"])
+
+    return hashed.mapInArrow(run, "row long, doc_id long, ids binary, share double, rare array<long>, times array<long>")
+
+
+def rare_shares(coded: DataFrame, counts: DataFrame, id_of: Vocabulary) -> DataFrame:
+    """row, rare_share: the sum of the log shares of its words that aren't known."""
+    cells = F.array(*(F.lit(int(n)) for n in id_of.cells))
+    each = coded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
+        "row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
+    log_share = F.log(F.col("n") / F.element_at(cells, cell_column(F.col("word")) + 1))
+    return each.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * log_share).alias("rare_share"))
+
+
+def shares(batches: Iterator[pa.RecordBatch], column: int, most_words: int = 1 << 18):
     """(rows, word ids, offsets) of about ``most_words`` words each."""
     for batch in batches:
         raw = [x.as_py() for x in batch.column(column)]
@@ -225,20 +308,21 @@ def shares(batches: Iterator[pa.RecordBatch], column: int, id_of: np.ndarray, mo
             while end < len(raw) and (end == at or held + len(raw[end]) // 2 <= most_words):
                 held += len(raw[end]) // 2
                 end += 1
-            ids = id_of[np.frombuffer(b"".join(raw[at:end]), "<u2")]
+            ids = np.frombuffer(b"".join(raw[at:end]), "<u2").astype(np.int32)
             yield batch.slice(at, end - at), ids, np.concatenate([[0], np.cumsum([len(r) // 2 for r in raw[at:end]])])
             at = end
 
 
-def train_round(hashed: DataFrame, id_of: np.ndarray, start: Network) -> Network:
-    """One pass of every task over its share, and the average of what they learned."""
-    spark = hashed.sparkSession
-    tasks = hashed.rdd.getNumPartitions()
+def train_round(hashed: DataFrame, id_of: Vocabulary, start: Network) -> Network:
+    """One pass of every task over its share (encoded already or not), and the
+    average of what they learned."""
+    coded = (hashed if "ids" in hashed.columns else encode(hashed, id_of)).select("doc_id", "ids")
+    tasks = coded.rdd.getNumPartitions()
     groups = max(1, math.isqrt(tasks))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, name = Trainer(start.with_flat(start.flat())), 0
-        for rows, ids, offsets in shares(batches, 1, id_of):
+        for rows, ids, offsets in shares(batches, 1):
             if len(ids):
                 if not trainer.words:
                     name = rows.column(0)[0].as_py() or 0
@@ -258,42 +342,41 @@ def train_round(hashed: DataFrame, id_of: np.ndarray, start: Network) -> Network
         return pa.table([pa.array([x], t) for x, t in zip(row, kinds)], names=["chunk", "part", "weight", "params"])
 
     schema = "chunk int, part int, weight double, params binary"
-    learned = hashed.mapInArrow(train, schema).groupBy("chunk", "part").applyInArrow(average, schema)
+    learned = coded.mapInArrow(train, schema).groupBy("chunk", "part").applyInArrow(average, schema)
     rows = learned.groupBy("chunk").applyInArrow(average, schema).collect()  # one model: CHUNKS rows of a fixed size
     if not rows:
         return start
     return start.with_flat(np.concatenate([np.frombuffer(r["params"], np.float32) for r in sorted(rows, key=lambda r: r["chunk"])]))
 
 
-def pseudo_likelihood(hashed: DataFrame, id_of: np.ndarray, net: Network) -> DataFrame:
+def pseudo_likelihood(coded: DataFrame, counts: DataFrame, id_of: Vocabulary, net: Network) -> DataFrame:
     """doc_id, n_words, log_likelihood, mean_log_prob of every document."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, ids, offsets in shares(batches, 1, id_of):
+        for rows, ids, offsets in shares(batches, 2):
             around = windows(ids, offsets)
             logp = np.zeros(len(ids))
             for at in range(0, len(ids), 4 * BATCH):
                 logp[at:at + 4 * BATCH] = forward(net, around[at:at + 4 * BATCH], ids[at:at + 4 * BATCH])
             n = np.diff(offsets)
-            total = np.zeros(len(n))
+            total = rows.column(3).to_numpy().copy()
             if (n > 0).any():
-                total[n > 0] = np.add.reduceat(logp, offsets[:-1][n > 0])
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n.astype(np.int64)), pa.array(total)],
-                                             names=["doc_id", "n_words", "log_likelihood"])
+                total[n > 0] += np.add.reduceat(logp, offsets[:-1][n > 0])
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(n.astype(np.int64)), pa.array(total)],
+                                             names=["row", "doc_id", "n_words", "log_likelihood"])
 
-    out = hashed.mapInArrow(score, "doc_id long, n_words long, log_likelihood double")
+    out = coded.select("row", "doc_id", "ids", "share").mapInArrow(score, "row long, doc_id long, n_words long, log_likelihood double")
+    out = out.join(rare_shares(coded, counts, id_of), "row", "left").select(
+        "doc_id", "n_words", (F.col("log_likelihood") + F.coalesce("rare_share", F.lit(0.0))).alias("log_likelihood"))
     return out.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
-def fit(hashed: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, Network]:
-    """(id of each bucket, network) learned from the whole table."""
-    id_of, counts = vocabulary(bucket_counts(hashed))
-    net = fresh(counts)
-    for _ in range(rounds):
-        net = train_round(hashed, id_of, net)
-    return id_of, net
-
-
 def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Learn from all documents and score each."""
     hashed = hashed_words(docs)
-    return pseudo_likelihood(hashed, *fit(hashed, rounds))
+    counts = bucket_counts(hashed)
+    id_of, of_ids = vocabulary(counts)
+    coded = written(encode(hashed, id_of), "word-ids")
+    net = fresh(of_ids)
+    for _ in range(rounds):
+        net = train_round(coded, id_of, net)
+    return pseudo_likelihood(coded, counts, id_of, net)

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from revtrail.llm import langid, lm_score, pii, toxicity
+from revtrail.llm.text import word_hashes
 
 SF = "/root/testdata/sf0.01"
 
@@ -72,6 +73,34 @@ def test_average_is_weighted_by_words(spark, docs_of):
     assert np.isfinite(end.flat()).all() and not np.array_equal(start.flat(), end.flat())
 
 
+def test_every_word_has_its_own_probability(spark, docs_of, monkeypatch):
+    # 3000 distinct words, two thirds in cells, some of them known to every task and the others joined
+    rng = random.Random(4)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.4)) % 3000}" for _ in range(400)) for _ in range(60)]
+    distinct = sorted({w for t in texts for w in t.split()})
+    monkeypatch.setattr(lm_score, "KNOWN", 1200)
+    hashed = lm_score.hashed_words(docs_of(list(enumerate(texts))))
+    counts = lm_score.bucket_counts(hashed)
+    n = {np.int64(r.word).view(np.uint64): r.n for r in counts.collect()}
+    hashes = np.concatenate(word_hashes(distinct))
+    of = [w for t in texts for w in t.split()]
+    assert [n[h] for h in hashes] == [of.count(w) for w in distinct] and len(n) == len(distinct) > 1200
+    id_of, of_ids = lm_score.vocabulary(counts)
+    net = lm_score.fresh(of_ids)
+    # one-word documents stand alone in their window; over all words the probabilities sum to 1
+    coded = lm_score.encode(lm_score.hashed_words(docs_of(list(enumerate(distinct)) + [(None, distinct[-1]), (-1, "")])), id_of)
+    got = lm_score.pseudo_likelihood(lm_score.written(coded, "test"), counts, id_of, net).collect()
+    assert len(got) == len(distinct) + 2
+    total = sum(np.exp(r.log_likelihood) for r in got if r.doc_id is not None and r.n_words)
+    # ids without words keep what their smoothed start gives them
+    every = lm_score.forward(net, np.full((lm_score.VOCABULARY, 4), lm_score.PAD), np.arange(lm_score.VOCABULARY))
+    assert abs(total - np.exp(every)[of_ids > 0].sum()) < 1e-4
+    by = {r.doc_id: r.log_likelihood for r in got}
+    often, once = max(distinct, key=of.count), min(distinct, key=of.count)
+    assert by[distinct.index(once)] < by[distinct.index(often)] - 3
+    assert by[None] == by[len(distinct) - 1]
+
+
 PEOPLE = [
     (1, "Mrs Anna Smith <anna.smith@corp.org> called +1 (988) 555-2485 from 10.1.2.3; Mr John Smith did not."),
     (2, "ANNA.SMITH@CORP.ORG, 1 988 555 2485? No: (988) 555-2485. Card 4539 5787 6362 1486 or 4539578763621486."),
