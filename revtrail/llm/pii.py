@@ -63,7 +63,7 @@ PERSON = r"(?<![\p{L}])(?:" + "|".join(x for v in TITLES.values() for x in v) +
 KINDS = {"secret": SECRET, "email": EMAIL, "ip": IP, "ssn": SSN, "card": CARD, "phone": PHONE, "person": PERSON}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: What every mention holds; most texts have none of it and are done.
-HINT = (r"@|\d{3}|\d\.\d{1,3}\.\d|(?i:passw|pwd|secret|token|api.?key)|(?:"
+HINT = (r"@|\d{3}|\+\d|\d(?:[ -]?\d){12}|\d\.\d{1,3}\.\d|(?i:passw|pwd|secret|token|api.?key)|(?:"
         + "|".join(x for v in TITLES.values() for x in v) + r")\.? \p{Lu}")
 
 

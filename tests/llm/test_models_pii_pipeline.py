@@ -145,6 +145,24 @@ def test_clean_odd_and_repeated_texts(rewritten):
     assert by[8].n_email == 2 and by[7].n_mentions == 1
 
 
+def test_hint_holds_for_every_kind(spark, docs_of):
+    numbers = ["+33 12 34 56 78", "+44 20 79 46 09", "+1 23 45", "4 5 3 9 5 7 8 7 6 3 6 2 1 4 8 6", "45 39 57 87 63 62 14 86",
+               "45-39-57-87-63-62-14", "(12) 345 6789", "(12)3456789", "123.456.7890", "123-45-6789", "1.2.3.4", "a@b.c", "Dr Ab",
+               "pwd=aaaaaaaa", "API_KEY: aaaaaaaa", "apikey=aaaaaaaa", "Mme. Éa Bé", "passwd = 'aaaaaaaa'"]
+    rng = random.Random(5)
+    for size in range(13, 20):
+        numbers += [str(i % 10) + "".join(rng.choice(["", " ", "-", " "]) + str(rng.randrange(10)) for _ in range(size - 1)) for i in range(20)]
+    for _ in range(60):
+        groups = ["".join(str(rng.randrange(10)) for _ in range(rng.choice([2, 2, 3]))) for _ in range(rng.randint(2, 4))]
+        numbers.append(f"+{rng.randint(1, 99)}" + rng.choice([" ", ".", "-"]) + rng.choice([" ", ".", "-"]).join(groups))
+    rows = spark.createDataFrame([(n,) for n in numbers], "text string")
+    kinds = [rows.filter(rows.text.rlike(f"^(?:{p})$")) for p in pii.KINDS.values()]
+    assert all(k.count() for k in kinds)
+    assert all(k.filter(~k.text.rlike(pii.HINT)).count() == 0 for k in kinds)
+    got = {r.doc_id: r for r in pii.pseudonymize(docs_of(list(enumerate(f"at {n} now" for n in numbers[:5]))), "k").collect()}
+    assert all(got[i].n_mentions == 1 and numbers[i] not in got[i].text for i in range(5))
+
+
 def test_collisions_draw_again(spark):
     # three-letter addresses at one domain leave few surrogates, and many are taken by real ones
     rng = random.Random(2)
