@@ -20,7 +20,9 @@ seen, turns that into a probability; thresholds are set on it.
 
 Training takes at most ``TOXIC_SAMPLE`` + ``ORDINARY_SAMPLE`` labelled texts
 of at most ``SAMPLE_BYTES`` bytes, chosen by a hash of their id: a bounded,
-documented sample.  All windows of all whole texts are scored.
+documented sample.  The labels of both kinds are counted over all such texts,
+and the regression's bias is set to their ratio, so that a score doesn't
+depend on whether a cap binds.  All windows of all whole texts are scored.
 
 Null and empty texts have no windows and get the score of none.  Without
 labels of both kinds every score is 0.  Rows that repeat are scored each on
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import small_batches
+from .scratch import small_batches, written
 from .text import parts, string_bytes, word_spans
 from .tokens import distinct, worker_state
 
@@ -180,7 +182,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.select(F.col("doc_id").alias("of"), F.col("toxic").cast("int").alias("toxic")).filter("of is not null")
     docs = docs.select("doc_id", "text")
     sizes = docs.filter(F.octet_length("text").between(1, SAMPLE_BYTES)).select(F.col("doc_id").alias("of")).distinct()
-    known = known.join(sizes, "of", "left_semi").dropDuplicates(["of"])
+    known = written(known.join(sizes, "of", "left_semi").dropDuplicates(["of"]), "labelled")
+    many = {r["toxic"]: r["n"] for r in known.filter("toxic in (0, 1)").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     sample = []
     for toxic, most in ((1, TOXIC_SAMPLE), (0, ORDINARY_SAMPLE)):
         ids = [r["of"] for r in known.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("of"), "of").limit(most).collect()]
@@ -199,6 +202,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     y = np.array([1.0] * len(bad[1::2]) + [0.0] * len(good[1::2]))
     model.mean, model.scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     model.weights, model.bias = logistic((x - model.mean) / model.scale, y)
+    # the caps bind apart: back from the sample's share of toxic texts to that of all
+    model.bias -= float(np.log(len(bad) / len(good)) - np.log(many[1] / many[0]))
     return model
 
 

@@ -247,6 +247,22 @@ def test_toxicity_of_odd_texts(spark, docs_of, odd_texts, sentence):
     assert toxicity.classify(docs_of([]), labels).collect() == []
 
 
+def test_scores_do_not_depend_on_the_caps(spark, docs_of, sentence, monkeypatch):
+    # half of the toxic texts look like ordinary ones, so a clean text's score is the share of those
+    rng = random.Random(6)
+    insults = ["rotten", "filthy", "horrid", "vile"]
+    rows = [(i, sentence(rng, 30)) for i in range(1800)]
+    rows = [(i, " ".join(x for w in t.split(" ") for x in (w, rng.choice(insults))) if i < 100 else t) for i, t in rows]
+    labels = spark.createDataFrame([(i, int(i < 200)) for i, _ in rows], "doc_id long, toxic int")
+    docs, means = docs_of(rows), []
+    for most in (8000, 200):
+        monkeypatch.setattr(toxicity, "ORDINARY_SAMPLE", most)
+        got = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+        assert min(got[i] for i in range(100)) > 0.5
+        means.append(np.mean([got[i] for i in range(200, 1800)]))
+    assert abs(means[0] - 100 / 1700) < 0.03 and abs(means[1] - means[0]) < 0.04
+
+
 def test_savings_of_windows():
     model = toxicity.Model(b" the of river stone light over under cold" * 99, b" worthless pathetic disgusting")
     saved, offsets = toxicity.Compressors(model).savings(pa.array([None, "the worthless river", "", "Pathetic! stone"]))
