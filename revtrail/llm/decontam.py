@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import small_batches, without, written
+from .scratch import as_ids, numbered, small_batches, without, written
 from .text import U64, parts, string_bytes, word_hashes, words
 
 #: Words between two documents of a block; phrases and their proximity don't reach over.
@@ -251,4 +251,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, slack
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs."""
-    return without(docs, contamination(docs, benchmark, window).filter("contaminated").select("doc_id"))
+    rows, number = numbered(docs)
+    found = contamination(as_ids(rows, number), benchmark, window)
+    return without(rows, number, found.filter("contaminated").select("doc_id"))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import without, written
+from .scratch import as_ids, but_first, numbered, without, written
 
 BLANKS = " \t\n\x0b\x0c\r"
 PREFIX_CHARS = 256
@@ -75,6 +75,10 @@ def exact_groups(docs: DataFrame, with_digest: bool = False) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, whole (rows that repeat the doc_id
-    that stays, with the same text, are one document and stay together)."""
-    return without(docs, exact_groups(docs).filter(~F.col("kept")).select("doc_id"))
+    """The rows of ``docs`` that stay, whole: of equal texts one row, also
+    where rows share a doc_id or have none."""
+    rows, number = numbered(docs)
+    groups = exact_groups(as_ids(rows, number)).filter("group_size > 1").select(
+        F.col("doc_id").alias("row"), F.col("keep_id").alias("together"))
+    longest = -F.length(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return without(rows, number, but_first(rows, number, groups, longest))

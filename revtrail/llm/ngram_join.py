@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import small_batches, without, written
+from .scratch import as_ids, but_first, numbered, small_batches, without, written
 from .text import U64, ngrams, parts, string_bytes, words
 
 #: Classes of a bucket that meet in one block.
@@ -264,6 +264,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` with the least doc_id of their component."""
-    dropped = near_duplicates(docs, **options).filter(~F.col("doc_id").eqNullSafe(F.col("class_id")))
-    return without(docs, dropped.select("doc_id"))
+    """The rows of ``docs`` that stay, whole: of each component the row with
+    the least doc_id, one also where rows share a doc_id or have none."""
+    rows, number = numbered(docs)
+    groups = near_duplicates(as_ids(rows, number), **options).filter("n_links > 0").select(
+        F.col("doc_id").alias("row"), F.col("class_id").alias("together"))
+    return without(rows, number, but_first(rows, number, groups))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -33,11 +33,32 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs``, whole, whose doc_id isn't in ``dropped`` (one
-    column; null is a doc_id like others).  The ids are written first: their
-    size is then known when the join is planned, which is a broadcast below
-    Spark's threshold (the texts stay where they are) and a shuffle beyond."""
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a number of each row, and that column's name.
+    Rows may share a doc_id or have none; decisions about them go by the number."""
     name = "_" + "_".join(docs.columns)  # a name that no column has
-    ids = written(dropped.toDF(name).distinct(), "dropped-ids")
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_anti")
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+def as_ids(rows: DataFrame, number: str) -> DataFrame:
+    """doc_id (the row's number), text."""
+    return rows.select(F.col(number).alias("doc_id"), "text")
+
+
+def but_first(rows: DataFrame, number: str, groups: DataFrame, *order: Column) -> DataFrame:
+    """``of``: numbers of the rows in ``groups`` (row, together) that aren't
+    the first of their group by ``order``, then doc_id (null last), then number."""
+    doc_id = F.col("doc_id").cast("long")
+    placed = rows.select(F.col(number).alias("row"), F.struct(*order, doc_id.isNull(), doc_id, F.col(number)).alias("place"))
+    members = written(groups.join(placed, "row"), "members")
+    first = members.groupBy("together").agg(F.min_by("row", "place").alias("row"))
+    return members.join(first, "row", "left_anti").select(F.col("row").alias("of"))
+
+
+def without(rows: DataFrame, number: str, dropped: DataFrame) -> DataFrame:
+    """The rows, whole but for their number, whose number isn't in ``dropped``
+    (one column).  The numbers are written first: their size is then known
+    when the join is planned, which is a broadcast below Spark's threshold
+    (the texts stay where they are) and a shuffle beyond."""
+    gone = written(dropped.toDF(number), "dropped-rows")
+    return rows.join(gone, number, "left_anti").drop(number)

@@ -83,6 +83,23 @@ def test_one_document_of_each_group_stays(docs_of, sentence):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for c, _ in brute_force(rows).values()})
 
 
+def test_near_duplicates_with_repeated_and_null_ids(docs_of, sentence):
+    rng = random.Random(8)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    near = a + " more"
+    rows = [(7, a), (None, near), (None, b), (7, c), (7, c), (None, None), (None, None)]
+    kept = ngram_join.drop_near_duplicates(docs_of(rows)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(7, a), (None, b), (7, c), (None, None), (None, None)], key=str)
+    assert ngram_join.drop_near_duplicates(docs_of([])).collect() == []
+
+
+def test_contaminated_rows_with_repeated_and_null_ids(spark, docs_of):
+    items = spark.createDataFrame([("i", "alpha beta gamma")], "item_id string, text string")
+    rows = [(None, "x alpha beta gamma"), (None, "clean"), (1, "alpha beta gamma"), (1, "alpha"), (1, "alpha"), (2, None)]
+    kept = decontam.drop_contaminated(docs_of(rows), items).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(None, "clean"), (1, "alpha"), (1, "alpha"), (2, None)], key=str)
+
+
 def test_bands_reach_the_recall():
     for similarity, recall in ((0.8, 0.9995), (0.5, 0.9), (0.95, 0.99)):
         bands, rows = ngram_join.choose_bands(similarity, recall)

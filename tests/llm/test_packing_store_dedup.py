@@ -118,6 +118,15 @@ def test_exact_groups(docs_of, odd_texts):
     assert kept.columns == docs_of([]).columns
 
 
+def test_copies_with_repeated_and_null_ids(docs_of):
+    def kept(rows):
+        return sorted(((r.doc_id, r.text) for r in drop_copies(docs_of(rows)).collect()), key=str)
+    assert kept([(1, "a"), (None, "a"), (None, "b")]) == [(1, "a"), (None, "b")]
+    assert kept([(1, "a"), (1, "a"), (2, "c"), (2, "d"), (3, "c ")]) == [(1, "a"), (2, "d"), (3, "c ")]
+    assert kept([(None, "a"), (None, "a"), (None, None), (5, "")]) == [(5, ""), (None, "a")]
+    assert kept([]) == []
+
+
 def test_exact_groups_of_repeated_and_null_ids(docs_of):
     rows = [(1, "a"), (1, "a"), (None, "a"), (None, "b"), (2, "c"), (2, "d")]
     got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_groups(docs_of(rows)).collect()), key=str)
