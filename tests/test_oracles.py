@@ -7,9 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "orders", "lineitem", "events", "documents",
+TABLES = ["region", "nation", "customer", "orders", "lineitem", "events", "documents", "embeddings", "benchmark",
           "pages", "labels", "conversations"]
 
 

@@ -3,7 +3,7 @@
 import pandas as pd
 
 import naive
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from revtrail.plans import jobs
 
 
