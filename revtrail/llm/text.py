@@ -17,6 +17,9 @@ LOWER = np.arange(256, dtype=U8)
 LOWER[65:91] += 32
 IN_WORD = np.zeros(256, dtype=bool)
 IN_WORD[48:58] = IN_WORD[97:123] = IN_WORD[128:] = True
+#: The other kind of word: all but space, tab, line feed, vertical tab, form feed and carriage return.
+NOT_BLANK = np.ones(256, dtype=bool)
+NOT_BLANK[9:14] = NOT_BLANK[32] = False
 #: Words beyond this many bytes are hashed one at a time.
 LONG_WORD = 4096
 FEW_BYTES = np.array([0] + [(1 << (8 * k)) - 1 for k in range(1, 9)], dtype=U64)
@@ -57,11 +60,12 @@ def parts(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20):
         start = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lowered bytes (eight more at the end), starts and sizes of all words."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lowered bytes (eight more at the end), starts and sizes of all words,
+    the runs of the bytes of ``kind``."""
     low = np.zeros(len(data) + 8, U8)
     low[:len(data)] = LOWER[data]
-    inside = IN_WORD[low[:len(data)]]
+    inside = kind[low[:len(data)]]
     before = np.zeros_like(inside)
     before[1:] = inside[:-1]
     after = np.zeros_like(inside)
@@ -90,11 +94,11 @@ def span_hashes(low: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nd
     return h
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and for the n values their n + 1 word offsets."""
     if len(data) == 0:
         return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
-    low, starts, sizes = word_spans(data, offsets)
+    low, starts, sizes = word_spans(data, offsets, kind)
     return span_hashes(low, starts, sizes), np.searchsorted(starts, offsets).astype(np.int64)
 
 
