@@ -12,14 +12,15 @@
    same members count once.
 3. In every bucket one class is the hub and each other class of it is one
    candidate edge, so pairs are as many as members.  Edges are confirmed on
-   the full sets and joined to components.  A hub that has met all others is
-   done; buckets whose classes all belong to one component are done too.
-   Such rounds repeat a few times with other hubs.
-4. What then still shares a bucket without sharing a component is confirmed
+   the full sets; a class takes over the root of the hub it is linked to.  A
+   hub that has met all others is done, and so are buckets whose classes all
+   have one root.  The rest goes through another round with other hubs.
+4. What then still shares a bucket without sharing a root is confirmed
    exactly: the classes of a bucket are cut by size, so that only neighbouring
    sizes can reach the similarity, and further into blocks; every two blocks
    that can hold a link meet in a group of their own, except those within the
-   bucket's largest component.  A group reports a spanning forest of its links.
+   bucket's most frequent root.  A group reports a spanning forest of its links.
+5. All links are joined to components.
 
 No cap drops a candidate: only equal bands of a linked pair can be missed,
 with probability 1 - ``recall`` for a pair just at the similarity.  A text of
@@ -50,7 +51,7 @@ from .text import NOT_BLANK, U64, ngrams, parts, string_bytes, words
 #: Bins of a band.
 ROWS = 6
 #: Rounds of star edges before the rest is met block by block.
-ROUNDS = 3
+ROUNDS = 2
 #: Classes of a block.
 BLOCK = 256
 
@@ -177,28 +178,36 @@ def confirmed(edges: DataFrame, sets: DataFrame, share: tuple[int, int]) -> Data
     return held.mapInArrow(check, "a binary, b binary")
 
 
-def with_roots(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """``members`` (.., fp, ..) with the component of each class."""
-    if roots is None:
+def with_labels(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``members`` (.., fp, ..) with ``root``: equal roots are known to hang together."""
+    if labels is None:
         return members.withColumn("root", F.col("fp"))
-    return members.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return members.join(labels, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
-def open_buckets(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """The members (bucket, fp, size, root) of the buckets that hold several components."""
-    rooted = with_roots(members, roots)
-    mixed = rooted.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("bucket")
-    return rooted.join(mixed, "bucket", "left_semi")
+def open_buckets(rooted: DataFrame) -> DataFrame:
+    """bucket, hub, hub_size, hub_root of the buckets whose members have
+    several roots; the hub is the class that comes first in one fixed random order."""
+    hub = F.struct(F.col("fp").alias("hub"), F.col("size").alias("hub_size"), F.col("root").alias("hub_root"))
+    found = rooted.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("mixed"), F.min_by(hub, place("fp")).alias("h"))
+    return found.filter("mixed").select("bucket", "h.*")
 
 
-def star(members: DataFrame, turn: int, share: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """(edges, hubs): one class of each bucket as its hub, and an edge (a, b)
-    to every class of another component that can reach the similarity."""
-    hub = F.struct(F.col("fp").alias("hub"), F.col("size").alias("hub_size"), F.col("root").alias("hub_root"))
-    hubs = members.groupBy("bucket").agg(F.min_by(hub, F.xxhash64(F.lit(turn), "fp")).alias("h")).select("bucket", "h.*")
-    met = members.join(hubs, "bucket").filter((F.col("root") != F.col("hub_root")) & may_reach(F.col("size"), F.col("hub_size"), share))
-    edges = met.select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
-    return edges, hubs.select("bucket", F.col("hub").alias("fp"))
+def place(fp: str) -> Column:
+    return F.struct(F.xxhash64(fp), F.col(fp))
+
+
+def labels_of(links: DataFrame, jumps: int = 2) -> DataFrame:
+    """(fp, root) of the classes that were linked to hubs: of its hubs the
+    first, then that one's, and so on a few times.  Hubs come before the classes they met,
+    so this never runs in a circle.  What hangs together may keep
+    several roots, which costs comparisons, not links."""
+    up = written(links.groupBy(F.col("b").alias("fp")).agg(F.min_by("a", place("a")).alias("root")), "labels")
+    out = up
+    for _ in range(jumps):
+        out = out.join(up.select(F.col("fp").alias("root"), F.col("root").alias("next")), "root", "left").select(
+            "fp", F.coalesce("next", "root").alias("root"))
+    return written(out, "labels")
 
 
 def size_class(size: Column, share: tuple[int, int]) -> Column:
@@ -208,7 +217,7 @@ def size_class(size: Column, share: tuple[int, int]) -> Column:
 
 
 def met_in_blocks(members: DataFrame, sets: DataFrame, share: tuple[int, int], block: int) -> DataFrame:
-    """Links (a, b) between classes of different components that share a
+    """Links (a, b) between classes of different roots that share a
     bucket: a spanning forest of each group of two blocks."""
     tally = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("times"))
     main = tally.groupBy("bucket").agg(F.max_by("root", F.struct("times", "root")).alias("main"))
@@ -216,7 +225,7 @@ def met_in_blocks(members: DataFrame, sets: DataFrame, share: tuple[int, int], b
         "bucket", "fp", "root", (F.col("root") == F.col("main")).alias("is_main"), size_class(F.col("size"), share).alias("c"))
     cells = rows.groupBy("bucket", "is_main", "c").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     rows = rows.join(cells, ["bucket", "is_main", "c"]).withColumn("k", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    # a block meets all blocks of its own and the neighbouring classes, in the larger component those of the others only
+    # a block meets all blocks of its own and the neighbouring classes, one of the main root those of other roots only
     near = cells.select("bucket", F.col("is_main").alias("other_main"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other_k"),
                         F.col("c").alias("other_c"))
     near = near.withColumn("c", F.explode(F.array(F.col("other_c") - 1, F.col("other_c"), F.col("other_c") + 1)))
@@ -249,7 +258,7 @@ def met_in_blocks(members: DataFrame, sets: DataFrame, share: tuple[int, int], b
 
 
 def forest(rows: list[dict], share: tuple[int, int]) -> list[tuple[bytes, bytes]]:
-    """A spanning forest of the links between components in one group."""
+    """A spanning forest of the links between roots in one group."""
     if len(rows) < 2:
         return []
     sets = [np.frombuffer(r["hashes"], "<u8") for r in rows]
@@ -297,24 +306,27 @@ def near_copies(docs: DataFrame, n: int = 3, share: tuple[int, int] = (85, 100),
     wanted = members.select("fp").distinct()
     sets = written(full_sets(docs, classes.select(F.col("least").alias("of"), "fp").join(wanted, "fp", "left_semi"), n), "full-sets")
 
-    links, roots = None, None
-    for turn in range(rounds):
-        members = written(open_buckets(members, roots), "open-buckets")
-        if members.isEmpty():
+    links, labels = None, None
+    for _ in range(rounds):
+        rooted = with_labels(members, labels)
+        met = written(rooted.join(open_buckets(rooted), "bucket"), "met")
+        if met.isEmpty():
             break
-        edges, hubs = star(members, turn, share)
+        near = (F.col("root") != F.col("hub_root")) & may_reach(F.col("size"), F.col("hub_size"), share)
+        edges = met.filter(near).select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
         found = written(confirmed(edges, sets, share), "star-links")
-        members = members.join(hubs, ["bucket", "fp"], "left_anti").drop("root")
+        members = met.filter("fp <> hub").select("bucket", "fp", "size")
         links = found if links is None else links.unionByName(found)
-        roots = written(components(links), "roots")
+        labels = labels_of(links)
     else:
-        members = written(open_buckets(members, roots), "open-buckets")
-        if not members.isEmpty():
-            found = written(met_in_blocks(members, sets, share, block), "block-links")
+        rooted = with_labels(members, labels)
+        left = written(rooted.join(open_buckets(rooted).select("bucket"), "bucket", "left_semi"), "left")
+        if not left.isEmpty():
+            found = written(met_in_blocks(left, sets, share, block), "block-links")
             links = found if links is None else links.unionByName(found)
-            roots = written(components(links), "roots")
+    roots = None if links is None else components(links).withColumnRenamed("node", "fp")
 
-    known = with_roots(classes.select("fp", "least"), roots)
+    known = written(with_labels(classes.select("fp", "least"), roots), "roots")
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
     known = known.join(least, "root").select("fp", "component_id")
     out = signed.select("doc_id", "fp", F.col("size").alias("n_shingles")).join(known, "fp", "left")
