@@ -44,7 +44,10 @@ from .scratch import small_batches, written
 
 SCALE = 1_000_000_000
 #: Distinct (lang, source, term) of a task held before they are sent.
-MOST_HELD = 400_000
+MOST_HELD = 1_000_000
+#: A task keeps occurrences and documents of a term in one number.
+ONE_DOC_BITS = 40
+ONE_DOC = 1 << ONE_DOC_BITS
 #: Pairs of rows of a term that are computed at once.
 MOST_PAIRS = 1 << 20
 
@@ -64,39 +67,37 @@ def term_counts(docs: DataFrame) -> DataFrame:
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
                        F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
 
-    def out(counts: dict, docs_with: dict) -> pa.RecordBatch:
+    def out(counts: dict) -> pa.RecordBatch:
         cols = [[], [], [], [], []]
         for (lang, source), own in counts.items():
-            seen = docs_with[lang, source]
             cols[0] += [lang] * (len(own) + 1)
             cols[1] += [source] * (len(own) + 1)
             cols[2] += [b"", *own]
-            cols[3] += [0, *own.values()]
-            cols[4] += [0, *(seen[t] for t in own)]
+            cols[3] += [0, *(n & (ONE_DOC - 1) for n in own.values())]
+            cols[4] += [0, *(n >> ONE_DOC_BITS for n in own.values())]
         kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["lang", "source", "term", "count", "docs"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, docs_with, held = {}, {}, 0
+        counts, held = {}, 0
         for batch in batches:
             langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lang, source, text in zip(langs, sources, batch.column(2)):
                 own = document_counts(text.as_py())
-                group = (lang, source)
-                if group not in counts:
-                    counts[group], docs_with[group] = Counter(), Counter()
+                total = counts.get((lang, source))
+                if total is None:
+                    total = counts[lang, source] = {}
                     held += 1
-                total = counts[group]
                 held -= len(total)
-                docs_with[group].update(own.keys())
+                get = total.get
                 for term, n in own.items():
-                    total[term] += n
+                    total[term] = get(term, 0) + n + ONE_DOC
                 held += len(total)
                 if held >= MOST_HELD:
-                    yield out(counts, docs_with)
-                    counts, docs_with, held = {}, {}, 0
+                    yield out(counts)
+                    counts, held = {}, 0
         if counts:
-            yield out(counts, docs_with)
+            yield out(counts)
 
     parts = rows.mapInArrow(count, "lang string, source string, term binary, count long, docs long")
     return parts.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
