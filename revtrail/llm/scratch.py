@@ -34,9 +34,15 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` written with a number of each row, and that column's name.
-    Rows may share a doc_id or have none; decisions about them go by the number."""
-    name = "_" + "_".join(docs.columns)  # a name that no column has
+    """``docs`` with a number of each row, and that column's name.  Decisions
+    about rows go by the number, as rows may share a doc_id or have none.
+    Where every row has a doc_id of its own that is the number; else the rows
+    are written with one, for a number must stay the same each time they are read."""
+    name = "_" + "_".join(docs.columns).replace(".", "_").replace("`", "_")  # a name that no column has
+    id_ = F.col("doc_id").cast("long")
+    seen = docs.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(id_).alias("ids")).first()
+    if seen["rows"] == seen["ids"]:
+        return docs.withColumn(name, id_), name
     return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
