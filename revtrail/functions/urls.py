@@ -97,13 +97,6 @@ def is_recursive_external(origin_url: Column, dir_path: Column, ext_path: Column
     return (F.regexp_replace(host, "/+$", "") != ext) & host.startswith(F.concat(ext, F.lit("/")))
 
 
-def partial_load_possible(message: Column) -> Column:
-    cond = F.lit(False)
-    for c in PARTIAL_LOAD_CODES:
-        cond = cond | F.contains(message, F.lit(c))
-    return cond
-
-
 def alternate_urls(url: Column, fast_host: str, fast_scheme: str = "svn") -> Column:
     """Candidate URLs in the order to try: for ``fast_host`` reached over
     http(s), the same URL over ``fast_scheme`` first."""

@@ -9,6 +9,8 @@ applied after the equi join, so no nested loop is planned.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,8 @@ def copy_rows(changes: DataFrame) -> DataFrame:
 
 
 def expand_once(copies: DataFrame, iv: Intervals) -> DataFrame:
-    """Put rows (seq = copy) for every node alive under a copy source."""
+    """Put rows (seq = copy) for every node alive under a copy source, with
+    the node each was copied from (src_path, src_rev)."""
     nodes = (iv.files.select("origin", "path", F.lit("file").alias("kind"), "blob_id", "length",
                              "from_rev", "to_rev")
              .unionByName(iv.dirs.select("origin", "path", F.lit("dir").alias("kind"),
@@ -43,43 +46,45 @@ def expand_once(copies: DataFrame, iv: Intervals) -> DataFrame:
     return hit.select(
         "origin", "rev", F.lit(SEQ_COPY).alias("seq"), F.concat(F.col("dst"), rel).alias("path"),
         "kind", F.lit("put").alias("action"), F.lit(None).cast("string").alias("copyfrom_path"),
-        F.lit(-1).cast("long").alias("copyfrom_rev"), "blob_id", "length")
+        F.lit(-1).cast("long").alias("copyfrom_rev"), "blob_id", "length",
+        F.col("path").alias("src_path"), "src_rev")
+
+
+def as_changes(expanded: DataFrame) -> DataFrame:
+    return expanded.drop("src_path", "src_rev")
 
 
 def cleared(copies: DataFrame) -> DataFrame:
     """What a copy does besides its nodes: its destination is cleared first (a
-    no-op when it does not exist); the root has no node of its own, so a
-    copy of it makes the destination."""
+    no-op when it does not exist) and has a parent; the root has no node of
+    its own, so a copy of it makes the destination."""
     none = [F.lit(None).cast("string").alias("copyfrom_path"), F.lit(-1).cast("long").alias("copyfrom_rev"),
             F.lit(None).cast("string").alias("blob_id"), F.lit(None).cast("long").alias("length")]
-    row = lambda seq, action: ["origin", "rev", F.lit(seq).alias("seq"), F.col("dst").alias("path"),
-                               F.lit("dir").alias("kind"), F.lit(action).alias("action"), *none]
-    return copies.select(*row(0, "delete")).unionByName(copies.where(F.col("src") == "").select(*row(SEQ_COPY, "put")))
+    row = lambda seq, action, path: ["origin", "rev", F.lit(seq).alias("seq"), path.alias("path"),
+                                     F.lit("dir").alias("kind"), F.lit(action).alias("action"), *none]
+    parent = P.parent(F.col("dst"))
+    return (copies.select(*row(0, "delete", F.col("dst")))
+            .unionByName(copies.where(F.col("src") == "").select(*row(SEQ_COPY, "put", F.col("dst"))))
+            .unionByName(copies.where(parent != "").select(*row(SEQ_COPY, "put", parent)).distinct()))
 
 
-def _chained(copies: DataFrame) -> bool:
-    """Does any copy read at, below or above another copy's destination?"""
+def _touching(copies: DataFrame) -> DataFrame:
+    """The copies that read at, below or above any copy's destination."""
     def up(c, name):
         paths = F.concat(F.array(F.lit("")), P.ancestors(F.col(c), include_self=True))
-        return copies.select("origin", F.explode(paths).alias(name))
-    at = lambda c, name: copies.select("origin", F.col(c).alias(name)).distinct()
-    below = up("src", "p").join(at("dst", "p"), ["origin", "p"], "left_semi")
-    holds = up("dst", "p").join(at("src", "p"), ["origin", "p"], "left_semi")
-    return not (below.isEmpty() and holds.isEmpty())
-
+        return copies.select("*", F.explode(paths).alias(name))
+    dsts = copies.select("origin", F.col("dst").alias("p")).distinct()
+    below = up("src", "p").join(dsts, ["origin", "p"], "left_semi").drop("p")
+    above = copies.select("origin", F.explode(F.concat(F.array(F.lit("")), P.ancestors(F.col("dst")))).alias("src")).distinct()
+    return below.unionByName(copies.join(above, ["origin", "src"], "left_semi")).distinct()
 
-def _top(path):
-    return F.element_at(F.split(path, "/"), 1)
 
-
-def _merge(base: Intervals, rebuilt: Intervals, tops: DataFrame) -> Intervals:
-    """Intervals of ``base`` outside the rebuilt top-level subtrees, plus the
-    rebuilt ones."""
-    def pick(a: DataFrame, b: DataFrame) -> DataFrame:
-        keep = a.withColumn("_top", _top(F.col("path"))).join(tops, ["origin", "_top"], "left_anti") \
-            .drop("_top")
-        return keep.unionByName(b)
-    return Intervals(pick(base.files, rebuilt.files), pick(base.dirs, rebuilt.dirs))
+def _under(rows: DataFrame, dsts: DataFrame, how: str) -> DataFrame:
+    """Rows whose path is at or below a destination (left_semi), or isn't (left_anti)."""
+    own = rows.select("origin", "path").distinct()
+    hit = own.select("origin", "path", F.explode(P.ancestors(F.col("path"), include_self=True)).alias("dst")) \
+        .join(dsts, ["origin", "dst"], "left_semi").select("origin", "path").distinct()
+    return rows.join(hit, ["origin", "path"], how)
 
 
 def _content(df: DataFrame) -> tuple:
@@ -88,36 +93,68 @@ def _content(df: DataFrame) -> tuple:
     return r["n"], r["x"]
 
 
-def expand_copies(changes: DataFrame) -> tuple[DataFrame, Intervals]:
-    """Changes with every copy expanded into put rows, and their intervals.
+@dataclass
+class Expanded:
+    changes: DataFrame      # with every copy as put rows
+    intervals: Intervals
+    lineage: DataFrame      # origin, path, rev, src_path, src_rev of every copied node
+
+
+def expand_copies(changes: DataFrame) -> Expanded:
+    """Changes with every copy expanded into put rows, their intervals, and
+    where every copied node came from.
 
-    One round is exact when no copy reads at, below or above the place
-    another one writes to.  Otherwise rounds repeat until the expanded rows
-    stay as they are.  A copy reads an earlier revision than its own, so
-    each round settles one more link of every chain of copies, and the
-    rounds end.  Expanded rows only land below copy destinations, so only
-    the top-level subtrees holding a destination are rebuilt; the intervals
-    of every other path come from the first build unchanged.
+    A copy that reads clear of all copy destinations is expanded once, from
+    the intervals without copies.  The others are expanded in rounds until
+    their rows stay as they are: a copy reads an earlier revision than its
+    own, so each round settles one more link of every chain of copies, and
+    the rounds end.  Expanded rows only land at or below destinations (their
+    parents are in the log anyway), so only those paths are rebuilt; the
+    intervals of every other path come from the first build unchanged.
     """
     copies = cut_lineage(copy_rows(changes))
     plain = changes.where(F.col("copyfrom_rev") == -1)
     if copies.isEmpty():
-        return plain, build_intervals(plain)
+        none = copies.select("origin", F.col("dst").alias("path"), "rev", F.col("src").alias("src_path"), "src_rev")
+        return Expanded(plain, build_intervals(plain), none)
     if not copies.where(F.col("src_rev") >= F.col("rev")).isEmpty():
         raise ValueError("a copy reads a revision that isn't before its own")
     plain = plain.unionByName(cleared(copies))
     base = build_intervals(plain)
-    tops = cut_lineage(copies.select("origin", _top(F.col("dst")).alias("_top")).distinct())
-    affected = plain.withColumn("_top", _top(F.col("path"))) \
-        .join(tops, ["origin", "_top"], "left_semi").drop("_top")
-    chained = _chained(copies)
-    iv, before = base, None
-    while True:
-        expanded = cut_lineage(expand_once(copies, iv))
-        now = _content(expanded) if chained else None
-        if chained and now == before:
-            return plain.unionByName(expanded), iv
-        iv = _merge(base, build_intervals(affected.unionByName(expanded)), tops)
-        if not chained:
-            return plain.unionByName(expanded), iv
-        before = now
+    dsts = cut_lineage(copies.select("origin", "dst").distinct())
+    outside = Intervals(cut_lineage(_under(base.files, dsts, "left_anti")), cut_lineage(_under(base.dirs, dsts, "left_anti")))
+    # what can end a path below a destination: its own events and deletes above
+    above = dsts.select("origin", F.explode(P.ancestors(F.col("dst"))).alias("path")).distinct()
+    inside = cut_lineage(_under(plain, dsts, "left_semi").unionByName(
+        plain.where(F.col("action") == "delete").join(above, ["origin", "path"], "left_semi")
+        .join(dsts.withColumnRenamed("dst", "path"), ["origin", "path"], "left_anti")).distinct())
+
+    def rebuilt(expanded: DataFrame) -> Intervals:
+        own = build_intervals(inside.unionByName(as_changes(expanded)))
+        return Intervals(outside.files.unionByName(_under(own.files, dsts, "left_semi")),
+                         outside.dirs.unionByName(_under(own.dirs, dsts, "left_semi")))
+
+    chained = cut_lineage(_touching(copies))
+    fixed = cut_lineage(expand_once(copies.join(chained, copies.columns, "left_anti"), base))
+    iv, expanded = rebuilt(fixed), fixed
+    before = None
+    while not chained.isEmpty():
+        more = cut_lineage(expand_once(chained, iv))
+        now = _content(more)
+        if now == before:
+            break
+        before, expanded = now, fixed.unionByName(more)
+        iv = rebuilt(expanded)
+    return Expanded(plain.unionByName(as_changes(expanded)), iv, lineage_of(expanded, copies, plain))
+
+
+def lineage_of(expanded: DataFrame, copies: DataFrame, plain: DataFrame) -> DataFrame:
+    """(origin, path, rev, src_path, src_rev) of the copied nodes, copies of
+    the root included, that their own revision doesn't delete again,
+    themselves or an ancestor."""
+    undone = plain.where((F.col("action") == "delete") & (F.col("seq") > SEQ_COPY)).select("origin", "rev", F.col("path").alias("anc"))
+    roots = copies.where(F.col("src") == "").select("origin", F.col("dst").alias("path"), "rev", F.col("src").alias("src_path"), "src_rev")
+    rows = expanded.select("origin", "path", "rev", "src_path", "src_rev").unionByName(roots)
+    gone = rows.select("origin", "path", "rev", F.explode(P.ancestors(F.col("path"), include_self=True)).alias("anc")) \
+        .join(undone, ["origin", "rev", "anc"], "left_semi").select("origin", "path", "rev").distinct()
+    return rows.join(gone, ["origin", "path", "rev"], "left_anti")

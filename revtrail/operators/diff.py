@@ -1,29 +1,40 @@
-"""Tree and content differences as joins."""
+"""Tree and content differences."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revtrail.functions.hashing import PERM_DIR
+from revtrail.session import cut_lineage
+
 
 def line_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return (docs.select(key, F.explode(F.split(F.col(text), "\n")).alias("line"))
             .groupBy(key, "line").agg(F.count(F.lit(1)).alias("n")))
 
 
-def diff_stat(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """pairs (doc_id, prev_doc_id) -> lines added / removed, as a multiset
-    full outer join on the line text of both sides."""
-    lc = line_counts(docs)
-    new = pairs.join(lc, "doc_id").select("doc_id", "prev_doc_id", "line", F.col("n").alias("n_new"))
-    old = pairs.join(lc.withColumnRenamed("doc_id", "prev_doc_id"), "prev_doc_id") \
-        .select("doc_id", "prev_doc_id", "line", F.col("n").alias("n_old"))
-    j = new.join(old, ["doc_id", "prev_doc_id", "line"], "full_outer") \
-        .fillna(0, ["n_new", "n_old"])
-    stats = j.groupBy("doc_id", "prev_doc_id").agg(
+def diff_stat(pairs: DataFrame, contents: DataFrame) -> DataFrame:
+    """pairs (old_id, new_id), contents (id, text) -> lines_added and
+    lines_removed of each distinct pair, as a multiset full outer join on the
+    line text of both sides."""
+    pairs = pairs.select("old_id", "new_id").distinct()
+    lc = line_counts(contents, "id")
+    new = pairs.join(lc.withColumnRenamed("id", "new_id"), "new_id").select("old_id", "new_id", "line", F.col("n").alias("n_new"))
+    old = pairs.join(lc.withColumnRenamed("id", "old_id"), "old_id").select("old_id", "new_id", "line", F.col("n").alias("n_old"))
+    j = new.join(old, ["old_id", "new_id", "line"], "full_outer").fillna(0, ["n_new", "n_old"])
+    return j.groupBy("old_id", "new_id").agg(
         F.sum(F.greatest(F.col("n_new") - F.col("n_old"), F.lit(0))).alias("lines_added"),
         F.sum(F.greatest(F.col("n_old") - F.col("n_new"), F.lit(0))).alias("lines_removed"))
-    return stats
+
+
+def changed_files(files: DataFrame) -> DataFrame:
+    """(origin, rev, path, old_id, new_id) where a file version follows on
+    another one of its path with other data."""
+    along = Window.partitionBy("origin", "path").orderBy("from_rev")
+    f = files.withColumn("old_id", F.when(F.lag("to_rev").over(along) == F.col("from_rev"), F.lag("blob_id").over(along)))
+    return f.where(F.col("old_id").isNotNull() & (F.col("old_id") != F.col("blob_id"))).select(
+        "origin", F.col("from_rev").alias("rev"), "path", "old_id", F.col("blob_id").alias("new_id"))
 
 
 def tree_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
@@ -39,3 +50,42 @@ def tree_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
               .when(~F.col("id_e").eqNullSafe(F.col("id_a")), "different"))
     return j.withColumn("status", status).where(F.col("status").isNotNull()).select(
         "origin", "path", F.coalesce("kind_e", "kind_a").alias("kind"), "status")
+
+
+def root_steps(root: DataFrame) -> DataFrame:
+    """(origin, rev, old, new): every change of the root directory's id, from
+    nothing at the first."""
+    along = Window.partitionBy("origin").orderBy("from_rev")
+    return root.select("origin", F.col("from_rev").alias("rev"), F.lag("tree_id").over(along).alias("old"), F.col("tree_id").alias("new"))
+
+
+def descend(pairs: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
+    """What differs below pairs of directories.
+
+    pairs (keys, old, new: directory ids, null for none), entries (id, name,
+    perms, target) of the directories -> (keys, path, kind, status) with
+    status added, removed or changed.  Level by level the entries of the two
+    sides meet by name; only directories whose ids differ go on, so equal
+    subtrees are never opened and the work follows the differences.
+    """
+    level = pairs.where(~F.col("old").eqNullSafe(F.col("new"))).select(*keys, F.lit("").alias("path"), "old", "new")
+    found = None
+    while True:
+        level = cut_lineage(level)
+        if level.isEmpty():
+            return found if found is not None else level.select(*keys, "path", F.lit("").alias("kind"), F.lit("").alias("status")).limit(0)
+
+        def side(which):
+            rows = level.where(F.col(which).isNotNull()).select(*keys, "path", F.col(which).alias("id")).join(entries, "id")
+            return rows.select(*keys, "path", "name", F.col("perms").alias(f"{which}_perms"), F.col("target").alias(which))
+
+        met = side("old").join(side("new"), [*keys, "path", "name"], "full_outer")
+        same = F.col("old").eqNullSafe(F.col("new")) & F.col("old_perms").eqNullSafe(F.col("new_perms"))
+        path = F.when(F.col("path") == "", F.col("name")).otherwise(F.concat_ws("/", "path", "name"))
+        met = cut_lineage(met.where(~same).withColumn("path", path).drop("name"))
+        kind = F.when(F.coalesce("new_perms", "old_perms") == PERM_DIR, "dir").otherwise("file")
+        status = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").otherwise("changed")
+        rows = met.select(*keys, "path", kind.alias("kind"), status.alias("status"))
+        found = rows if found is None else found.unionByName(rows)
+        as_dir = lambda c: F.when(F.col(f"{c}_perms") == PERM_DIR, F.col(c)).alias(c)
+        level = met.select(*keys, "path", as_dir("old"), as_dir("new")).where(~F.col("old").eqNullSafe(F.col("new")))

@@ -148,3 +148,20 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: str, bucket_of, value:
     return (d.join(offsets, [*keys, "_bkt"])
             .withColumn(out, F.col("_off") + F.col("_local"))
             .drop("_bkt", "_v", "_local", "_off"))
+
+
+def prefix_max(df: DataFrame, keys: Sequence[str], order: str, bucket_of, value: Column,
+               out: str) -> DataFrame:
+    """The largest ``value`` of the rows before (not of the row itself; NULL
+    for the first) over ``keys`` ordered by ``order`` (unique within a key),
+    split by buckets as ``prefix_sum``."""
+    keys = list(keys)
+    d = df.withColumn("_bkt", bucket_of(F.col(order))).withColumn("_v", value)
+    lw = (Window.partitionBy(*keys, "_bkt").orderBy(order)
+          .rowsBetween(Window.unboundedPreceding, -1))
+    d = d.withColumn("_local", F.max("_v").over(lw))
+    tops = d.groupBy(*keys, "_bkt").agg(F.max("_v").alias("_top"))
+    ow = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tops.withColumn("_carry", F.max("_top").over(ow)).select(*keys, "_bkt", "_carry")
+    return (d.join(carry, [*keys, "_bkt"]).withColumn(out, F.greatest("_carry", "_local"))
+            .drop("_bkt", "_v", "_local", "_carry"))

@@ -5,6 +5,14 @@ delete ends the lifetime and a later re-add starts without properties.
 Each property event is attached to the lifetime it falls in with an
 as-of lookup on (origin, path); values then run until the next event on
 the same property or the end of the lifetime.
+
+A lifetime that starts as a copy starts with the properties its source
+had at the source revision.  The lineage table (node, source node, source
+revision) is joined to the values known so far with an as-of lookup per
+(source path, name); what is found starts a value on the copy, which runs
+until the copy's own first event on that property.  Copies of copies take
+further rounds, each on the values the round before has added alone, so a
+round costs what it adds and the last one finds nothing.
 """
 
 from __future__ import annotations
@@ -12,23 +20,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtrail.operators.intervals import lifetimes
+from revtrail.functions.hashing import INF_REV
+from revtrail.functions.paths import ancestors
+from revtrail.operators.intervals import Intervals, lifetimes
 from revtrail.operators.ordinals import asof_lookup
 from revtrail.plans.export import file_perms
+from revtrail.session import cut_lineage
+
+
+def _bucket(c):
+    return F.floor(c / 4096)
 
 
-def prop_state(prop_events: DataFrame, versions: DataFrame) -> DataFrame:
-    """prop_events (origin, rev, path, name, value; NULL value = unset),
-    versions (origin, path, from_rev, to_rev, continues) ->
-    (origin, path, name, value, from_rev, to_rev)."""
-    lives = lifetimes(versions)
-    ev = asof_lookup(prop_events, lives, ["origin", "path"], "rev", "life_from",
-                     ["life_to"], lambda c: F.floor(c / 4096))
+def node_lifetimes(iv: Intervals) -> DataFrame:
+    """(origin, path, life_from, life_to) of files, directories and roots."""
+    dirs = iv.dirs.select("origin", "path", F.col("from_rev").alias("life_from"), F.col("to_rev").alias("life_to"))
+    roots = iv.dirs.select("origin").unionByName(iv.files.select("origin")).distinct().select(
+        "origin", F.lit("").alias("path"), F.lit(0).cast("long").alias("life_from"), F.lit(INF_REV).cast("long").alias("life_to"))
+    return lifetimes(iv.files).unionByName(dirs).unionByName(roots)
+
+
+def prop_state(prop_events: DataFrame, lives: DataFrame, lineage: DataFrame | None = None) -> DataFrame:
+    """prop_events (origin, rev, path, name, value; NULL value = unset; one
+    per property and revision), lives as of ``node_lifetimes``, lineage
+    (origin, path, rev, src_path, src_rev) -> (origin, path, name, value,
+    from_rev, to_rev)."""
+    ev = asof_lookup(prop_events, lives, ["origin", "path"], "rev", "life_from", ["life_from", "life_to"], _bucket)
     ev = ev.where(F.col("life_to").isNotNull() & (F.col("rev") < F.col("life_to")))
-    w = Window.partitionBy("origin", "path", "life_to", "name").orderBy("rev")
+    w = Window.partitionBy("origin", "path", "life_from", "name").orderBy("rev")
     out = ev.withColumn("to_rev", F.coalesce(F.lead("rev").over(w), F.col("life_to")))
-    return out.where(F.col("value").isNotNull()).select(
+    state = out.where(F.col("value").isNotNull()).select(
         "origin", "path", "name", "value", F.col("rev").alias("from_rev"), "to_rev")
+    if lineage is None:
+        return state
+    state = cut_lineage(state)
+    first = ev.groupBy("origin", "path", "life_from", "name").agg(F.min("rev").alias("first_rev"))
+    born = lineage.withColumnRenamed("rev", "life_from").join(lives, ["origin", "path", "life_from"])
+    born, first = cut_lineage(born), cut_lineage(first)
+    all_found, fresh = state, state
+    while True:
+        fresh = cut_lineage(inherited(born, fresh).join(first, ["origin", "path", "life_from", "name"], "left").select(
+            "origin", "path", "name", "value", F.col("life_from").alias("from_rev"),
+            F.least(F.coalesce("first_rev", "life_to"), "life_to").alias("to_rev")).where("from_rev < to_rev"))
+        if fresh.isEmpty():
+            return all_found
+        all_found = all_found.unionByName(fresh)
+
+
+def inherited(copied: DataFrame, state: DataFrame) -> DataFrame:
+    """Rows of ``copied`` (origin, src_path, src_rev, ...) with name and value
+    of each property in force on their source."""
+    names = state.select("origin", F.col("path").alias("src_path"), "name").distinct()
+    probes = copied.join(names, ["origin", "src_path"])
+    values = state.select("origin", F.col("path").alias("src_path"), "name", "from_rev", "value", F.col("to_rev").alias("until"))
+    hit = asof_lookup(probes, values, ["origin", "src_path", "name"], "src_rev", "from_rev", ["value", "until"], _bucket)
+    return hit.where(F.col("src_rev") < F.col("until")).drop("until")
 
 
 def exported_files(files: DataFrame, state: DataFrame, variants: DataFrame) -> DataFrame:
@@ -83,3 +129,25 @@ def props_at(state: DataFrame, at: DataFrame) -> DataFrame:
     return (state.join(at, "origin")
             .where((F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
             .select("origin", "path", "name", "value"))
+
+
+def crawl(iv: Intervals, state: DataFrame, at: DataFrame) -> DataFrame:
+    """Every node at at(origin, at_rev), the root included: origin, path, type
+    (file or dir) and the map of its properties."""
+    cols = ["origin", "path", "from_rev", "to_rev"]
+    nodes = iv.files.select(*cols, F.lit("file").alias("type")).unionByName(iv.dirs.select(*cols, F.lit("dir").alias("type")))
+    nodes = nodes.join(at, "origin").where((F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev"))) \
+        .select("origin", "path", "type").unionByName(at.select("origin", F.lit("").alias("path"), F.lit("dir").alias("type")))
+    held = props_at(state, at).groupBy("origin", "path").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("props"))
+    none = F.create_map().cast("map<string,string>")
+    return nodes.join(held, ["origin", "path"], "left").withColumn("props", F.coalesce("props", none))
+
+
+def propget(state: DataFrame, wanted: DataFrame, recurse: bool = False) -> DataFrame:
+    """wanted (origin, rev, target, name) -> those columns with path and value
+    of the property at the target, or at and below it; paths without it have no row."""
+    above = F.concat(F.array(F.lit("")), ancestors(F.col("path"), include_self=True))
+    target = F.explode(above) if recurse else F.col("path")
+    rows = state.join(wanted.select("origin", "name").distinct(), ["origin", "name"], "left_semi").select("*", target.alias("target"))
+    return rows.join(wanted, ["origin", "name", "target"]).where((F.col("from_rev") <= F.col("rev")) & (F.col("rev") < F.col("to_rev"))) \
+        .select("origin", "rev", "target", "name", "path", "value")

@@ -62,7 +62,7 @@ def q_export_modes(spark, sf):
     """(path, mode, id) of every exported file at each origin's head."""
     res = jobs.export_load(spark, sf)
     head = res.log.commits.groupBy("origin").agg(F.max("rev").alias("head"))
-    return res.intervals.files.join(head, "origin").where(
+    return res.exported.files.join(head, "origin").where(
         (F.col("from_rev") <= F.col("head")) & (F.col("head") < F.col("to_rev"))).select("origin", "path", "perms", "blob_id")
 
 
@@ -93,17 +93,13 @@ def q_delete_cascade(spark, sf):
 
 @register("crawl_tree")
 def q_crawl_tree(spark, sf):
-    """Every path at the head revision (root included as '')."""
-    res = jobs.events_load(spark, sf)
-    head = res.log.commits.groupBy("origin").agg(F.max("rev").alias("head"))
-    files = res.intervals.files.select("origin", "path", F.lit("file").alias("type"),
-                                       "from_rev", "to_rev")
-    dirs = res.intervals.dirs.select("origin", "path", F.lit("dir").alias("type"),
-                                     "from_rev", "to_rev")
-    nodes = files.unionByName(dirs).join(head, "origin") \
-        .where((F.col("from_rev") <= F.col("head")) & (F.col("head") < F.col("to_rev")))
-    root = head.select("origin", F.lit("").alias("path"), F.lit("dir").alias("type"))
-    return nodes.select("origin", "path", "type").unionByName(root)
+    """Every path at the head revision (root included as '') with its type
+    and the properties in force, as sorted lines name=value."""
+    from revtrail.operators.props import crawl
+    res = jobs.export_load(spark, sf)
+    found = crawl(res.intervals, res.props, _heads(res).select("origin", F.col("head").alias("at_rev")))
+    lines = F.transform(F.array_sort(F.map_entries("props")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.select("origin", "path", "type", F.array_join(lines, "\n").alias("props"))
 
 
 @register("head_revision")
@@ -137,22 +133,33 @@ def q_object_stats(spark, sf):
 
 @register("scan_log")
 def q_scan_log(spark, sf):
-    """Commits with 5 <= rev <= 40, first 10 per origin, with changed paths."""
-    res = jobs.events_load(spark, sf)
-    c = res.log.commits.where(F.col("rev").between(5, 40))
-    w = Window.partitionBy("origin").orderBy("rev")
-    c = c.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 10)
-    paths = res.log.changes.groupBy("origin", "rev").agg(
-        F.array_join(F.array_sort(F.collect_list("path")), ",").alias("changed_paths"))
-    return c.join(paths, ["origin", "rev"], "left").select(
-        "origin", "rev", "author", "message", git_timestamp(F.col("date")).alias("date_text"),
-        "changed_paths")
+    """Every commit with every path it changes."""
+    from revtrail.operators.commits import scan_log
+    log = jobs.events_load(spark, sf).log
+    return scan_log(log.commits, log.changes).select(
+        "origin", "rev", "author", "message", git_timestamp(F.col("date")).alias("date_text"), "path", "action", "has_changes")
+
+
+@register("scan_log_paths")
+def q_scan_log_paths(spark, sf):
+    """The first ten commits of each origin that change something at or below
+    the directory of its last change, without their paths."""
+    from revtrail.functions.paths import parent
+    from revtrail.operators.commits import scan_log
+    log = jobs.events_load(spark, sf).log
+    tops = log.changes.groupBy("origin").agg(F.max_by("path", "rev").alias("path"))
+    tops = tops.select("origin", F.when(F.instr("path", "/") > 0, parent(F.col("path"))).otherwise(F.col("path")).alias("path"))
+    return scan_log(log.commits, log.changes, paths=tops, limit=10, with_paths=False).select("origin", "rev", "message", "path", "has_changes")
 
 
 @register("commit_info")
 def q_commit_info(spark, sf):
+    """The commit at which each visit ended; the one after an origin's head doesn't exist."""
+    from revtrail.operators.commits import commit_info
     res = jobs.events_load(spark, sf)
-    return res.log.commits.where((F.col("origin") == "u8") & (F.col("rev") == 3)).select(
+    wanted = jobs.events_visits(spark, sf).select("origin", F.col("visit_rev").alias("rev")).unionByName(
+        _heads(res).select("origin", (F.col("head") + 1).alias("rev")))
+    return commit_info(res.log.commits, wanted).select(
         "origin", "rev", "author", "message", git_timestamp(F.col("date")).alias("date_text"))
 
 
@@ -245,14 +252,11 @@ def q_anti_archive(spark, sf):
 
 @register("diff_stat")
 def q_diff_stat(spark, sf):
-    """Line multiset difference between each document and the previous
-    document (by id) of the same source and language."""
-    from revtrail.operators.diff import diff_stat
-    d = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
-    w = Window.partitionBy("source", "lang").orderBy("doc_id")
-    pairs = d.select(F.col("doc_id"), F.lag("doc_id").over(w).alias("prev_doc_id")) \
-        .where(F.col("prev_doc_id").isNotNull())
-    return diff_stat(pairs, d.select("doc_id", "text"))
+    """Lines added to and removed from every file that a revision changes."""
+    from revtrail.operators.diff import changed_files, diff_stat
+    changed = changed_files(jobs.export_load(spark, sf).intervals.files)
+    contents = adapters.events_export_contents(spark, sf).select("id", F.col("data").cast("string").alias("text"))
+    return changed.join(diff_stat(changed, contents), ["old_id", "new_id"]).select("origin", "rev", "path", "lines_added", "lines_removed")
 
 
 @register("apply_eol")
@@ -432,36 +436,50 @@ def q_stale_check(spark, sf):
 
 @register("visit_outcome")
 def q_visit_outcome(spark, sf):
-    """Outcome of a new visit under injected failures: repository gone
-    (uid % 11 = 0), exception at the third new revision (uid % 5 = 0),
-    divergence in the final check (uid % 13 = 0)."""
+    """Outcome of a new visit through the dump files: an origin without a
+    repository, a truncated dump that ends the load early, a dumper that got
+    no further than the archive."""
     from revtrail.plans.visits import visit_outcome
+    status = q_dump_log_status(spark, sf).select("origin", "outcome")
+    frames = q_dump_frames(spark, sf)
+    flags = status.join(frames, "origin", "left").select(
+        "origin", (F.col("outcome") == "not_found").alias("not_found"),
+        F.when(F.col("truncated"), F.coalesce("max_complete_rev", F.lit(0)) + 1).alias("fail_at"), F.lit(False).alias("diverged"),
+        F.col("outcome").isin("error", "behind_archive").alias("error"))
+    return visit_outcome(_plan(spark, sf).join(status.select("origin"), "origin", "full_outer"), flags)
+
+
+@register("build_snapshot_fallback")
+def q_build_snapshot_fallback(spark, sf):
+    """The snapshot of each new visit: of the new head, or the one before where nothing is new."""
+    from revtrail.plans.load import visit_snapshots
+    from revtrail.plans.visits import latest_snapshot
     plan = _plan(spark, sf)
-    flags = plan.select(
-        "origin", (_uid() % 11 == 0).alias("not_found"),
-        F.when(_uid() % 5 == 0, F.col("start_rev") + 2).alias("fail_at"),
-        (_uid() % 13 == 0).alias("diverged"))
-    return visit_outcome(plan, flags)
+    new = jobs.events_load(spark, sf).snapshots.join(plan.where("not uneventful"), "origin", "left_semi")
+    return visit_snapshots(plan.select("origin"), new, latest_snapshot(jobs.events_visits(spark, sf)))
 
 
 @register("incremental_equals_full")
 def q_incremental_equals_full(spark, sf):
     """Revisions after the midpoint of each origin, loaded incrementally
     from the archived state at the midpoint (must equal the full load)."""
-    from revtrail.plans.load import load, load_incremental
-    from revtrail.sources.adapters import ChangeLog
+    return jobs.memo(spark, sf, "incremental", lambda: jobs.second_half(
+        adapters.events_changelog(spark, sf), previous=jobs.events_until_mid(spark, sf))).select("origin", "rev", "revision_id")
+
+
+@register("incremental_export_equals_full")
+def q_incremental_export_equals_full(spark, sf):
+    """The same on the log whose files properties change: property values in
+    force at the midpoint are part of the archived state."""
+    return jobs.memo(spark, sf, "incremental_export", lambda: jobs.second_half(
+        *adapters.events_export_log(spark, sf))).select("origin", "rev", "revision_id")
 
-    def build():
-        log = jobs.events_load(spark, sf).log
-        mid = _heads(jobs.events_load(spark, sf)).select(
-            "origin", F.floor(F.col("head") / 2).cast("long").alias("at_rev"))
-        prefix = ChangeLog(
-            log.origins,
-            log.commits.join(mid, "origin").where(F.col("rev") <= F.col("at_rev")).drop("at_rev"),
-            log.changes.join(mid, "origin").where(F.col("rev") <= F.col("at_rev")).drop("at_rev"))
-        previous = load(prefix)
-        return load_incremental(log, previous, mid).revisions
-    return jobs.memo(spark, sf, "incremental", build).select("origin", "rev", "revision_id")
+
+@register("incremental_orders_equals_full")
+def q_incremental_orders_equals_full(spark, sf):
+    """The same on the orders log, whose copies read archived revisions."""
+    return jobs.memo(spark, sf, "incremental_orders", lambda: jobs.second_half(
+        adapters.orders_changelog(spark, sf))).select("origin", "rev", "revision_id")
 
 
 # ------------------------------------------------ copies (adapter O)
@@ -471,8 +489,7 @@ SUBPATH_ROOT = "p4"
 
 @register("orders_tree_ids")
 def q_orders_tree_ids(spark, sf):
-    """Root tree id at every revision of the orders log (copies, 4 levels);
-    checked against a sequential replay in tests (no SQL oracle)."""
+    """Root tree id at every revision of the orders log (copies, 4 levels)."""
     return jobs.orders_load(spark, sf).tree_at_rev.select("origin", "rev", "tree_id")
 
 
@@ -485,6 +502,16 @@ def q_expand_copies(spark, sf):
         "origin", "rev", "path", "blob_id")
 
 
+@register("copied_modes")
+def q_copied_modes(spark, sf):
+    """Files as their copies begin, with the properties that the source had:
+    links, executables and line endings through chains of copies."""
+    res = jobs.orders_export_load(spark, sf)
+    born = res.lineage.select("origin", "path", F.col("rev").alias("from_rev"))
+    return res.exported.files.join(born, ["origin", "path", "from_rev"]).select(
+        "origin", F.col("from_rev").alias("rev"), "path", "perms", "blob_id")
+
+
 @register("copy_filter")
 def q_copy_filter(spark, sf):
     c = adapters.orders_changelog(spark, sf).changes
@@ -537,98 +564,104 @@ def q_root_projection(spark, sf):
 
 # ------------------------------------------------ dumps, logs and failures
 
-def _event_dump_frames(spark, sf):
-    """One dump per origin of the event log, one frame per revision; the
-    head frame of origins with uid % 9 = 0 is cut short (truncated dump)."""
-    c = jobs.events_load(spark, sf).log.commits
-    head = c.groupBy("origin").agg(F.max("rev").alias("head"))
-    body = F.concat(F.lit("svn:log "), F.col("message"), F.lit("\nsvn:author "), F.col("author"))
-    c = c.join(head, "origin").withColumn("body", body)
-    cut = (_uid() % 9 == 0) & (F.col("rev") == F.col("head"))
-    shown = F.when(cut, F.substring("body", 1, 5)).otherwise(F.col("body"))
-    frame = F.concat(F.col("rev").cast("string"), F.lit("\nContent-length: "),
-                     F.octet_length("body").cast("string"), F.lit("\n\n"), shown)
-    return c.select("origin", frame.alias("frame"))
+def _dumps(spark, sf):
+    """The event log written as dump files (a third of them gzipped) with
+    their dumper logs, and read back; loading the truncated ones writes logs, too."""
+    import uuid
+
+    from revtrail.session import ensure_checkpoint_dir
+    from revtrail.sources import dumps as D
+
+    def build():
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/revtrail-dumps-{uuid.uuid4().hex}"
+        log, records = adapters.events_dump_records(spark, sf)
+        packed = F.pmod(F.xxhash64("origin"), F.lit(3)) == 0
+        written = None
+        for folder, pick, codec in (("plain", ~packed, "none"), ("gzip", packed, "gzip")):
+            rows = D.write_dumps(records.where(pick), log.origins.where(pick), f"{root}/dumps/{folder}", adapters.DUMP_QUOTA, codec)
+            written = rows if written is None else written.unionByName(rows)
+        # whoever is named next to an origin is asked for, too
+        wanted = log.origins.select("origin").unionByName(
+            log.origins.select(F.concat(F.lit("u"), (_uid() + 1).cast("string")).alias("origin"))).distinct()
+        D.write_lines(D.dumper_log(written, wanted), f"{root}/logs")
+        found, files = D.read_records(spark, f"{root}/dumps")
+        D.write_lines(D.load_log(found).select(_origin_of("file").alias("origin"), F.lit(0).alias("line_no"), "line"), f"{root}/load-logs")
+        return root, found, files
+    return jobs.memo(spark, sf, "dumps", build)
+
+
+def _origin_of(file):
+    """The origin that a file's folder names."""
+    return F.regexp_extract(file, r"/origin=([^/]+)/", 1)
 
 
 @register("dump_frames")
 def q_dump_frames(spark, sf):
+    """Dump files read back: complete records, truncated or not, and the last
+    complete revision of each."""
     from revtrail.sources.dumps import dump_summary
-    return dump_summary(_event_dump_frames(spark, sf), key="origin")
-
-
-def _dump_log(spark, sf):
-    """Dumper log lines: every origin dumps revisions 0..head; for
-    uid % 9 = 0 the dump breaks 3 revisions early (connection reset), for
-    uid % 11 = 0 the repository is not found."""
-    res = jobs.events_load(spark, sf)
-    head = _heads(res)
-    broken = _uid() % 9 == 0
-    missing = _uid() % 11 == 0
-    last = F.when(missing, F.lit(-1)).when(broken, F.col("head") - 3).otherwise(F.col("head"))
-    revs = F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last.cast("long"))) \
-        .otherwise(F.array().cast("array<bigint>"))
-    lines = head.select("origin", F.explode(revs).alias("r")).select(
-        "origin", (F.col("r") + 1).alias("line_no"),
-        F.concat(F.lit("* Dumped revision "), F.col("r").cast("string"), F.lit(".")).alias("line"))
-    err = head.where(broken | missing).select(
-        "origin", F.lit(1_000_000).cast("long").alias("line_no"),
-        F.when(missing, F.lit("svnrdump: E170013: Unable to connect to a repository at URL"))
-        .otherwise(F.lit("svnrdump: E000104: Connection reset by peer")).alias("line"))
-    exit_codes = head.select("origin", F.when(broken | missing, 1).otherwise(0).alias("exit_code"))
-    return lines.unionByName(err), exit_codes
+    _, found, files = _dumps(spark, sf)
+    return dump_summary(found, files).select(_origin_of("file").alias("origin"), "n_records", "truncated", "max_complete_rev")
 
 
 @register("dump_log_status")
 def q_dump_log_status(spark, sf):
+    """What the dumper logs say against what was loaded before."""
     from revtrail.plans.visits import last_loaded_rev
-    from revtrail.sources.dumps import dump_log_status
+    from revtrail.sources.dumps import dump_log_status, read_lines
     res = jobs.events_load(spark, sf)
-    lines, codes = _dump_log(spark, sf)
+    root, _, _ = _dumps(spark, sf)
+    lines = read_lines(spark, f"{root}/logs").select(_origin_of("file").alias("origin"), F.col("at").alias("line_no"), "line")
     llr = last_loaded_rev(res.log.origins, jobs.events_visits(spark, sf), res.revisions)
-    return dump_log_status(lines, codes, llr)
+    return dump_log_status(lines, llr)
 
 
 @register("classify_dump_error")
 def q_classify_dump_error(spark, sf):
-    """Error lines of the dumper logs, with partial loading possible or not."""
-    from revtrail.functions.urls import partial_load_possible
-    lines, _ = _dump_log(spark, sf)
-    e = lines.where(F.col("line").rlike(r"E\d{6}"))
-    return e.select("origin", F.regexp_extract("line", r"(E\d{6})", 1).alias("code"),
-                    partial_load_possible(F.col("line")).alias("partial_possible"))
+    """Errors that loading the truncated dumps reported, with partial loading possible or not."""
+    from revtrail.sources.dumps import ERROR_CODE_RE, partial_load_possible, read_lines
+    root, _, _ = _dumps(spark, sf)
+    lines = read_lines(spark, f"{root}/load-logs").where(F.col("line").rlike(ERROR_CODE_RE))
+    return lines.select(_origin_of("file").alias("origin"), F.regexp_extract("line", ERROR_CODE_RE, 1).alias("code"),
+                        partial_load_possible(F.col("line")).alias("partial_possible"))
 
 
 # ------------------------------------------------ more scans, sinks, checks
 
 @register("normalize_changes")
 def q_normalize_changes(spark, sf):
-    """Change rows as node events: explicit puts and deletes plus the
-    parent directories a put implies."""
-    from revtrail.operators.intervals import node_events
-    ch = jobs.events_load(spark, sf).log.changes
-    return node_events(ch).select("origin", "rev", "seq", "path", "kind", "is_put")
+    """Events of both logs with properties as uniform rows."""
+    from revtrail.operators.commits import normalized
+    rows = None
+    for adapter in (adapters.events_export_log, adapters.orders_export_log):
+        log, props, _ = adapter(spark, sf)
+        one = normalized(log.changes, props)
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
 
 
 @register("origin_info")
 def q_origin_info(spark, sf):
+    """Repository root, head revision and first revision of urls of whole
+    repositories and of all their directories; the head of a directory is the
+    last revision at which it exists."""
+    from revtrail.plans.visits import origin_info
     res = jobs.events_load(spark, sf)
-    head = _heads(res)
-    return res.log.origins.join(head, "origin").select(
-        "origin", "url", F.col("url").alias("root_url"), F.col("head").alias("head_rev"),
-        F.when(F.col("head") == 0, 0).otherwise(1).alias("initial_rev"))
+    dirs = res.intervals.dirs.select("origin", "path").distinct().join(res.log.origins.select("origin", "url"), "origin")
+    urls = res.log.origins.select("url").unionByName(dirs.select(F.concat_ws("/", "url", "path").alias("url")))
+    return origin_info(urls, res.log.origins, res.log.commits, res.intervals.dirs).select("url", "root_url", "head_rev", "initial_rev")
 
 
 @register("dump_plan")
 def q_dump_plan(spark, sf):
-    """Sub-path origins ``<customer>/p4``: dump the whole customer
-    repository up to the last revision where ``p4`` exists."""
+    """What to dump for ``p4`` of every customer: the whole repository up to
+    the last revision where ``p4`` exists; the path alone where the
+    repository is out of reach (customers without orders)."""
+    from revtrail.plans.visits import dump_plan
     res = jobs.orders_load(spark, sf)
-    head = _heads(res)
-    d = res.intervals.dirs.where(F.col("path") == SUBPATH_ROOT).join(head, "origin")
-    last = d.groupBy("origin").agg(F.max(F.least(F.col("to_rev") - 1, F.col("head"))).alias("max_rev"))
-    return last.select(F.col("origin").alias("dump_root"), F.lit(SUBPATH_ROOT).alias("sub_path"),
-                       F.col("max_rev").alias("dump_max_rev"))
+    root = F.concat(F.lit("file:///repos/c"), F.col("c_custkey").cast("string"))
+    urls = read_table(spark, sf, "customer").select(F.concat(root, F.lit(f"/{SUBPATH_ROOT}")).alias("url"))
+    return dump_plan(urls, res.log.origins, res.log.commits, res.intervals.dirs)
 
 
 @register("export_snapshot")
@@ -659,37 +692,45 @@ def _listing_at(res, at: DataFrame) -> DataFrame:
 
 @register("export_tree")
 def q_export_tree(spark, sf):
-    """Files and directories of each origin at its head, with modes and ids."""
-    res = jobs.events_load(spark, sf)
-    at = _heads(res).select("origin", F.col("head").alias("at_rev"))
-    lst = _listing_at(res, at)
-    return lst.select("origin", "path", F.when(F.col("kind") == "dir", 0o040000)
-                      .otherwise(0o100644).alias("perms"), "id")
+    """Files and directories of each origin at its head as exported: modes and
+    ids with the properties applied."""
+    from revtrail.plans.export import export_tree
+    res = jobs.export_load(spark, sf)
+    return export_tree(res.exported.files, res.trees.dirs, _heads(res).select("origin", F.col("head").alias("at_rev")))
 
 
 @register("export_subpaths")
 def q_export_subpaths(spark, sf):
-    """Only ``d1`` (whole subtree) and ``d3/f35`` at head, with parents."""
-    res = jobs.events_load(spark, sf)
-    at = _heads(res).select("origin", F.col("head").alias("at_rev"))
-    lst = _listing_at(res, at)
-    wanted = F.array(F.lit("d1"), F.lit("d3/f35"))
-    sel = lst.select("*", F.explode(wanted).alias("sub")).where(
-        (F.col("path") == F.col("sub")) | F.col("path").startswith(F.concat("sub", F.lit("/")))
-        | F.col("sub").startswith(F.concat("path", F.lit("/"))))
-    return sel.select("origin", "path", "kind").distinct()
+    """Only what each origin's last three revisions changed, whole subtrees
+    and the parents of each, at head."""
+    from revtrail.plans.export import export_tree, only_subpaths
+    res = jobs.export_load(spark, sf)
+    h = _heads(res)
+    wanted = res.log.changes.join(h, "origin").where(F.col("rev") > F.col("head") - 3).select("origin", "path").distinct()
+    listing = export_tree(res.exported.files, res.trees.dirs, h.select("origin", F.col("head").alias("at_rev")))
+    return only_subpaths(listing, wanted)
+
+
+def _entries(spark, sf):
+    """Entries (id, name, perms, target) of every directory of the event log."""
+    from revtrail.operators.trees import build_trees
+    from revtrail.plans.archive import entries_of
+    from revtrail.session import cut_lineage
+
+    def build():
+        res = jobs.events_load(spark, sf)
+        dirs = build_trees(res.intervals, res.log.origins, bodies=True).dirs.where(F.col("body").isNotNull())
+        return cut_lineage(entries_of(dirs.select(F.col("tree_id").alias("id"), "body").dropDuplicates(["id"])))
+    return jobs.memo(spark, sf, "entries", build)
 
 
 @register("tree_diff")
 def q_tree_diff(spark, sf):
-    """What differs between each origin's tree at head and at head - 1:
-    files and directories missing, extra or with another id."""
-    from revtrail.operators.diff import tree_diff
-    res = jobs.events_load(spark, sf)
-    h = _heads(res)
-    new = _listing_at(res, h.select("origin", F.col("head").alias("at_rev")))
-    old = _listing_at(res, h.select("origin", (F.col("head") - 1).alias("at_rev")))
-    return tree_diff(new, old)
+    """What every revision changes in its origin's tree: files and directories
+    added, removed or with another id."""
+    from revtrail.operators.diff import descend, root_steps
+    return jobs.memo(spark, sf, "tree_diff", lambda: descend(
+        root_steps(jobs.events_load(spark, sf).trees.root), _entries(spark, sf), ["origin", "rev"]))
 
 
 @register("emit_filter")
@@ -701,13 +742,21 @@ def q_emit_filter(spark, sf):
 
 @register("collect_objects")
 def q_collect_objects(spark, sf):
-    """Objects of each origin by type (distinct ids)."""
+    """Objects by type that each revision brings to its origin: contents,
+    skipped contents (of more than 12 bytes here) and directories."""
+    from revtrail.plans.load import new_by_revision
     res = jobs.events_load(spark, sf)
-    c = res.intervals.files.groupBy("origin").agg(F.countDistinct("blob_id").alias("contents"))
-    d = res.trees.dirs.groupBy("origin").agg(F.countDistinct("tree_id").alias("directories"))
-    r = res.revisions.groupBy("origin").agg(F.count(F.lit(1)).alias("revisions"))
-    return r.join(c, "origin", "left").join(d, "origin", "left").select(
-        "origin", F.coalesce("contents", F.lit(0)).alias("contents"), "directories", "revisions")
+    return new_by_revision(res, max_size=12)
+
+
+@register("batch_limits")
+def q_batch_limits(spark, sf):
+    """Which flush writes each new content of an origin, when a buffer is
+    flushed at 10 contents or 120 bytes."""
+    from revtrail.operators.batches import flush_numbers
+    first = jobs.events_load(spark, sf).intervals.files.groupBy("origin", "blob_id").agg(F.min("from_rev").alias("rev"), F.min("length").alias("length"))
+    return flush_numbers(first, ["origin"], ["rev", "blob_id"], F.floor(F.col("rev") / 4096), F.col("length"), 10, 120) \
+        .select("origin", "rev", "blob_id", "flush")
 
 
 @register("alternate_urls")
@@ -744,11 +793,11 @@ def q_root_directory(spark, sf):
 # ------------------------------------------------------------- properties
 
 def _prop_state(spark, sf):
-    from revtrail.operators.props import prop_state
+    from revtrail.operators.props import node_lifetimes, prop_state
 
     def build():
         res = jobs.events_load(spark, sf)
-        return prop_state(adapters.events_properties(spark, sf), res.intervals.files).cache()
+        return prop_state(adapters.events_properties(spark, sf), node_lifetimes(res.intervals)).cache()
     return jobs.memo(spark, sf, "prop_state", build)
 
 
@@ -762,12 +811,15 @@ def q_prop_state(spark, sf):
 
 @register("propget")
 def q_propget(spark, sf):
-    """``svn:eol-style`` of every path that has it at each origin's head."""
-    from revtrail.operators.props import props_at
+    """``svn:eol-style`` of everything below each directory, at every revision
+    that a visit has reached; and ``svn:executable`` from the root at head."""
+    from revtrail.operators.props import propget
     res = jobs.events_load(spark, sf)
-    at = _heads(res).select("origin", F.col("head").alias("at_rev"))
-    return props_at(_prop_state(spark, sf), at).where(F.col("name") == "svn:eol-style") \
-        .select("origin", "path", "value")
+    dirs = res.intervals.dirs.select("origin", F.col("path").alias("target")).distinct()
+    wanted = jobs.events_visits(spark, sf).select("origin", F.col("visit_rev").alias("rev")).distinct().join(dirs, "origin") \
+        .select("origin", "rev", "target", F.lit("svn:eol-style").alias("name"))
+    wanted = wanted.unionByName(_heads(res).select("origin", F.col("head").alias("rev"), F.lit("").alias("target"), F.lit("svn:executable").alias("name")))
+    return propget(_prop_state(spark, sf), wanted, recurse=True)
 
 
 @register("apply_executable")
@@ -816,17 +868,11 @@ def q_classify_external(spark, sf):
 
 @register("resolve_externals")
 def q_resolve_externals(spark, sf):
-    """Target repository (longest url prefix), sub path and revision of each
-    usable definition."""
-    x = _ext(spark, sf)
-    d = x["defs"].where(~F.col("void") & ~F.col("recursive"))
-    res = jobs.events_load(spark, sf)
-    dates = res.log.commits.select("origin", F.col("rev").alias("from_rev"), F.col("date").alias("host_date"))
-    r = x["resolved"].select("url", "rev_k", "peg_k", "host_date", "target_origin", "sub_path", "target_rev")
-    d = d.join(dates, ["origin", "from_rev"]).withColumn("rev_k", F.coalesce("revision", F.lit(-1))) \
-        .withColumn("peg_k", F.coalesce("peg_revision", F.lit(-1)))
-    return d.join(r, ["url", "rev_k", "peg_k", "host_date"], "left").select(
-        "origin", "dir", "from_rev", "line_no", "target_origin", "sub_path", "target_rev")
+    """Of each usable definition the host revision whose export it uses, and
+    its target: repository (longest url prefix), sub path, revision read and
+    the path of the node there (null: dead)."""
+    return _ext(spark, sf)["used"].select("origin", "dir", "from_rev", "line_no", "export_rev", "target_origin", "sub_path",
+                                          "target_rev", "node")
 
 
 @register("external_rank")
@@ -837,115 +883,103 @@ def q_external_rank(spark, sf):
 
 @register("dedupe_externals")
 def q_dedupe_externals(spark, sf):
-    """Definitions in force over all intervals vs distinct ones resolved."""
-    x = _ext(spark, sf)
-    d = x["defs"].where(~F.col("void") & ~F.col("recursive")).select(
-        F.lit(1).alias("d"), F.lit(0).alias("r"))
-    r = x["resolved"].select(F.lit(0).alias("d"), F.lit(1).alias("r"))
-    return d.unionByName(r).agg(F.sum("d").cast("long").alias("n_definitions"),
-                                F.sum("r").cast("long").alias("n_distinct"))
-
-
-def _defs_at_head(spark, sf):
-    res = jobs.events_load(spark, sf)
-    at = _heads(res).select("origin", F.col("head").alias("at_rev"))
-    s = _ext(spark, sf)["status"].join(at, "origin").where(
-        (F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
-    return s.withColumn("dest", F.concat_ws("/", "dir", "path")), at
+    """Every distinct export with the uses joined back to it: in how many
+    stretches of how many directories one export serves."""
+    u = _ext(spark, sf)["used"]
+    key = ["origin", "path", "url", F.col("rev_k").alias("revision"), F.col("peg_k").alias("peg_revision"), "export_rev"]
+    return u.select(*key, "dir").groupBy("origin", "path", "url", "revision", "peg_revision", "export_rev").agg(
+        F.count(F.lit(1)).alias("n_uses"), F.countDistinct("dir").alias("n_dirs"))
 
 
 @register("externals_flags")
 def q_externals_flags(spark, sf):
-    """Per origin at head: any valid relative definition, any recursive one."""
-    s, at = _defs_at_head(spark, sf)
-    f = s.groupBy("origin").agg(
-        F.bool_or((F.col("status") == "valid") & F.coalesce("relative_url", F.lit(False))).alias("has_relative"),
-        F.bool_or(F.col("status") == "recursive").alias("has_recursive"))
-    return at.select("origin").join(f, "origin", "left").select(
-        "origin", F.coalesce("has_relative", F.lit(False)).alias("has_relative"),
-        F.coalesce("has_recursive", F.lit(False)).alias("has_recursive"))
+    """At every revision: is any definition recursive, and is any valid one
+    that counts relative."""
+    from revtrail.operators.sweep import union_of
+    x, commits = _ext(spark, sf), jobs.events_load(spark, sf).log.commits.select("origin", "rev")
+    relative = x["status"].where("relative_url").select("origin", "dir", F.col("from_rev").alias("since"), "line_no")
+    spans = {"has_relative": x["effect"].where(F.col("status") == "valid").join(relative, ["origin", "dir", "since", "line_no"], "left_semi"),
+             "has_recursive": x["status"].where(F.col("status") == "recursive")}
+    out = commits
+    for name, rows in spans.items():
+        out = asof_lookup(out, union_of(rows, ["origin"]), ["origin"], "rev", "from_rev", ["to_rev"], lambda c: F.floor(c / 4096))
+        out = out.withColumn(name, F.coalesce(F.col("rev") < F.col("to_rev"), F.lit(False))).drop("to_rev")
+    return out
 
 
 @register("externals_removed")
 def q_externals_removed(spark, sf):
-    """Definitions dropped when a value ends: in the interval ending at r but
-    not in the one starting at r (same directory)."""
-    d = _ext(spark, sf)["defs"].where(F.col("error").isNull())
-    key = ["path", "url", "rev_k", "peg_k"]
-    d = d.withColumn("rev_k", F.coalesce("revision", F.lit(-1))).withColumn(
-        "peg_k", F.coalesce("peg_revision", F.lit(-1)))
-    prev = d.where(F.col("to_rev") < F.lit(INF_REV)).select("origin", "dir", F.col("to_rev").alias("rev"), *key)
-    cur = d.select("origin", "dir", F.col("from_rev").alias("rev"), *key)
-    return prev.join(cur, ["origin", "dir", "rev", *key], "left_anti").select(
-        "origin", "dir", "rev", "path", "url").distinct()
-
-
-def _overlay(spark, sf):
-    from revtrail.operators.externals import overlay_at
-
-    def build():
-        res = jobs.events_load(spark, sf)
-        s, at = _defs_at_head(spark, sf)
-        g = _ext(spark, sf)["grafted"].join(at, "origin").where(
-            (F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
-        versioned = _listing_at(res, at)
-        from revtrail.session import cut_lineage
-        return cut_lineage(overlay_at(versioned, g.select("origin", "path", "kind", "id", "dir", "line_no"),
-                                      s.select("origin", "dest", "rank", "status")))
-    return jobs.memo(spark, sf, "overlay", build)
+    """Definitions dropped when a value ends: in the interval ending at rev but
+    not in the one starting there (same directory)."""
+    from revtrail.operators.externals import removed
+    return removed(_ext(spark, sf)["defs"])
 
 
-@register("overlay_externals")
-def q_overlay_externals(spark, sf):
-    """Listing at head with externals applied (ids of files; directories
-    are re-hashed by ``externals_tree``)."""
-    o = _overlay(spark, sf)
-    return o.select("origin", "path", "kind", F.when(F.col("kind") == "file", F.col("id")).alias("id"))
+def _external_paths(spark, sf):
+    """(origin, dir, path, from_rev, to_rev) of the paths each directory's
+    valid externals own: the nodes they graft and the way to their targets."""
+    x = _ext(spark, sf)
+    live = x["effect"].where(F.col("status") == "valid")
+    grafts = x["grafted"].select("origin", "dir", F.col("from_rev").alias("since"), "line_no", "path").join(
+        live.select("origin", "dir", "since", "line_no", "from_rev", "to_rev"), ["origin", "dir", "since", "line_no"])
+    way = live.select("origin", "dir", F.explode(ancestors(F.col("dest"), include_self=True)).alias("path"), "from_rev", "to_rev") \
+        .where(F.length("path") > F.length("dir"))
+    cols = ["origin", "dir", "path", "from_rev", "to_rev"]
+    return grafts.select(*cols).unionByName(way.select(*cols))
 
 
 @register("external_paths")
 def q_external_paths(spark, sf):
-    """Paths owned by externals at head: grafted nodes and destination prefixes."""
-    s, at = _defs_at_head(spark, sf)
-    g = _ext(spark, sf)["grafted"].join(at, "origin").where(
-        (F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
-    pre = s.where(F.col("status").isin("valid", "dead")).select(
-        "origin", F.explode(ancestors(F.col("dest"), include_self=True)).alias("path"))
-    return g.select("origin", "path").unionByName(pre).distinct()
+    """When paths are owned by externals: grafted nodes and the way to them."""
+    from revtrail.operators.sweep import union_of
+    p = union_of(_external_paths(spark, sf), ["origin", "path"])
+    return p.select("origin", "path", "from_rev", _open_end(F.col("to_rev")).alias("to_rev"))
 
 
 @register("external_owner")
 def q_external_owner(spark, sf):
-    """Versioned paths at head hidden by an external."""
+    """Targets of definitions that were dropped (the value changed or the
+    directory went away): are they still owned by an external of a directory
+    above, so that they stay?"""
+    from revtrail.operators.sweep import union_of
+    live = _ext(spark, sf)["effect"].where((F.col("status") == "valid") & (F.col("to_rev") < F.lit(INF_REV)))
+    ends = union_of(live.select("origin", "dir", "dest", "from_rev", "to_rev"), ["origin", "dir", "dest"]) \
+        .where(F.col("to_rev") < F.lit(INF_REV)).select("origin", "dir", "dest", F.col("to_rev").alias("rev"))
+    owned = _external_paths(spark, sf).select("origin", F.col("dir").alias("above"), F.col("path").alias("dest"), "from_rev", "to_rev")
+    # one row per directory above, the root included
+    probes = ends.withColumn("above", F.explode(F.concat(F.when(F.col("dir") != "", F.array(F.lit(""))).otherwise(F.array().cast("array<string>")),
+                                                         ancestors(F.col("dir")))))
+    held = probes.join(owned, ["origin", "above", "dest"]).where((F.col("from_rev") <= F.col("rev")) & (F.col("rev") < F.col("to_rev"))) \
+        .select("origin", "dir", "dest", "rev").distinct().withColumn("stays", F.lit(True))
+    return ends.join(held, ["origin", "dir", "dest", "rev"], "left").select(
+        "origin", "dir", "dest", "rev", F.coalesce("stays", F.lit(False)).alias("stays"))
+
+
+@register("overlay_externals")
+def q_overlay_externals(spark, sf):
+    """Every node at every revision with externals applied: what it is, where
+    it comes from and when (directories are hashed by ``externals_tree``)."""
+    return _ext(spark, sf)["nodes"].select("origin", "path", "kind", "id", "source", "from_rev", _open_end(F.col("to_rev")).alias("to_rev"))
+
+
+@register("delete_cascade_externals")
+def q_delete_cascade_externals(spark, sf):
+    """What stands below a directory when it is deleted, and whether it
+    survives: what externals of directories above own does."""
     res = jobs.events_load(spark, sf)
-    _, at = _defs_at_head(spark, sf)
-    versioned = _listing_at(res, at).select("origin", "path", "kind", "id")
-    o = _overlay(spark, sf).select("origin", "path", F.col("id").alias("oid"), F.col("kind").alias("okind"))
-    j = versioned.join(o, ["origin", "path"], "left")
-    replaced = (F.col("okind").isNull() | (F.col("okind") != F.col("kind"))
-                | ((F.col("kind") == "file") & ~F.col("id").eqNullSafe(F.col("oid"))))
-    return j.where(replaced).select("origin", "path")
+    gone = res.log.changes.where((F.col("action") == "delete") & (F.col("kind") == "dir")).select("origin", F.col("path").alias("deleted"), "rev")
+    alive = res.intervals.dirs.select("origin", F.col("path").alias("deleted"), F.col("to_rev").alias("rev"))
+    gone = gone.join(alive, ["origin", "deleted", "rev"], "left_semi")
+    below = _ext(spark, sf)["nodes"].select("origin", "path", "source", "from_rev", "to_rev", F.explode(ancestors(F.col("path"))).alias("deleted"))
+    met = below.join(gone, ["origin", "deleted"]).where((F.col("from_rev") < F.col("rev")) & (F.col("rev") <= F.col("to_rev")))
+    return met.select("origin", "deleted", "rev", "path", "source", (F.col("to_rev") > F.col("rev")).alias("survives"))
 
 
 @register("externals_tree")
 def q_externals_tree(spark, sf):
-    """Root tree id at head with externals applied (tested against a
-    sequential replay; no SQL oracle)."""
-    from revtrail.operators.intervals import Intervals
-    from revtrail.operators.trees import build_trees
-    from revtrail.functions import paths as PP
-    res = jobs.events_load(spark, sf)
-    _, at = _defs_at_head(spark, sf)
-    o = _overlay(spark, sf).join(at, "origin")
-    span = [F.col("at_rev").alias("from_rev"), (F.col("at_rev") + 1).alias("to_rev")]
-    parts = [PP.parent(F.col("path")).alias("parent"), PP.basename(F.col("path")).alias("name"),
-             PP.depth(F.col("path")).alias("depth")]
-    files = o.where(F.col("kind") == "file").select("origin", "path", *parts, F.col("id").alias("blob_id"),
-                                                    F.lit(None).cast("long").alias("length"), *span)
-    dirs = o.where(F.col("kind") == "dir").select("origin", "path", *parts, *span)
-    trees = build_trees(Intervals(files, dirs), res.log.origins)
-    return trees.root.join(at, "origin").where(F.col("from_rev") == F.col("at_rev")).select(
-        "origin", F.col("at_rev").alias("rev"), "tree_id")
+    """Root tree id at every revision with externals applied."""
+    from revtrail.plans.load import tree_at_revision
+    return tree_at_revision(jobs.events_load(spark, sf).log.commits, jobs.externals_trees(spark, sf).root)
 
 
 # -------------------------------------------------------------- streaming
@@ -962,6 +996,17 @@ def q_stream_visits(spark, sf):
     return jobs.memo(spark, sf, "stream_visits", build).select("origin", "rev", "revision_id")
 
 
+@register("stream_visits_export")
+def q_stream_visits_export(spark, sf):
+    """The same on the log whose files properties change: property values are
+    part of the state, so streamed ids equal those of a full load with properties."""
+    from revtrail.streaming.visits import VisitStream
+
+    def build():
+        return VisitStream(spark, export=True).run_arrivals(read_table(spark, sf, "events"), groups=3)
+    return jobs.memo(spark, sf, "stream_visits_export", build).select("origin", "rev", "revision_id")
+
+
 @register("out_of_order")
 def q_out_of_order(spark, sf):
     """The events arrive in two parts that both span all time, so the second
@@ -975,6 +1020,21 @@ def q_out_of_order(spark, sf):
     return jobs.memo(spark, sf, "out_of_order", build).select("origin", "rev", "revision_id")
 
 
+@register("gap_buffer")
+def q_gap_buffer(spark, sf):
+    """Revisions arrive in four parts, each full of gaps; which arrival
+    releases each, in order per origin."""
+    from revtrail.streaming.gaps import GapBuffer
+
+    def build():
+        ev = adapters.events_base(spark, sf).select("origin", "rev", F.col("event_id").cast("string").alias("payload"), (F.col("event_id") % 4).alias("part"))
+        gaps = GapBuffer(spark)
+        for i in range(4):
+            gaps.arrive(ev.where(F.col("part") == i), f"part-{i}")
+        return gaps.released()
+    return jobs.memo(spark, sf, "gap_buffer", build).select("origin", "rev", "payload", "late", "batch")
+
+
 @register("altered_reload")
 def q_altered_reload(spark, sf):
     """Origins whose archived history was rewritten reload from revision 1,
@@ -994,34 +1054,63 @@ def q_altered_reload(spark, sf):
 
 # ------------------------------------------------------------------ sinks
 
+def _archive(spark, sf):
+    """Two visits of the event log in an archive, the first up to each
+    origin's midpoint; then the second one again, which changes nothing."""
+    import uuid
+
+    from revtrail.plans.archive import Archive, objects
+    from revtrail.session import ensure_checkpoint_dir
+
+    def build():
+        archive = Archive(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/revtrail-archive-{uuid.uuid4().hex}")
+        contents = adapters.events_contents(spark, sf)
+        first = archive.append("visit-1", objects(jobs.events_until_mid(spark, sf), contents, "2024-01-01"))
+        full = objects(jobs.events_load(spark, sf), contents, "2024-02-01")
+        second, again = archive.append("visit-2", full), archive.append("visit-2", full)
+        return archive, [(t, first[t], second[t], again[t]) for t in first]
+    return jobs.memo(spark, sf, "archive", build)
+
+
 @register("append_new_objects")
 def q_append_new_objects(spark, sf):
-    """Append the objects of a full event-log load to an archive (skipped
-    contents, contents, directories, revisions, snapshots -- children
-    first), unknown ids only; a second visit appends nothing."""
+    """Objects that two visits add to an archive, children first and unknown
+    ids only, as counted in the archive; the second visit again adds nothing."""
+    archive, counts = _archive(spark, sf)
+    rows = None
+    for name, *_ in counts:
+        r = archive.read(name).groupBy("visit").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("object_type"), "visit", "n")
+        rows = r if rows is None else rows.unionByName(r)
+    return rows
+
+
+@register("archive_restore")
+def q_archive_restore(spark, sf):
+    """Every node of each origin's last visit, restored from archived objects alone."""
+    from revtrail.plans.archive import restored
+    return restored(_archive(spark, sf)[0])
+
+
+@register("write_extids")
+def q_write_extids(spark, sf):
+    """Checksums of exported heads with the directory they stand for, appended
+    where the archive's restored tree has the same one."""
     import uuid
 
-    from revtrail.plans.sinks import DEFAULT_MAX_CONTENT_SIZE, append_new
+    from revtrail.plans.archive import Archive, export_extids, manifest_checksums, restored
     from revtrail.session import ensure_checkpoint_dir
 
     def build():
+        archive, _ = _archive(spark, sf)
         res = jobs.events_load(spark, sf)
-        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/revtrail-archive-{uuid.uuid4().hex}"
-        big = F.col("length") > DEFAULT_MAX_CONTENT_SIZE
-        objs = [
-            ("skipped_content", res.intervals.files.where(big).select(F.col("blob_id").alias("id"))),
-            ("content", res.intervals.files.where(~big).select(F.col("blob_id").alias("id"))),
-            ("directory", res.trees.dirs.select(F.col("tree_id").alias("id"))),
-            ("revision", res.revisions.select(F.col("revision_id").alias("id"))),
-            ("snapshot", res.snapshots.select(F.col("snapshot_id").alias("id"))),
-        ]
-        rows = []
-        for name, df in objs:
-            first = append_new(df, f"{root}/{name}", "id")
-            second = append_new(df, f"{root}/{name}", "id")
-            rows.append((name, first, second))
-        return spark.createDataFrame(rows, "object_type string, first_visit long, second_visit long")
-    return jobs.memo(spark, sf, "append_new_objects", build)
+        at = _heads(res).select("origin", F.col("head").alias("at_rev"))
+        listed = _listing_at(res, at).select("origin", "path", F.when(F.col("kind") == "dir", 0o040000).otherwise(0o100644).alias("perms"), "id")
+        expected = manifest_checksums(restored(archive)).select("checksum")
+        found = manifest_checksums(listed).join(res.snapshots.select("origin", F.col("tree_id").alias("id")), "origin")
+        out = Archive(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/revtrail-extids-{uuid.uuid4().hex}")
+        out.append("export-1", {"extid": export_extids(found, expected)})
+        return out.read("extid")
+    return jobs.memo(spark, sf, "write_extids", build).select("id", "checksum_layout", "checksum")
 
 
 @register("apply_special")

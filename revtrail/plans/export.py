@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revtrail.functions.hashing import PERM_EXEC, PERM_FILE, PERM_LINK, blob_id
+from revtrail.functions.hashing import PERM_DIR, PERM_EXEC, PERM_FILE, PERM_LINK, blob_id
+from revtrail.functions.paths import ancestors
 
 # Eol-style property values and the line ending they produce.
 EOL_TARGETS = {"native": "\n", "LF": "\n", "CRLF": "\r\n", "CR": "\r"}
@@ -50,3 +51,24 @@ def file_perms(is_link: Column, executable: Column) -> Column:
     return (F.when(is_link, F.lit(PERM_LINK))
             .when(F.coalesce(executable, F.lit(False)), F.lit(PERM_EXEC))
             .otherwise(F.lit(PERM_FILE)))
+
+
+def export_tree(files: DataFrame, dirs: DataFrame, at: DataFrame) -> DataFrame:
+    """(origin, path, perms, id) of every node at at(origin, at_rev); files as
+    exported (with perms), dirs with their tree ids."""
+    perms = F.col("perms") if "perms" in files.columns else F.lit(PERM_FILE)
+    span = ["from_rev", "to_rev"]
+    nodes = files.select("origin", "path", perms.cast("int").alias("perms"), F.col("blob_id").alias("id"), *span).unionByName(
+        dirs.where(F.col("path") != "").select("origin", "path", F.lit(PERM_DIR).alias("perms"), F.col("tree_id").alias("id"), *span))
+    return nodes.join(at, "origin").where((F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev"))) \
+        .select("origin", "path", "perms", "id")
+
+
+def only_subpaths(listing: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The nodes of a listing at, below or above the wanted (origin, path)."""
+    own = listing.select("origin", "path")
+    below = own.select("*", F.explode(ancestors(F.col("path"), include_self=True)).alias("top")) \
+        .join(wanted.withColumnRenamed("path", "top"), ["origin", "top"], "left_semi").select("origin", "path")
+    above = below.unionByName(wanted.join(own, ["origin", "path"], "left_semi").select("origin", "path")) \
+        .select("origin", F.explode(ancestors(F.col("path"), include_self=True)).alias("path"))
+    return listing.join(above.distinct(), ["origin", "path"], "left_semi")

@@ -9,22 +9,30 @@ checkpointed tables.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from revtrail.plans.load import LoadResult, load
+from revtrail.session import fingerprint
 from revtrail.sources import adapters
+from revtrail.sources.adapters import ChangeLog
 
 _CACHE: dict[tuple, object] = {}
-
-
-def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return (id(spark.sparkContext._jsc), sf_dir.rstrip("/"), name)
+_SEEN: dict[tuple, str] = {}
 
 
 def memo(spark: SparkSession, sf_dir: str, name: str, build):
-    k = _key(spark, sf_dir, name)
-    if k not in _CACHE:
-        _CACHE[k] = build()
-    return _CACHE[k]
+    """What ``build`` makes, once per application and state of the input
+    folder: changed files are seen, and what was made of the old ones is let go."""
+    where = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    now = fingerprint(spark, sf_dir)
+    if _SEEN.get(where) != now:
+        for key in [k for k in _CACHE if k[:2] == where or k[0] != where[0]]:
+            del _CACHE[key]
+        _SEEN[where] = now
+    key = (*where, name)
+    if key not in _CACHE:
+        _CACHE[key] = build()
+    return _CACHE[key]
 
 
 def events_load(spark: SparkSession, sf_dir: str) -> LoadResult:
@@ -65,8 +73,6 @@ def history_check(spark: SparkSession, sf_dir: str):
     (history rewritten since) -- a failure-injection table like the
     reference's altered-history tests.
     """
-    from pyspark.sql import functions as F
-
     from revtrail.operators.chain import revision_bodies, revision_chain
     from revtrail.plans.visits import last_loaded_rev
 
@@ -98,19 +104,49 @@ def orders_load(spark: SparkSession, sf_dir: str) -> LoadResult:
                 lambda: load(adapters.orders_changelog(spark, sf_dir)))
 
 
+def orders_export_load(spark: SparkSession, sf_dir: str) -> LoadResult:
+    """Load of the orders log with chains of copies and properties."""
+    def build():
+        log, props, variants = adapters.orders_export_log(spark, sf_dir)
+        return load(log, props=props, variants=variants)
+    return memo(spark, sf_dir, "orders_export_load", build)
+
+
+def halves(log: ChangeLog):
+    """(the log up to each origin's midpoint, the midpoints: origin, at_rev)"""
+    mid = log.commits.groupBy("origin").agg(F.floor(F.max("rev") / 2).cast("long").alias("at_rev"))
+    upto = lambda df: df.join(mid, "origin").where(F.col("rev") <= F.col("at_rev")).drop("at_rev")
+    return ChangeLog(log.origins, upto(log.commits), upto(log.changes)), mid
+
+
+def events_until_mid(spark: SparkSession, sf_dir: str) -> LoadResult:
+    return memo(spark, sf_dir, "events_until_mid", lambda: load(halves(adapters.events_changelog(spark, sf_dir))[0]))
+
+
+def second_half(log: ChangeLog, props=None, variants=None, previous: LoadResult | None = None):
+    """Revisions after the midpoints, loaded from what a load up to them has archived."""
+    from revtrail.plans.load import load_incremental
+    before, mid = halves(log)
+    if previous is None:
+        early = None if props is None else props.join(mid, "origin").where(F.col("rev") <= F.col("at_rev")).drop("at_rev")
+        previous = load(before, props=early, variants=variants)
+    return load_incremental(log, previous, mid, props=props, variants=variants).revisions
+
+
 def externals(spark: SparkSession, sf_dir: str) -> dict:
-    """Externals of the event log: definitions, resolution and grafts."""
-    from revtrail.operators import externals as X
-    from revtrail.sources.adapters import events_externals
+    """Externals of the event log: definitions, the exports they use, grafts
+    and the nodes at every revision with externals applied."""
+    from revtrail.operators.externals import applied
 
     def build():
         res = events_load(spark, sf_dir)
-        iv = res.intervals
-        ints = X.external_intervals(events_externals(spark, sf_dir), iv.dirs)
-        from revtrail.session import cut_lineage
-        defs = cut_lineage(X.definitions(ints, res.log.origins))
-        resolved = cut_lineage(X.resolve(defs, res.log.origins, res.log.commits))
-        grafted = cut_lineage(X.graft(defs, resolved, res.log.commits, iv.files, iv.dirs))
-        status = cut_lineage(X.classify(defs, grafted))
-        return {"defs": defs, "resolved": resolved, "grafted": grafted, "status": status}
+        return applied(adapters.events_externals(spark, sf_dir), res.log.origins, res.log.commits, res.intervals, res.lineage)
     return memo(spark, sf_dir, "externals", build)
+
+
+def externals_trees(spark: SparkSession, sf_dir: str):
+    """Tree versions of the event log with externals applied."""
+    from revtrail.operators.externals import as_intervals
+    from revtrail.operators.trees import build_trees
+    return memo(spark, sf_dir, "externals_trees", lambda: build_trees(
+        as_intervals(externals(spark, sf_dir)["nodes"]), events_load(spark, sf_dir).log.origins))

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from revtrail.functions.hashing import snapshot_branch_hex, snapshot_id
 from revtrail.operators.chain import revision_bodies, revision_chain
-from revtrail.operators.copies import cleared, copy_rows, expand_copies, expand_once
+from revtrail.operators.copies import as_changes, cleared, copy_rows, expand_copies, expand_once, lineage_of
 from revtrail.operators.intervals import Intervals, with_path_parts
 from revtrail.operators.ordinals import asof_lookup
-from revtrail.operators.props import exported_files, prop_state
+from revtrail.operators.props import exported_files, inherited, node_lifetimes, prop_state
 from revtrail.operators.trees import TreeVersions, build_trees
 from revtrail.session import cut_lineage
 from revtrail.sources.adapters import ChangeLog
@@ -27,7 +27,10 @@ def rev_bucket(c):
 @dataclass
 class LoadResult:
     log: ChangeLog
-    intervals: Intervals
+    intervals: Intervals     # nodes as in the log
+    exported: Intervals      # nodes as exported: properties applied to ids and modes
+    props: DataFrame | None  # values in force: origin, path, name, value, from_rev, to_rev
+    lineage: DataFrame       # copied nodes: origin, path, rev, src_path, src_rev
     trees: TreeVersions
     tree_at_rev: DataFrame   # origin, rev, tree_id
     revisions: DataFrame     # origin, rev, tree_id, revision_id
@@ -57,17 +60,51 @@ def load(log: ChangeLog, seeds: DataFrame | None = None, props: DataFrame | None
          variants: DataFrame | None = None) -> LoadResult:
     """The full load.  With property events and the variants of the
     contents (see ``props.exported_files``), files are hashed as exported."""
-    changes, iv = expand_copies(log.changes)
+    copied = expand_copies(log.changes)
+    iv, exported, state = copied.intervals, copied.intervals, None
     if props is not None:
-        exported = cut_lineage(exported_files(iv.files, prop_state(props, iv.files), variants))
-        iv = Intervals(with_path_parts(exported), iv.dirs)
-    log = ChangeLog(log.origins, log.commits, changes)
-    trees = build_trees(iv, log.origins)
+        state = cut_lineage(prop_state(props, node_lifetimes(iv), copied.lineage))
+        exported = Intervals(with_path_parts(cut_lineage(exported_files(iv.files, state, variants))), iv.dirs)
+    log = ChangeLog(log.origins, log.commits, copied.changes)
+    trees = build_trees(exported, log.origins)
     tar = tree_at_revision(log.commits, trees.root)
     bodies = revision_bodies(log.commits, tar, log.origins)
     chain = revision_chain(bodies, seeds)
     revisions = tar.join(chain, ["origin", "rev"])
-    return LoadResult(log, iv, trees, tar, revisions, head_snapshots(revisions))
+    return LoadResult(log, iv, exported, state, copied.lineage, trees, tar, revisions, head_snapshots(revisions))
+
+
+def visit_snapshots(origins: DataFrame, new: DataFrame, previous: DataFrame) -> DataFrame:
+    """(origin, snapshot_id, reused): of each origin the snapshot of its new
+    head, else the one of the visit before; neither is an error.  new and
+    previous hold origin, snapshot_id."""
+    j = origins.join(new.select("origin", F.col("snapshot_id").alias("new_id")), "origin", "left") \
+        .join(previous.select("origin", F.col("snapshot_id").alias("old_id")), "origin", "left")
+    missing = F.raise_error(F.concat(F.lit("neither a new revision nor a previous snapshot: "), "origin")).cast("string")
+    return j.select("origin", F.coalesce("new_id", "old_id", missing).alias("snapshot_id"), F.col("new_id").isNull().alias("reused"))
+
+
+def new_by_revision(res: LoadResult, max_size: int) -> DataFrame:
+    """(origin, rev, contents, skipped, directories): distinct objects that an
+    origin holds for the first time at each revision that brings any."""
+    kind = F.when(F.col("length") > max_size, "skipped").otherwise("contents")
+    files = res.intervals.files.select("origin", F.col("blob_id").alias("id"), kind.alias("kind"), F.col("from_rev").alias("rev"))
+    dirs = res.trees.dirs.where(F.col("to_rev") > 1).select(
+        "origin", F.col("tree_id").alias("id"), F.lit("directories").alias("kind"), F.greatest("from_rev", F.lit(1)).alias("rev"))
+    first = files.unionByName(dirs).groupBy("origin", "kind", "id").agg(F.min("rev").alias("rev"))
+    count = lambda k: F.count_if(F.col("kind") == k).alias(k)
+    return first.groupBy("origin", "rev").agg(count("contents"), count("skipped"), count("directories"))
+
+
+def in_force(intervals: DataFrame, at_rev: DataFrame) -> DataFrame:
+    """The rows of intervals that hold at each origin's ``at_rev``."""
+    return intervals.join(at_rev, "origin").where((F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
+
+
+def archived_props(state: DataFrame, at_rev: DataFrame) -> DataFrame:
+    """The property values in force at ``at_rev`` as events of that
+    revision, from which a later batch goes on."""
+    return in_force(state, at_rev).select("origin", F.col("at_rev").alias("rev"), "path", "name", "value")
 
 
 def archived_state(res: LoadResult, at_rev: DataFrame) -> DataFrame:
@@ -76,12 +113,10 @@ def archived_state(res: LoadResult, at_rev: DataFrame) -> DataFrame:
     resumes from, so nothing is replayed from revision 1."""
     from revtrail.sources.adapters import SEQ_PUT
     iv = res.intervals
-    files = (iv.files.join(at_rev, "origin")
-             .where((F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
+    files = (in_force(iv.files, at_rev)
              .select("origin", F.col("at_rev").alias("rev"), "path", F.lit("file").alias("kind"),
                      "blob_id", "length"))
-    dirs = (iv.dirs.join(at_rev, "origin")
-            .where((F.col("from_rev") <= F.col("at_rev")) & (F.col("at_rev") < F.col("to_rev")))
+    dirs = (in_force(iv.dirs, at_rev)
             .select("origin", F.col("at_rev").alias("rev"), "path", F.lit("dir").alias("kind"),
                     F.lit(None).cast("string").alias("blob_id"), F.lit(None).cast("long").alias("length")))
     return files.unionByName(dirs).select(
@@ -90,23 +125,32 @@ def archived_state(res: LoadResult, at_rev: DataFrame) -> DataFrame:
         "blob_id", "length")
 
 
-def load_incremental(log: ChangeLog, previous: LoadResult, last_rev: DataFrame) -> LoadResult:
+def load_incremental(log: ChangeLog, previous: LoadResult, last_rev: DataFrame, props: DataFrame | None = None,
+                     variants: DataFrame | None = None) -> LoadResult:
     """Load only the revisions after each origin's ``last_rev`` (origin,
-    at_rev), starting from the archived tree and chained onto the archived
-    revision id."""
-    new_changes = log.changes.join(last_rev, "origin").where(F.col("rev") > F.col("at_rev")) \
-        .drop("at_rev")
-    new_commits = log.commits.join(last_rev, "origin").where(F.col("rev") > F.col("at_rev")) \
-        .drop("at_rev")
+    at_rev), starting from the archived tree and property values and chained
+    onto the archived revision id.  ``variants`` holds those of the archived
+    contents in force, too."""
+    after = lambda df: df.join(last_rev, "origin").where(F.col("rev") > F.col("at_rev")).drop("at_rev")
+    new_changes, new_commits = after(log.changes), after(log.commits)
     # a copy from an archived revision reads the archived intervals, closed ones too
     copies = copy_rows(new_changes).join(last_rev, "origin").withColumn("archived", F.col("src_rev") <= F.col("at_rev")).drop("at_rev")
     old = cut_lineage(copies.where("archived").drop("archived"))
     of_old = old.select("origin", "rev", F.col("dst").alias("path"))
     rest = new_changes.where(F.col("copyfrom_rev") == -1).unionByName(
         new_changes.where(F.col("copyfrom_rev") != -1).join(of_old, ["origin", "rev", "path"], "left_anti"))
-    new_changes = rest.unionByName(cleared(old)).unionByName(expand_once(old, previous.intervals))
+    expanded = expand_once(old, previous.intervals)
+    if props is not None:
+        expanded = cut_lineage(expanded)
+    new_changes = rest.unionByName(cleared(old)).unionByName(as_changes(expanded))
     state = archived_state(previous, last_rev)
     inc_log = ChangeLog(log.origins, new_commits, state.unionByName(new_changes))
+    if props is not None:
+        # values that hold, those a copy takes from the archive, and the new events, which count over them
+        new = after(props)
+        taken = inherited(lineage_of(expanded, old, rest), previous.props) \
+            .select("origin", "rev", "path", "name", "value").join(new, ["origin", "rev", "path", "name"], "left_anti")
+        props = cut_lineage(archived_props(previous.props, last_rev).unionByName(taken).unionByName(new))
     seeds = (previous.revisions.join(last_rev, "origin").where(F.col("rev") == F.col("at_rev"))
              .select("origin", F.col("revision_id").alias("seed_parent")))
-    return load(inc_log, seeds=seeds)
+    return load(inc_log, seeds=seeds, props=props, variants=variants)

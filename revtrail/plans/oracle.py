@@ -7,6 +7,8 @@ by a recursive CTE, as-of lookups with ASOF JOIN or correlated maxima.
 
 from __future__ import annotations
 
+from revtrail.sources.adapters import DUMP_QUOTA
+
 EMPTY = "'4b825dc642cb6eb9a060e54bf8d69288fbee4904'"
 
 
@@ -134,18 +136,6 @@ SELECT origin, dname || '/' || fname AS path, from_rev, dir_del AS to_rev
 FROM fv2 WHERE dir_del IS NOT NULL AND (next_rev IS NULL OR dir_del < next_rev)
 """
 
-ORACLE_SQL["crawl_tree"] = f"""
-WITH {E_BASE},
-head AS (SELECT origin, max(rev) AS head_rev FROM revs GROUP BY origin)
-SELECT f.origin, f.dname || '/' || f.fname AS path, 'file' AS type
-FROM falive f JOIN head h ON f.origin = h.origin AND f.at_rev = h.head_rev
-UNION ALL
-SELECT d.origin, d.dname AS path, 'dir' AS type
-FROM dalive d JOIN head h ON d.origin = h.origin AND d.at_rev = h.head_rev
-UNION ALL
-SELECT origin, '' AS path, 'dir' AS type FROM head
-"""
-
 ORACLE_SQL["head_revision"] = f"""
 WITH {E_BASE}
 SELECT origin, dname AS path, max(at_rev) AS head_rev FROM dalive GROUP BY origin, dname
@@ -162,26 +152,6 @@ UNION ALL SELECT 'snapshot', count(DISTINCT origin) FROM revs
 UNION ALL SELECT 'origin', count(DISTINCT origin) FROM revs
 """
 
-ORACLE_SQL["scan_log"] = f"""
-WITH {E_BASE},
-sel AS (
-  SELECT origin, rev, event_type AS author, 'event ' || CAST(event_id AS VARCHAR) AS message,
-         {STAMP.format(ts='ts')} AS date_text,
-         row_number() OVER (PARTITION BY origin ORDER BY rev) AS rn
-  FROM ev WHERE rev BETWEEN 5 AND 40)
-SELECT s.origin, s.rev, s.author, s.message, s.date_text,
-       CASE WHEN c.op = 'deldir' THEN c.dname ELSE c.dname || '/' || c.fname END AS changed_paths
-FROM sel s JOIN ch c ON c.origin = s.origin AND c.rev = s.rev
-WHERE s.rn <= 10
-"""
-
-ORACLE_SQL["commit_info"] = f"""
-WITH {E_BASE}
-SELECT origin, rev, event_type AS author, 'event ' || CAST(event_id AS VARCHAR) AS message,
-       {STAMP.format(ts='ts')} AS date_text
-FROM ev WHERE origin = 'u8' AND rev = 3
-"""
-
 ORACLE_SQL["rev_at_date"] = f"""
 WITH {E_BASE},
 days AS (SELECT DISTINCT origin, CAST(ts AS DATE) AS day FROM ev
@@ -256,24 +226,6 @@ EXCEPT
 SELECT {git_sha('blob', 'hex(d.text)')} FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM labels)
 """
 
-ORACLE_SQL["diff_stat"] = """
-WITH p AS (
-  SELECT doc_id, lag(doc_id) OVER (PARTITION BY source, lang ORDER BY doc_id) AS prev_doc_id
-  FROM documents),
-p2 AS (SELECT * FROM p WHERE prev_doc_id IS NOT NULL),
-lc AS (SELECT doc_id, line, count(*) AS n
-       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
-       GROUP BY doc_id, line),
-nw AS (SELECT p2.doc_id, p2.prev_doc_id, lc.line, lc.n FROM p2 JOIN lc ON lc.doc_id = p2.doc_id),
-od AS (SELECT p2.doc_id, p2.prev_doc_id, lc.line, lc.n FROM p2 JOIN lc ON lc.doc_id = p2.prev_doc_id),
-j AS (SELECT coalesce(nw.doc_id, od.doc_id) AS doc_id, coalesce(nw.prev_doc_id, od.prev_doc_id) AS prev_doc_id,
-             coalesce(nw.n, 0) AS n_new, coalesce(od.n, 0) AS n_old
-      FROM nw FULL OUTER JOIN od ON nw.doc_id = od.doc_id AND nw.prev_doc_id = od.prev_doc_id AND nw.line = od.line)
-SELECT doc_id, prev_doc_id, CAST(sum(greatest(n_new - n_old, 0)) AS BIGINT) AS lines_added,
-       CAST(sum(greatest(n_old - n_new, 0)) AS BIGINT) AS lines_removed
-FROM j GROUP BY doc_id, prev_doc_id
-"""
-
 ORACLE_SQL["apply_eol"] = f"""
 WITH s AS (SELECT doc_id, text, ['native', 'LF', 'CRLF', 'CR', 'bogus'][doc_id % 5 + 1] AS eol FROM documents),
 c AS (SELECT doc_id, eol, CASE eol
@@ -413,25 +365,6 @@ SELECT l.origin, l.head = l.last_loaded_rev AND coalesce(hc.unaltered, true) AS
 FROM llr l LEFT JOIN hc ON hc.origin = l.origin
 """
 
-ORACLE_SQL["visit_outcome"] = f"""
-WITH {V_BASE},
-f AS (SELECT *, uid % 11 = 0 AS nf, start_rev > end_rev AS unev,
-             CASE WHEN uid % 5 = 0 THEN start_rev + 2 END AS fail_at, uid % 13 = 0 AS div,
-             CASE WHEN last_loaded_rev >= 0 THEN last_loaded_rev END AS prev FROM plan),
-g AS (SELECT *, fail_at IS NOT NULL AND fail_at <= end_rev AS fm,
-             CASE WHEN fail_at IS NOT NULL AND fail_at <= end_rev THEN
-               CASE WHEN fail_at - 1 >= start_rev THEN fail_at - 1 ELSE prev END END AS last_good
-      FROM f)
-SELECT origin,
-       CASE WHEN nf THEN 'uneventful' WHEN unev THEN 'uneventful' WHEN div THEN 'failed'
-            WHEN fm AND (last_good IS NULL OR last_good = prev) THEN 'uneventful'
-            ELSE 'eventful' END AS load_status,
-       CASE WHEN nf THEN 'not_found' WHEN unev THEN 'full' WHEN fm OR div THEN 'partial'
-            ELSE 'full' END AS visit_status,
-       CAST(CASE WHEN nf THEN NULL WHEN unev THEN prev WHEN fm THEN last_good ELSE end_rev END AS BIGINT) AS snapshot_rev
-FROM g
-"""
-
 ORACLE_SQL["incremental_equals_full"] = f"""
 WITH {E_BASE},
 heads AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin)
@@ -498,58 +431,70 @@ SELECT e.origin, e.rev, coalesce({git_sha('tree', 'rt.body')}, {EMPTY}) AS tree_
 FROM em e LEFT JOIN rt ON rt.origin = e.origin AND rt.at_rev = e.rev
 """
 
-ORACLE_SQL["dump_frames"] = f"""
-WITH {E_BASE},
-heads AS (SELECT origin, max(rev) AS head, CAST(substr(origin, 2) AS BIGINT) AS uid FROM revs GROUP BY origin)
-SELECT h.origin, count(*) AS n_revisions, h.uid % 9 = 0 AS truncated,
-       CASE WHEN h.uid % 9 = 0 THEN max(ev.rev) - 1 ELSE max(ev.rev) END AS max_complete_rev
-FROM heads h JOIN ev ON ev.origin = h.origin GROUP BY h.origin, h.uid
-"""
+# dumps: the text of every record, cut off at the quota
+def _prop(name, value):
+    return f"'K {len(name)}' || chr(10) || '{name}' || chr(10) || 'V ' || CAST(strlen({value}) AS VARCHAR) || chr(10) || {value} || chr(10)"
 
-ORACLE_SQL["dump_log_status"] = f"""
-WITH {V_BASE},
-d AS (SELECT origin, last_loaded_rev, uid,
-             CASE WHEN uid % 11 = 0 THEN NULL WHEN uid % 9 = 0 THEN head - 3 ELSE head END AS last_dumped,
-             CASE WHEN uid % 11 = 0 THEN 'E170013' WHEN uid % 9 = 0 THEN 'E000104' ELSE '' END AS error_codes,
-             (uid % 11 = 0 OR uid % 9 = 0) AS failed
-      FROM llr)
-SELECT origin, CAST(last_dumped AS BIGINT) AS last_dumped, error_codes,
-       CASE WHEN NOT failed THEN 'complete'
-            WHEN coalesce(last_dumped, -1) > last_loaded_rev THEN 'partial'
-            WHEN coalesce(last_dumped, -1) <> -1 AND last_dumped < last_loaded_rev THEN 'behind_archive'
-            WHEN error_codes LIKE '%E170013%' THEN 'not_found' ELSE 'error' END AS outcome
-FROM d
-"""
 
-ORACLE_SQL["classify_dump_error"] = f"""
-WITH {E_BASE},
-heads AS (SELECT DISTINCT origin, CAST(substr(origin, 2) AS BIGINT) AS uid FROM revs)
-SELECT origin, CASE WHEN uid % 11 = 0 THEN 'E170013' ELSE 'E000104' END AS code, false AS partial_possible
-FROM heads WHERE uid % 11 = 0 OR uid % 9 = 0
+E_DUMPS = f"""
+{E_BASE},
+texts AS (
+  SELECT *, CASE WHEN event_id % 5 = 0 THEN 'Revision-number: ' || CAST(event_id AS VARCHAR) || chr(10) || 'Content-length: 9' || chr(10) || chr(10)
+    || 'Node-path: x' || chr(10) || chr(10) || 'Node-path: y' || chr(10) || 'Content-length: 99999' || chr(10) || chr(10) || 'end' ELSE data END AS content
+  FROM ch),
+bodies AS (SELECT *, {_prop('svn:author', 'event_type')} || {_prop('svn:log', "('event ' || CAST(event_id AS VARCHAR))")} || 'PROPS-END' || chr(10) AS body FROM texts),
+recs AS (
+  SELECT origin, rev, 0 AS no, 'Revision-number: ' || CAST(rev AS VARCHAR) || chr(10) || 'Prop-content-length: ' || CAST(strlen(body) AS VARCHAR) || chr(10)
+           || 'Content-length: ' || CAST(strlen(body) AS VARCHAR) || chr(10) || chr(10) AS head, body AS held, '' AS tail FROM bodies
+  UNION ALL
+  SELECT origin, rev, 1, 'Node-path: ' || dname || CASE WHEN op = 'deldir' THEN '' ELSE '/' || fname END || chr(10) || 'Node-kind: '
+           || CASE WHEN op = 'deldir' THEN 'dir' ELSE 'file' END || chr(10) || 'Node-action: ' || CASE WHEN op = 'put' THEN 'change' ELSE 'delete' END
+           || CASE WHEN op = 'put' THEN chr(10) || 'Text-content-length: ' || CAST(strlen(content) AS VARCHAR) || chr(10)
+              || 'Content-length: ' || CAST(strlen(content) AS VARCHAR) ELSE '' END || chr(10) || chr(10),
+         CASE WHEN op = 'put' THEN content ELSE '' END, CASE WHEN op = 'put' THEN chr(10) ELSE '' END FROM bodies),
+spots AS (
+  SELECT *, strlen(head || held || tail) + 1 AS size, strlen('SVN-fs-dump-format-version: 2' || chr(10) || chr(10) || 'UUID: ' || {UUID.format(o='origin')} || chr(10) || chr(10))
+    + coalesce(sum(strlen(head || held || tail) + 1) OVER (PARTITION BY origin ORDER BY rev, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM recs),
+cuts AS (
+  SELECT *, start + size <= {DUMP_QUOTA} AS whole,
+         CASE WHEN start + size <= {DUMP_QUOTA} THEN head || held || tail
+              WHEN start + 1 < {DUMP_QUOTA} THEN rtrim(substr(head || held || tail, 1, CAST({DUMP_QUOTA} - start - 1 AS BIGINT)), chr(10)) ELSE '' END AS cut FROM spots),
+got AS (
+  SELECT *, whole OR (contains(cut, chr(10) || chr(10)) AND strlen(head) + strlen(held) <= strlen(cut) + 1) AS complete,
+         contains(cut, chr(10) || chr(10)) AS headed, regexp_matches(cut, '^(Revision-number: [0-9]|Node-path: )') AS seen FROM cuts WHERE cut <> '')
 """
 
-ORACLE_SQL["normalize_changes"] = f"""
-WITH {E_BASE}
-SELECT origin, rev, CASE WHEN op = 'put' THEN 2 ELSE 0 END AS seq,
-       CASE WHEN op = 'deldir' THEN dname ELSE dname || '/' || fname END AS path,
-       CASE WHEN op = 'deldir' THEN 'dir' ELSE 'file' END AS kind, op = 'put' AS is_put
-FROM ch
-UNION ALL
-SELECT origin, rev, 2, dname, 'dir', true FROM ch WHERE op = 'put'
+ORACLE_SQL["dump_frames"] = f"""
+WITH {E_DUMPS},
+per AS (SELECT origin, bool_and(complete) AS whole, count(*) FILTER (complete) AS n_records, max(rev) AS last, arg_max(no, start) AS last_no,
+               arg_max(seen, start) AS last_seen FROM got GROUP BY origin),
+m AS (SELECT *, CASE WHEN whole THEN last WHEN last_no = 0 AND NOT last_seen THEN last - 2 ELSE last - 1 END AS upto FROM per)
+SELECT origin, n_records, NOT whole AS truncated, CASE WHEN upto > 0 THEN upto END AS max_complete_rev FROM m
 """
 
-ORACLE_SQL["origin_info"] = f"""
-WITH {E_BASE}
-SELECT origin, 'file:///repos/' || origin AS url, 'file:///repos/' || origin AS root_url,
-       max(rev) AS head_rev, CASE WHEN max(rev) = 0 THEN 0 ELSE 1 END AS initial_rev
-FROM revs GROUP BY origin
+ORACLE_SQL["dump_log_status"] = f"""
+WITH {E_DUMPS},
+{V_BASE[V_BASE.index("heads AS"):]},
+revd AS (SELECT origin, rev, bool_and(whole) AS whole FROM cuts GROUP BY origin, rev),
+d AS (SELECT origin, max(rev) FILTER (whole) AS last_dumped, NOT bool_and(whole) AS short FROM revd GROUP BY origin),
+asked AS (SELECT origin FROM revs UNION SELECT 'u' || CAST(CAST(substr(origin, 2) AS BIGINT) + 1 AS VARCHAR) FROM revs),
+j AS (
+  SELECT a.origin, d.last_dumped, l.last_loaded_rev,
+         CASE WHEN d.origin IS NULL THEN 'E170013' WHEN d.short THEN 'E000028' ELSE '' END AS error_codes,
+         CASE WHEN d.origin IS NULL THEN 'svnrdump: E170013: Unable to connect to a repository at URL ''file:///repos/' || a.origin || ''''
+              WHEN d.short THEN 'svnrdump: E000028: Can''t write to stream: No space left on device' ELSE '' END AS errors
+  FROM asked a LEFT JOIN d ON d.origin = a.origin LEFT JOIN llr l ON l.origin = a.origin)
+SELECT origin, last_dumped, error_codes, errors,
+       CASE WHEN error_codes = '' THEN 'complete' WHEN coalesce(last_dumped, -1) > coalesce(last_loaded_rev, -1) THEN 'partial'
+            WHEN coalesce(last_dumped, -1) <> -1 AND last_dumped < coalesce(last_loaded_rev, -1) THEN 'behind_archive'
+            WHEN error_codes LIKE '%E170013%' THEN 'not_found' ELSE 'error' END AS outcome
+FROM j
 """
 
-ORACLE_SQL["dump_plan"] = f"""
-WITH {O_BASE},
-heads AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin)
-SELECT h.origin AS dump_root, 'p4' AS sub_path, h.head AS dump_max_rev
-FROM heads h WHERE EXISTS (SELECT 1 FROM puts p WHERE p.origin = h.origin AND starts_with(p.path, 'p4/'))
+ORACLE_SQL["classify_dump_error"] = f"""
+WITH {E_DUMPS}
+SELECT origin, CASE WHEN no = 1 AND headed THEN 'E200014' ELSE 'E140001' END AS code, no = 1 AND headed AS partial_possible
+FROM got WHERE NOT complete AND seen
 """
 
 ORACLE_SQL["export_snapshot"] = f"""
@@ -569,36 +514,12 @@ lst AS (
   UNION ALL SELECT origin, at_rev, dname, 'dir', tree_id FROM dtid)
 """
 
-ORACLE_SQL["export_tree"] = f"""
-WITH {E_LISTING}
-SELECT l.origin, l.path, CASE WHEN kind = 'dir' THEN 16384 ELSE 33188 END AS perms, l.id
-FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head
-"""
-
-ORACLE_SQL["export_subpaths"] = f"""
-WITH {E_LISTING}
-SELECT DISTINCT l.origin, l.path, l.kind
-FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head
-WHERE l.path = 'd1' OR starts_with(l.path, 'd1/') OR l.path = 'd3/f35' OR l.path = 'd3'
-"""
-
 # only the last two revisions of each origin are listed
 _LAST_TWO = E_LISTING.replace(
     "revs AS (SELECT origin, rev FROM ev)",
     "revs AS (SELECT origin, rev FROM ev QUALIFY rev >= max(rev) OVER (PARTITION BY origin) - 1)")
 ORACLE_SQL["out_of_order"] = f"WITH {E_BASE} SELECT origin, rev, revision_id FROM chain"
 
-ORACLE_SQL["tree_diff"] = f"""
-WITH {_LAST_TWO},
-n AS (SELECT l.* FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head),
-o AS (SELECT l.* FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head - 1)
-SELECT coalesce(n.origin, o.origin) AS origin, coalesce(n.path, o.path) AS path,
-       coalesce(n.kind, o.kind) AS kind,
-       CASE WHEN o.id IS NULL THEN 'missing' WHEN n.id IS NULL THEN 'extra' ELSE 'different' END AS status
-FROM n FULL OUTER JOIN o ON n.origin = o.origin AND n.path = o.path
-WHERE n.id IS DISTINCT FROM o.id
-"""
-
 ORACLE_SQL["emit_filter"] = f"""
 WITH {O_BASE}
 SELECT DISTINCT origin, rev FROM (
@@ -606,17 +527,6 @@ SELECT DISTINCT origin, rev FROM (
   UNION ALL SELECT origin, rev FROM cp WHERE starts_with(dst, 'p4') OR starts_with('p4', dst))
 """
 
-ORACLE_SQL["collect_objects"] = f"""
-WITH {E_BASE}
-SELECT r.origin,
-       (SELECT count(DISTINCT blob_id) FROM fe WHERE fe.origin = r.origin AND op = 'put') AS contents,
-       (SELECT count(DISTINCT id) FROM (SELECT tree_id AS id FROM dtid d WHERE d.origin = r.origin
-                                        UNION SELECT tree_id FROM rtid t WHERE t.origin = r.origin
-                                        UNION SELECT {EMPTY})) AS directories,
-       count(*) AS revisions
-FROM revs r GROUP BY r.origin
-"""
-
 ORACLE_SQL["alternate_urls"] = """
 WITH u AS (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN regexp_replace(url, '://[^/?#]*', '://svn.example.net')
                                 ELSE url END AS url FROM pages)
@@ -714,12 +624,6 @@ SELECT x.origin, x.dname || '/' || x.fname AS path, x.id AS blob_id,
 FROM xi x JOIN head h ON h.origin = x.origin AND x.at_rev = h.head
 """
 
-ORACLE_SQL["propget"] = f"""
-WITH {E_PROPS}
-SELECT p.origin, p.path, p.value FROM pst p JOIN head h ON h.origin = p.origin
-WHERE p.name = 'svn:eol-style' AND p.from_rev <= h.head AND (p.to_rev IS NULL OR h.head < p.to_rev)
-"""
-
 ORACLE_SQL["apply_executable"] = f"""
 WITH {E_PROPS},
 ex AS (SELECT DISTINCT p.origin, p.path FROM pst p JOIN head h ON h.origin = p.origin
@@ -734,123 +638,313 @@ ORACLE_SQL["decode_props"] = """
 SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN 0 ELSE length(text) END AS BIGINT) AS value_chars FROM documents
 """
 
+# externals: every line as a row, then the state at every revision
+INF = "9223372036854775807"
+
+
+def _line(no, cond, path, line, url, user, sub, revision="NULL", peg="NULL", relative="false", legacy="false", recursive="false",
+          bad="false", on="dir"):
+    """One line of the adapter's values as SELECT on xi."""
+    return f"""
+  SELECT origin, dir, rev AS from_rev, to_rev, {no} AS line_no, {path} AS path, {line} AS line, {url} AS url, 'u' || CAST({user} AS VARCHAR) AS t_origin,
+         {sub} AS t_sub, CAST({revision} AS BIGINT) AS revision, CAST({peg} AS BIGINT) AS peg, {relative} AS relative, {legacy} AS legacy,
+         {recursive} AS recursive, {bad} AS bad
+  FROM xi WHERE is_set AND {"dir <> ''" if on == "dir" else "dir = ''"} AND {cond}"""
+
+
+def _repo(n):
+    return f"'file:///repos/u' || CAST(uid + {n} AS VARCHAR)"
+
+
+_NEAR = f"{_repo(1)} || '/d' || CAST((j + 1) % 10 AS VARCHAR)"
+_NEAR_SUB = "'d' || CAST((j + 1) % 10 AS VARCHAR)"
+_J = "CAST(j AS VARCHAR)"
+_OVER = "'f' || CAST(k AS VARCHAR)"
+_LINES = "  UNION ALL".join([
+    _line(1, "true", "'ext/lib'", f"'ext/lib ' || {_NEAR}", _NEAR, "uid + 1", _NEAR_SUB, legacy="true"),
+    _line(3, "event_id % 2 = 0", "'pinned'", f"'-r3 ' || {_repo(2)} || '/d0 pinned'", f"{_repo(2)} || '/d0'", "uid + 2", "'d0'", revision=3),
+    _line(4, "event_id % 3 = 0", _OVER, f"{_OVER} || ' ' || {_NEAR}", _NEAR, "uid + 1", _NEAR_SUB, legacy="true"),
+    _line(5, "event_id % 4 = 1", "'ext/lib'", f"{_repo(2)} || '/d5 ext/lib'", f"{_repo(2)} || '/d5'", "uid + 2", "'d5'"),
+    _line(6, "event_id % 5 = 0", "'peg'", f"'-r2 ' || {_repo(3)} || '/d1@4 peg'", f"{_repo(3)} || '/d1'", "uid + 3", "'d1'", revision=2, peg=4),
+    _line(7, "event_id % 7 = 0", "'rel/two'", "'../../u' || CAST(uid + 1 AS VARCHAR) || '/d2 rel/two'", f"{_repo(1)} || '/d2'", "uid + 1", "'d2'",
+          relative="true"),
+    _line(8, "event_id % 23 = 0", "'self'", f"{_repo(0)} || ' self'", _repo(0), "uid", "''", recursive="true"),
+    _line(9, "event_id % 13 = 0", "NULL", "'-rx file:///repos/u1/d1 broken'", "NULL", "NULL", "NULL", bad="true"),
+    _line(1, "true", f"'d' || {_J} || '/own'", f"{_repo(1)} || '/d4 d' || {_J} || '/own'", f"{_repo(1)} || '/d4'", "uid + 1", "'d4'", on="root"),
+    _line(2, "event_id % 2 = 0", "'lib'", f"'lib -r1 ' || {_repo(2)}", _repo(2), "uid + 2", "''", revision=1, legacy="true", on="root"),
+    _line(3, "event_id % 3 = 0", f"'d' || {_J} || '/ext/lib'", f"{_repo(1)} || '/d4 d' || {_J} || '/ext/lib'", f"{_repo(1)} || '/d4'", "uid + 1",
+          "'d4'", on="root"),
+])
+_SAME = "origin, path, url, rk, pk, relative, legacy"
+
+
+def _equal(a, b):
+    return " AND ".join(f"{a}.{c} = {b}.{c}" for c in _SAME.split(", "))
+
+
 E_EXT = f"""
 {E_BASE},
-users AS (SELECT DISTINCT origin FROM revs),
+users AS (SELECT origin, max(rev) AS latest FROM revs GROUP BY origin),
 xe AS (
-  SELECT origin, rev, ts, dname AS dir, CAST(substr(origin, 2) AS BIGINT) AS uid,
+  SELECT origin, rev, ts, CASE WHEN event_type = 'view' THEN dname ELSE '' END AS dir, CAST(substr(origin, 2) AS BIGINT) AS uid,
          CAST(substr(dname, 2) AS INTEGER) AS j, event_id, CAST(substr(fname, 2) AS INTEGER) AS k,
-         CASE WHEN CAST(substr(fname, 2) AS INTEGER) % 10 = 7 THEN true ELSE false END AS is_set
-  FROM ch WHERE event_type = 'view' AND CAST(substr(fname, 2) AS INTEGER) % 10 IN (7, 8)),
+         CAST(substr(fname, 2) AS INTEGER) % 10 IN (7, 9) AS is_set
+  FROM ch WHERE (event_type = 'view' AND CAST(substr(fname, 2) AS INTEGER) % 10 IN (7, 8))
+             OR (event_type = 'purchase' AND CAST(substr(fname, 2) AS INTEGER) % 10 IN (9, 6))),
 xi AS (
   SELECT x.*,
-    least(coalesce(lead(rev) OVER (PARTITION BY origin, dir ORDER BY rev), 9223372036854775807),
-          coalesce((SELECT min(d.rev) FROM dd d WHERE d.origin = x.origin AND d.dname = x.dir AND d.rev > x.rev),
-                   9223372036854775807)) AS to_rev
+    least(coalesce(lead(rev) OVER (PARTITION BY origin, dir ORDER BY rev), {INF}),
+          coalesce((SELECT min(d.rev) FROM dd d WHERE d.origin = x.origin AND d.dname = x.dir AND d.rev > x.rev), {INF})) AS to_rev
   FROM xe x),
-defs AS (
-  SELECT origin, dir, rev AS from_rev, to_rev, ts AS host_ts, 1 AS line_no, 'ext/lib' AS path,
-         'ext/lib file:///repos/u' || CAST(uid + 1 AS VARCHAR) || '/d' || CAST((j + 1) % 10 AS VARCHAR) AS line,
-         'file:///repos/u' || CAST(uid + 1 AS VARCHAR) || '/d' || CAST((j + 1) % 10 AS VARCHAR) AS url,
-         'u' || CAST(uid + 1 AS VARCHAR) AS t_origin, 'd' || CAST((j + 1) % 10 AS VARCHAR) AS t_sub,
-         CAST(NULL AS BIGINT) AS revision
-  FROM xi WHERE is_set
-  UNION ALL
-  SELECT origin, dir, rev, to_rev, ts, 3, 'pinned',
-         '-r3 file:///repos/u' || CAST(uid + 2 AS VARCHAR) || '/d0 pinned',
-         'file:///repos/u' || CAST(uid + 2 AS VARCHAR) || '/d0',
-         'u' || CAST(uid + 2 AS VARCHAR), 'd0', CAST(3 AS BIGINT)
-  FROM xi WHERE is_set AND event_id % 2 = 0
-  UNION ALL
-  SELECT origin, dir, rev, to_rev, ts, CASE WHEN event_id % 2 = 0 THEN 4 ELSE 2 END, 'f' || CAST(k AS VARCHAR),
-         'f' || CAST(k AS VARCHAR) || ' file:///repos/u' || CAST(uid + 1 AS VARCHAR) || '/d' || CAST((j + 1) % 10 AS VARCHAR),
-         'file:///repos/u' || CAST(uid + 1 AS VARCHAR) || '/d' || CAST((j + 1) % 10 AS VARCHAR),
-         'u' || CAST(uid + 1 AS VARCHAR), 'd' || CAST((j + 1) % 10 AS VARCHAR), CAST(NULL AS BIGINT)
-  FROM xi WHERE is_set AND event_id % 3 = 0),
-res AS (
-  SELECT d.*, CASE WHEN u.origin IS NOT NULL THEN d.t_origin END AS target_origin,
-         CASE WHEN u.origin IS NOT NULL THEN d.t_sub END AS sub_path,
-         coalesce(d.revision, CASE WHEN u.origin IS NOT NULL THEN
-           (SELECT max(e.rev) FROM ev e WHERE e.origin = d.t_origin AND e.ts <= d.host_ts) END) AS target_rev
-  FROM defs d LEFT JOIN users u ON u.origin = d.t_origin),
-st AS (
-  SELECT r.*, EXISTS (SELECT 1 FROM dalive a WHERE a.origin = r.target_origin AND a.at_rev = r.target_rev
-                      AND a.dname = r.sub_path) AS valid
-  FROM res r),
-head AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin),
-athead AS (SELECT s.* FROM st s JOIN head h ON h.origin = s.origin WHERE s.from_rev <= h.head AND h.head < s.to_rev),
-grafted AS (
-  SELECT a.origin, a.dir || '/' || a.path || '/' || f.fname AS path, 'file' AS kind, f.blob_id AS id
-  FROM athead a JOIN falive f ON f.origin = a.target_origin AND f.at_rev = a.target_rev AND f.dname = a.sub_path
-  WHERE a.valid
-  UNION ALL
-  SELECT a.origin, a.dir || '/' || a.path, 'dir', NULL FROM athead a WHERE a.valid),
-prefixes AS (
-  SELECT DISTINCT origin, dir AS path FROM athead
-  UNION SELECT origin, dir || '/ext' FROM athead WHERE path = 'ext/lib')
-"""
-
-ORACLE_SQL["externals_lines"] = f"WITH {E_EXT} SELECT origin, dir, from_rev, line_no, line FROM defs"
-
-ORACLE_SQL["external_rank"] = f"WITH {E_EXT} SELECT origin, dir, from_rev, line_no, path, CAST(1 AS INTEGER) AS rank FROM defs"
+lines AS (
+  SELECT *, bool_or(bad) OVER (PARTITION BY origin, dir, from_rev) AS void,
+         coalesce(revision, -1) AS rk, coalesce(peg, -1) AS pk,
+         CAST(row_number() OVER (PARTITION BY origin, dir, from_rev, path ORDER BY line_no) AS INTEGER) AS rank FROM ({_LINES})),
+defs AS MATERIALIZED (SELECT * FROM lines WHERE NOT void),
+gone AS (
+  SELECT DISTINCT p.origin, p.dir, p.to_rev AS rev, p.path, p.url FROM defs p
+  WHERE p.to_rev < {INF} AND NOT EXISTS (
+    SELECT 1 FROM defs c WHERE c.dir = p.dir AND c.from_rev = p.to_rev AND c.origin = p.origin AND c.path = p.path AND c.url = p.url
+      AND c.revision IS NOT DISTINCT FROM p.revision AND c.peg IS NOT DISTINCT FROM p.peg)),
+usable AS MATERIALIZED (
+  SELECT d.*, d.rank = 1 AND EXISTS (SELECT 1 FROM gone g WHERE g.origin = d.origin AND g.dir = d.dir AND g.rev = d.from_rev AND g.path = d.path) AS again
+  FROM defs d WHERE NOT recursive),
+exports AS (SELECT {_SAME}, min(from_rev) AS first_rev FROM usable GROUP BY {_SAME}
+            UNION SELECT {_SAME}, from_rev FROM usable WHERE again),
+marked AS (
+  SELECT *, CASE WHEN again OR lag(to_rev) OVER w IS DISTINCT FROM from_rev THEN from_rev END AS starts
+  FROM usable WINDOW w AS (PARTITION BY dir, {_SAME} ORDER BY from_rev)),
+since AS (SELECT *, max(starts) OVER (PARTITION BY dir, {_SAME} ORDER BY from_rev) AS since FROM marked),
+used AS MATERIALIZED (
+  SELECT s.*, (SELECT max(e.first_rev) FROM exports e WHERE {_equal('e', 's')} AND e.first_rev <= s.since) AS export_rev
+  FROM since s),
+aimed AS (
+  SELECT u.*, t.latest, CASE WHEN t.origin IS NOT NULL THEN u.t_origin END AS target_origin, CASE WHEN t.origin IS NOT NULL THEN u.t_sub END AS sub_path,
+         coalesce(u.peg, CASE WHEN u.legacy THEN u.revision END, (SELECT max(e.rev) FROM ev e WHERE e.origin = u.t_origin AND e.ts <= h.ts)) AS at_peg
+  FROM used u JOIN ev h ON h.origin = u.origin AND h.rev = u.export_rev LEFT JOIN users t ON t.origin = u.t_origin),
+read_at AS (SELECT *, coalesce(revision, at_peg) AS target_rev FROM aimed),
+alive AS (
+  SELECT r.*, target_origin IS NOT NULL AND at_peg <= latest AND target_rev <= latest AND (sub_path = '' OR (
+      EXISTS (SELECT 1 FROM dalive a WHERE a.origin = r.target_origin AND a.at_rev = r.target_rev AND a.dname = r.sub_path)
+      AND EXISTS (SELECT 1 FROM dalive a WHERE a.origin = r.target_origin AND a.at_rev = r.at_peg AND a.dname = r.sub_path)
+      AND NOT EXISTS (SELECT 1 FROM dd WHERE dd.origin = r.target_origin AND dd.dname = r.sub_path
+                      AND dd.rev > least(r.at_peg, r.target_rev) AND dd.rev <= greatest(r.at_peg, r.target_rev)))) AS found
+  FROM read_at r),
+st AS MATERIALIZED (
+  SELECT a.*, coalesce(found, false) AND NOT EXISTS (
+    SELECT 1 FROM alive b WHERE NOT coalesce(b.found, false) AND {_equal('a', 'b')} AND b.export_rev <= a.export_rev) AS valid,
+    CASE WHEN dir = '' THEN path ELSE dir || '/' || path END AS dest
+  FROM alive a),
+off AS (SELECT DISTINCT r.origin, r.rev FROM revs r JOIN defs d ON d.origin = r.origin AND d.recursive AND d.from_rev <= r.rev AND r.rev < d.to_rev),
+effect AS MATERIALIZED (
+  SELECT s.*, r.rev FROM st s JOIN revs r ON r.origin = s.origin AND s.from_rev <= r.rev AND r.rev < s.to_rev
+  WHERE NOT EXISTS (SELECT 1 FROM off WHERE off.origin = r.origin AND off.rev = r.rev)),
+grafts AS (
+  SELECT e.origin, e.rev, e.dir, e.line_no, e.dest || CASE WHEN e.sub_path = '' THEN '/' || f.dname ELSE '' END || '/' || f.fname AS path, 'file' AS kind, f.blob_id AS id
+  FROM effect e JOIN falive f ON f.origin = e.target_origin AND f.at_rev = e.target_rev AND (e.sub_path = '' OR f.dname = e.sub_path) WHERE e.valid
+  UNION ALL SELECT e.origin, e.rev, e.dir, e.line_no, e.dest || '/' || d.dname, 'dir', NULL
+  FROM effect e JOIN dalive d ON d.origin = e.target_origin AND d.at_rev = e.target_rev WHERE e.valid AND e.sub_path = ''
+  UNION ALL SELECT origin, rev, dir, line_no, dest, 'dir', NULL FROM effect WHERE valid),
+way AS (SELECT DISTINCT origin, rev, array_to_string(list_slice(string_split(dest, '/'), 1, n), '/') AS path
+        FROM effect, range(1, 4) AS r(n) WHERE n < len(string_split(dest, '/'))),
+cand AS (
+  SELECT origin, rev, path, kind, id, 'external' AS source, 0 AS prio, -length(dir) AS a, -line_no AS b FROM grafts
+  UNION ALL SELECT origin, at_rev, dname || '/' || fname, 'file', blob_id, 'versioned', 1, 0, 0 FROM falive
+  UNION ALL SELECT origin, at_rev, dname, 'dir', NULL, 'versioned', 1, 0, 0 FROM dalive
+  UNION ALL SELECT origin, rev, path, 'dir', NULL, 'parent', 2, 0, 0 FROM way),
+nodes AS MATERIALIZED (
+  SELECT origin, rev, path, kind, id, source FROM cand
+  QUALIFY row_number() OVER (PARTITION BY origin, rev, path ORDER BY prio, a, b) = 1)
+"""
+
+ORACLE_SQL["externals_lines"] = f"WITH {E_EXT} SELECT origin, dir, from_rev, line_no, line FROM lines"
+
+ORACLE_SQL["external_rank"] = f"WITH {E_EXT} SELECT origin, dir, from_rev, line_no, path, rank FROM lines WHERE NOT bad"
 
 ORACLE_SQL["resolve_externals"] = f"""
-WITH {E_EXT} SELECT origin, dir, from_rev, line_no, target_origin, sub_path, target_rev FROM res
+WITH {E_EXT} SELECT origin, dir, from_rev, line_no, export_rev, target_origin, sub_path, target_rev, CASE WHEN valid THEN sub_path END AS node FROM st
 """
 
 ORACLE_SQL["classify_external"] = f"""
-WITH {E_EXT} SELECT origin, dir, from_rev, line_no, CASE WHEN valid THEN 'valid' ELSE 'dead' END AS status FROM st
+WITH {E_EXT}
+SELECT l.origin, l.dir, l.from_rev, l.line_no,
+       CASE WHEN l.void THEN 'unparsable' WHEN l.recursive THEN 'recursive' WHEN s.valid THEN 'valid' ELSE 'dead' END AS status
+FROM lines l LEFT JOIN st s ON s.origin = l.origin AND s.dir = l.dir AND s.from_rev = l.from_rev AND s.line_no = l.line_no
 """
 
 ORACLE_SQL["dedupe_externals"] = f"""
 WITH {E_EXT}
-SELECT count(*) AS n_definitions,
-       (SELECT count(*) FROM (SELECT DISTINCT url, coalesce(revision, -1), host_ts FROM defs)) AS n_distinct
-FROM defs
+SELECT origin, path, url, coalesce(revision, -1) AS revision, coalesce(peg, -1) AS peg_revision, export_rev, count(*) AS n_uses, count(DISTINCT dir) AS n_dirs
+FROM st GROUP BY ALL
 """
 
 ORACLE_SQL["externals_flags"] = f"""
-WITH {E_EXT} SELECT origin, false AS has_relative, false AS has_recursive FROM head
+WITH {E_EXT}
+SELECT r.origin, r.rev, EXISTS (SELECT 1 FROM effect e WHERE e.origin = r.origin AND e.rev = r.rev AND e.valid AND e.relative) AS has_relative,
+       EXISTS (SELECT 1 FROM off WHERE off.origin = r.origin AND off.rev = r.rev) AS has_recursive
+FROM revs r
 """
 
-ORACLE_SQL["externals_removed"] = f"""
-WITH {E_EXT}
-SELECT DISTINCT p.origin, p.dir, p.to_rev AS rev, p.path, p.url
-FROM defs p WHERE p.to_rev < 9223372036854775807 AND NOT EXISTS (
-  SELECT 1 FROM defs c WHERE c.origin = p.origin AND c.dir = p.dir AND c.from_rev = p.to_rev
-    AND c.path = p.path AND c.url = p.url AND coalesce(c.revision, -1) = coalesce(p.revision, -1))
+ORACLE_SQL["externals_removed"] = f"WITH {E_EXT} SELECT origin, dir, rev, path, url FROM gone"
+
+
+def _runs(rows: str, key: str) -> str:
+    """Runs of consecutive revisions of (origin, rev, key) rows; the last revision of an origin leaves a run open."""
+    return f"""
+SELECT w.origin, {key}, min(w.rev) AS from_rev, CASE WHEN max(w.rev) < any_value(u.latest) THEN max(w.rev) + 1 END AS to_rev
+FROM (SELECT *, rev - row_number() OVER (PARTITION BY origin, {key} ORDER BY rev) AS run FROM ({rows})) w JOIN users u ON u.origin = w.origin
+GROUP BY w.origin, {key}, run
 """
 
+
 ORACLE_SQL["external_paths"] = f"""
-WITH {E_EXT}
-SELECT origin, path FROM grafted UNION SELECT origin, path FROM prefixes
-UNION SELECT origin, dir || '/' || path FROM athead
+WITH {E_EXT},
+steps AS (SELECT DISTINCT origin, rev, array_to_string(list_slice(string_split(dest, '/'), 1, n), '/') AS path, dir
+          FROM effect, range(1, 5) AS r(n) WHERE valid AND n <= len(string_split(dest, '/')))
+{_runs("SELECT origin, rev, path FROM grafts UNION SELECT origin, rev, path FROM steps WHERE length(path) > length(dir)", "path")}
 """
 
-ORACLE_SQL["overlay_externals"] = f"""
+ORACLE_SQL["external_owner"] = f"""
 WITH {E_EXT},
-versioned AS (
-  SELECT f.origin, f.dname || '/' || f.fname AS path, 'file' AS kind, f.blob_id AS id
-  FROM falive f JOIN head h ON h.origin = f.origin AND f.at_rev = h.head
-  UNION ALL
-  SELECT d.origin, d.dname, 'dir', NULL FROM dalive d JOIN head h ON h.origin = d.origin AND d.at_rev = h.head)
-SELECT origin, path, kind, id FROM grafted
-UNION
-SELECT v.origin, v.path, v.kind, v.id FROM versioned v WHERE NOT EXISTS (
-  SELECT 1 FROM athead a WHERE a.valid AND a.origin = v.origin
-    AND (v.path = a.dir || '/' || a.path OR starts_with(v.path, a.dir || '/' || a.path || '/')))
-UNION
-SELECT origin, path, 'dir', NULL FROM prefixes
+live AS (SELECT DISTINCT origin, dir, dest, rev FROM effect WHERE valid),
+ends AS (SELECT l.origin, l.dir, l.dest, l.rev + 1 AS rev FROM live l JOIN revs r ON r.origin = l.origin AND r.rev = l.rev + 1
+         WHERE NOT EXISTS (SELECT 1 FROM live m WHERE m.origin = l.origin AND m.dir = l.dir AND m.dest = l.dest AND m.rev = l.rev + 1)),
+owned AS (SELECT origin, rev, dir, path FROM grafts
+          UNION SELECT origin, rev, dir, array_to_string(list_slice(string_split(dest, '/'), 1, n), '/')
+          FROM effect, range(1, 5) AS r(n) WHERE valid AND n <= len(string_split(dest, '/')))
+SELECT e.origin, e.dir, e.dest, e.rev, e.dir <> '' AND EXISTS (
+  SELECT 1 FROM owned o WHERE o.origin = e.origin AND o.rev = e.rev AND o.dir = '' AND o.path = e.dest) AS stays
+FROM ends e
 """
 
-ORACLE_SQL["external_owner"] = f"""
+ORACLE_SQL["overlay_externals"] = f"WITH {E_EXT} " + _runs("SELECT origin, rev, path, kind, id, source FROM nodes", "path, kind, id, source")
+
+ORACLE_SQL["delete_cascade_externals"] = f"""
 WITH {E_EXT},
-versioned AS (
-  SELECT f.origin, f.dname || '/' || f.fname AS path FROM falive f JOIN head h ON h.origin = f.origin AND f.at_rev = h.head
+cut AS (SELECT d.origin, d.dname AS deleted, d.rev FROM dd d
+        JOIN dalive a ON a.origin = d.origin AND a.dname = d.dname AND a.at_rev = d.rev - 1)
+SELECT c.origin, c.deleted, c.rev, n.path, n.source, EXISTS (
+  SELECT 1 FROM nodes m WHERE m.origin = c.origin AND m.rev = c.rev AND m.path = n.path AND m.kind = n.kind AND m.id IS NOT DISTINCT FROM n.id
+    AND m.source = n.source) AS survives
+FROM cut c JOIN nodes n ON n.origin = c.origin AND n.rev = c.rev - 1 AND starts_with(n.path, c.deleted || '/')
+"""
+
+
+def _tree_ctes(nodes: str, depth: int) -> str:
+    """CTEs lvl<depth - 1> .. lvl0 with the tree id of every directory of ``nodes`` (origin, rev, path, kind, id, mode), the root as ''."""
+    out = f"""
+placed AS MATERIALIZED (
+  SELECT *, len(string_split(path, '/')) AS depth, regexp_extract(path, '([^/]*)$', 1) AS name,
+         CASE WHEN contains(path, '/') THEN regexp_extract(path, '^(.*)/[^/]*$', 1) ELSE '' END AS parent FROM {nodes})"""
+    for d in range(depth - 1, -1, -1):
+        dirs = "SELECT origin, rev, '' AS path FROM revs" if d == 0 else f"SELECT origin, rev, path FROM placed WHERE kind = 'dir' AND depth = {d}"
+        below = f"SELECT origin, rev, parent, name, mode, id, name AS place FROM placed WHERE kind = 'file' AND depth = {d + 1}"
+        if d < depth - 1:
+            below += f""" UNION ALL SELECT p.origin, p.rev, p.parent, p.name, '40000', l.id, p.name || '/'
+            FROM lvl{d + 1} l JOIN placed p ON p.origin = l.origin AND p.rev = l.rev AND p.path = l.path"""
+        out += f""",
+lvl{d} AS MATERIALIZED (
+  SELECT t.origin, t.rev, t.path, {git_sha('tree', 'body')} AS id FROM (
+    SELECT d.origin, d.rev, d.path, coalesce(string_agg(hex(c.mode || ' ' || c.name) || '00' || c.id, '' ORDER BY c.place) FILTER (c.name IS NOT NULL), '') AS body
+    FROM ({dirs}) d LEFT JOIN ({below}) c ON c.origin = d.origin AND c.rev = d.rev AND c.parent = d.path GROUP BY d.origin, d.rev, d.path) t)"""
+    return out
+
+
+ORACLE_SQL["externals_tree"] = f"""
+WITH {E_EXT},
+moded AS (SELECT *, '100644' AS mode FROM nodes),{_tree_ctes('moded', 5)}
+SELECT origin, rev, id AS tree_id FROM lvl0
+"""
+
+# orders: every file at every revision, tags as copied
+O_TREES = f"""
+{O_BASE},
+held AS (
+  SELECT r.origin, r.rev, p.path, arg_max(p.blob_id, p.rev) AS id FROM revs r JOIN puts p ON p.origin = r.origin AND p.rev <= r.rev GROUP BY r.origin, r.rev, p.path
   UNION ALL
-  SELECT d.origin, d.dname FROM dalive d JOIN head h ON h.origin = d.origin AND d.at_rev = h.head)
-SELECT DISTINCT v.origin, v.path FROM versioned v JOIN athead a ON a.origin = v.origin AND a.valid
-  AND (v.path = a.dir || '/' || a.path OR starts_with(v.path, a.dir || '/' || a.path || '/'))
+  SELECT r.origin, r.rev, c.dst || substr(p.path, length(c.src) + 1), arg_max(p.blob_id, p.rev)
+  FROM cp c JOIN puts p ON p.origin = c.origin AND p.rev < c.rev AND starts_with(p.path, c.src || '/') JOIN revs r ON r.origin = c.origin AND r.rev >= c.rev
+  GROUP BY r.origin, r.rev, c.dst, c.src, p.path),
+moded AS MATERIALIZED (
+  SELECT origin, rev, path, 'file' AS kind, id, '100644' AS mode FROM held
+  UNION ALL SELECT DISTINCT origin, rev, array_to_string(list_slice(string_split(path, '/'), 1, n), '/'), 'dir', NULL, NULL
+  FROM held, range(1, 4) AS r(n) WHERE n < len(string_split(path, '/'))
+  UNION ALL SELECT DISTINCT r.origin, r.rev, 'tags', 'dir', NULL, NULL FROM revs r JOIN cp c ON c.origin = r.origin AND c.rev <= r.rev
+    WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.origin = r.origin AND h.rev = r.rev AND starts_with(h.path, 'tags/'))),{_tree_ctes('moded', 4)}
+"""
+
+ORACLE_SQL["orders_tree_ids"] = f"WITH {O_TREES} SELECT origin, rev, id AS tree_id FROM lvl0"
+
+
+def _chain(meta: str) -> str:
+    """Revision ids of ``meta`` (origin, rev, tree_id, who, tail), each with the one before as its parent."""
+    body = "author ' || {0}who || chr(10) || 'committer ' || {0}who || chr(10) || {0}tail)"
+    first = git_sha("commit", "hex('tree ' || tree_id || chr(10) || '" + body.format(""))
+    later = git_sha("commit", "hex('tree ' || m.tree_id || chr(10) || 'parent ' || c.revision_id || chr(10) || '" + body.format("m."))
+    return f"""
+SELECT * FROM (
+  WITH RECURSIVE c(origin, rev, revision_id) AS (
+    SELECT origin, rev, {first} FROM {meta} WHERE rev = 1
+    UNION ALL SELECT m.origin, m.rev, {later} FROM {meta} m JOIN c ON m.origin = c.origin AND m.rev = c.rev + 1)
+  SELECT * FROM c)"""
+
+
+ORACLE_SQL["incremental_orders_equals_full"] = f"""
+WITH {O_TREES},
+signed AS (
+  SELECT l.origin, l.rev, l.id AS tree_id, 'customer' || CAST(o.o_custkey AS VARCHAR) || ' ' || {STAMP.format(ts='CAST(o.o_orderdate AS TIMESTAMP)')} || ' +0000' AS who,
+         'svn_repo_uuid ' || {UUID.format(o='l.origin')} || chr(10) || 'svn_revision ' || CAST(l.rev AS VARCHAR) || chr(10) || chr(10) || 'order '
+           || CAST(o.o_orderkey AS VARCHAR) AS tail
+  FROM lvl0 l JOIN o ON o.origin = l.origin AND o.rev = l.rev),
+ids AS ({_chain('signed')}),
+heads AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin)
+SELECT i.origin, i.rev, i.revision_id FROM ids i JOIN heads h ON h.origin = i.origin WHERE i.rev > h.head // 2
+"""
+
+ORACLE_SQL["incremental_export_equals_full"] = f"""
+WITH {E_EXPORT},
+signed AS (SELECT m.origin, m.rev, {git_sha('tree', 'x.body')} AS tree_id, m.who, m.tail FROM meta m JOIN xr x ON x.origin = m.origin AND x.rev = m.rev),
+ids AS ({_chain('signed')})
+SELECT i.origin, i.rev, i.revision_id FROM ids i JOIN head h ON h.origin = i.origin WHERE i.rev > h.head // 2
+"""
+
+ORACLE_SQL["copied_modes"] = f"""
+WITH {O_BASE},
+texts AS (
+  SELECT j.*, 'p' || CAST(l_partkey % 50 AS VARCHAR) || '/' || l_returnflag || '/' || CAST(line AS VARCHAR) AS path,
+         CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_partkey AS VARCHAR) || ':' || CAST(l_suppkey AS VARCHAR) AS base FROM j),
+files AS (
+  SELECT *, CASE l_partkey % 3 WHEN 0 THEN 'link ' || base WHEN 1 THEN base || chr(13) || chr(10) || CAST(l_suppkey AS VARCHAR) || chr(10) ELSE base END AS data
+  FROM texts),
+events AS (
+  SELECT origin, rev, path, 'exe' AS name, CASE WHEN l_suppkey % 4 = 0 THEN '*' END AS value FROM files WHERE l_suppkey % 4 IN (0, 1)
+  UNION ALL SELECT origin, rev, path, 'special', CASE WHEN line % 2 = 1 THEN '*' END FROM files WHERE l_partkey % 3 = 0
+  UNION ALL SELECT origin, rev, path, 'eol', ['native', 'LF', 'CRLF', 'CR', 'bogus'][CAST(l_suppkey % 5 AS INTEGER) + 1] FROM files WHERE l_partkey % 3 = 1),
+taken AS (
+  SELECT c.origin, c.rev, c.dst, substr(f.path, length(c.src) + 2) AS rel, f.path, arg_max(f.data, f.rev) AS data
+  FROM cp c JOIN files f ON f.origin = c.origin AND f.rev < c.rev AND starts_with(f.path, c.src || '/') GROUP BY c.origin, c.rev, c.dst, c.src, f.path),
+valued AS (
+  SELECT t.*, v.name, v.value FROM taken t LEFT JOIN LATERAL (
+    SELECT e.name, arg_max(coalesce(e.value, ''), e.rev) AS value FROM events e WHERE e.origin = t.origin AND e.path = t.path AND e.rev < t.rev GROUP BY e.name) v ON true),
+state AS (
+  SELECT origin, rev, dst, rel, data, max(value) FILTER (name = 'eol') AS eol,
+         coalesce(bool_or(name = 'exe' AND value = '*'), false) AND rel NOT IN ('A/1', 'N/1', 'R/1') AS exe,
+         coalesce(bool_or(name = 'special' AND value = '*'), false) AND starts_with(data, 'link ') AS link
+  FROM valued GROUP BY origin, rev, dst, rel, data),
+written AS (
+  SELECT origin, rev, dst, rel, CASE WHEN link THEN 40960 WHEN exe THEN 33261 ELSE 33188 END AS perms,
+         CASE WHEN link THEN substr(data, 6)
+              WHEN eol IN ('native', 'LF') THEN replace(data, chr(13) || chr(10), chr(10))
+              WHEN eol = 'CRLF' THEN replace(replace(data, chr(13) || chr(10), chr(10)), chr(10), chr(13) || chr(10))
+              WHEN eol = 'CR' THEN replace(replace(data, chr(13) || chr(10), chr(10)), chr(10), chr(13)) ELSE data END AS content
+  FROM state),
+steps AS (
+  SELECT origin, rev, dst, perms, rel, content FROM written
+  UNION ALL SELECT w.origin, w.rev + 1, 'branches/o' || CAST(o.o_orderkey AS VARCHAR), perms, rel, content
+  FROM written w JOIN o ON o.origin = w.origin AND o.rev = w.rev + 1
+  UNION ALL SELECT w.origin, w.rev + 2, 'old/o' || CAST(o.o_orderkey AS VARCHAR), perms, rel, content
+  FROM written w JOIN o ON o.origin = w.origin AND o.rev = w.rev + 2)
+SELECT origin, rev, dst || '/' || rel AS path, perms, {git_sha('blob', 'hex(content)')} AS blob_id FROM steps
 """
 
 ORACLE_SQL["stream_visits"] = f"WITH {E_BASE} SELECT origin, rev, revision_id FROM chain"
@@ -874,13 +968,27 @@ SELECT origin, rev, revision_id FROM chain2
 """
 
 ORACLE_SQL["append_new_objects"] = f"""
-WITH {E_BASE}
-SELECT 'skipped_content' AS object_type, CAST(0 AS BIGINT) AS first_visit, CAST(0 AS BIGINT) AS second_visit
-UNION ALL SELECT 'content', count(DISTINCT blob_id), 0 FROM fe WHERE op = 'put'
-UNION ALL SELECT 'directory', count(DISTINCT id), 0 FROM (
-  SELECT tree_id AS id FROM dtid UNION SELECT tree_id FROM rtid UNION SELECT {EMPTY})
-UNION ALL SELECT 'revision', count(DISTINCT revision_id), 0 FROM chain
-UNION ALL SELECT 'snapshot', count(DISTINCT origin), 0 FROM revs
+WITH {E_BASE},
+mid AS (SELECT origin, max(rev) // 2 AS mid, max(rev) AS head FROM revs GROUP BY origin),
+all_objects AS (
+  SELECT 'content' AS object_type, blob_id AS id, f.rev <= m.mid AS early FROM fe f JOIN mid m ON m.origin = f.origin WHERE op = 'put'
+  UNION ALL SELECT 'directory', tree_id, at_rev <= m.mid FROM dtid d JOIN mid m ON m.origin = d.origin
+  UNION ALL SELECT 'directory', tree_id, rev <= m.mid FROM rtid t JOIN mid m ON m.origin = t.origin
+  UNION ALL SELECT 'directory', {EMPTY}, true
+  UNION ALL SELECT 'revision', revision_id, rev <= m.mid FROM chain c JOIN mid m ON m.origin = c.origin
+  UNION ALL SELECT 'snapshot', 'first ' || origin, true FROM mid WHERE mid > 0
+  UNION ALL SELECT 'snapshot', 'last ' || origin, false FROM mid WHERE head > mid
+  UNION ALL SELECT 'visit', 'first ' || origin, true FROM mid WHERE mid > 0
+  UNION ALL SELECT 'visit', 'last ' || origin, false FROM mid),
+seen AS (SELECT object_type, id, bool_or(early) AS early FROM all_objects GROUP BY object_type, id)
+SELECT object_type, CASE WHEN early THEN 'visit-1' ELSE 'visit-2' END AS visit, count(*) AS n FROM seen GROUP BY ALL
+"""
+
+ORACLE_SQL["archive_restore"] = f"""
+WITH {E_LISTING},
+sized AS (SELECT DISTINCT blob_id, CAST(strlen(data) AS BIGINT) AS length FROM (SELECT {git_sha('blob', 'hex(data)')} AS blob_id, data FROM ch WHERE op = 'put'))
+SELECT l.origin, l.path, CASE WHEN kind = 'dir' THEN 16384 ELSE 33188 END AS perms, l.id, s.length
+FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head LEFT JOIN sized s ON l.kind = 'file' AND s.blob_id = l.id
 """
 
 ORACLE_SQL["apply_special"] = f"""
@@ -900,6 +1008,212 @@ SELECT h.origin, {git_sha('snapshot', "hex('revision HEAD') || '00' || hex('20:'
 FROM head h JOIN chain c ON c.origin = h.origin AND c.rev = h.head_rev
 """
 
+ORACLE_SQL["scan_log"] = f"""
+WITH {E_BASE}
+SELECT c.origin, c.rev, c.event_type AS author, 'event ' || CAST(c.event_id AS VARCHAR) AS message, {STAMP.format(ts='c.ts')} AS date_text,
+       CASE WHEN c.op = 'deldir' THEN c.dname ELSE c.dname || '/' || c.fname END AS path, CASE WHEN c.op = 'put' THEN 'put' ELSE 'delete' END AS action,
+       true AS has_changes
+FROM ch c
+"""
+
+ORACLE_SQL["scan_log_paths"] = f"""
+WITH {E_BASE},
+top AS (SELECT origin, arg_max(dname, rev) AS dname, arg_max(op, rev) AS op FROM ch GROUP BY origin),
+hits AS (SELECT c.origin, c.rev, c.event_id, row_number() OVER (PARTITION BY c.origin ORDER BY c.rev) AS n
+         FROM ch c JOIN top t ON t.origin = c.origin AND t.dname = c.dname)
+SELECT origin, rev, 'event ' || CAST(event_id AS VARCHAR) AS message, CAST(NULL AS VARCHAR) AS path, false AS has_changes FROM hits WHERE n <= 10
+"""
+
+ORACLE_SQL["commit_info"] = f"""
+WITH {V_BASE}
+SELECT c.origin, c.rev, c.event_type AS author, 'event ' || CAST(c.event_id AS VARCHAR) AS message, {STAMP.format(ts='c.ts')} AS date_text
+FROM ch c JOIN visits v ON v.origin = c.origin AND v.visit_rev = c.rev
+"""
+
+ORACLE_SQL["crawl_tree"] = f"""
+WITH {E_EXPORT},
+nodes AS (
+  SELECT f.origin, f.dname || '/' || f.fname AS path, 'file' AS type FROM falive f JOIN head h ON h.origin = f.origin AND f.at_rev = h.head
+  UNION ALL SELECT d.origin, d.dname, 'dir' FROM dalive d JOIN head h ON h.origin = d.origin AND d.at_rev = h.head
+  UNION ALL SELECT origin, '', 'dir' FROM head),
+held AS (SELECT p.origin, p.path, string_agg(p.name || '=' || p.value, chr(10) ORDER BY p.name) AS props FROM pst p JOIN head h ON h.origin = p.origin
+         WHERE p.from_rev <= h.head AND (p.to_rev IS NULL OR h.head < p.to_rev) GROUP BY p.origin, p.path)
+SELECT n.origin, n.path, n.type, coalesce(e.props, '') AS props FROM nodes n LEFT JOIN held e ON e.origin = n.origin AND e.path = n.path
+"""
+
+ORACLE_SQL["diff_stat"] = f"""
+WITH {E_EXPORT},
+puts AS (
+  SELECT origin, rev, dname || '/' || fname AS path, data, lag(rev) OVER w AS prev_rev, lag(data) OVER w AS old FROM ch
+  WHERE op = 'put' WINDOW w AS (PARTITION BY origin, dname, fname ORDER BY rev)),
+follow AS (SELECT * FROM puts p WHERE old IS NOT NULL AND old <> data AND NOT EXISTS (
+  SELECT 1 FROM kills k WHERE k.origin = p.origin AND k.path = p.path AND k.rev > p.prev_rev AND k.rev < p.rev)),
+sides AS (
+  SELECT origin, rev, path, unnest(string_split(data, chr(10))) AS line, 1 AS d FROM follow
+  UNION ALL SELECT origin, rev, path, unnest(string_split(old, chr(10))), -1 FROM follow),
+lines AS (SELECT origin, rev, path, line, sum(d) AS d FROM sides GROUP BY ALL)
+SELECT origin, rev, path, CAST(coalesce(sum(d) FILTER (d > 0), 0) AS BIGINT) AS lines_added, CAST(coalesce(-sum(d) FILTER (d < 0), 0) AS BIGINT) AS lines_removed
+FROM lines GROUP BY origin, rev, path
+"""
+
+ORACLE_SQL["visit_outcome"] = f"""
+WITH {E_DUMPS},
+{V_BASE[V_BASE.index("heads AS"):]},
+per AS (SELECT origin, bool_and(complete) AS whole, max(rev) AS last, arg_max(no, start) AS last_no, arg_max(seen, start) AS last_seen FROM got GROUP BY origin),
+m AS (SELECT *, CASE WHEN whole THEN last WHEN last_no = 0 AND NOT last_seen THEN last - 2 ELSE last - 1 END AS upto FROM per),
+revd AS (SELECT origin, rev, bool_and(whole) AS whole FROM cuts GROUP BY origin, rev),
+d AS (SELECT origin, max(rev) FILTER (whole) AS last_dumped, NOT bool_and(whole) AS short FROM revd GROUP BY origin),
+asked AS (SELECT origin FROM revs UNION SELECT 'u' || CAST(CAST(substr(origin, 2) AS BIGINT) + 1 AS VARCHAR) FROM revs),
+f AS (
+  SELECT a.origin, p.start_rev, p.end_rev, d.origin IS NULL AS nf, p.start_rev > p.end_rev AS unev, CASE WHEN NOT m.whole THEN greatest(m.upto, 0) + 1 END AS fail_at,
+         d.short AND coalesce(d.last_dumped, -1) <= p.last_loaded_rev AS err, CASE WHEN p.last_loaded_rev >= 0 THEN p.last_loaded_rev END AS prev
+  FROM asked a LEFT JOIN plan p ON p.origin = a.origin LEFT JOIN m ON m.origin = a.origin LEFT JOIN d ON d.origin = a.origin),
+g AS (SELECT *, coalesce(fail_at <= end_rev, false) AS fm,
+             CASE WHEN fail_at <= end_rev THEN CASE WHEN fail_at - 1 >= start_rev THEN fail_at - 1 ELSE prev END END AS last_good FROM f)
+SELECT origin,
+       CASE WHEN nf OR unev THEN 'uneventful' WHEN err THEN 'failed' WHEN fm AND (last_good IS NULL OR last_good = prev) THEN 'uneventful' ELSE 'eventful' END AS load_status,
+       CASE WHEN nf THEN 'not_found' WHEN unev THEN 'full' WHEN err THEN 'failed' WHEN fm THEN 'partial' ELSE 'full' END AS visit_status,
+       CAST(CASE WHEN nf THEN NULL WHEN unev THEN prev WHEN err THEN NULL WHEN fm THEN last_good ELSE end_rev END AS BIGINT) AS snapshot_rev
+FROM g
+"""
+
+ORACLE_SQL["build_snapshot_fallback"] = f"""
+WITH {V_BASE},
+goal AS (SELECT *, CASE WHEN start_rev > end_rev THEN last_loaded_rev ELSE head END AS at_rev FROM plan)
+SELECT g.origin, {git_sha('snapshot', "hex('revision HEAD') || '00' || hex('20:') || c.revision_id")} AS snapshot_id, g.start_rev > g.end_rev AS reused
+FROM goal g JOIN chain c ON c.origin = g.origin AND c.rev = g.at_rev
+"""
+
+ORACLE_SQL["normalize_changes"] = f"""
+WITH {E_EXPORT},
+{O_BASE.replace("revs AS (SELECT origin, rev FROM o)", "o_revs AS (SELECT origin, rev FROM o)").replace("j AS (", "oj AS (").replace("FROM j", "FROM oj")},
+files AS NOT MATERIALIZED (
+  SELECT *, 'p' || CAST(l_partkey % 50 AS VARCHAR) AS top, 'p' || CAST(l_partkey % 50 AS VARCHAR) || '/' || l_returnflag AS dir,
+         'p' || CAST(l_partkey % 50 AS VARCHAR) || '/' || l_returnflag || '/' || CAST(line AS VARCHAR) AS path FROM oj),
+onward AS (
+  SELECT o.origin, o.rev, 'branches/o' || CAST(o.o_orderkey AS VARCHAR) AS dst, c.dst || '@' || CAST(c.rev AS VARCHAR) AS detail FROM cp c JOIN o ON o.origin = c.origin AND o.rev = c.rev + 1
+  UNION ALL
+  SELECT o.origin, o.rev, 'old/o' || CAST(o.o_orderkey AS VARCHAR), 'branches/o' || CAST(b.o_orderkey AS VARCHAR) || '@' || CAST(b.rev AS VARCHAR)
+  FROM cp c JOIN o b ON b.origin = c.origin AND b.rev = c.rev + 1 JOIN o ON o.origin = c.origin AND o.rev = c.rev + 2)
+SELECT origin, rev, CASE WHEN op = 'put' THEN 2 ELSE 0 END AS seq, CASE WHEN op = 'deldir' THEN dname ELSE dname || '/' || fname END AS path,
+       CASE WHEN op = 'deldir' THEN 'dir' ELSE 'file' END AS kind, CASE WHEN op = 'put' THEN 'put' ELSE 'delete' END AS event, CAST(NULL AS VARCHAR) AS detail FROM ch
+UNION ALL SELECT origin, rev, 2, dname, 'dir', 'put', NULL FROM ch WHERE op = 'put'
+UNION ALL SELECT origin, rev, 3, path, NULL, 'property', CASE WHEN value IS NULL THEN name ELSE name || '=' || value END FROM pe WHERE name IS NOT NULL
+UNION ALL SELECT origin, rev, 2, path, 'file', 'put', NULL FROM files
+UNION ALL SELECT DISTINCT origin, rev, 2, dir, 'dir', 'put', NULL FROM files
+UNION ALL SELECT DISTINCT origin, rev, 2, top, 'dir', 'put', NULL FROM files
+UNION ALL SELECT origin, rev, 1, dst, 'dir', 'copy', src || '@' || CAST(rev - 1 AS VARCHAR) FROM cp
+UNION ALL SELECT origin, rev, 1, dst, 'dir', 'copy', detail FROM onward
+UNION ALL SELECT origin, rev, 3, path, NULL, 'property', 'svn:executable' || CASE WHEN l_suppkey % 4 = 0 THEN '=*' ELSE '' END FROM files WHERE l_suppkey % 4 IN (0, 1)
+UNION ALL SELECT origin, rev, 3, path, NULL, 'property', 'svn:special' || CASE WHEN line % 2 = 1 THEN '=*' ELSE '' END FROM files WHERE l_partkey % 3 = 0
+UNION ALL SELECT origin, rev, 3, path, NULL, 'property', 'svn:eol-style=' || ['native', 'LF', 'CRLF', 'CR', 'bogus'][CAST(l_suppkey % 5 AS INTEGER) + 1]
+  FROM files WHERE l_partkey % 3 = 1
+UNION ALL SELECT origin, rev, 3, dst || '/' || flag || '/1', NULL, 'property', 'svn:executable' FROM cp, unnest(['A', 'N', 'R']) AS t(flag)
+"""
+
+ORACLE_SQL["origin_info"] = f"""
+WITH {E_BASE},
+heads AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin)
+SELECT 'file:///repos/' || origin AS url, 'file:///repos/' || origin AS root_url, head AS head_rev, 1 AS initial_rev FROM heads
+UNION ALL
+SELECT 'file:///repos/' || d.origin || '/' || d.dname, 'file:///repos/' || d.origin, max(d.at_rev), 1 FROM dalive d GROUP BY d.origin, d.dname
+"""
+
+ORACLE_SQL["dump_plan"] = f"""
+WITH {O_BASE},
+heads AS (SELECT origin, max(rev) AS head FROM revs GROUP BY origin),
+urls AS (SELECT 'c' || CAST(c_custkey AS VARCHAR) AS origin, 'file:///repos/c' || CAST(c_custkey AS VARCHAR) AS root FROM customer),
+found AS (
+  SELECT u.*, h.head, EXISTS (SELECT 1 FROM puts p WHERE p.origin = u.origin AND starts_with(p.path, 'p4/')) AS has FROM urls u LEFT JOIN heads h ON h.origin = u.origin)
+SELECT root || '/p4' AS url, CASE WHEN head IS NULL THEN root || '/p4' WHEN has THEN root END AS dump_url, CASE WHEN has THEN head END AS dump_max_rev,
+       CASE WHEN head IS NULL THEN 'sub_path' WHEN has THEN 'whole' ELSE 'missing' END AS status
+FROM found
+"""
+
+ORACLE_SQL["export_tree"] = f"""
+WITH {E_EXPORT}
+SELECT x.origin, x.dname || '/' || x.fname AS path, CASE x.mode WHEN '120000' THEN 40960 WHEN '100755' THEN 33261 ELSE 33188 END AS perms, x.id
+FROM xi x JOIN head h ON h.origin = x.origin AND x.at_rev = h.head
+UNION ALL SELECT t.origin, t.dname, 16384, t.tree_id FROM xt t JOIN head h ON h.origin = t.origin AND t.at_rev = h.head
+"""
+
+ORACLE_SQL["export_subpaths"] = f"""
+WITH {E_EXPORT},
+wanted AS (SELECT DISTINCT c.origin, CASE WHEN op = 'deldir' THEN dname ELSE dname || '/' || fname END AS path
+           FROM ch c JOIN head h ON h.origin = c.origin WHERE c.rev > h.head - 3),
+listing AS (
+  SELECT x.origin, x.dname || '/' || x.fname AS path, CASE x.mode WHEN '120000' THEN 40960 WHEN '100755' THEN 33261 ELSE 33188 END AS perms, x.id
+  FROM xi x JOIN head h ON h.origin = x.origin AND x.at_rev = h.head
+  UNION ALL SELECT t.origin, t.dname, 16384, t.tree_id FROM xt t JOIN head h ON h.origin = t.origin AND t.at_rev = h.head),
+chosen AS (SELECT DISTINCT l.origin, l.path FROM listing l JOIN wanted w ON w.origin = l.origin AND (l.path = w.path OR starts_with(l.path, w.path || '/')))
+SELECT * FROM listing l WHERE EXISTS (SELECT 1 FROM chosen c WHERE c.origin = l.origin AND (c.path = l.path OR starts_with(c.path, l.path || '/')))
+"""
+
+ORACLE_SQL["tree_diff"] = f"""
+WITH {E_LISTING},
+n AS (SELECT *, at_rev AS rev FROM lst),
+o AS (SELECT l.*, l.at_rev + 1 AS rev FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev < h.head)
+SELECT coalesce(n.origin, o.origin) AS origin, coalesce(n.rev, o.rev) AS rev, coalesce(n.path, o.path) AS path, coalesce(n.kind, o.kind) AS kind,
+       CASE WHEN o.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'removed' ELSE 'changed' END AS status
+FROM n FULL OUTER JOIN o ON n.origin = o.origin AND n.rev = o.rev AND n.path = o.path
+WHERE n.id IS DISTINCT FROM o.id
+"""
+
+ORACLE_SQL["collect_objects"] = f"""
+WITH {E_BASE},
+firsts AS (
+  SELECT f.origin, CASE WHEN strlen(c.data) > 12 THEN 's' ELSE 'c' END AS kind, f.blob_id AS id, min(f.rev) AS rev
+  FROM fe f JOIN ch c ON c.origin = f.origin AND c.rev = f.rev WHERE f.op = 'put' GROUP BY ALL
+  UNION ALL
+  SELECT origin, 'd', tree_id, min(at_rev) FROM (SELECT origin, at_rev, tree_id FROM dtid UNION ALL SELECT origin, rev, tree_id FROM rtid) GROUP BY origin, tree_id)
+SELECT origin, rev, count(*) FILTER (kind = 'c') AS contents, count(*) FILTER (kind = 's') AS skipped, count(*) FILTER (kind = 'd') AS directories
+FROM firsts GROUP BY origin, rev
+"""
+
+ORACLE_SQL["batch_limits"] = f"""
+WITH {E_BASE},
+firsts AS (SELECT f.origin, f.blob_id, min(f.rev) AS rev, min(strlen(c.data)) AS length FROM fe f JOIN ch c ON c.origin = f.origin AND c.rev = f.rev
+           WHERE f.op = 'put' GROUP BY f.origin, f.blob_id),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY origin ORDER BY rev, blob_id) AS n FROM firsts),
+folded AS (
+  SELECT * FROM (
+    WITH RECURSIVE b(origin, n, flush, held, bytes) AS (
+      SELECT origin, n, CAST(1 AS BIGINT), CAST(1 AS BIGINT), CAST(length AS BIGINT) FROM numbered WHERE n = 1
+      UNION ALL
+      SELECT x.origin, x.n, CASE WHEN b.held >= 10 OR b.bytes >= 120 THEN b.flush + 1 ELSE b.flush END,
+             CASE WHEN b.held >= 10 OR b.bytes >= 120 THEN 1 ELSE b.held + 1 END,
+             CASE WHEN b.held >= 10 OR b.bytes >= 120 THEN x.length ELSE b.bytes + x.length END
+      FROM b JOIN numbered x ON x.origin = b.origin AND x.n = b.n + 1)
+    SELECT * FROM b))
+SELECT x.origin, x.rev, x.blob_id, b.flush FROM folded b JOIN numbered x ON x.origin = b.origin AND x.n = b.n
+"""
+
+ORACLE_SQL["propget"] = f"""
+WITH {E_PROPS},
+{V_BASE[V_BASE.index("heads AS"):]},
+asked AS (
+  SELECT DISTINCT v.origin, v.visit_rev AS rev, c.dname AS target, 'svn:eol-style' AS name FROM visits v JOIN ch c ON c.origin = v.origin AND c.op = 'put'
+  UNION ALL SELECT origin, head, '', 'svn:executable' FROM head)
+SELECT a.origin, a.rev, a.target, a.name, p.path, p.value
+FROM asked a JOIN pst p ON p.origin = a.origin AND p.name = a.name AND p.from_rev <= a.rev AND (p.to_rev IS NULL OR a.rev < p.to_rev)
+  AND (a.target = '' OR starts_with(p.path, a.target || '/'))
+"""
+
+ORACLE_SQL["gap_buffer"] = f"""
+WITH {E_BASE}
+SELECT origin, rev, CAST(event_id AS VARCHAR) AS payload, false AS late, max(event_id % 4) OVER (PARTITION BY origin ORDER BY rev) AS batch FROM ev
+"""
+
+ORACLE_SQL["write_extids"] = f"""
+WITH {E_LISTING},
+named AS (SELECT l.origin, l.path, string_split(l.path, '/')[1] AS top, sha256(CASE WHEN kind = 'dir' THEN '40000' ELSE '100644' END || ' ' || l.id || ' ' || l.path) AS digest
+          FROM lst l JOIN head h ON h.origin = l.origin AND l.at_rev = h.head),
+tops AS (SELECT origin, top, sha256(string_agg(digest, '' ORDER BY path)) AS digest FROM named GROUP BY origin, top),
+sums AS (SELECT origin, sha256(string_agg(digest, '' ORDER BY top)) AS checksum FROM tops GROUP BY origin)
+SELECT DISTINCT t.tree_id AS id, 'sha256-manifest' AS checksum_layout, s.checksum FROM sums s JOIN head h ON h.origin = s.origin
+JOIN rtid t ON t.origin = h.origin AND t.rev = h.head
+"""
+
 ORACLE_SQL["write_visit"] = f"""
 WITH outcome AS ({ORACLE_SQL["visit_outcome"].replace("WITH ", "WITH ", 1)}),
 {E_BASE}
@@ -908,3 +1222,9 @@ SELECT o.origin, 'svn' AS visit_type, o.visit_status AS status,
          {git_sha('snapshot', "hex('revision HEAD') || '00' || hex('20:') || c.revision_id")} END AS snapshot_id
 FROM outcome o LEFT JOIN chain c ON c.origin = o.origin AND c.rev = o.snapshot_rev
 """
+
+ORACLE_SQL["stream_visits_export"] = f"""
+WITH {E_EXPORT},
+signed AS (SELECT m.origin, m.rev, {git_sha('tree', 'x.body')} AS tree_id, m.who, m.tail FROM meta m JOIN xr x ON x.origin = m.origin AND x.rev = m.rev)
+{_chain('signed')}
+"""

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revtrail.functions.urls import root_url_candidates
 from revtrail.operators.ordinals import dense_ordinal
 
 
@@ -91,24 +92,71 @@ def plan_range(heads: DataFrame, last_loaded: DataFrame, unaltered: DataFrame) -
                     (start > end).alias("uneventful"))
 
 
+def latest_snapshot(visits: DataFrame) -> DataFrame:
+    """(origin, snapshot_id) of each origin's newest visit that has a snapshot."""
+    return visits.where(F.col("snapshot_id").isNotNull()).groupBy("origin").agg(F.max_by("snapshot_id", "visit_no").alias("snapshot_id"))
+
+
+def url_roots(urls: DataFrame, origins: DataFrame) -> DataFrame:
+    """(url, origin, root_url, sub_path): the known repository whose url is the
+    longest ``/``-prefix of each url; nulls if there is none."""
+    cands = urls.select("url").distinct().select("url", F.posexplode(root_url_candidates(F.regexp_replace("url", "/+$", ""))).alias("pos", "cand"))
+    hit = cands.join(origins.select(F.col("url").alias("cand"), "origin"), "cand")
+    best = hit.groupBy("url").agg(F.min_by(F.struct("origin", F.col("cand").alias("root_url")), "pos").alias("b"))
+    sub = F.regexp_replace(F.substring(F.col("url"), F.length("b.root_url") + 1, 1 << 30), "^/+|/+$", "")
+    return urls.select("url").distinct().join(best, "url", "left").select(
+        "url", F.col("b.origin").alias("origin"), F.col("b.root_url").alias("root_url"), sub.alias("sub_path"))
+
+
+def last_seen(roots: DataFrame, commits: DataFrame, dirs: DataFrame) -> DataFrame:
+    """``roots`` (origin, sub_path, ..) with latest, the origin's last
+    revision, and head_rev, the last at which the sub path exists (null: never)."""
+    latest = commits.groupBy("origin").agg(F.max("rev").alias("latest"))
+    seen = dirs.groupBy("origin", F.col("path").alias("sub_path")).agg(F.max("to_rev").alias("until"))
+    j = roots.join(latest, "origin", "left").join(seen, ["origin", "sub_path"], "left")
+    head = F.when(F.col("sub_path") == "", F.coalesce("latest", F.lit(0))).otherwise(F.least(F.col("until") - 1, F.col("latest")))
+    return j.withColumn("head_rev", head).drop("until")
+
+
+def origin_info(urls: DataFrame, origins: DataFrame, commits: DataFrame, dirs: DataFrame) -> DataFrame:
+    """(url, origin, root_url, sub_path, latest, head_rev, initial_rev) of
+    urls of repositories and of directories in them."""
+    found = last_seen(url_roots(urls, origins), commits, dirs)
+    return found.withColumn("initial_rev", F.when(F.coalesce("latest", F.lit(0)) == 0, 0).otherwise(1))
+
+
+def dump_plan(urls: DataFrame, origins: DataFrame, commits: DataFrame, dirs: DataFrame) -> DataFrame:
+    """(url, dump_url, dump_max_rev, status): whole when the repository is
+    known (up to the last revision where the url's path exists), sub_path
+    when it is out of reach (the url itself, all of it), missing when the path never existed."""
+    found = last_seen(url_roots(urls, origins), commits, dirs)
+    status = (F.when(F.col("root_url").isNull(), "sub_path").when(F.col("head_rev").isNull(), "missing").otherwise("whole"))
+    return found.withColumn("status", status).select(
+        "url", F.when(F.col("status") == "whole", F.col("root_url")).when(F.col("status") == "sub_path", F.col("url")).alias("dump_url"),
+        F.when(F.col("status") == "whole", F.col("head_rev")).alias("dump_max_rev"), "status")
+
+
 def visit_outcome(plan: DataFrame, flags: DataFrame) -> DataFrame:
     """plan (origin, start_rev, end_rev, uneventful, last_loaded_rev) and
-    flags (origin, not_found, fail_at, diverged) -> load status, visit
-    status and the revision the new snapshot points to (NULL: none)."""
+    flags (origin, not_found, fail_at, diverged, error) -> load status, visit
+    status and the revision the new snapshot points to (NULL: none).
+    ``fail_at`` is the first revision that can't be loaded (an exception, or
+    the end of a truncated dump); ``error`` is any other failure."""
     j = plan.join(flags, "origin", "left")
     nf = F.coalesce("not_found", F.lit(False))
+    error = F.coalesce("error", F.lit(False))
     failed_mid = F.col("fail_at").isNotNull() & (F.col("fail_at") <= F.col("end_rev"))
     diverged = F.coalesce("diverged", F.lit(False))
     prev = F.when(F.col("last_loaded_rev") >= 0, F.col("last_loaded_rev"))
     last_good = F.when(failed_mid, F.when(F.col("fail_at") - 1 >= F.col("start_rev"),
                                            F.col("fail_at") - 1).otherwise(prev))
     load_status = (F.when(nf, "uneventful").when(F.col("uneventful"), "uneventful")
-                   .when(diverged, "failed")
+                   .when(error | diverged, "failed")
                    .when(failed_mid & (last_good.isNull() | (last_good == prev)), "uneventful")
                    .otherwise("eventful"))
     visit_status = (F.when(nf, "not_found").when(F.col("uneventful"), "full")
-                    .when(failed_mid | diverged, "partial").otherwise("full"))
-    snap_rev = (F.when(nf, F.lit(None)).when(F.col("uneventful"), prev)
+                    .when(error, "failed").when(failed_mid | diverged, "partial").otherwise("full"))
+    snap_rev = (F.when(nf, F.lit(None)).when(F.col("uneventful"), prev).when(error, F.lit(None))
                 .when(failed_mid, last_good).otherwise(F.col("end_rev")))
     return j.select("origin", load_status.alias("load_status"), visit_status.alias("visit_status"),
                     snap_rev.cast("long").alias("snapshot_rev"))

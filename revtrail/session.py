@@ -32,6 +32,9 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("REVTRAIL_DRIVER_MEMORY", "16g"))
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        # many queries with long plans: don't keep their texts
+        .config("spark.sql.ui.retainedExecutions", "5")
+        .config("spark.sql.maxPlanStringLength", "10000")
         # checkpointed levels are dropped from the shared folder once unreferenced
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
@@ -85,6 +88,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder (none if there is no folder)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files in a folder and the folders in it."""
+    import hashlib
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows = []
+    for s in fs.listStatus(p) if fs.exists(p) else []:
+        inner = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+        rows += [f"{x.getPath()} {x.getLen()} {x.getModificationTime()}" for x in inner]
+    return hashlib.sha1("\n".join(sorted(rows)).encode()).hexdigest()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives the
     loss of an executor, unlike a local checkpoint)."""

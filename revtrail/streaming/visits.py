@@ -2,21 +2,27 @@
 
 New events arrive as files; each trigger runs ``foreachBatch`` which
 continues every touched origin from its persisted state -- last
-revision number, last event, last revision id and the tree in force (open
-intervals as put rows) -- instead of replaying from revision 1.
+revision number, last event, last revision id, the tree in force (open
+intervals as put rows) and, where files are hashed as exported, the property
+values in force and the variants of the contents -- instead of replaying
+from revision 1.
 
 *Exactly once.*  State and output are partitioned by the batch that wrote
 them.  Batch N reads, for each bucket of origins, the newest state of a
 batch before N, and overwrites only partitions of batch N.  So a batch that
 is run again after a failure, however far it came, writes the same rows to
 the same place.  A batch rewrites only the buckets it touches, so its cost
-follows the touched origins, not the whole archive.
+follows the touched origins, not the whole archive.  Which partitions are
+the newest is read from the folder names; older ones than the two a bucket
+may need are removed.
 
 *Order.*  Revisions are numbered by (time, event id) per origin.  Events
 that sort after the last one continue the origin, also at an equal time.
 An event that sorts before it alters the history: its origin is loaded
 anew from all its events, and the rows of that batch on count
-(``reloaded`` is the batch of the last such load).
+(``reloaded`` is the batch of the last such load).  Events are kept by
+bucket; those of other buckets aren't read for that, and none are while
+nothing is late.
 """
 
 from __future__ import annotations
@@ -27,112 +33,149 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtrail.operators.ordinals import dense_ordinal
-from revtrail.plans.load import archived_state, load
-from revtrail.session import cut_lineage, ensure_checkpoint_dir, path_exists
-from revtrail.sources.adapters import ChangeLog, events_to_changelog, uuid_of
+from revtrail.plans.load import archived_props, archived_state, load
+from revtrail.session import children, cut_lineage, ensure_checkpoint_dir, path_exists
+from revtrail.sources.adapters import ChangeLog, events_to_changelog, events_to_export, uuid_of
 from revtrail.sources.tables import TABLE_SCHEMAS
 
-HEADS = ("origin string, reloaded long, last_rev long, last_ts timestamp_ntz, last_event long, last_id string, "
-         "batch long, bkt int")
+HEADS = "origin string, reloaded long, last_rev long, last_ts timestamp_ntz, last_event long, last_id string"
 TREE = ("origin string, rev long, seq int, path string, kind string, action string, copyfrom_path string, "
-        "copyfrom_rev long, blob_id string, length long, batch long, bkt int")
+        "copyfrom_rev long, blob_id string, length long")
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, origin string, k int"
+PROPS = "origin string, rev long, path string, name string, value string"
+VARIANTS = "origin string, blob_id string, link_id string, id_lf string, id_crlf string, id_cr string"
 
 
 def _events(raw: DataFrame) -> DataFrame:
-    return raw.select("event_id", "ts", "user_id", "event_type",
+    return raw.select(F.col("event_id").cast("long").alias("event_id"), "ts", F.col("user_id").cast("long").alias("user_id"), "event_type",
                       F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("origin"),
                       F.get_json_object("props", "$.k").cast("int").alias("k"))
 
 
 class VisitStream:
     """``buckets``: files of the state tables; fixed for a stream's life, so
-    set it to the archive's size when the stream is created."""
+    set it to the archive's size when the stream is created.  ``export``:
+    files are hashed as exported, with their properties."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int = 64, export: bool = False):
         self.spark = spark
         self.buckets = buckets
+        self.export = export
         base = ensure_checkpoint_dir(spark).rstrip("/")
         self.root = root or f"{base}/revtrail-stream-{uuid.uuid4().hex}"
         self.incoming = f"{self.root}/incoming"
-        self.heads = f"{self.root}/state/heads"        # see HEADS
-        self.tree = f"{self.root}/state/tree"          # see TREE
         self.revisions = f"{self.root}/out/revisions"  # by batch; see read_revisions
         self.checkpoint = f"{self.root}/checkpoint"
 
     # ---------------------------------------------------------------- state
-    def _read(self, path, schema):
-        if path_exists(self.spark, path):
-            return self.spark.read.schema(schema).parquet(path)
-        return self.spark.createDataFrame([], schema)
+    def _table(self, name: str) -> str:
+        return f"{self.root}/state/{name}"
 
     def _bucket(self, c):
         return F.pmod(F.hash(c), F.lit(self.buckets))
 
-    def _state(self, path: str, schema: str, batch_id: int) -> DataFrame:
-        """Of each bucket the rows of the newest batch before ``batch_id``."""
-        rows = self._read(path, schema).where(F.col("batch") < batch_id)
-        newest = rows.groupBy("bkt").agg(F.max("batch").alias("batch"))  # a row per bucket
-        return rows.join(newest, ["bkt", "batch"], "left_semi").drop("batch")
+    def _parts(self, path: str, batch_id: int, wanted: list[int]) -> dict[int, list[int]]:
+        """Of each wanted bucket the batches before ``batch_id`` that wrote it, in order."""
+        found: dict[int, list[int]] = {}
+        for bkt in wanted:
+            batches = sorted(int(n.removeprefix("batch=")) for n in children(self.spark, f"{path}/bkt={bkt}") if n.startswith("batch="))
+            found[bkt] = [b for b in batches if b < batch_id]
+        return found
+
+    def _state(self, name: str, schema: str, batch_id: int, wanted: list[int]) -> DataFrame:
+        """Of each wanted bucket the rows of the newest batch before ``batch_id``."""
+        path = self._table(name)
+        parts = self._parts(path, batch_id, wanted)
+        for bkt, batches in parts.items():
+            for old in batches[:-2]:  # a batch before this one might run again and read the last but one
+                p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bkt={bkt}/batch={old}")
+                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        files = [f"{path}/bkt={bkt}/batch={batches[-1]}" for bkt, batches in parts.items() if batches]
+        if not files:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*files)
+
+    def _history(self, batch_id: int, wanted: list[int]) -> DataFrame:
+        """All events of the wanted buckets up to this batch."""
+        path = self._table("events")
+        parts = self._parts(path, batch_id + 1, wanted)
+        files = [f"{path}/bkt={bkt}/batch={b}" for bkt, batches in parts.items() for b in batches]
+        return self.spark.read.schema(EVENTS).parquet(*files).dropDuplicates(["origin", "event_id"])
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        spark = self.spark
-        heads = self._state(self.heads, HEADS, batch_id)
-        tree = self._state(self.tree, TREE, batch_id)
         ev = cut_lineage(_events(batch).withColumn("bkt", self._bucket(F.col("origin"))))
-        touched_b = [r[0] for r in ev.select("bkt").distinct().collect()]  # <= buckets ints
-        heads_t = heads.where(F.col("bkt").isin(touched_b))
-        ev = ev.join(heads_t.select("origin", "last_rev", "last_ts", "last_event", "reloaded"), "origin", "left")
+        touched = sorted(r[0] for r in ev.select("bkt").distinct().collect())  # <= buckets ints
+        if not touched:
+            return
+        self._put(ev, self._table("events"), batch_id, "bkt")
+        heads = self._state("heads", HEADS, batch_id, touched)
+        tree = self._state("tree", TREE, batch_id, touched)
+        ev = ev.join(heads.select("origin", "last_rev", "last_ts", "last_event", "reloaded"), "origin", "left")
         is_late = F.struct("ts", "event_id") <= F.struct("last_ts", "last_event")
-        altered = cut_lineage(ev.where(F.col("last_ts").isNotNull() & is_late).select("origin").distinct())
-        ev = ev.join(altered, "origin", "left_anti")
-        again = _events(spark.read.schema(TABLE_SCHEMAS["events"]).parquet(self.incoming)).join(altered, "origin", "left_semi") \
-            .dropDuplicates(["origin", "event_id"])
-        ev = ev.drop("bkt").unionByName(again.withColumn("reloaded", F.lit(batch_id).cast("long")), allowMissingColumns=True)
+        altered = cut_lineage(ev.where(F.col("last_ts").isNotNull() & is_late).select("origin", "bkt").distinct())
+        late = sorted(r[0] for r in altered.select("bkt").distinct().collect())
+        altered = altered.drop("bkt")
+        ev = ev.drop("bkt")
+        if late:
+            again = self._history(batch_id, late).join(altered, "origin", "left_semi")
+            ev = ev.join(altered, "origin", "left_anti").unionByName(
+                again.withColumn("reloaded", F.lit(batch_id).cast("long")), allowMissingColumns=True)
         ev = ev.withColumn("reloaded", F.coalesce("reloaded", F.lit(-1).cast("long")))
         ev = dense_ordinal(ev, ["origin"], ["ts", "event_id"], F.to_date("ts"), out="n")
         ev = cut_lineage(ev.withColumn("rev", F.coalesce("last_rev", F.lit(0)) + F.col("n")).drop("n"))
-        log = events_to_changelog(ev)
+        log, props, variants = events_to_export(ev) if self.export else (events_to_changelog(ev), None, None)
         origins = ev.select("origin").distinct().select(
             "origin", uuid_of(F.col("origin")).alias("uuid"),
             F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url"))
-        prior = tree.where(F.col("bkt").isin(touched_b) & (F.col("action") == "put")) \
-            .join(origins.select("origin"), "origin", "left_semi").join(altered, "origin", "left_anti").drop("bkt")
-        seeds = heads_t.join(altered, "origin", "left_anti").select("origin", F.col("last_id").alias("seed_parent"))
-        res = load(ChangeLog(origins, log.commits, prior.unionByName(log.changes)), seeds=seeds)
+        goes_on = origins.select("origin").join(altered, "origin", "left_anti")
+        prior = tree.where(F.col("action") == "put").join(goes_on, "origin", "left_semi")
+        if self.export:
+            old_props = self._state("props", PROPS, batch_id, touched)
+            old_variants = self._state("variants", VARIANTS, batch_id, touched)
+            props = cut_lineage(props.unionByName(old_props.join(goes_on, "origin", "left_semi")))
+            variants = cut_lineage(variants.unionByName(old_variants.drop("origin")).dropDuplicates(["blob_id"]))
+        seeds = heads.join(altered, "origin", "left_anti").select("origin", F.col("last_id").alias("seed_parent"))
+        res = load(ChangeLog(origins, log.commits, prior.unionByName(log.changes)), seeds=seeds, props=props, variants=variants)
         last = ev.groupBy("origin").agg(
             F.max(F.struct("ts", "event_id", "rev")).alias("m"), F.max("reloaded").alias("reloaded")).select(
             "origin", "reloaded", F.col("m.rev").alias("last_rev"), F.col("m.ts").alias("last_ts"), F.col("m.event_id").alias("last_event"))
+        last = cut_lineage(last)
         new_revs = res.revisions.select("origin", "rev", "tree_id", "revision_id") \
             .join(last.select("origin", "reloaded"), "origin")
         self._put(new_revs, self.revisions, batch_id)
-        # new heads and tree state of the touched buckets
-        new_heads = (last.join(res.revisions.select("origin", F.col("rev").alias("last_rev"), F.col("revision_id").alias("last_id")),
-                               ["origin", "last_rev"])
-                     .withColumn("bkt", self._bucket(F.col("origin"))))
-        keep_heads = heads_t.join(last.select("origin"), "origin", "left_anti")
-        state = archived_state(res, last.select("origin", F.col("last_rev").alias("at_rev")))
+        # the state of the touched buckets: of the origins of this batch anew, of the others as it was
+        at = last.select("origin", F.col("last_rev").alias("at_rev"))
+        new_heads = last.join(res.revisions.select("origin", F.col("rev").alias("last_rev"), F.col("revision_id").alias("last_id")),
+                              ["origin", "last_rev"])
+        state = archived_state(res, at)
         # one marker row per origin: a bucket whose trees all became empty
         # must still be written, or its older rows would count
-        marker = last.select("origin", F.col("last_rev").alias("rev"), F.lit(2).alias("seq"),
-                             F.lit("").alias("path"), F.lit("root").alias("kind"),
-                             F.lit("state").alias("action"),
-                             F.lit(None).cast("string").alias("copyfrom_path"),
-                             F.lit(-1).cast("long").alias("copyfrom_rev"),
-                             F.lit(None).cast("string").alias("blob_id"),
-                             F.lit(None).cast("long").alias("length"))
-        new_tree = state.unionByName(marker).withColumn("bkt", self._bucket(F.col("origin")))
-        keep_tree = tree.where(F.col("bkt").isin(touched_b)).join(last.select("origin"), "origin", "left_anti")
-        self._put(new_heads.unionByName(keep_heads), self.heads, batch_id, "bkt")
-        self._put(new_tree.unionByName(keep_tree), self.tree, batch_id, "bkt")
+        none = F.lit(None).cast("string")
+        marker = last.select("origin", F.col("last_rev").alias("rev"), F.lit(2).alias("seq"), F.lit("").alias("path"), F.lit("root").alias("kind"),
+                             F.lit("state").alias("action"), none.alias("copyfrom_path"), F.lit(-1).cast("long").alias("copyfrom_rev"),
+                             none.alias("blob_id"), F.lit(None).cast("long").alias("length"))
+        tables = {"heads": (new_heads, heads), "tree": (state.unionByName(marker), tree)}
+        if self.export:
+            held = archived_props(res.props, at).unionByName(last.select(
+                "origin", F.col("last_rev").alias("rev"), F.lit("").alias("path"), F.lit("").alias("name"), none.alias("value")))
+            blobs = state.where(F.col("blob_id").isNotNull()).select("origin", "blob_id").distinct().join(variants, "blob_id")
+            blobs = blobs.unionByName(last.select("origin", *[none.alias(c) for c in ("blob_id", "link_id", "id_lf", "id_crlf", "id_cr")]))
+            tables |= {"props": (held, old_props), "variants": (blobs, old_variants)}
+        for name, (new, old) in tables.items():
+            rows = new.unionByName(old.join(last.select("origin"), "origin", "left_anti"))
+            self._put(rows.withColumn("bkt", self._bucket(F.col("origin"))), self._table(name), batch_id, "bkt")
 
     def _put(self, df: DataFrame, path: str, batch_id: int, *by: str) -> None:
         """Write the rows as those of the batch, in place of what an earlier try wrote."""
         (df.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch", *by).parquet(path))
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*by, "batch").parquet(path))
 
     def read_revisions(self) -> DataFrame:
         """origin, rev, tree_id, revision_id as of the last batch."""
-        rows = self._read(self.revisions, "origin string, rev long, tree_id string, revision_id string, reloaded long, batch long")
+        schema = "origin string, rev long, tree_id string, revision_id string, reloaded long"
+        if not path_exists(self.spark, self.revisions):
+            return self.spark.createDataFrame([], schema).drop("reloaded")
+        rows = self.spark.read.schema(schema).parquet(self.revisions)
         valid = rows.groupBy("origin").agg(F.max("reloaded").alias("reloaded"))
         return rows.join(valid, ["origin", "reloaded"], "left_semi").drop("reloaded", "batch")
 

@@ -16,6 +16,9 @@ def spark():
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.driver.memory", "4g")
+         .config("spark.sql.ui.retainedExecutions", "5")  # long plans of many small queries
+         .config("spark.sql.maxPlanStringLength", "10000")
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")

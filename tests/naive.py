@@ -126,71 +126,6 @@ def nested_tree_id(files: dict[str, str]) -> str:
     return rec(tree)
 
 
-def replay_events_with_externals(pdf):
-    """Head trees of adapter E with the externals of the property adapter
-    applied: {origin: tree id at head}."""
-    users = set(int(u) for u in pdf.user_id.unique())
-    hist = {}      # origin -> list of (rev, ts, dirs snapshot)
-    props = {}     # origin -> {dir: (value, set_ts)} at head
-    for user, g in pdf.sort_values(["user_id", "ts", "event_id"]).groupby("user_id"):
-        dirs: dict[str, dict[str, str]] = {}
-        ext: dict[str, tuple] = {}
-        snaps = []
-        for rev, r in enumerate(g.itertuples(index=False), start=1):
-            k = json.loads(r.props)["k"]
-            d, f = f"d{k // 10}", f"f{k}"
-            if r.event_type == "error":
-                if d in dirs:
-                    dirs[d].pop(f, None)
-            elif r.event_type == "signup" and k % 10 == 0:
-                dirs.pop(d, None)
-                ext.pop(d, None)
-            else:
-                dirs.setdefault(d, {})[f] = git_id(b"blob", f"{r.event_type} {r.event_id}".encode())
-                if r.event_type == "view" and k % 10 == 7:
-                    ext[d] = (int(user), r.event_id, r.ts)
-                elif r.event_type == "view" and k % 10 == 8:
-                    ext.pop(d, None)
-            snaps.append((rev, r.ts, {dn: dict(fs) for dn, fs in dirs.items()}))
-        hist[int(user)] = snaps
-        props[int(user)] = ext
-
-    def target_state(uid, rev=None, at_ts=None):
-        if uid not in users:
-            return None
-        snaps = hist[uid]
-        if at_ts is not None:
-            ok = [s for s in snaps if s[1] <= at_ts]
-            return ok[-1][2] if ok else None
-        return snaps[rev - 1][2] if 1 <= rev <= len(snaps) else None
-
-    out = {}
-    for uid, snaps in hist.items():
-        files = {f"{dn}/{fn}": b for dn, fs in snaps[-1][2].items() for fn, b in fs.items()}
-        empty_dirs = set(snaps[-1][2])
-        for dname, (u, event_id, ts) in props[uid].items():
-            j = int(dname[1:])
-            lines = [("ext/lib", u + 1, f"d{(j + 1) % 10}", None)]
-            if event_id % 2 == 0:
-                lines.append(("pinned", u + 2, "d0", 3))
-            if event_id % 3 == 0:
-                lines.append((f"f{10 * j + 7}", u + 1, f"d{(j + 1) % 10}", None))
-            for dest, tuid, sub, pinned in lines:
-                st = target_state(tuid, rev=pinned) if pinned else target_state(tuid, at_ts=ts)
-                parts = f"{dname}/{dest}".split("/")
-                for i in range(1, len(parts)):
-                    empty_dirs.add("/".join(parts[:i]))
-                if st is not None and sub in st:
-                    target = f"{dname}/{dest}"
-                    for pth in [p for p in files if p == target or p.startswith(target + "/")]:
-                        del files[pth]
-                    empty_dirs.add(target)
-                    for fn, b in st[sub].items():
-                        files[f"{dname}/{dest}/{fn}"] = b
-        out[f"u{uid}"] = listing_tree_id(files, empty_dirs)
-    return out
-
-
 def listing_tree_id(files: dict[str, str], dirs: set[str]) -> str:
     tree: dict = {}
     for d in dirs:
@@ -208,3 +143,216 @@ def listing_tree_id(files: dict[str, str], dirs: set[str]) -> str:
         return tree_id({name: ((0o40000, rec(v), True) if isinstance(v, dict) else (0o100644, v, False))
                         for name, v in node.items()})
     return rec(tree)
+
+
+# ---------------------------------------------------------------- general logs
+
+def replay_log(changes, props):
+    """One origin's change rows (rev, seq, path, kind, action, copyfrom_path,
+    copyfrom_rev, blob) and property events (rev, path, name, value) replayed
+    in order.  Returns {rev: {path: [kind, blob, {name: value}, life]}}, life
+    being (path, birth revision, (source path, revision) or None).  The root
+    is '' where it has properties."""
+    def below(top):
+        return lambda p: top == "" or p == top or p.startswith(top + "/")
+
+    nodes, states, root = {}, {0: {}}, ["dir", None, {}, ("", 0, None)]
+    for rev in range(1, max(r[0] for r in changes) + 1):
+        for _, _, path, kind, action, src, src_rev, blob in sorted((c for c in changes if c[0] == rev), key=lambda c: c[1]):
+            if action == "delete" or action == "copy":
+                nodes = {p: n for p, n in nodes.items() if not below(path)(p)}
+            if action == "delete":
+                continue
+            parts = path.split("/")
+            for i in range(1, len(parts)):
+                p = "/".join(parts[:i])
+                nodes.setdefault(p, ["dir", None, {}, (p, rev, None)])
+            if action == "copy":
+                if src == "":
+                    nodes[path] = ["dir", None, dict(states[src_rev].get("", root)[2]), (path, rev, ("", src_rev))]
+                for p, (k, b, own, _) in states[src_rev].items():
+                    if below(src)(p) and p != "":
+                        to = path + ("/" + p if src == "" else p[len(src):])
+                        nodes[to] = [k, b, dict(own), (to, rev, (p, src_rev))]
+            else:
+                old = nodes.get(path)
+                nodes[path] = [kind, blob, *(old[2:] if old and old[0] == kind else ({}, (path, rev, None)))]
+        for _, path, name, value in (e for e in props if e[0] == rev):
+            node = root if path == "" else nodes.get(path)
+            if node is not None:
+                if value is None:
+                    node[2].pop(name, None)
+                else:
+                    node[2][name] = value
+        states[rev] = {p: [k, b, dict(own), life] for p, (k, b, own, life) in [*nodes.items(), *([("", root)] if root[2] else [])]}
+    return states
+
+
+def exported(data: str, props: dict) -> tuple[int, str]:
+    """(mode, id) of a file as an export writes it."""
+    import re
+    if "svn:special" in props and data.startswith("link "):
+        return 0o120000, git_id(b"blob", data[5:].encode())
+    ending = {"native": "\n", "LF": "\n", "CRLF": "\r\n", "CR": "\r"}.get(props.get("svn:eol-style"))
+    if ending:
+        data = re.sub("\r\n|\r|\n", ending, data)
+    return 0o100755 if "svn:executable" in props else 0o100644, git_id(b"blob", data.encode())
+
+
+def state_tree_id(nodes: dict, data: dict | None = None) -> str:
+    """Root tree id of a state of ``replay_log``; ``data`` maps blobs to
+    contents, which are then exported, else ids are as they are."""
+    nodes = {p: n for p, n in nodes.items() if p != ""}
+    entries = {"": {}}
+    for p, n in nodes.items():
+        if n[0] == "dir":
+            entries[p] = {}
+    for p in sorted(nodes, key=lambda p: -p.count("/")):
+        kind, blob, props = nodes[p][:3]
+        up, _, name = p.rpartition("/")
+        if kind == "dir":
+            entries[up][name] = (0o40000, tree_id(entries[p]), True)
+        else:
+            mode, h = exported(data[blob], props) if data else (0o100644, blob)
+            entries[up][name] = (mode, h, False)
+    return tree_id(entries[""])
+
+
+# ------------------------------------------------------------------- externals
+
+def parse_line(line, base, dir_):
+    """A definition of a plain form: (path, url, revision, peg, relative, legacy), None if unusable."""
+    rev = url = path = None
+    relative = False
+    for w in line.split():
+        if w.startswith("-r"):
+            if not w[2:].isdigit():
+                return None
+            rev = int(w[2:])
+        elif w.startswith("../"):
+            parts = [x for x in f"{base[len('file:///'):]}/{dir_}".split("/") if x]
+            for x in w.split("/"):
+                parts = parts[:-1] if x == ".." else [*parts, x]
+            url = "file:///" + "/".join(parts)
+            relative = not url.startswith(base)
+        elif "//" in w:
+            url = w
+        else:
+            path = w
+    if not url or not path:
+        return None
+    head, _, tail = url.rpartition("@")
+    peg = int(tail) if head and tail.isdigit() else None
+    url = head if peg is not None else url
+    return path, url, rev, peg, relative, line.startswith(path) and line.endswith(url)
+
+
+def replay_externals(logs, dates):
+    """logs {origin: (changes, property events)}, dates {origin: {rev: date}};
+    origins live at file:///repos/<origin>.  Replays every host revision by
+    revision.  Returns {origin: {rev: {path: (kind, id)}}} with externals applied."""
+    states = {o: replay_log(*own) for o, own in logs.items()}
+
+    def node_at(o, path, rev):
+        return ["dir", None, {}, ("", 0, None)] if path == "" else states[o].get(rev, {}).get(path)
+
+    def trace(o, path, peg, rev):
+        last = max(states[o])
+        if peg > last or rev > last:
+            return None
+        while True:
+            node = node_at(o, path, peg)
+            if node is None:
+                return None
+            _, birth, source = node[3]
+            if rev >= birth:
+                there = node_at(o, path, rev)
+                return path if there is not None and there[3] == node[3] else None
+            if source is None:
+                return None
+            path, peg = source
+
+    def export(host, d, at):
+        path, url, rev, peg, _, legacy = d
+        known = [o for o in logs if url == f"file:///repos/{o}" or url.startswith(f"file:///repos/{o}/")]
+        if not known:
+            return None
+        o = known[0]
+        sub = url[len(f"file:///repos/{o}"):].strip("/")
+        if peg is None and legacy:
+            peg = rev
+        if peg is None:
+            peg = max((r for r, t in dates[o].items() if t <= dates[host][at]), default=None)
+        if peg is None:
+            return None
+        rev = peg if rev is None else rev
+        top = trace(o, sub, peg, rev)
+        if top is None:
+            return None
+        rows = {"": ("dir", None)}
+        for p, (k, b, _, _) in states[o][rev].items():
+            if p != "" and (top == "" or p == top or p.startswith(top + "/")):
+                rows["/" + p if top == "" else p[len(top):]] = (k, b)
+        return rows
+
+    out = {}
+    for host in logs:
+        cache, dead, current, listing = {}, set(), {}, {}
+        base = f"file:///repos/{host}"
+        for rev in range(1, max(states[host]) + 1):
+            state, now = states[host][rev], {}
+            changed = {}
+            for p, n in state.items():
+                value = n[2].get("svn:externals")
+                if value is None or n[0] != "dir":
+                    continue
+                old = current.get(p)
+                if old and old["life"] == n[3] and old["value"] == value:
+                    now[p] = old
+                    continue
+                lines = [(i, x.strip(" \t\r")) for i, x in enumerate(value.split("\n"), 1)]
+                defs = [(i, x, parse_line(x, base, p)) for i, x in lines if x and not x.startswith("#")]
+                defs = [] if any(d is None for _, _, d in defs) else [(i, d) for i, _, d in defs]
+                before = old["defs"] if old and old["life"] == n[3] else []
+                now[p] = {"life": n[3], "value": value, "defs": defs, "got": {}}
+                changed[p] = (before, old["got"] if before else {})
+            recursive = lambda p, d: f"{base}/{p}/{d[0]}".replace(f"{base}//", f"{base}/").startswith(d[1] + "/")  # noqa: B023, E731
+            again = {}
+            for p, (before, _) in changed.items():
+                ids = {d[:4] for _, d in now[p]["defs"]}
+                for gone in {d[0] for _, d in before if d[:4] not in ids}:
+                    first = next((d for _, d in now[p]["defs"] if d[0] == gone), None)
+                    if first and not recursive(p, first):
+                        again[p, first] = True
+                        if first not in dead:
+                            cache[first] = export(host, first, rev)
+                            if cache[first] is None:
+                                dead.add(first)
+            for p, (before, got) in changed.items():
+                for _, d in now[p]["defs"]:
+                    if recursive(p, d):
+                        continue
+                    if d in got and (p, d) not in again:
+                        now[p]["got"][d] = got[d]
+                        continue
+                    if d not in cache and d not in dead:
+                        cache[d] = export(host, d, rev)
+                        if cache[d] is None:
+                            dead.add(d)
+                    now[p]["got"][d] = None if d in dead else cache[d]
+            current = now
+            off = any(recursive(p, d) for p, x in now.items() for _, d in x["defs"])
+            cand = {p: [((1,), n[0], n[1])] for p, n in state.items() if p != ""}
+            for p, x in now.items() if not off else []:
+                for no, d in x["defs"]:
+                    dest = f"{p}/{d[0]}".lstrip("/")
+                    parts = dest.split("/")
+                    for i in range(1, len(parts)):
+                        cand.setdefault("/".join(parts[:i]), []).append(((2,), "dir", None))
+                    for rel, (k, b) in (x["got"][d] or {}).items():
+                        cand.setdefault(dest + rel, []).append(((0, -len(p), -no), k, b))
+            won = {p: min(c, key=lambda x: x[0])[1:] for p, c in cand.items()}
+            files = {p for p, (k, _) in won.items() if k == "file"}
+            listing[rev] = {p: v for p, v in won.items() if not any("/".join(p.split("/")[:i]) in files for i in range(1, p.count("/") + 1))}
+        out[host] = listing
+    return out
