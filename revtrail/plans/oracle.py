@@ -1087,7 +1087,7 @@ FROM goal g JOIN chain c ON c.origin = g.origin AND c.rev = g.at_rev
 ORACLE_SQL["normalize_changes"] = f"""
 WITH {E_EXPORT},
 {O_BASE.replace("revs AS (SELECT origin, rev FROM o)", "o_revs AS (SELECT origin, rev FROM o)").replace("j AS (", "oj AS (").replace("FROM j", "FROM oj")},
-files AS NOT MATERIALIZED (
+lined AS NOT MATERIALIZED (
   SELECT *, 'p' || CAST(l_partkey % 50 AS VARCHAR) AS top, 'p' || CAST(l_partkey % 50 AS VARCHAR) || '/' || l_returnflag AS dir,
          'p' || CAST(l_partkey % 50 AS VARCHAR) || '/' || l_returnflag || '/' || CAST(line AS VARCHAR) AS path FROM oj),
 onward AS (
@@ -1099,15 +1099,15 @@ SELECT origin, rev, CASE WHEN op = 'put' THEN 2 ELSE 0 END AS seq, CASE WHEN op
        CASE WHEN op = 'deldir' THEN 'dir' ELSE 'file' END AS kind, CASE WHEN op = 'put' THEN 'put' ELSE 'delete' END AS event, CAST(NULL AS VARCHAR) AS detail FROM ch
 UNION ALL SELECT origin, rev, 2, dname, 'dir', 'put', NULL FROM ch WHERE op = 'put'
 UNION ALL SELECT origin, rev, 3, path, NULL, 'property', CASE WHEN value IS NULL THEN name ELSE name || '=' || value END FROM pe WHERE name IS NOT NULL
-UNION ALL SELECT origin, rev, 2, path, 'file', 'put', NULL FROM files
-UNION ALL SELECT DISTINCT origin, rev, 2, dir, 'dir', 'put', NULL FROM files
-UNION ALL SELECT DISTINCT origin, rev, 2, top, 'dir', 'put', NULL FROM files
+UNION ALL SELECT origin, rev, 2, path, 'file', 'put', NULL FROM lined
+UNION ALL SELECT DISTINCT origin, rev, 2, dir, 'dir', 'put', NULL FROM lined
+UNION ALL SELECT DISTINCT origin, rev, 2, top, 'dir', 'put', NULL FROM lined
 UNION ALL SELECT origin, rev, 1, dst, 'dir', 'copy', src || '@' || CAST(rev - 1 AS VARCHAR) FROM cp
 UNION ALL SELECT origin, rev, 1, dst, 'dir', 'copy', detail FROM onward
-UNION ALL SELECT origin, rev, 3, path, NULL, 'property', 'svn:executable' || CASE WHEN l_suppkey % 4 = 0 THEN '=*' ELSE '' END FROM files WHERE l_suppkey % 4 IN (0, 1)
-UNION ALL SELECT origin, rev, 3, path, NULL, 'property', 'svn:special' || CASE WHEN line % 2 = 1 THEN '=*' ELSE '' END FROM files WHERE l_partkey % 3 = 0
+UNION ALL SELECT origin, rev, 3, path, NULL, 'property', 'svn:executable' || CASE WHEN l_suppkey % 4 = 0 THEN '=*' ELSE '' END FROM lined WHERE l_suppkey % 4 IN (0, 1)
+UNION ALL SELECT origin, rev, 3, path, NULL, 'property', 'svn:special' || CASE WHEN line % 2 = 1 THEN '=*' ELSE '' END FROM lined WHERE l_partkey % 3 = 0
 UNION ALL SELECT origin, rev, 3, path, NULL, 'property', 'svn:eol-style=' || ['native', 'LF', 'CRLF', 'CR', 'bogus'][CAST(l_suppkey % 5 AS INTEGER) + 1]
-  FROM files WHERE l_partkey % 3 = 1
+  FROM lined WHERE l_partkey % 3 = 1
 UNION ALL SELECT origin, rev, 3, dst || '/' || flag || '/1', NULL, 'property', 'svn:executable' FROM cp, unnest(['A', 'N', 'R']) AS t(flag)
 """
 

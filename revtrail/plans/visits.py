@@ -114,7 +114,8 @@ def last_seen(roots: DataFrame, commits: DataFrame, dirs: DataFrame) -> DataFram
     latest = commits.groupBy("origin").agg(F.max("rev").alias("latest"))
     seen = dirs.groupBy("origin", F.col("path").alias("sub_path")).agg(F.max("to_rev").alias("until"))
     j = roots.join(latest, "origin", "left").join(seen, ["origin", "sub_path"], "left")
-    head = F.when(F.col("sub_path") == "", F.coalesce("latest", F.lit(0))).otherwise(F.least(F.col("until") - 1, F.col("latest")))
+    head = F.when(F.col("sub_path") == "", F.coalesce("latest", F.lit(0))).when(
+        F.col("until").isNotNull(), F.least(F.col("until") - 1, F.col("latest")))
     return j.withColumn("head_rev", head).drop("until")
 
 
