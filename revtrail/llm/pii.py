@@ -7,22 +7,27 @@ named behind a title.  Only DataFrame operations are used.
 * Each mention is made of *entities*: a type and a normal form (digits of a
   number, a lower-cased address, each name of a person), so that mentions in
   different formats are one entity and get one surrogate.
+* A name is one entity wherever it stands, as a given name or a surname; its
+  gender is that of the titles of all its mentions, untold if they differ.
 * A surrogate is drawn from a keyed hash of its entity: digits for digits,
   letters for letters, the same country code, first octet, card kind (and
   check digit, if the original's is right); a name is built from syllables
-  of the original's script, with an ending of its gender (from the title).
+  of the original's script, with an ending of its gender.
 * Collision checks: no two entities of a type get one surrogate, and no
-  surrogate is an entity that occurs.  Those that fail draw again with the
-  next attempt number, until none is left.
+  surrogate is an entity that occurs; all names are one type for that.  Those
+  that fail draw again with the next attempt number, until none is left.
 * The surrogate is written in the mention's own format: separators, case,
   and what stands before a number's last digits or a secret stay.
+* Names found behind a title in a text are replaced where they recur in it
+  without one, as whole words of the same case.
 
 The same key and the same entities give the same surrogates.  The entity
 table is small next to the texts and is joined to the mentions; texts
 without anything to find pass by without a shuffle.
 
 Null text stays null.  Copies of a text are rewritten alike, and rows that
-repeat are all returned.  A name that no title introduces is not found.
+repeat are all returned.  A name that no title introduces anywhere in its
+text is not found.  n_person counts the mentions behind titles.
 Further columns are ignored; an empty table gives an empty result.
 """
 
@@ -55,11 +60,13 @@ EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 CARD = r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])"
-PHONE = r"(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{2,4}\) ?\d{3,4}[ .-]?\d{3,4}|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"
+PHONE = r"(?:\+(?=(?:[ .()-]{0,2}\d){8})\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{2,4}\) ?\d{3,4}[ .-]?\d{3,4}|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"
 SECRET = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b\s*[=:]\s*)[\"']?[A-Za-z0-9+/_.-]{8,}[\"']?"
 SECRET_VALUE = r"[A-Za-z0-9+/_.-]{8,}[\"']?$"
 NAME = r"\p{Lu}[\p{Ll}'-]+"
 PERSON = r"(?<![\p{L}])(?:" + "|".join(x for v in TITLES.values() for x in v) + r")\.? " + NAME + r"(?: " + NAME + r"){0,2}"
+#: What a name that stands alone has around it: no letter, and no part of a longer name (but a possessive s).
+BEFORE_NAME, AFTER_NAME = r"(?<!\p{L})(?<!\p{L}['-])", r"(?!\p{L})(?!-\p{L})(?!'(?!s(?!\p{L}))\p{L})"
 KINDS = {"secret": SECRET, "email": EMAIL, "ip": IP, "ssn": SSN, "card": CARD, "phone": PHONE, "person": PERSON}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: What every mention holds; most texts have none of it and are done.
@@ -143,25 +150,46 @@ def draw(type_: Column, value: Column, attempt: Column, key: str) -> Column:
             .when(type_ == "secret", like(value, stream, hexed=value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"))).otherwise(person))
 
 
+def is_name(type_: Column) -> Column:
+    return (type_ == "surname") | type_.startswith("given_")
+
+
+def told_apart(entities: DataFrame) -> DataFrame:
+    """Distinct (domain, type, value) of entities (type, value): what mustn't
+    collide shares a domain, and a name has one type there."""
+    typed = entities.distinct().withColumn("domain", F.when(is_name(F.col("type")), "name").otherwise(F.col("type")))
+    has = lambda t: F.bool_or(F.col("type") == t)
+    given = (F.when(has("given_f") & ~has("given_m"), "given_f").when(has("given_m") & ~has("given_f"), "given_m")
+             .when(F.bool_or(F.col("type").startswith("given_")), "given_n").otherwise(F.first("type")))
+    return typed.groupBy("domain", "value").agg(given.alias("type")).select("domain", "type", "value")
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(type, value, surrogate) of distinct entities (type, value), without collisions."""
-    entities = written(entities, "entities")
-    real = entities.select("type", F.col("value").alias("surrogate"))
+    """(domain, value, surrogate) of distinct entities (type, value), without collisions."""
+    entities = written(told_apart(entities), "entities")
+    real = entities.select("domain", F.col("value").alias("surrogate"))
     todo, done = entities, None
     for attempt in range(MOST_ATTEMPTS):
         tried = todo.withColumn("surrogate", draw(F.col("type"), F.col("value"), F.lit(attempt), key))
-        first = tried.groupBy("type", "surrogate").agg(F.min("value").alias("value"))
-        first = first.join(real, ["type", "surrogate"], "left_anti")
+        first = tried.groupBy("domain", "surrogate").agg(F.min("value").alias("value"))
+        first = first.join(real, ["domain", "surrogate"], "left_anti")
         if done is not None:
-            first = first.join(done.select("type", "surrogate"), ["type", "surrogate"], "left_anti")
-        first = first.select("type", "value", "surrogate")
+            first = first.join(done.select("domain", "surrogate"), ["domain", "surrogate"], "left_anti")
+        first = first.select("domain", "value", "surrogate")
         done = written(first if done is None else done.unionByName(first), "surrogates")
-        todo = written(entities.join(done, ["type", "value"], "left_anti"), "colliding")
+        todo = written(entities.join(done, ["domain", "value"], "left_anti"), "colliding")
         if todo.isEmpty():
             return done
     raise ValueError(f"no free surrogates after {MOST_ATTEMPTS} attempts")
 
 
+def recurring(text: Column, names: Column) -> Column:
+    """The text with each of the names (array of name, new) replaced wherever it
+    stands as a word; all new names are no names that occur, so the order doesn't matter."""
+    word = lambda n: F.concat(F.lit(BEFORE_NAME), n, F.lit(AFTER_NAME))
+    return F.aggregate(names, text, lambda t, n: F.when(F.contains(t, n["name"]), F.regexp_replace(t, word(n["name"]), n["new"])).otherwise(t))
+
+
 def in_format(piece: Column, type_: Column, value: Column, surrogate: Column) -> Column:
     """The surrogate in the format of the mention ``piece``."""
     have, new = F.length(digits(piece)), F.length(surrogate)
@@ -193,17 +221,21 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     found = found.select("copy", "place", "mention", "kind", F.posexplode(entities_of(F.col("mention"), F.col("kind"))).alias("part", "entity"))
     found = written(found.select("copy", "place", "mention", "kind", "part", "entity.type", "entity.value"), "mentions")
 
-    given = surrogates(found.select("type", "value").distinct(), key)
-    parts = found.join(given, ["type", "value"])
+    given = surrogates(found.select("type", "value"), key)
+    domain = F.when(is_name(F.col("type")), "name").otherwise(F.col("type"))
+    parts = found.withColumn("domain", domain).join(given, ["domain", "value"]).drop("domain")
     piece = F.when(F.col("kind") == "person", F.col("value")).otherwise(F.col("mention"))
     parts = parts.withColumn("new", in_format(piece, F.col("type"), F.col("value"), F.col("surrogate")))
     # the names of a mention, the mentions of a text: as many as the text holds
     whole = parts.groupBy("copy", "place", "mention", "kind").agg(F.array_sort(F.collect_list(F.struct("part", "new"))).alias("new"))
     joined = F.array_join(F.transform("new", lambda x: x["new"]), " ")
     whole = whole.withColumn("new", F.when(F.col("kind") == "person", F.concat(F.regexp_extract("mention", r"^\S+ ", 0), joined)).otherwise(joined))
-    by_copy = whole.groupBy("copy").agg(F.array_sort(F.collect_list(F.struct("place", "new", "kind"))).alias("news"))
+    names = parts.filter(F.col("kind") == "person").groupBy("copy").agg(
+        F.array_sort(F.collect_set(F.struct(F.col("value").alias("name"), "new"))).alias("names"))
+    by_copy = whole.groupBy("copy").agg(F.array_sort(F.collect_list(F.struct("place", "new", "kind"))).alias("news")).join(names, "copy", "left")
 
     between = F.split("text", ANY, -1)
+    between = F.when(F.col("names").isNull(), between).otherwise(F.transform(between, lambda t: recurring(t, F.col("names"))))
     news = F.concat(F.transform("news", lambda x: x["new"]), F.array(F.lit("")))
     text = F.array_join(F.flatten(F.zip_with(between, news, lambda a, b: F.array(a, b))), "")
     count = lambda k: F.coalesce(F.size(F.filter("news", lambda x: x["kind"] == k)), F.lit(0)).alias(f"n_{k}")
