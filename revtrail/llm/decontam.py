@@ -6,8 +6,9 @@ the next ones) are one row of a Parquet table, so the index is spread like
 the documents are, and a search never sees texts again.  Positions run on through the block's
 documents with a gap between two, which no phrase spans.
 
-*Search.*  The test items are broadcast in chunks of bounded size.  In each
-block, a window of terms is only looked at if all its terms occur.  Its
+*Search.*  The test items are broadcast in chunks of bounded size, one after
+the other; of several chunks each one's matches are written before the next
+is read.  In each block, a window of terms is only looked at if all its terms occur.  Its
 candidates are the postings of its rarest term, moved back by that term's
 offset; the other terms, from rare to frequent, strike out those at whose
 offset they don't stand.  What is left are exact phrases.  A proximity match
@@ -35,17 +36,22 @@ from pyspark.sql import functions as F
 from .scratch import as_ids, numbered, small_batches, without, written
 from .text import U64, parts, string_bytes, word_hashes, words
 
-#: Words between two documents of a block; phrases and their proximity don't reach over.
+#: Words between two documents of a block at least; phrases and their proximity don't reach over.
 GAP = 64
-#: Characters of test items that are broadcast at once.
-CHUNK_CHARS = 8 << 20
+#: Characters of test items that are broadcast at once (as windows some eight bytes each).
+CHUNK_CHARS = 2 << 20
 INDEX_SCHEMA = ("block string, doc_ids binary, doc_nulls binary, doc_words binary, "
                 "terms binary, term_counts binary, gaps binary")
 SPANS = "array<struct<item_id:string,start:long,length:long>>"
 MATCH_SCHEMA = f"block string, doc_no int, doc_id long, n_words long, spans {SPANS}, near array<string>"
 
 
-def build_index(docs: DataFrame) -> DataFrame:
+def gap_for(window: int, slack: int | None) -> int:
+    """Words between two documents that no match of this reach gets over."""
+    return max(GAP, window + (slack or 0) + 1)
+
+
+def build_index(docs: DataFrame, gap: int = GAP) -> DataFrame:
     """The written positional index of doc_id, text."""
     small_batches(docs.sparkSession)
     names = ["block", "doc_ids", "doc_nulls", "doc_words", "terms", "term_counts", "gaps"]
@@ -55,7 +61,7 @@ def build_index(docs: DataFrame) -> DataFrame:
             for part in parts(batch, "text"):
                 h, offsets = words(*string_bytes(part.column(1)))
                 n_words = np.diff(offsets)
-                at = np.arange(len(h)) + np.repeat(np.arange(len(n_words)) * GAP, n_words)
+                at = np.arange(len(h)) + np.repeat(np.arange(len(n_words)) * gap, n_words)
                 order = np.argsort(h, kind="stable")
                 ranked = h[order]
                 first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(h) else order
@@ -87,19 +93,22 @@ class Windows:
                 self.length.append(len(w))
         grid = np.array(rows, U64).reshape(-1, size)
         self.terms, numbers = np.unique(grid, return_inverse=True)
-        self.numbers = numbers.reshape(grid.shape)
-        self.length = np.array(self.length, np.int64)
-        self.offset = np.minimum(np.arange(size), self.length[:, None] - 1)
+        self.numbers = numbers.reshape(grid.shape).astype(np.int32)
+        self.length = np.array(self.length, np.int32)
+
+    def offset(self, which: np.ndarray) -> np.ndarray:
+        """Where the terms of these windows stand from their start."""
+        return np.minimum(np.arange(self.numbers.shape[1]), self.length[which, None] - 1)
 
 
 class Block:
     """A row of the index, opened for the terms of some windows."""
 
-    def __init__(self, row: dict, windows: Windows):
+    def __init__(self, row: dict, windows: Windows, gap: int):
         self.n_words = np.frombuffer(row["doc_words"], "<i8")
         nulls = np.frombuffer(row["doc_nulls"], np.uint8)
         self.doc_ids = [None if z else int(d) for d, z in zip(np.frombuffer(row["doc_ids"], "<i8"), nulls)]
-        self.doc_start = np.cumsum(self.n_words + GAP) - self.n_words - GAP
+        self.doc_start = np.cumsum(self.n_words + gap) - self.n_words - gap
         terms, counts = np.frombuffer(row["terms"], "<u8"), np.frombuffer(row["term_counts"], "<u4").astype(np.int64)
         gaps = np.frombuffer(row["gaps"], "<u4")
         starts = np.cumsum(counts) - counts
@@ -112,7 +121,7 @@ class Block:
         upto = np.concatenate([[0], np.cumsum(own)])
         self.postings = upto[1:] - np.repeat(upto[self.first], self.count)
         #: term that stands at a position, -1 for one of no window
-        self.term_at = np.full(int(self.n_words.sum()) + (len(self.n_words) + 1) * GAP, -1, np.int32)
+        self.term_at = np.full(int(self.n_words.sum()) + (len(self.n_words) + 1) * gap, -1, np.int32)
         self.term_at[self.postings] = np.repeat(np.arange(len(windows.terms)), self.count)
 
     def postings_of(self, term: int) -> np.ndarray:
@@ -121,7 +130,7 @@ class Block:
 
 def phrases(block: Block, windows: Windows, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows and start positions of the exact occurrences of the windows ``live``."""
-    numbers = windows.numbers[live]
+    numbers, offset = windows.numbers[live], windows.offset(live)
     by_rarity = np.argsort(block.count[numbers], axis=1, kind="stable")
     rarest = by_rarity[:, 0]
     term = numbers[np.arange(len(live)), rarest]
@@ -129,12 +138,12 @@ def phrases(block: Block, windows: Windows, live: np.ndarray) -> tuple[np.ndarra
     upto = np.cumsum(n) - n
     which = np.repeat(np.arange(len(live)), n)
     at = block.postings[np.repeat(block.first[term] - upto, n) + np.arange(n.sum())]
-    start = at - windows.offset[live][which, rarest[which]]
+    start = at - offset[which, rarest[which]]
     ok = start >= 0
     which, start = which[ok], start[ok]
     for k in range(1, numbers.shape[1]):
         col = by_rarity[which, k]
-        stands = block.term_at[start + windows.offset[live[which], col]] == numbers[which, col]
+        stands = block.term_at[start + offset[which, col]] == numbers[which, col]
         which, start = which[stands], start[stands]
     return live[which], start
 
@@ -146,7 +155,7 @@ def neighbours(block: Block, windows: Windows, live: np.ndarray, slack: int) ->
         terms = np.unique(windows.numbers[w])
         terms = terms[np.argsort(block.count[terms], kind="stable")]
         at = block.postings_of(terms[0])
-        reach = min(int(windows.length[w]) - 1 + slack, GAP - 1)
+        reach = int(windows.length[w]) - 1 + slack
         for t in terms[1:]:
             p = block.postings_of(t)
             k = np.searchsorted(p, at - reach)
@@ -174,7 +183,7 @@ def spans_of(block: Block, windows: Windows, which: np.ndarray, start: np.ndarra
     return out
 
 
-def search(index: DataFrame, items: list[tuple[str, str]], window: int, slack: int | None) -> DataFrame:
+def search(index: DataFrame, items: list[tuple[str, str]], window: int, slack: int | None, gap: int = GAP) -> DataFrame:
     """One row per document of the index: its spans of exact phrases and,
     with ``slack``, its items with proximity matches."""
     index.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
@@ -186,7 +195,7 @@ def search(index: DataFrame, items: list[tuple[str, str]], window: int, slack: i
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block(row, windows)
+                block = Block(row, windows, gap)
                 live = np.flatnonzero((block.count[windows.numbers] > 0).all(1))
                 found = spans_of(block, windows, *phrases(block, windows, live)) if len(live) else {}
                 near: dict[int, set[str]] = {}
@@ -202,28 +211,31 @@ def search(index: DataFrame, items: list[tuple[str, str]], window: int, slack: i
     return index.mapInArrow(match, MATCH_SCHEMA)
 
 
-def item_chunks(benchmark: DataFrame, chunk_chars: int) -> Iterator[list[tuple[str, str]]]:
+def item_chunks(benchmark: DataFrame, chunk_chars: int) -> Iterator[tuple[list[tuple[str, str]], bool]]:
     """The items (as strings) in chunks of about ``chunk_chars`` characters,
-    one after the other; the whole table is never on the driver at once."""
+    one after the other, and whether a chunk is the last; the whole table is
+    never on the driver at once."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id is not null")
     chars = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     chunks = int(chars // chunk_chars) + 1
     for k in range(chunks):
         part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(chunks)) == k) if chunks > 1 else items
-        yield [(r["item_id"], r["text"]) for r in part.collect()]
+        yield [(r["item_id"], r["text"]) for r in part.collect()], k + 1 == chunks
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, slack: int | None = None,
             chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """doc_id, n_words, spans (item_id, start word, words), near (items with
     proximity matches) of every document."""
-    index = build_index(docs)
-    found = [search(index, items, window, slack) for items in item_chunks(benchmark, chunk_chars)]
-    if len(found) == 1:
-        return found[0].select("doc_id", "n_words", "spans", "near")
-    together = found[0]
-    for more in found[1:]:
-        together = together.unionByName(more)
+    gap = gap_for(window, slack)
+    index = build_index(docs, gap)
+    together = None
+    for items, last in item_chunks(benchmark, chunk_chars):
+        found = search(index, items, window, slack, gap)
+        if together is None and last:
+            return found.select("doc_id", "n_words", "spans", "near")
+        found = written(found, "matches")  # the chunk isn't needed any more
+        together = found if together is None else together.unionByName(found)
     return together.groupBy("block", "doc_no").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),

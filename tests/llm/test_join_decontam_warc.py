@@ -179,6 +179,24 @@ def test_proximity(spark, docs_of):
     rows = [(1, "alpha beta gamma delta"), (2, "gamma y alpha delta beta"), (3, f"alpha {far} beta gamma delta"), (4, "alpha beta gamma")]
     got = {r.doc_id: r.near for r in decontam.matches(docs_of(rows), items, 10, slack=2).collect()}
     assert got == {1: ["i"], 2: ["i"], 3: [], 4: []}
+    # the reach follows the slack, and still ends with the document
+    apart = [(1, "alpha " + "x " * 150 + "beta gamma delta"), (2, "alpha"), (3, "beta gamma delta"), (4, "alpha " + "x " * 400 + "beta gamma delta")]
+    got = {r.doc_id: r.near for r in decontam.matches(docs_of(apart), items, 10, slack=200).collect()}
+    assert got == {1: ["i"], 2: [], 3: [], 4: []}
+
+
+def test_chunks_of_items_are_searched_one_by_one(spark, docs_of, sentence):
+    rng = random.Random(6)
+    texts = [sentence(rng, 30) for _ in range(12)]
+    items = spark.createDataFrame([(f"i{k}", t) for k, t in enumerate(texts)], "item_id string, text string")
+    docs = docs_of([(k, sentence(rng, 20) + " " + texts[k % 12][:90] + " " + texts[(k * 5) % 12]) for k in range(30)])
+    key = lambda r: (r.doc_id, r.n_words, r.n_hit, sorted(r["items"]), r.n_near_items)
+    found = [sorted(key(r) for r in decontam.contamination(docs, items, 10, slack=2).collect())]
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    whole = decontam.matches(docs, items, 10, slack=2, chunk_chars=200)
+    spans = {r.doc_id: sorted((s.item_id, s.start, s.length) for s in r.spans) for r in whole.collect()}
+    one = {r.doc_id: sorted((s.item_id, s.start, s.length) for s in r.spans) for r in decontam.matches(docs, items, 10, slack=2).collect()}
+    assert spans == one and any(spans.values()) and len(found[0]) == 30
 
 
 def test_decontamination_of_nothing(spark, docs_of):
