@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .scratch import small_batches, written
 from .text import parts
@@ -152,7 +153,7 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
         starts, (F.col("length") == F.col("_length")) & (F.col("_block") == F.col("_of")))
     cols = pieces.columns
     numbered = numbered.select(*cols, (F.col("_number") + F.col("_first")).alias("_number"))
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = StructType([*pieces.schema.fields]).add("sequence_id", "long").add("offset", "long")
     stride = 1 << 40  # numbers of a length stay below this
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -95,6 +95,26 @@ def test_packing_nothing(docs_of):
     assert pack_documents(docs_of([]), WORD_BPE).collect() == []
 
 
+def test_pieces_are_packed_twice(spark):
+    pieces = spark.createDataFrame([(1, 0, 0, 5, 7), (2, 0, 0, 3, 8)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    first, second = pack(pieces, 8), pack(pieces, 8)
+    assert first.columns == second.columns == [*pieces.columns, "sequence_id", "offset"]
+    assert sorted(first.collect()) == sorted(second.collect()) and pieces.columns[-1] == "ids_crc32"
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 3, 4], [1, 1, None, 4]])
+def test_filters_keep_columns_with_dots(spark, ids):
+    from revtrail.llm.decontam import drop_contaminated
+    from revtrail.llm.ngram_join import drop_near_duplicates
+    words = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(3)]
+    rows = [(i, t, "a", "b", "c") for i, t in zip(ids, [words[0], words[0], words[1], words[2]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, `c``d` string, of string")
+    items = spark.createDataFrame([("i", words[2])], "item_id string, text string")
+    for drop, left in ((drop_copies, words), (drop_near_duplicates, words), (lambda d: drop_contaminated(d, items), [words[0], words[0], words[1]])):
+        out = drop(docs)
+        assert out.columns == docs.columns and sorted(r.text for r in out.collect()) == sorted(left)
+
+
 def bare(text):
     return re.sub(r"[\x20\x09-\x0D]", "", text or "")
 
