@@ -111,25 +111,30 @@ def windows(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(1, keepdims=True))
-    x /= x.sum(1, keepdims=True)
+    """Of each row, in place.  One number is taken off all rows (they are close
+    enough for single precision), and rows are added up as a matrix product."""
+    x -= x.max(initial=-np.inf)
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    x /= np.maximum(total, 1e-37)[:, None]
     return x
 
 
 def forward(net: Network, around: np.ndarray, target: np.ndarray, learn: list[np.ndarray] | None = None) -> np.ndarray:
     """Log-probability of each target; with ``learn``, also adds its gradients to those arrays."""
     n = len(target)
-    h = net.embed[0][around[:, 0]]
+    # words by class: each class is then one stretch of rows
+    order = np.argsort((target // PER_CLASS).astype(np.uint8), kind="stable")
+    target, near = target[order], around.T[:, order]
+    klass, word = target // PER_CLASS, target % PER_CLASS
+    upto = np.searchsorted(klass, np.arange(CLASSES + 1))
+    h = net.embed[0].take(near[0], axis=0)
     for k in range(1, len(PLACES)):
-        h += net.embed[k][around[:, k]]
+        h += net.embed[k].take(near[k], axis=0)
     np.tanh(h, out=h)
-    klass, word = target // PER_CLASS, target % PER_CLASS
-    order = np.argsort(klass.astype(np.uint8), kind="stable")
-    upto = np.searchsorted(klass[order], np.arange(CLASSES + 1))
-    h, klass, word = h[order], klass[order], word[order]
     rows = np.arange(n)
     p = softmax(h @ net.klass + net.klass_bias)
-    out = np.log(np.maximum(p[rows, klass], 1e-30))
+    out = p[rows, klass]
     if learn is not None:
         p[rows, klass] -= 1
         learn[1] += h.T @ p
@@ -140,24 +145,25 @@ def forward(net: Network, around: np.ndarray, target: np.ndarray, learn: list[np
         if a == b:
             continue
         q = softmax(h[a:b] @ net.word[c] + net.word_bias[c])
-        own = np.arange(b - a)
-        out[a:b] += np.log(np.maximum(q[own, word[a:b]], 1e-30))
+        own = rows[:b - a]
+        out[a:b] *= q[own, word[a:b]]
         if learn is not None:
             q[own, word[a:b]] -= 1
             learn[3][c] += h[a:b].T @ q
             learn[4][c] += q.sum(0)
             back[a:b] += q @ net.word[c].T
     if learn is not None:
-        back *= 1 - h * h
-        near = around[order]
+        h *= h
+        np.subtract(1, h, out=h)
+        back *= h
         for k in range(len(PLACES)):
             # sums by word: sort the words, add up each one's stretch
-            by = np.argsort(near[:, k].astype(np.uint16), kind="stable")
-            own = near[by, k]
+            by = np.argsort(near[k].astype(np.uint16), kind="stable")
+            own = near[k].take(by)
             first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            learn[0][k][own[first]] += np.add.reduceat(back[by], first, axis=0)
+            learn[0][k][own[first]] += np.add.reduceat(back.take(by, axis=0), first, axis=0)
     result = np.empty(n, np.float64)
-    result[order] = out
+    result[order] = np.log(np.maximum(out, 1e-37))
     return result
 
 
@@ -167,6 +173,7 @@ class Trainer:
     def __init__(self, net: Network):
         self.net = net
         self.power = [np.full_like(a, 1e-6) for a in net.arrays()]
+        self.grads, self.room = ([np.empty_like(a) for a in net.arrays()] for _ in range(2))
         self.rng = np.random.default_rng(5)
         self.words = 0
 
@@ -175,12 +182,17 @@ class Trainer:
         order = self.rng.permutation(len(ids))
         for at in range(0, len(ids), BATCH):
             pick = order[at:at + BATCH]
-            grads = [np.zeros_like(a) for a in self.net.arrays()]
-            forward(self.net, around[pick], ids[pick], grads)
-            for a, g, s in zip(self.net.arrays(), grads, self.power):
+            for g in self.grads:
+                g.fill(0)
+            forward(self.net, around[pick], ids[pick], self.grads)
+            for a, g, s, room in zip(self.net.arrays(), self.grads, self.power, self.room):
                 g /= len(pick)
-                s += g * g
-                a -= RATE * g / np.sqrt(s)
+                np.multiply(g, g, out=room)
+                s += room
+                np.sqrt(s, out=room)
+                np.divide(g, room, out=room)
+                room *= RATE
+                a -= room
         self.words += len(ids)
 
 

@@ -62,6 +62,35 @@ def test_scores_prefer_the_corpus_order(spark, docs_of, odd_texts):
     assert lm_score.score_documents(docs_of([])).collect() == []
 
 
+def test_held_out_documents_beat_unigrams_and_equal_a_plain_sum(docs_of):
+    rng = random.Random(7)
+    # each word's kind follows from its neighbours
+    kinds = [[f"{k}{i}" for i in range(12)] for k in "abcd"]
+    text = lambda: " ".join(rng.choice(kinds[(start + i) % 4]) for start in [rng.randrange(4)] for i in range(100))
+    train, held = [(i, text()) for i in range(160)], [(i, text()) for i in range(20)]
+    hashed = lm_score.hashed_words(docs_of(train))
+    counts = lm_score.bucket_counts(hashed)
+    id_of, of_ids = lm_score.vocabulary(counts)
+    net = lm_score.fresh(of_ids)
+    for _ in range(4):
+        net = lm_score.train_round(hashed, id_of, net)
+    coded = lm_score.written(lm_score.encode(lm_score.hashed_words(docs_of(held)), id_of), "held-out")
+    got = {r.doc_id: r.log_likelihood for r in lm_score.pseudo_likelihood(coded, counts, id_of, net).collect()}
+    seen = [w for _, t in train for w in t.split()]
+    unigram = {d: sum(np.log(seen.count(w) / len(seen)) for w in t.split()) for d, t in held[:4]}
+    assert all(got[d] > unigram[d] + 40 for d in unigram)  # 100 words each
+    # the sum of conditional log-probabilities, word by word
+    words_ = [int(x) for x in id_of.look_up(word_hashes([held[0][1]])[0])[0]]
+    total = 0.0
+    for i, w in enumerate(words_):
+        h = sum(net.embed[k][words_[i + o] if 0 <= i + o < len(words_) else lm_score.PAD].astype(float) for k, o in enumerate(lm_score.PLACES))
+        h = np.tanh(h)
+        c, own = divmod(w, lm_score.PER_CLASS)
+        p, q = np.exp(h @ net.klass + net.klass_bias), np.exp(h @ net.word[c] + net.word_bias[c])
+        total += np.log(p[c] / p.sum()) + np.log(q[own] / q.sum())
+    assert abs(total - got[0]) < 1e-2
+
+
 def test_average_is_weighted_by_words(spark, docs_of):
     # every task trains from the same start, so one round moves all parameters that any task saw
     docs = docs_of([(i, "alpha beta gamma delta " * 30) for i in range(40)]).repartition(4)
