@@ -14,7 +14,8 @@ def spark():
 
     from revtrail.session import configure
     s = (SparkSession.builder.master("local[*]")
-         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.shuffle.partitions", "4")
+         .config("spark.default.parallelism", "4")
          .config("spark.ui.enabled", "false")
          .config("spark.driver.memory", "4g")
          .config("spark.sql.ui.retainedExecutions", "5")  # long plans of many small queries

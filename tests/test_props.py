@@ -69,7 +69,7 @@ def frames(spark, logs):
 
 @pytest.fixture(scope="module")
 def logs():
-    return {f"o{i}": history(random.Random(i), 14) for i in range(10)}
+    return {f"o{i}": history(random.Random(i), 12) for i in range(8)}
 
 
 @pytest.fixture(scope="module")
