@@ -942,7 +942,7 @@ def q_external_owner(spark, sf):
     directory went away): are they still owned by an external of a directory
     above, so that they stay?"""
     from revtrail.operators.sweep import union_of
-    live = _ext(spark, sf)["effect"].where((F.col("status") == "valid") & (F.col("to_rev") < F.lit(INF_REV)))
+    live = _ext(spark, sf)["effect"].where(F.col("status") == "valid")
     ends = union_of(live.select("origin", "dir", "dest", "from_rev", "to_rev"), ["origin", "dir", "dest"]) \
         .where(F.col("to_rev") < F.lit(INF_REV)).select("origin", "dir", "dest", F.col("to_rev").alias("rev"))
     owned = _external_paths(spark, sf).select("origin", F.col("dir").alias("above"), F.col("path").alias("dest"), "from_rev", "to_rev")
