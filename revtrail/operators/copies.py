@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtrail.functions import paths as P
-from revtrail.operators.intervals import Intervals, build_intervals
+from revtrail.operators.intervals import Intervals, build_intervals, node_events
 from revtrail.session import cut_lineage
 from revtrail.sources.adapters import SEQ_COPY
 
@@ -56,16 +56,14 @@ def as_changes(expanded: DataFrame) -> DataFrame:
 
 def cleared(copies: DataFrame) -> DataFrame:
     """What a copy does besides its nodes: its destination is cleared first (a
-    no-op when it does not exist) and has a parent; the root has no node of
-    its own, so a copy of it makes the destination."""
+    no-op when it does not exist); the root has no node of its own, so a
+    copy of it makes the destination."""
     none = [F.lit(None).cast("string").alias("copyfrom_path"), F.lit(-1).cast("long").alias("copyfrom_rev"),
             F.lit(None).cast("string").alias("blob_id"), F.lit(None).cast("long").alias("length")]
     row = lambda seq, action, path: ["origin", "rev", F.lit(seq).alias("seq"), path.alias("path"),
                                      F.lit("dir").alias("kind"), F.lit(action).alias("action"), *none]
-    parent = P.parent(F.col("dst"))
     return (copies.select(*row(0, "delete", F.col("dst")))
-            .unionByName(copies.where(F.col("src") == "").select(*row(SEQ_COPY, "put", F.col("dst"))))
-            .unionByName(copies.where(parent != "").select(*row(SEQ_COPY, "put", parent)).distinct()))
+            .unionByName(copies.where(F.col("src") == "").select(*row(SEQ_COPY, "put", F.col("dst")))))
 
 
 def _touching(copies: DataFrame) -> DataFrame:
@@ -79,11 +77,11 @@ def _touching(copies: DataFrame) -> DataFrame:
     return below.unionByName(copies.join(above, ["origin", "src"], "left_semi")).distinct()
 
 
-def _under(rows: DataFrame, dsts: DataFrame, how: str) -> DataFrame:
-    """Rows whose path is at or below a destination (left_semi), or isn't (left_anti)."""
+def _around(rows: DataFrame, dsts: DataFrame, above: DataFrame, how: str) -> DataFrame:
+    """Rows whose path is at, below or above a destination (left_semi), or isn't (left_anti)."""
     own = rows.select("origin", "path").distinct()
     hit = own.select("origin", "path", F.explode(P.ancestors(F.col("path"), include_self=True)).alias("dst")) \
-        .join(dsts, ["origin", "dst"], "left_semi").select("origin", "path").distinct()
+        .join(dsts, ["origin", "dst"], "left_semi").select("origin", "path").unionByName(above).distinct()
     return rows.join(hit, ["origin", "path"], how)
 
 
@@ -108,9 +106,9 @@ def expand_copies(changes: DataFrame) -> Expanded:
     the intervals without copies.  The others are expanded in rounds until
     their rows stay as they are: a copy reads an earlier revision than its
     own, so each round settles one more link of every chain of copies, and
-    the rounds end.  Expanded rows only land at or below destinations (their
-    parents are in the log anyway), so only those paths are rebuilt; the
-    intervals of every other path come from the first build unchanged.
+    the rounds end.  Expanded rows land at or below destinations and imply what
+    is above, so only those paths are rebuilt; the intervals of every other
+    path come from the first build unchanged.
     """
     copies = cut_lineage(copy_rows(changes))
     plain = changes.where(F.col("copyfrom_rev") == -1)
@@ -122,17 +120,18 @@ def expand_copies(changes: DataFrame) -> Expanded:
     plain = plain.unionByName(cleared(copies))
     base = build_intervals(plain)
     dsts = cut_lineage(copies.select("origin", "dst").distinct())
-    outside = Intervals(cut_lineage(_under(base.files, dsts, "left_anti")), cut_lineage(_under(base.dirs, dsts, "left_anti")))
-    # what can end a path below a destination: its own events and deletes above
-    above = dsts.select("origin", F.explode(P.ancestors(F.col("dst"))).alias("path")).distinct()
-    inside = cut_lineage(_under(plain, dsts, "left_semi").unionByName(
-        plain.where(F.col("action") == "delete").join(above, ["origin", "path"], "left_semi")
-        .join(dsts.withColumnRenamed("dst", "path"), ["origin", "path"], "left_anti")).distinct())
+    above = cut_lineage(dsts.select("origin", F.explode(P.ancestors(F.col("dst"))).alias("path")).distinct())
+    outside = Intervals(cut_lineage(_around(base.files, dsts, above, "left_anti")), cut_lineage(_around(base.dirs, dsts, above, "left_anti")))
+    # the events of these paths; above a destination the puts that others imply, too
+    implied = node_events(plain).join(above, ["origin", "path"], "left_semi").select(
+        "origin", "rev", "seq", "path", "kind", F.when(F.col("is_put"), "put").otherwise("delete").alias("action"),
+        F.lit(None).cast("string").alias("copyfrom_path"), F.lit(-1).cast("long").alias("copyfrom_rev"), "blob_id", "length")
+    inside = cut_lineage(_around(plain, dsts, above, "left_semi").unionByName(implied).distinct())
 
     def rebuilt(expanded: DataFrame) -> Intervals:
         own = build_intervals(inside.unionByName(as_changes(expanded)))
-        return Intervals(outside.files.unionByName(_under(own.files, dsts, "left_semi")),
-                         outside.dirs.unionByName(_under(own.dirs, dsts, "left_semi")))
+        return Intervals(outside.files.unionByName(_around(own.files, dsts, above, "left_semi")),
+                         outside.dirs.unionByName(_around(own.dirs, dsts, above, "left_semi")))
 
     chained = cut_lineage(_touching(copies))
     fixed = cut_lineage(expand_once(copies.join(chained, copies.columns, "left_anti"), base))

@@ -81,12 +81,14 @@ def in_blocks(rows: DataFrame, last_rev: int) -> DataFrame:
     headers = active.withColumn("upto", F.coalesce(F.lead("block").over(along) * size, F.lit(INF_REV))).select(
         "origin", "path", F.lit(-1).cast("long").alias("rev"), F.lit(HEADER).alias("op"), F.lit(0).alias("delta"), none.alias("key"),
         none.alias("entry"), "upto", "block")
-    last = F.least((F.col("upto") - 1) / size, F.lit(last_rev / size)).cast("long")
+    last_block = rows.agg(F.max("block")).first()[0] or 0  # ends count, too: the last change may be a delete
+    last = F.least(F.floor((F.col("upto") - 1) / size), F.lit(last_block).cast("long"))
     opens = rows.where((F.col("op") == OPEN) | ((F.col("op") == LIFE) & (F.col("delta") > 0))).where(last > F.col("block"))
     held = opens.withColumn("block", F.explode(F.sequence(F.col("block") + 1, last))) \
         .join(active, ["origin", "path", "block"], "left_semi").withColumn("rev", F.col("block") * size)
-    # an entry that ends where a block starts is closed before anything is hashed there
-    return rows.unionByName(headers).unionByName(held)
+    # what ends where a block starts isn't open in it
+    ends = (F.col("op") == CLOSE) | (F.col("delta") < 0)
+    return rows.where(~(ends & (F.col("rev") == F.col("block") * size))).unionByName(headers).unionByName(held)
 
 
 def _fold(bodies: bool):

@@ -868,9 +868,7 @@ held AS (
 moded AS MATERIALIZED (
   SELECT origin, rev, path, 'file' AS kind, id, '100644' AS mode FROM held
   UNION ALL SELECT DISTINCT origin, rev, array_to_string(list_slice(string_split(path, '/'), 1, n), '/'), 'dir', NULL, NULL
-  FROM held, range(1, 4) AS r(n) WHERE n < len(string_split(path, '/'))
-  UNION ALL SELECT DISTINCT r.origin, r.rev, 'tags', 'dir', NULL, NULL FROM revs r JOIN cp c ON c.origin = r.origin AND c.rev <= r.rev
-    WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.origin = r.origin AND h.rev = r.rev AND starts_with(h.path, 'tags/'))),{_tree_ctes('moded', 4)}
+  FROM held, range(1, 4) AS r(n) WHERE n < len(string_split(path, '/'))),{_tree_ctes('moded', 4)}
 """
 
 ORACLE_SQL["orders_tree_ids"] = f"WITH {O_TREES} SELECT origin, rev, id AS tree_id FROM lvl0"
