@@ -69,3 +69,25 @@ def test_incremental_copy_from_an_archived_revision(spark):
     at = spark.createDataFrame([("o", 3)], "origin string, at_rev long")
     got = {r.rev: r.revision_id for r in load_incremental(ChangeLog(origins, commits, changes), before, at).revisions.collect()}
     assert got == {r: want[r] for r in (4, 5)}
+
+
+def test_paths_clear_of_destinations_are_built_once(spark, monkeypatch):
+    from revtrail.operators import copies as C
+    built, seen = C.build_intervals, []
+
+    def recorded(changes):
+        seen.append({r.path for r in changes.select("path").collect()})
+        return built(changes)
+    monkeypatch.setattr(C, "build_intervals", recorded)
+    log = [put(1, "a/x"), put(1, "b/y"), copy(2, "a", 1, "tags/1"), copy(3, "tags/1", 2, "tags/2")]
+    assert files_at(spark, log, 3) == {"a/x": "a/x@1", "b/y": "b/y@1", "tags/1/x": "a/x@1", "tags/2/x": "a/x@1"}
+    assert sum("b/y" in s for s in seen) == 1 and sum("a/x" in s for s in seen) == 1
+
+
+def test_ancestors_are_exploded_as_deep_as_sources(spark):
+    from revtrail.operators.copies import copy_rows, expand_once
+    from revtrail.operators.intervals import build_intervals
+    log = [put(1, "a/b/c/d/e"), put(1, "a/f"), copy(2, "a/b", 1, "t"), copy(2, "", 1, "all")]
+    changes = spark.createDataFrame(log, CHANGES)
+    got = expand_once(copy_rows(changes), build_intervals(changes.where("copyfrom_rev = -1")))
+    assert {r.path for r in got.collect() if r.kind == "file"} == {"t/c/d/e", "all/a/b/c/d/e", "all/a/f"}
