@@ -118,3 +118,22 @@ def test_copied_executable_and_chain(spark):
     modes = lambda rev: {r.path: oct(r.perms) for r in files if r.from_rev <= rev < r.to_rev}
     assert modes(3) == {"trunk/x": "0o100644", "trunk/l": "0o120000", "tags/1/x": "0o100755", "tags/1/l": "0o120000"}
     assert modes(5) == modes(3) | {"old/1/x": "0o100755", "old/1/l": "0o120000", "trunk/again/x": "0o100755", "trunk/again/l": "0o100644"}
+
+
+def test_lifetimes_are_read_once(spark):
+    from pyspark.sql import functions as F
+
+    from revtrail.operators.props import prop_state
+    n = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            n.add(len(b))
+            yield b
+    lives = spark.createDataFrame([("o", "a", 1, 9), ("o", "b", 2, 9)], "origin string, path string, life_from long, life_to long")
+    lives = lives.mapInPandas(counted, lives.schema)
+    events = spark.createDataFrame([("o", 1, "a", "p", "v")], "origin string, rev long, path string, name string, value string")
+    lineage = spark.createDataFrame([("o", "b", 2, "a", 1)], "origin string, path string, rev long, src_path string, src_rev long")
+    state = prop_state(events, lives, lineage).orderBy(F.col("path")).collect()
+    assert [(r.path, r.value, r.from_rev, r.to_rev) for r in state] == [("a", "v", 1, 9), ("b", "v", 2, 9)]
+    assert n.value == 2
