@@ -94,8 +94,7 @@ def write_dumps(records: DataFrame, origins: DataFrame, path: str, quota: int |
     first = origins.select("origin", F.lit(-1).cast("long").alias("rev"), F.lit(0).alias("no"),
                            F.concat(F.lit("SVN-fs-dump-format-version: 2\n\nUUID: "), "uuid", F.lit("\n")).alias("record"))
     rows = cut_lineage(cut_at(first.unionByName(records.select("origin", "rev", F.col("no").cast("int").alias("no"), "record")), quota))
-    (rows.where(F.col("record").isNotNull()).repartition("origin").sortWithinPartitions("origin", "rev", "no").select("origin", "record")
-     .write.mode("overwrite").option("compression", compression).partitionBy("origin").text(path))
+    _one_file_each(rows.where(F.col("record").isNotNull()), ["rev", "no"], "record", path, compression)
     return rows.drop("record").where("rev >= 0")
 
 
@@ -116,8 +115,18 @@ def dumper_log(written: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def write_lines(lines: DataFrame, path: str) -> None:
     """Log lines (origin, line_no, line) as one text file per origin."""
-    (lines.repartition("origin").sortWithinPartitions("origin", "line_no").select("origin", "line")
-     .write.mode("overwrite").partitionBy("origin").text(path))
+    _one_file_each(lines, ["line_no"], "line", path)
+
+
+def _one_file_each(rows: DataFrame, order: list[str], text: str, path: str, compression: str = "none") -> None:
+    """One text file per origin.  Files are many and small, so it is their
+    number that takes time, not their bytes: the tasks aren't merged by size,
+    and each moves its own files into place (committer version 2) in place of
+    the driver moving all of them at the end."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (rows.repartition(n, "origin").sortWithinPartitions("origin", *order).select("origin", text)
+     .write.mode("overwrite").option("compression", compression).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .partitionBy("origin").text(path))
 
 
 # ------------------------------------------------------------------- reading
@@ -140,16 +149,19 @@ def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     number = F.regexp_extract(line, r": (\d+)\s*$", 1).try_cast("long")
     kind = (F.when(line.rlike(f"^{REVISION_LINE}\\d"), "revision").when(line.startswith(NODE_LINE), "node")
             .when(line.startswith(LENGTH_LINE), "length").when(line == "", "blank"))
-    lines = cut_lineage(read_lines(spark, path).select(
-        "file", "file_size", "at", "bytes", kind.alias("kind"), F.when(kind.isin("revision", "length"), number).alias("number")))
-    placed = prefix_sum(lines, ["file"], "at", lambda c: c["split"], F.col("bytes") + 1, "upto") \
-        .withColumn("start", F.col("upto") - F.col("bytes") - 1)
+    lines = read_lines(spark, path).select(
+        "file", "file_size", F.col("at")["split"].alias("split"), "bytes", kind.alias("kind"), F.when(kind.isin("revision", "length"), number).alias("number"))
+    # a task reads the lines of a split in their order, so nothing needs to be sorted
+    seen = cut_lineage(lines.mapInPandas(_place, PLACED_SCHEMA))
+    ends = seen.where(F.col("kind") == "end")
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    ends = cut_lineage(ends.withColumn("base", F.coalesce(F.sum("start").over(before), F.lit(0).cast("long"))))
     plain = ~F.col("file").endswith(".gz")
-    files = cut_lineage(placed.groupBy("file").agg(
-        F.max("upto").alias("size"), F.max("file_size").alias("file_size"),
-        F.max(F.when(F.col("bytes") > 0, F.col("start"))).alias("last_text"))
+    files = cut_lineage(ends.groupBy("file").agg(
+        F.sum("start").alias("size"), F.max("file_size").alias("file_size"), F.max(F.col("base") + F.col("number")).alias("last_text"))
         .withColumn("size", F.when(plain, F.least("size", "file_size")).otherwise(F.col("size"))))
-    marks = cut_lineage(placed.where(F.col("kind").isNotNull()).select("file", "start", "kind", "number").withColumn("s", F.lit(0)))
+    marks = cut_lineage(seen.where(F.col("kind") != "end").join(ends.select("file", "split", "base"), ["file", "split"]).select(
+        "file", (F.col("base") + F.col("start")).alias("start"), "kind", "number", F.lit(0).alias("s")))
     for what, value in (("blank", "start"), ("length", "number")):
         marks, held = next_matching(marks, ["file"], "start", "s", _block, F.col("kind") == what,
                                     ["start"] if value == "start" else ["start", value], out=what)
@@ -171,6 +183,46 @@ def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return records, files
 
 
+PLACED_SCHEMA = "file string, file_size long, split long, kind string, start long, number long"
+
+
+def _place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of the lines of each split, in their order, those with a kind, each with
+    its offset in the split; then an ``end`` with the split's bytes (start),
+    and where its last line with text starts (number)."""
+    at, done, last = None, 0, None
+    columns = ["file", "file_size", "split", "kind", "start", "number"]
+
+    def end():
+        return pd.DataFrame([(at[0], at[1], at[2], "end", done, last)], columns=columns).astype({"number": "Int64"})
+
+    for batch in batches:
+        if batch.empty:
+            continue
+        new = ((batch["file"] != batch["file"].shift()) | (batch["split"] != batch["split"].shift())).to_numpy().copy()
+        new[0] = True
+        out = []
+        for _, part in batch.groupby(new.cumsum(), sort=False):
+            key = (part["file"].iloc[0], part["file_size"].iloc[0], part["split"].iloc[0])
+            if at is None or key != at:
+                if at is not None:
+                    out.append(end())
+                at, done, last = key, 0, None
+            upto = done + (part["bytes"] + 1).cumsum()
+            part = part.assign(start=upto - part["bytes"] - 1)
+            done = int(upto.iloc[-1])
+            texts = part["start"][part["bytes"] > 0]
+            if len(texts):
+                last = int(texts.iloc[-1])
+            marked = part[part["kind"].notna()]
+            if len(marked):
+                out.append(marked[columns].astype({"number": "Int64"}))
+        if out:
+            yield pd.concat(out)
+    if at is not None:
+        yield end()
+
+
 def reached(found: DataFrame) -> DataFrame:
     """The candidates (file, start, finish, ...) that are records: those met on
     the way from record to record."""

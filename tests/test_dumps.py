@@ -133,3 +133,20 @@ def test_round_trip_through_written_files(spark, tmp_path):
 def test_partial_loading(spark):
     df = spark.createDataFrame([("svnadmin: E200014: Checksum mismatch",), ("x E160013: File not found",), ("E140001: Unexpected EOF",), ("none",)], "m string")
     assert [r[0] for r in df.select(D.partial_load_possible(F.col("m"))).collect()] == [True, True, False, False]
+
+
+def test_files_are_written_by_several_tasks(spark, tmp_path):
+    lines = spark.range(40).select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("origin"), F.lit(0).alias("line_no"), F.lit("x").alias("line"))
+    D.write_lines(lines, str(tmp_path / "logs"))
+    files = list((tmp_path / "logs").rglob("part-*.txt"))
+    assert len(files) == 40 and len({f.name[:10] for f in files}) > 1
+
+
+def test_lines_without_a_kind_are_not_kept(spark, tmp_path, monkeypatch):
+    """Contents are long: reading keeps a row per marked line and split, not one per line."""
+    (tmp_path / "a.dump").write_bytes(b"UUID: x\n\nRevision-number: 1\nContent-length: 5000\n\n" + b"text\n" * 1000 + b"\n")
+    kept, cut = [], D.cut_lineage
+    monkeypatch.setattr(D, "cut_lineage", lambda df: kept.append(cut(df)) or kept[-1])
+    records, files = D.read_records(spark, str(tmp_path))
+    assert [(r.start, r.finish, r.complete) for r in records.collect()] == [(9, 5050, True)]
+    assert max(df.count() for df in kept) < 20
