@@ -193,34 +193,39 @@ def _place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     at, done, last = None, 0, None
     columns = ["file", "file_size", "split", "kind", "start", "number"]
 
-    def end():
-        return pd.DataFrame([(at[0], at[1], at[2], "end", done, last)], columns=columns).astype({"number": "Int64"})
+    def ends(rows):
+        return pd.DataFrame(rows, columns=columns).astype({"number": "Int64"})
 
     for batch in batches:
         if batch.empty:
             continue
-        new = ((batch["file"] != batch["file"].shift()) | (batch["split"] != batch["split"].shift())).to_numpy().copy()
-        new[0] = True
-        out = []
-        for _, part in batch.groupby(new.cumsum(), sort=False):
-            key = (part["file"].iloc[0], part["file_size"].iloc[0], part["split"].iloc[0])
-            if at is None or key != at:
-                if at is not None:
-                    out.append(end())
-                at, done, last = key, 0, None
-            upto = done + (part["bytes"] + 1).cumsum()
-            part = part.assign(start=upto - part["bytes"] - 1)
-            done = int(upto.iloc[-1])
-            texts = part["start"][part["bytes"] > 0]
-            if len(texts):
-                last = int(texts.iloc[-1])
-            marked = part[part["kind"].notna()]
-            if len(marked):
-                out.append(marked[columns].astype({"number": "Int64"}))
-        if out:
-            yield pd.concat(out)
+        key = batch[["file", "file_size", "split"]]
+        first = (batch["file"].ne(batch["file"].shift()) | batch["split"].ne(batch["split"].shift())).to_numpy().copy()
+        first[0] = True
+        heads = first.nonzero()[0]
+        group = first.cumsum() - 1
+        upto = (batch["bytes"] + 1).to_numpy().cumsum()
+        start = upto - batch["bytes"].to_numpy() - 1
+        keys = list(key.iloc[heads].itertuples(index=False, name=None))
+        goes_on = at == keys[0]
+        base = start[heads]
+        if goes_on:
+            base[0] -= done
+        start = start - base[group]
+        total = upto[[*(heads[1:] - 1), len(batch) - 1]] - base
+        texts = (batch["bytes"].to_numpy() > 0).nonzero()[0]
+        lasts = dict(zip(group[texts].tolist(), start[texts].tolist()))  # the last one of each counts
+        if goes_on and 0 not in lasts:
+            lasts[0] = last
+        over = [] if at is None or goes_on else [(*at, "end", done, last)]
+        over += [(*k, "end", int(total[i]), lasts.get(i)) for i, k in enumerate(keys[:-1])]
+        at, done, last = keys[-1], int(total[-1]), lasts.get(len(keys) - 1)
+        marked = batch.assign(start=start)[columns][batch["kind"].notna().to_numpy()].astype({"number": "Int64"})
+        yield marked
+        if over:
+            yield ends(over)
     if at is not None:
-        yield end()
+        yield ends([(*at, "end", done, last)])
 
 
 def reached(found: DataFrame) -> DataFrame:

@@ -150,3 +150,25 @@ def test_lines_without_a_kind_are_not_kept(spark, tmp_path, monkeypatch):
     records, files = D.read_records(spark, str(tmp_path))
     assert [(r.start, r.finish, r.complete) for r in records.collect()] == [(9, 5050, True)]
     assert max(df.count() for df in kept) < 20
+
+
+def test_lines_are_placed_alike_in_batches_of_any_size():
+    import pandas as pd
+    rng = random.Random(3)
+    rows = [(f"f{f}", 100, split, rng.choice([0, 0, 3, 7]), rng.choice(["blank", "length", None]), rng.choice([None, 5]))
+            for f in range(4) for split in (0, 50) for _ in range(rng.choice([1, 2, 9]))]
+    lines = pd.DataFrame(rows, columns=["file", "file_size", "split", "bytes", "kind", "number"]).astype({"number": "Int64"})
+    want, at = [], {}
+    for file, _, split, size, kind, number in rows:
+        one = at.setdefault((file, split), [0, None])
+        if kind:
+            want.append((file, split, kind, one[0], number))
+        if size:
+            one[1] = one[0]
+        one[0] += size + 1
+    want += [(*k, "end", *v) for k, v in at.items()]
+    for n in (1, 2, 5, 100):
+        batches = (lines.iloc[i:i + n].reset_index(drop=True) for i in range(0, len(lines), n))
+        got = pd.concat(D._place(batches))
+        found = [(r.file, r.split, r.kind, r.start, None if pd.isna(r.number) else int(r.number)) for r in got.itertuples()]
+        assert sorted(found, key=str) == sorted(want, key=str)
