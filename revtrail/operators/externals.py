@@ -74,6 +74,9 @@ def definitions(intervals: DataFrame, origins: DataFrame) -> DataFrame:
         .select("origin", "origin_url", "dir", "from_rev", "to_rev",
                 F.explode(externals_lines(F.col("value"))).alias("l")) \
         .select("*", F.col("l.line_no").alias("line_no"), F.col("l.line").alias("line")).drop("l")
+    # parsing takes long for few bytes: dealt by number, not merged by size, and as the windows below need them
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lines = lines.repartition(tasks, "origin", "dir", "from_rev")
     repo_url = F.col("origin_url")
     parsed = lines.withColumn("d", parse_external(F.col("line"), F.col("dir"), repo_url))
     d = F.col("d")
@@ -172,6 +175,7 @@ def traced(wanted: DataFrame, iv: Intervals, lineage: DataFrame) -> DataFrame:
     found = None
     while True:
         spans = lives.withColumnRenamed("path", "at")
+        spans = spans.join(open_.select("origin", "at").distinct(), ["origin", "at"], "left_semi")
         at = asof_lookup(open_, spans, ["origin", "at"], "then", "life_from", ["life_from", "life_to"], _bucket)
         at = cut_lineage(at.where(F.col("life_from").isNotNull() & (F.col("then") < F.col("life_to"))))
         here = at.where((F.col("rev") >= F.col("life_from")) & (F.col("rev") < F.col("life_to"))).select(*asked, F.col("at").alias("node"))
@@ -293,9 +297,10 @@ def overlay(files: DataFrame, dirs: DataFrame, grafted: DataFrame, effect: DataF
     prio = F.when(F.col("source") == "external", 0).when(F.col("source") == "versioned", 1).otherwise(2)
     order = F.struct(prio.alias("p"), -F.coalesce(F.length("dir"), F.lit(0)).alias("n"), -F.coalesce("line_no", F.lit(0)).alias("l"), "dir", "kind", "id")
     key = ["origin", "path"]
-    met = versioned.join(touched, key, "left_semi").unionByName(added)
-    won = cut_lineage(winners(met, key, order, VALUES))
-    rest = versioned.join(touched, key, "left_anti").select(*key, *VALUES, *span)
+    # the versioned nodes are many and read often: dealt once
+    dealt = cut_lineage(versioned.join(touched.withColumn("met", F.lit(True)), key, "left"))
+    won = cut_lineage(winners(dealt.where("met").drop("met").unionByName(added), key, order, VALUES))
+    rest = dealt.where(F.col("met").isNull()).select(*key, *VALUES, *span)
     out = won.unionByName(rest)
     # an external file hides what is versioned below it, a versioned one what is grafted below it
     tops = won.where(F.col("kind") == "file").select("origin", "path", *span)

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revtrail.session import cut_lineage
+
 
 def winners(rows: DataFrame, keys: Sequence[str], order: Column, values: Sequence[str]) -> DataFrame:
     """(keys, values, from_rev, to_rev): at any time the values of the row that
@@ -55,8 +57,8 @@ def without(rows: DataFrame, holes: DataFrame, keys: Sequence[str], values: Sequ
     of a key must not overlap one another; keys without holes pass as they are."""
     keys, values = list(keys), list(values)
     cols = [*keys, *values, "from_rev", "to_rev"]
-    cut = holes.select(*keys).distinct()
-    own = rows.join(cut, keys, "left_semi").select(*cols).withColumn("_hole", F.lit(False))
-    gaps = holes.join(rows.select(*keys).distinct(), keys, "left_semi").select(*keys, "from_rev", "to_rev").withColumn("_hole", F.lit(True))
+    dealt = cut_lineage(rows.select(*cols).join(holes.select(*keys).distinct().withColumn("_cut", F.lit(True)), keys, "left"))
+    own = dealt.where("_cut").select(*cols).withColumn("_hole", F.lit(False))
+    gaps = holes.join(own.select(*keys).distinct(), keys, "left_semi").select(*keys, "from_rev", "to_rev").withColumn("_hole", F.lit(True))
     left = winners(own.unionByName(gaps, allowMissingColumns=True), keys, ~F.col("_hole"), [*values, "_hole"])
-    return rows.join(cut, keys, "left_anti").select(*cols).unionByName(left.where(~F.col("_hole")).select(*cols))
+    return dealt.where(F.col("_cut").isNull()).select(*cols).unionByName(left.where(~F.col("_hole")).select(*cols))
