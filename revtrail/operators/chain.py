@@ -16,12 +16,12 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revtrail.functions.hashing import revision_manifest_parts
 
-CHAIN_SCHEMA = "origin string, rev long, revision_id string"
+CHAIN_SCHEMA = "origin string, rev long, tree_id string, times long, revision_id string"
 
 
 def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -43,28 +43,50 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             h.update(raw)
             prev = h.hexdigest()
             out.append(prev)
-        yield pd.DataFrame({"origin": origins, "rev": pdf["rev"], "revision_id": out})
+        yield pd.DataFrame({"origin": origins, "rev": pdf["rev"], "tree_id": pdf["tree_id"], "times": pdf["times"], "revision_id": out})
+
+
+def with_uuids(commits: DataFrame, origins: DataFrame) -> DataFrame:
+    """The commits of known repositories with the uuid of each."""
+    return commits.join(origins.select("origin", "uuid"), "origin")
 
 
 def revision_bodies(commits: DataFrame, tree_at_rev: DataFrame, origins: DataFrame) -> DataFrame:
     """commits (origin, rev, date, author, message) + tree id per revision
-    + origin uuid -> (origin, rev, tree_id, prefix, suffix)."""
-    df = (commits.join(tree_at_rev, ["origin", "rev"])
-          .join(origins.select("origin", "uuid"), "origin"))
-    prefix, suffix = revision_manifest_parts(F.col("tree_id"), F.col("author"), F.col("date"),
-                                             F.col("uuid"), F.col("rev"), F.col("message"))
-    return df.select("origin", "rev", "tree_id", prefix.alias("prefix"), suffix.alias("suffix"))
+    + origin uuid."""
+    return with_uuids(commits.join(tree_at_rev, ["origin", "rev"]), origins)
 
 
 def revision_chain(bodies: DataFrame, seeds: DataFrame | None = None,
-                   num_partitions: int | None = None) -> DataFrame:
-    """bodies: origin, rev, prefix, suffix; seeds: origin, seed_parent (hex id
-    of the archived revision the first new one hangs from)."""
-    df = bodies.select("origin", "rev", "prefix", "suffix")
+                   num_partitions: int | None = None, paired: bool = False) -> DataFrame:
+    """bodies: origin, rev, and as of ``revision_bodies`` what a body is made
+    of, or its parts already (prefix, suffix); seeds: origin, seed_parent
+    (hex id of the archived revision the first new one hangs from).  The
+    text of a body is written where it is hashed, so it isn't shuffled.
+    ``paired``: a revision given k times counts as joined with itself on
+    (origin, rev) before and after the fold, as a log with such rows always did."""
+    made = "prefix" in bodies.columns
+    names = ["prefix", "suffix"] if made else ["tree_id", "author", "date", "uuid", "message"]
+    df = bodies.select("origin", "rev", *names)
+    if "tree_id" not in names:
+        df = df.withColumn("tree_id", F.lit(None).cast("string"))
     if seeds is not None:
         df = df.join(seeds.select("origin", "seed_parent"), "origin", "left")
     else:
         df = df.withColumn("seed_parent", F.lit(None).cast("string"))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartition(n, "origin").sortWithinPartitions("origin", "rev")
-            .mapInPandas(_fold, CHAIN_SCHEMA))
+    df = df.repartition(n, "origin")
+    if paired:
+        df = df.where(F.col("rev").isNotNull()).withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("origin", "rev")))
+        df = df.withColumn("times", F.explode(F.array_repeat("times", F.col("times").cast("int"))))
+    else:
+        df = df.withColumn("times", F.lit(1).cast("long"))
+    df = df.sortWithinPartitions("origin", "rev")
+    if not made:
+        prefix, suffix = revision_manifest_parts(F.col("tree_id"), F.col("author"), F.col("date"),
+                                                 F.col("uuid"), F.col("rev"), F.col("message"))
+        df = df.withColumns({"prefix": prefix, "suffix": suffix})
+    out = df.select("origin", "rev", "tree_id", "times", "prefix", "suffix", "seed_parent").mapInPandas(_fold, CHAIN_SCHEMA)
+    if paired:
+        out = out.withColumn("times", F.explode(F.array_repeat("times", F.col("times").cast("int"))))
+    return out.drop("times")

@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtrail.functions.hashing import PERM_DIR, snapshot_branch_hex, snapshot_id
-from revtrail.operators.trees import build_trees
 from revtrail.plans.load import LoadResult
 from revtrail.plans.sinks import DEFAULT_MAX_CONTENT_SIZE, new_objects
 from revtrail.session import cut_lineage, path_exists
@@ -100,9 +99,9 @@ class Archive:
 
 def objects(res: LoadResult, contents: DataFrame, visit_date: str, max_size: int = DEFAULT_MAX_CONTENT_SIZE) -> dict[str, DataFrame]:
     """A load as archive tables; contents (id, length, data) holds at least the load's."""
-    used = contents.join(res.exported.files.select(F.col("blob_id").alias("id")).distinct(), "id", "left_semi")
+    used = cut_lineage(contents.join(res.exported.files.select(F.col("blob_id").alias("id")), "id", "left_semi"))
     big = F.col("length") > max_size
-    trees = build_trees(res.exported, res.log.origins, bodies=True)
+    trees = res.trees_with_bodies
     chain = res.revisions.select("origin", "rev", "tree_id", F.col("revision_id").alias("id"))
     parents = chain.select("origin", (F.col("rev") + 1).alias("rev"), F.col("id").alias("parent"))
     revisions = chain.join(parents, ["origin", "rev"], "left").join(res.log.commits, ["origin", "rev"]).select(

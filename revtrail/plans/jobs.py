@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from revtrail.plans.load import LoadResult, load
-from revtrail.session import fingerprint
+from revtrail.session import cut_lineage, fingerprint
 from revtrail.sources import adapters
 from revtrail.sources.adapters import ChangeLog
 
@@ -61,7 +61,17 @@ def nations_load(spark: SparkSession, sf_dir: str) -> LoadResult:
 def events_visits(spark: SparkSession, sf_dir: str):
     from revtrail.plans.visits import synthetic_visits
     return memo(spark, sf_dir, "events_visits",
-                lambda: synthetic_visits(events_load(spark, sf_dir).revisions).cache())
+                lambda: cut_lineage(synthetic_visits(events_load(spark, sf_dir).revisions)))
+
+
+def last_loaded(spark: SparkSession, sf_dir: str):
+    """(origin, last_loaded_rev) of the event log's origins, -1 for none."""
+    from revtrail.plans.visits import last_loaded_rev
+
+    def build():
+        res = events_load(spark, sf_dir)
+        return cut_lineage(last_loaded_rev(res.log.origins, events_visits(spark, sf_dir), res.revisions))
+    return memo(spark, sf_dir, "last_loaded", build)
 
 
 def history_check(spark: SparkSession, sf_dir: str):
@@ -74,19 +84,19 @@ def history_check(spark: SparkSession, sf_dir: str):
     reference's altered-history tests.
     """
     from revtrail.operators.chain import revision_bodies, revision_chain
-    from revtrail.plans.visits import last_loaded_rev
 
     def build():
         res = events_load(spark, sf_dir)
-        llr = last_loaded_rev(res.log.origins, events_visits(spark, sf_dir), res.revisions) \
-            .where(F.col("last_loaded_rev") >= 1)
+        llr = last_loaded(spark, sf_dir).where(F.col("last_loaded_rev") >= 1)
         uid = F.regexp_extract("origin", r"(\d+)$", 1).cast("long")
-        archived = (res.revisions.join(llr, "origin", "left")
+        # of a history the last archived revision and its parent count
+        archived = (res.revisions.join(llr, "origin").where(F.col("rev").between(F.col("last_loaded_rev") - 1, F.col("last_loaded_rev")))
                     .withColumn("revision_id", F.when(
                         (uid % 7 == 0) & (F.col("rev") == F.col("last_loaded_rev")),
                         F.sha1(F.concat(F.lit("tampered "), F.col("revision_id"))))
                         .otherwise(F.col("revision_id")))
                     .select("origin", "rev", "revision_id"))
+        archived = cut_lineage(archived)
         at_p = res.log.commits.join(llr, "origin").where(F.col("rev") == F.col("last_loaded_rev"))
         bodies = revision_bodies(at_p.drop("last_loaded_rev"), res.tree_at_rev, res.log.origins)
         parents = (archived.join(llr, "origin").where(F.col("rev") == F.col("last_loaded_rev") - 1)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtrail.functions.hashing import snapshot_branch_hex, snapshot_id
-from revtrail.operators.chain import revision_bodies, revision_chain
+from revtrail.operators.chain import revision_chain, with_uuids
 from revtrail.operators.copies import as_changes, cleared, copy_rows, expand_copies, expand_once, lineage_of
 from revtrail.operators.intervals import Intervals, with_path_parts
 from revtrail.operators.ordinals import asof_lookup
@@ -24,22 +25,70 @@ def rev_bucket(c):
     return F.floor(c / REV_BUCKET)
 
 
-@dataclass
 class LoadResult:
-    log: ChangeLog
-    intervals: Intervals     # nodes as in the log
-    exported: Intervals      # nodes as exported: properties applied to ids and modes
-    props: DataFrame | None  # values in force: origin, path, name, value, from_rev, to_rev
-    lineage: DataFrame       # copied nodes: origin, path, rev, src_path, src_rev
-    trees: TreeVersions
-    tree_at_rev: DataFrame   # origin, rev, tree_id
-    revisions: DataFrame     # origin, rev, tree_id, revision_id
-    snapshots: DataFrame     # origin, head_rev, tree_id, revision_id, snapshot_id
-
-
-def tree_at_revision(commits: DataFrame, root: DataFrame) -> DataFrame:
+    """A load whose steps run when they are asked for, and once: who reads the
+    intervals alone pays for no trees, and the trees, the tree of each
+    revision and the revisions are kept, not worked out by every reader."""
+
+    def __init__(self, log: ChangeLog, intervals: Intervals, lineage: DataFrame, seeds: DataFrame | None = None,
+                 prop_events: DataFrame | None = None, variants: DataFrame | None = None):
+        self.log = log
+        self.intervals = intervals  # nodes as in the log
+        self.lineage = lineage      # copied nodes: origin, path, rev, src_path, src_rev
+        self._seeds, self._prop_events, self._variants = seeds, prop_events, variants
+
+    @cached_property
+    def props(self) -> DataFrame | None:
+        """Values in force: origin, path, name, value, from_rev, to_rev."""
+        if self._prop_events is None:
+            return None
+        return cut_lineage(prop_state(self._prop_events, node_lifetimes(self.intervals), self.lineage))
+
+    @cached_property
+    def exported(self) -> Intervals:
+        """Nodes as exported: properties applied to ids and modes."""
+        iv = self.intervals
+        if self._prop_events is None:
+            return iv
+        return Intervals(with_path_parts(cut_lineage(exported_files(iv.files, self.props, self._variants))), iv.dirs)
+
+    @cached_property
+    def trees_with_bodies(self) -> TreeVersions:
+        """``trees`` with the hashed bytes of each directory."""
+        return build_trees(self.exported, self.log.origins, bodies=True)
+
+    @cached_property
+    def trees(self) -> TreeVersions:
+        if "trees_with_bodies" in self.__dict__:
+            made = self.trees_with_bodies
+            return TreeVersions(made.dirs.drop("body"), made.root)
+        return build_trees(self.exported, self.log.origins)
+
+    @cached_property
+    def _commits(self) -> DataFrame:
+        """The commits with the tree of each."""
+        return cut_lineage(tree_at_revision(self.log.commits, self.trees.root, self.log.commits.columns))
+
+    @cached_property
+    def tree_at_rev(self) -> DataFrame:
+        """origin, rev, tree_id"""
+        return self._commits.select("origin", "rev", "tree_id")
+
+    @cached_property
+    def revisions(self) -> DataFrame:
+        """origin, rev, tree_id, revision_id"""
+        chain = revision_chain(with_uuids(self._commits, self.log.origins), self._seeds, paired=True)
+        return cut_lineage(chain.select("origin", "rev", "tree_id", "revision_id"))
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        """origin, head_rev, tree_id, revision_id, snapshot_id"""
+        return head_snapshots(self.revisions)
+
+
+def tree_at_revision(commits: DataFrame, root: DataFrame, keep: Sequence[str] = ("origin", "rev")) -> DataFrame:
     """Root tree id in force at every revision (as-of on root versions)."""
-    return asof_lookup(commits.select("origin", "rev"), root, ["origin"], "rev", "from_rev",
+    return asof_lookup(commits.select(*keep), root, ["origin"], "rev", "from_rev",
                        ["tree_id"], rev_bucket)
 
 
@@ -61,17 +110,8 @@ def load(log: ChangeLog, seeds: DataFrame | None = None, props: DataFrame | None
     """The full load.  With property events and the variants of the
     contents (see ``props.exported_files``), files are hashed as exported."""
     copied = expand_copies(log.changes)
-    iv, exported, state = copied.intervals, copied.intervals, None
-    if props is not None:
-        state = cut_lineage(prop_state(props, node_lifetimes(iv), copied.lineage))
-        exported = Intervals(with_path_parts(cut_lineage(exported_files(iv.files, state, variants))), iv.dirs)
     log = ChangeLog(log.origins, log.commits, copied.changes)
-    trees = build_trees(exported, log.origins)
-    tar = tree_at_revision(log.commits, trees.root)
-    bodies = revision_bodies(log.commits, tar, log.origins)
-    chain = revision_chain(bodies, seeds)
-    revisions = tar.join(chain, ["origin", "rev"])
-    return LoadResult(log, iv, exported, state, copied.lineage, trees, tar, revisions, head_snapshots(revisions))
+    return LoadResult(log, copied.intervals, copied.lineage, seeds, props, variants)
 
 
 def visit_snapshots(origins: DataFrame, new: DataFrame, previous: DataFrame) -> DataFrame:

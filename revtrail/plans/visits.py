@@ -48,7 +48,7 @@ def synthetic_visits(revisions: DataFrame) -> DataFrame:
     statuses = F.array(*[F.lit(s) for s in VISIT_STATUSES])
     v = v.withColumn("visit_rev", (F.col("visit_no") * VISIT_EVERY).cast("long")) \
         .withColumn("status", F.element_at(statuses, ((F.col("visit_no") + uid) % 4 + 1).cast("int")))
-    at = revisions.select("origin", F.col("rev").alias("visit_rev"), "tree_id", "revision_id")
+    at = revisions.where(F.col("rev") % VISIT_EVERY == 0).select("origin", F.col("rev").alias("visit_rev"), "tree_id", "revision_id")
     v = v.join(at, ["origin", "visit_rev"])
     from revtrail.functions.hashing import snapshot_branch_hex, snapshot_id
     branch = F.struct(F.lit("HEAD").cast("binary").alias("name"),

@@ -57,7 +57,13 @@ def change_row(origin, rev, seq, path, kind, action, blob=None, length=None,
 
 
 def events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events numbered into revisions: one origin per user."""
+    """Events numbered into revisions: one origin per user; numbered once,
+    read by every load."""
+    from revtrail.plans.jobs import memo
+    return memo(spark, sf_dir, "events_base", lambda: _numbered_events(spark, sf_dir))
+
+
+def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "props")
     ev = ev.withColumn("origin", F.concat(F.lit("u"), F.col("user_id").cast("string")))
@@ -147,8 +153,10 @@ def events_to_changelog(ev: DataFrame, data: Column | None = None) -> ChangeLog:
 
 
 def events_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The contents of adapter E: id, length, data."""
-    return _contents(events_base(spark, sf_dir), F.concat_ws(" ", F.col("event_type"), F.col("event_id").cast("string")))
+    """The contents of adapter E: id, length, data; read by every visit."""
+    from revtrail.plans.jobs import memo
+    return memo(spark, sf_dir, "events_contents", lambda: cut_lineage(
+        _contents(events_base(spark, sf_dir), F.concat_ws(" ", F.col("event_type"), F.col("event_id").cast("string")))))
 
 
 #: Bytes of a dump file of adapter E: longer dumps are cut off there, as on a full disk.
