@@ -61,7 +61,11 @@ def _join_path(dir_: Column, path: Column) -> Column:
 def external_intervals(prop_events: DataFrame, iv: Intervals, lineage: DataFrame | None = None) -> DataFrame:
     """(origin, dir, value, from_rev, to_rev) of svn:externals values within
     each directory lifetime, copied directories included."""
-    st = prop_state(prop_events.where(F.col("name") == NAME), node_lifetimes(iv), lineage)
+    events = cut_lineage(prop_events.where(F.col("name") == NAME))
+    paths = events.select("origin", "path")
+    if lineage is not None:
+        paths = paths.unionByName(lineage.select("origin", "path"))
+    st = prop_state(events, node_lifetimes(iv, paths.distinct()), lineage)
     dirs = iv.dirs.select("origin", "path").distinct()
     return st.join(dirs, ["origin", "path"], "left_semi").unionByName(st.where(F.col("path") == "")).select(
         "origin", F.col("path").alias("dir"), "value", "from_rev", "to_rev")
@@ -168,14 +172,12 @@ def resolve(used: DataFrame, origins: DataFrame, commits: DataFrame, iv: Interva
 def traced(wanted: DataFrame, iv: Intervals, lineage: DataFrame) -> DataFrame:
     """wanted (origin, path, peg, rev) -> with ``node``, the path at ``rev`` of
     the node that is at ``path`` at ``peg``; without those that have none."""
-    lives = cut_lineage(node_lifetimes(iv))
     came = lineage.select("origin", F.col("path").alias("at"), F.col("rev").alias("life_from"), "src_path", "src_rev")
     asked = ["origin", "path", "peg", "rev"]
     open_ = wanted.select(*asked, F.col("path").alias("at"), F.col("peg").alias("then"))
     found = None
     while True:
-        spans = lives.withColumnRenamed("path", "at")
-        spans = spans.join(open_.select("origin", "at").distinct(), ["origin", "at"], "left_semi")
+        spans = cut_lineage(node_lifetimes(iv, open_.select("origin", F.col("at").alias("path")).distinct()).withColumnRenamed("path", "at"))
         at = asof_lookup(open_, spans, ["origin", "at"], "then", "life_from", ["life_from", "life_to"], _bucket)
         at = cut_lineage(at.where(F.col("life_from").isNotNull() & (F.col("then") < F.col("life_to"))))
         here = at.where((F.col("rev") >= F.col("life_from")) & (F.col("rev") < F.col("life_to"))).select(*asked, F.col("at").alias("node"))
@@ -317,15 +319,29 @@ def as_intervals(nodes: DataFrame) -> Intervals:
     return Intervals(with_path_parts(files), with_path_parts(dirs))
 
 
-def applied(prop_events: DataFrame, origins: DataFrame, commits: DataFrame, iv: Intervals, lineage: DataFrame) -> dict[str, DataFrame]:
-    """Everything about the externals of a load: defs (parsed lines), used
-    (usable ones with their export and target), grafted, status, effect (when
-    they count) and nodes (the trees with externals applied)."""
-    iv = Intervals(cut_lineage(iv.files), cut_lineage(iv.dirs))
-    defs = cut_lineage(definitions(cut_lineage(external_intervals(prop_events, iv, lineage)), origins))
-    used = stretches(defs, origins, commits, iv, lineage)
-    grafted = cut_lineage(graft(used, iv.files, iv.dirs))
-    status = cut_lineage(classify(defs, used, grafted))
-    effect = cut_lineage(in_effect(status))
-    nodes = cut_lineage(overlay(iv.files, iv.dirs, grafted, effect))
-    return {"defs": defs, "used": used, "grafted": grafted, "status": status, "effect": effect, "nodes": nodes}
+class Applied(dict):
+    """Everything about the externals of a load, each part worked out when it
+    is first asked for: defs (parsed lines), used (usable ones with their
+    export and target), grafted, status, effect (when they count) and nodes
+    (the trees with externals applied)."""
+
+    def __init__(self, prop_events: DataFrame, origins: DataFrame, commits: DataFrame, iv: Intervals, lineage: DataFrame):
+        super().__init__()
+        self.steps = {
+            "defs": lambda: definitions(cut_lineage(external_intervals(prop_events, iv, lineage)), origins),
+            "used": lambda: stretches(self["defs"], origins, commits, iv, lineage),
+            "grafted": lambda: graft(self["used"], iv.files, iv.dirs),
+            "status": lambda: classify(self["defs"], self["used"], self["grafted"]),
+            "effect": lambda: in_effect(self["status"]),
+            "nodes": lambda: overlay(iv.files, iv.dirs, self["grafted"], self["effect"]),
+        }
+
+    def __missing__(self, part: str) -> DataFrame:
+        made = self.steps[part]()
+        self[part] = made if part == "used" else cut_lineage(made)  # stretches cuts what it returns
+        return self[part]
+
+
+def applied(prop_events: DataFrame, origins: DataFrame, commits: DataFrame, iv: Intervals, lineage: DataFrame) -> Applied:
+    """The externals of a load (see ``Applied``)."""
+    return Applied(prop_events, origins, commits, iv, lineage)

@@ -32,12 +32,16 @@ def _bucket(c):
     return F.floor(c / 4096)
 
 
-def node_lifetimes(iv: Intervals) -> DataFrame:
-    """(origin, path, life_from, life_to) of files, directories and roots."""
-    dirs = iv.dirs.select("origin", "path", F.col("from_rev").alias("life_from"), F.col("to_rev").alias("life_to"))
+def node_lifetimes(iv: Intervals, paths: DataFrame | None = None) -> DataFrame:
+    """(origin, path, life_from, life_to) of files, directories and roots; of
+    the ``paths`` (origin, path) alone if they are given, so that no other
+    version is sorted."""
+    asked = (lambda df: df) if paths is None else (lambda df: df.join(paths, ["origin", "path"], "left_semi"))
+    dirs = asked(iv.dirs.select("origin", "path", F.col("from_rev").alias("life_from"), F.col("to_rev").alias("life_to")))
     roots = iv.dirs.select("origin").unionByName(iv.files.select("origin")).distinct().select(
         "origin", F.lit("").alias("path"), F.lit(0).cast("long").alias("life_from"), F.lit(INF_REV).cast("long").alias("life_to"))
-    return lifetimes(iv.files).unionByName(dirs).unionByName(roots)
+    files = asked(iv.files.select("origin", "path", "from_rev", "to_rev", "continues"))
+    return lifetimes(files).unionByName(dirs).unionByName(asked(roots))
 
 
 def prop_state(prop_events: DataFrame, lives: DataFrame, lineage: DataFrame | None = None) -> DataFrame:
@@ -58,6 +62,8 @@ def prop_state(prop_events: DataFrame, lives: DataFrame, lineage: DataFrame | No
     if lineage is None:
         return state
     state = cut_lineage(state)
+    if lineage.isEmpty():  # nothing is copied, so nothing is inherited
+        return state
     first = ev.groupBy("origin", "path", "life_from", "name").agg(F.min("rev").alias("first_rev"))
     born = lineage.withColumnRenamed("rev", "life_from").join(lives, ["origin", "path", "life_from"])
     born, first = cut_lineage(born), cut_lineage(first)
@@ -95,6 +101,8 @@ def exported_files(files: DataFrame, state: DataFrame, variants: DataFrame) -> D
     """
     names = {"special": "svn:special", "executable": "svn:executable", "eol": "svn:eol-style"}
     ids = ["blob_id", "link_id", "id_lf", "id_crlf", "id_cr"]
+    # line endings that leave the data as it is need no id of their own
+    variants = variants.select("blob_id", "link_id", *[F.nullif(c, "blob_id").alias(c) for c in ids[2:]])
     versions = files.select("origin", "path", "blob_id", "from_rev", "to_rev").join(variants, "blob_id", "left")
     version = F.struct(F.lit(True).alias("on"), *ids)
     nothing = F.lit(None).cast("struct<on:boolean,value:string>")
@@ -109,8 +117,8 @@ def exported_files(files: DataFrame, state: DataFrame, variants: DataFrame) -> D
                                        F.struct(F.lit(False).alias("on"), F.lit(None).cast("string").alias("value")).alias("p"))))
     events = events.unionByName(ends.select("origin", "path", "rev", F.lit(None).cast(events.schema["v"].dataType).alias("v"),
                                             *[F.when(F.col("name") == n, F.col("p")).alias(k) for k, n in names.items()]))
-    # what starts at a revision counts over what ends there
-    events = events.groupBy("origin", "path", "rev").agg(F.max("v").alias("v"), *[F.max(k).alias(k) for k in names])
+    # what starts at a revision counts over what ends there; dealt once, for the sums and the windows
+    events = events.repartition("origin", "path").groupBy("origin", "path", "rev").agg(F.max("v").alias("v"), *[F.max(k).alias(k) for k in names])
     order = Window.partitionBy("origin", "path").orderBy("rev")
     now = order.rowsBetween(Window.unboundedPreceding, 0)
     at = events.select("origin", "path", "rev", *[F.last(c, ignorenulls=True).over(now).alias(c) for c in ("v", *names)])
