@@ -16,16 +16,16 @@ def line_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 def diff_stat(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     """pairs (old_id, new_id), contents (id, text) -> lines_added and
-    lines_removed of each distinct pair, as a multiset full outer join on the
-    line text of both sides."""
+    lines_removed of each distinct pair: the lines of both sides meet by their
+    text, those of the old one counted down; dealt once, by pair."""
     pairs = pairs.select("old_id", "new_id").distinct()
     lc = line_counts(contents, "id")
-    new = pairs.join(lc.withColumnRenamed("id", "new_id"), "new_id").select("old_id", "new_id", "line", F.col("n").alias("n_new"))
-    old = pairs.join(lc.withColumnRenamed("id", "old_id"), "old_id").select("old_id", "new_id", "line", F.col("n").alias("n_old"))
-    j = new.join(old, ["old_id", "new_id", "line"], "full_outer").fillna(0, ["n_new", "n_old"])
+    new = pairs.join(lc.withColumnRenamed("id", "new_id"), "new_id").select("old_id", "new_id", "line", "n")
+    old = pairs.join(lc.withColumnRenamed("id", "old_id"), "old_id").select("old_id", "new_id", "line", (-F.col("n")).alias("n"))
+    j = new.unionByName(old).repartition("old_id", "new_id").groupBy("old_id", "new_id", "line").agg(F.sum("n").alias("more"))
     return j.groupBy("old_id", "new_id").agg(
-        F.sum(F.greatest(F.col("n_new") - F.col("n_old"), F.lit(0))).alias("lines_added"),
-        F.sum(F.greatest(F.col("n_old") - F.col("n_new"), F.lit(0))).alias("lines_removed"))
+        F.sum(F.greatest(F.col("more"), F.lit(0))).alias("lines_added"),
+        F.sum(F.greatest(-F.col("more"), F.lit(0))).alias("lines_removed"))
 
 
 def changed_files(files: DataFrame) -> DataFrame:
@@ -64,10 +64,14 @@ def descend(pairs: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
 
     pairs (keys, old, new: directory ids, null for none), entries (id, name,
     perms, target) of the directories -> (keys, path, kind, status) with
-    status added, removed or changed.  Level by level the entries of the two
-    sides meet by name; only directories whose ids differ go on, so equal
+    status added, removed or changed.  Level by level the lists of entries of
+    the two sides are compared where they meet; only entries that differ are
+    dealt out, by name, and only directories whose ids differ go on, so equal
     subtrees are never opened and the work follows the differences.
     """
+    word = F.concat_ws(" ", F.col("perms").cast("string"), "target", "name")  # a name may hold blanks
+    lists = cut_lineage(entries.groupBy("id").agg(F.collect_list(word).alias("list")))
+    none = F.array().cast("array<string>")
     level = pairs.where(~F.col("old").eqNullSafe(F.col("new"))).select(*keys, F.lit("").alias("path"), "old", "new")
     found = None
     while True:
@@ -75,14 +79,20 @@ def descend(pairs: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
         if level.isEmpty():
             return found if found is not None else level.select(*keys, "path", F.lit("").alias("kind"), F.lit("").alias("status")).limit(0)
 
-        def side(which):
-            rows = level.where(F.col(which).isNotNull()).select(*keys, "path", F.col(which).alias("id")).join(entries, "id")
-            return rows.select(*keys, "path", "name", F.col("perms").alias(f"{which}_perms"), F.col("target").alias(which))
-
-        met = side("old").join(side("new"), [*keys, "path", "name"], "full_outer")
-        same = F.col("old").eqNullSafe(F.col("new")) & F.col("old_perms").eqNullSafe(F.col("new_perms"))
+        both = level
+        for which in ("old", "new"):
+            both = both.join(lists.select(F.col("id").alias(which), F.col("list").alias(f"{which}_list")), which, "left") \
+                .withColumn(f"{which}_list", F.coalesce(f"{which}_list", none))
+        apart = lambda which, other: F.transform(F.array_except(f"{which}_list", f"{other}_list"), lambda w: F.struct(
+            F.lit(which).alias("side"), F.split(w, " ", 3).alias("w")))
+        apart = both.select(*keys, "path", F.explode(F.concat(apart("old", "new"), apart("new", "old"))).alias("e")).select(
+            *keys, "path", "e.side", F.col("e.w")[2].alias("name"), F.col("e.w")[0].cast("int").alias("perms"), F.col("e.w")[1].alias("target"))
+        of = lambda which, c: F.max(F.when(F.col("side") == which, F.col(c)))
+        met = apart.groupBy(*keys, "path", "name").agg(
+            of("old", "perms").alias("old_perms"), of("old", "target").alias("old"),
+            of("new", "perms").alias("new_perms"), of("new", "target").alias("new"))
         path = F.when(F.col("path") == "", F.col("name")).otherwise(F.concat_ws("/", "path", "name"))
-        met = cut_lineage(met.where(~same).withColumn("path", path).drop("name"))
+        met = cut_lineage(met.withColumn("path", path).drop("name"))
         kind = F.when(F.coalesce("new_perms", "old_perms") == PERM_DIR, "dir").otherwise("file")
         status = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").otherwise("changed")
         rows = met.select(*keys, "path", kind.alias("kind"), status.alias("status"))
