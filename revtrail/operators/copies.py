@@ -97,7 +97,7 @@ class Expanded:
     lineage: DataFrame      # origin, path, rev, src_path, src_rev of every copied node
 
 
-def expand_copies(changes: DataFrame) -> Expanded:
+def expand_copies(changes: DataFrame, last_rev: int | None = None) -> Expanded:
     """Changes with every copy expanded into put rows, their intervals, and
     where every copied node came from.
 
@@ -108,13 +108,13 @@ def expand_copies(changes: DataFrame) -> Expanded:
     the rounds end.  Expanded rows land at or below destinations and imply what
     is above, all with the first component of a destination.  Changes are
     dealt once by that: the paths outside get their intervals once, and only
-    the others are built again.
+    the others are built again.  ``last_rev``: no change is later, if known.
     """
     copies = cut_lineage(copy_rows(changes))
     plain = changes.where(F.col("copyfrom_rev") == -1)
     if copies.isEmpty():
         none = copies.select("origin", F.col("dst").alias("path"), "rev", F.col("src").alias("src_path"), "src_rev")
-        return Expanded(plain, build_intervals(plain), none)
+        return Expanded(plain, build_intervals(plain, last_rev), none)
     if not copies.where(F.col("src_rev") >= F.col("rev")).isEmpty():
         raise ValueError("a copy reads a revision that isn't before its own")
     plain = plain.unionByName(cleared(copies))

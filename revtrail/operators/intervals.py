@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from revtrail.functions import paths as P
 from revtrail.functions.hashing import INF_REV
 from revtrail.operators.ordinals import next_matching
-from revtrail.session import cut_lineage
+from revtrail.session import cut_lineage, dealt
 
 SEQ_PUT = 2
 REV_BUCKET = 4096  # revisions per block of the skew-split windows
@@ -90,7 +90,7 @@ def ancestor_deaths(versions: DataFrame, deletes: DataFrame, split: bool = False
     return deaths
 
 
-def build_intervals(changes: DataFrame) -> Intervals:
+def build_intervals(changes: DataFrame, last_rev: int | None = None) -> Intervals:
     # one row per (path, revision, order): implied parent puts repeat
     # implied parent puts repeat within a revision; duplicates that remain
     # (an explicit and an implied put of one directory) give zero-length
@@ -99,7 +99,9 @@ def build_intervals(changes: DataFrame) -> Intervals:
     # Histories longer than one block of revisions get the block-split
     # windows (a hot path or ancestor is spread over its blocks); shorter
     # ones fit in one block, where the split cannot help.
-    split = (changes.agg(F.max("rev")).first()[0] or 0) >= REV_BUCKET
+    if last_rev is None:
+        last_rev = changes.agg(F.max("rev")).first()[0] or 0
+    split = last_rev >= REV_BUCKET
     if split:
         nx, held = next_matching(ev, ["origin", "path"], "rev", "seq", _rev_bucket, F.lit(True),
                                  ["rev", "is_put"], out="nx")
@@ -109,7 +111,7 @@ def build_intervals(changes: DataFrame) -> Intervals:
         held.unpersist()
     else:
         w = Window.partitionBy("origin", "path").orderBy("rev", "seq")
-        ev = cut_lineage(ev.withColumn("next_rev", F.lead("rev").over(w))
+        ev = cut_lineage(dealt(ev, "origin", "path").withColumn("next_rev", F.lead("rev").over(w))
                          .withColumn("next_is_put", F.lead("is_put").over(w)))
     versions = ev.where("is_put").select(
         "origin", "path", "kind", "blob_id", "length", F.col("rev").alias("from_rev"),

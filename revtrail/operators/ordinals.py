@@ -17,12 +17,17 @@ from pyspark.sql import functions as F
 
 
 def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                  bucket: Column, out: str = "ordinal") -> DataFrame:
+                  bucket: Column, out: str = "ordinal", split: bool = True) -> DataFrame:
     """1-based ``row_number()`` over ``keys`` ordered by ``order``.
 
-    ``bucket`` must be non-decreasing along ``order`` within a key.
+    ``bucket`` must be non-decreasing along ``order`` within a key.  Rows
+    with a null key or bucket are counted, then dropped.  Not ``split``: no
+    key has more rows than a window holds, so they aren't cut into buckets.
     """
     keys = list(keys)
+    if not split:
+        numbered = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
+        return df.withColumn(out, numbered).where(bucket.isNotNull()).dropna(subset=keys)
     b = df.withColumn("_bkt", bucket)
     local_w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
     local = b.withColumn("_local", F.row_number().over(local_w))
@@ -40,7 +45,7 @@ def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 def asof_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: str,
                 right_t: str, values: Sequence[str], bucket_of, inclusive: bool = True,
-                highest: bool = False) -> DataFrame:
+                highest: bool = False, split: bool = True) -> DataFrame:
     """For every ``left`` row, the ``values`` of the ``right`` row of the same
     ``keys`` with the largest ``right_t`` <= ``left_t`` (``<`` when not
     ``inclusive``).  Right rows must be unique on (keys, right_t).
@@ -50,7 +55,8 @@ def asof_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t:
     nor the values ascend with time.
 
     ``bucket_of(col)`` maps an order value to a coarser, monotone bucket.
-    Left rows with no earlier right row get NULL values.
+    Left rows with no earlier right row get NULL values.  Not ``split``: all
+    order values fall into one bucket, so no earlier one has anything to add.
     """
     keys = list(keys)
     values = list(values)
@@ -69,6 +75,8 @@ def asof_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t:
          .rowsBetween(Window.unboundedPreceding, 0))
     best = F.max if highest else (lambda c: F.last(c, ignorenulls=True))
     u = u.withColumn("_local", best("_val").over(w))
+    if not split:
+        return u.where(F.col("_side") == l_side).select(*left.columns, *[F.col("_local")[v].alias(v) for v in values])
     # per-bucket carry: last right value of every earlier bucket
     summary = (rgt.withColumn("_bkt", bucket_of(F.col("_t")))
                .groupBy(*keys, "_bkt").agg((F.max(packed) if highest else F.max_by(packed, F.col("_t"))).alias("_last")))

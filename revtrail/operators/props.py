@@ -25,7 +25,7 @@ from revtrail.functions.paths import ancestors
 from revtrail.operators.intervals import Intervals, lifetimes
 from revtrail.operators.ordinals import asof_lookup
 from revtrail.plans.export import file_perms
-from revtrail.session import cut_lineage
+from revtrail.session import cut_lineage, dealt
 
 
 def _bucket(c):
@@ -44,14 +44,14 @@ def node_lifetimes(iv: Intervals, paths: DataFrame | None = None) -> DataFrame:
     return lifetimes(files).unionByName(dirs).unionByName(asked(roots))
 
 
-def prop_state(prop_events: DataFrame, lives: DataFrame, lineage: DataFrame | None = None) -> DataFrame:
+def prop_state(prop_events: DataFrame, lives: DataFrame, lineage: DataFrame | None = None, split: bool = True) -> DataFrame:
     """prop_events (origin, rev, path, name, value; NULL value = unset; one
     per property and revision), lives as of ``node_lifetimes``, lineage
     (origin, path, rev, src_path, src_rev) -> (origin, path, name, value,
-    from_rev, to_rev)."""
+    from_rev, to_rev).  Not ``split``: all revisions are in one block."""
     if lineage is not None:  # read by the events, their firsts and the copies
         lives = cut_lineage(lives)
-    ev = asof_lookup(prop_events, lives, ["origin", "path"], "rev", "life_from", ["life_from", "life_to"], _bucket)
+    ev = asof_lookup(prop_events, lives, ["origin", "path"], "rev", "life_from", ["life_from", "life_to"], _bucket, split=split)
     ev = ev.where(F.col("life_to").isNotNull() & (F.col("rev") < F.col("life_to")))
     if lineage is not None:
         ev = cut_lineage(ev)
@@ -87,6 +87,12 @@ def inherited(copied: DataFrame, state: DataFrame) -> DataFrame:
     return hit.where(F.col("src_rev") < F.col("until")).drop("until")
 
 
+def lean_variants(variants: DataFrame) -> DataFrame:
+    """``variants`` without the line endings that leave the data as it is:
+    they need no id of their own."""
+    return variants.select("blob_id", "link_id", *[F.nullif(c, "blob_id").alias(c) for c in ("id_lf", "id_crlf", "id_cr")])
+
+
 def exported_files(files: DataFrame, state: DataFrame, variants: DataFrame) -> DataFrame:
     """File versions as an export writes them: with the properties in force
     applied to data and mode.
@@ -101,9 +107,7 @@ def exported_files(files: DataFrame, state: DataFrame, variants: DataFrame) -> D
     """
     names = {"special": "svn:special", "executable": "svn:executable", "eol": "svn:eol-style"}
     ids = ["blob_id", "link_id", "id_lf", "id_crlf", "id_cr"]
-    # line endings that leave the data as it is need no id of their own
-    variants = variants.select("blob_id", "link_id", *[F.nullif(c, "blob_id").alias(c) for c in ids[2:]])
-    versions = files.select("origin", "path", "blob_id", "from_rev", "to_rev").join(variants, "blob_id", "left")
+    versions = files.select("origin", "path", "blob_id", "from_rev", "to_rev").join(lean_variants(variants), "blob_id", "left")
     version = F.struct(F.lit(True).alias("on"), *ids)
     nothing = F.lit(None).cast("struct<on:boolean,value:string>")
     gone = F.struct(F.lit(False).alias("on"), *[F.lit(None).cast("string").alias(c) for c in ids])
@@ -118,7 +122,7 @@ def exported_files(files: DataFrame, state: DataFrame, variants: DataFrame) -> D
     events = events.unionByName(ends.select("origin", "path", "rev", F.lit(None).cast(events.schema["v"].dataType).alias("v"),
                                             *[F.when(F.col("name") == n, F.col("p")).alias(k) for k, n in names.items()]))
     # what starts at a revision counts over what ends there; dealt once, for the sums and the windows
-    events = events.repartition("origin", "path").groupBy("origin", "path", "rev").agg(F.max("v").alias("v"), *[F.max(k).alias(k) for k in names])
+    events = dealt(events, "origin", "path").groupBy("origin", "path", "rev").agg(F.max("v").alias("v"), *[F.max(k).alias(k) for k in names])
     order = Window.partitionBy("origin", "path").orderBy("rev")
     now = order.rowsBetween(Window.unboundedPreceding, 0)
     at = events.select("origin", "path", "rev", *[F.last(c, ignorenulls=True).over(now).alias(c) for c in ("v", *names)])

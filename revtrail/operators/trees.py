@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from revtrail.functions.hashing import INF_REV, PERM_DIR, PERM_FILE, entry_sort_key, tree_entry_hex
 from revtrail.operators import intervals
 from revtrail.operators.intervals import Intervals
-from revtrail.session import cut_lineage
+from revtrail.session import cut_lineage, dealt
 
 ENTRY_COLS = ["origin", "parent", "name", "is_dir", "perms", "target", "from_rev", "to_rev"]
 #: Kinds of rows in the order in which they count at one revision.
@@ -166,7 +166,7 @@ def dir_versions(kids: DataFrame, lifetimes: DataFrame, last_rev: int, bodies: b
     the hashed bytes where a directory has that id for the first time."""
     rows = in_blocks(change_rows(kids, lifetimes), last_rev)
     rows = rows.select("origin", "path", "block", "rev", "op", "delta", "key", "entry", "upto")
-    return rows.repartition("origin", "path", "block").sortWithinPartitions("origin", "path", "block", "rev", "op") \
+    return dealt(rows, "origin", "path", "block").sortWithinPartitions("origin", "path", "block", "rev", "op") \
         .mapInArrow(_fold(bodies), VERSION_SCHEMA + (", body binary" if bodies else ""))
 
 

@@ -31,18 +31,19 @@ class LoadResult:
     revision and the revisions are kept, not worked out by every reader."""
 
     def __init__(self, log: ChangeLog, intervals: Intervals, lineage: DataFrame, seeds: DataFrame | None = None,
-                 prop_events: DataFrame | None = None, variants: DataFrame | None = None):
+                 prop_events: DataFrame | None = None, variants: DataFrame | None = None, last_rev: int | None = None):
         self.log = log
         self.intervals = intervals  # nodes as in the log
         self.lineage = lineage      # copied nodes: origin, path, rev, src_path, src_rev
         self._seeds, self._prop_events, self._variants = seeds, prop_events, variants
+        self._split = last_rev is None or last_rev >= REV_BUCKET
 
     @cached_property
     def props(self) -> DataFrame | None:
         """Values in force: origin, path, name, value, from_rev, to_rev."""
         if self._prop_events is None:
             return None
-        return cut_lineage(prop_state(self._prop_events, node_lifetimes(self.intervals), self.lineage))
+        return cut_lineage(prop_state(self._prop_events, node_lifetimes(self.intervals), self.lineage, self._split))
 
     @cached_property
     def exported(self) -> Intervals:
@@ -67,7 +68,7 @@ class LoadResult:
     @cached_property
     def _commits(self) -> DataFrame:
         """The commits with the tree of each."""
-        return cut_lineage(tree_at_revision(self.log.commits, self.trees.root, self.log.commits.columns))
+        return cut_lineage(tree_at_revision(self.log.commits, self.trees.root, self.log.commits.columns, self._split))
 
     @cached_property
     def tree_at_rev(self) -> DataFrame:
@@ -86,10 +87,10 @@ class LoadResult:
         return head_snapshots(self.revisions)
 
 
-def tree_at_revision(commits: DataFrame, root: DataFrame, keep: Sequence[str] = ("origin", "rev")) -> DataFrame:
+def tree_at_revision(commits: DataFrame, root: DataFrame, keep: Sequence[str] = ("origin", "rev"), split: bool = True) -> DataFrame:
     """Root tree id in force at every revision (as-of on root versions)."""
     return asof_lookup(commits.select(*keep), root, ["origin"], "rev", "from_rev",
-                       ["tree_id"], rev_bucket)
+                       ["tree_id"], rev_bucket, split=split)
 
 
 def head_snapshots(revisions: DataFrame) -> DataFrame:
@@ -106,12 +107,13 @@ def head_snapshots(revisions: DataFrame) -> DataFrame:
 
 
 def load(log: ChangeLog, seeds: DataFrame | None = None, props: DataFrame | None = None,
-         variants: DataFrame | None = None) -> LoadResult:
+         variants: DataFrame | None = None, last_rev: int | None = None) -> LoadResult:
     """The full load.  With property events and the variants of the
-    contents (see ``props.exported_files``), files are hashed as exported."""
-    copied = expand_copies(log.changes)
+    contents (see ``props.exported_files``), files are hashed as exported.
+    ``last_rev``: no commit, change or property event is later, if known."""
+    copied = expand_copies(log.changes, last_rev)
     log = ChangeLog(log.origins, log.commits, copied.changes)
-    return LoadResult(log, copied.intervals, copied.lineage, seeds, props, variants)
+    return LoadResult(log, copied.intervals, copied.lineage, seeds, props, variants, last_rev)
 
 
 def visit_snapshots(origins: DataFrame, new: DataFrame, previous: DataFrame) -> DataFrame:

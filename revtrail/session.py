@@ -106,6 +106,13 @@ def fingerprint(spark: SparkSession, path: str) -> str:
     return hashlib.sha1("\n".join(sorted(rows)).encode()).hexdigest()
 
 
+def dealt(df: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt by columns to as many tasks as the session shuffles to.  For
+    steps that take long for the bytes they read: merged by size to about
+    one task per core, they end with a few tasks while other cores wait."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows written as Parquet below the shared checkpoint folder and read
     back (survives the loss of an executor, unlike a local checkpoint).  Against

@@ -108,17 +108,19 @@ def events_export_log(spark: SparkSession, sf_dir: str) -> tuple[ChangeLog, Data
     mixed endings.  Properties as in ``events_properties``, and on files with
     k % 3 = 1 a ``view`` sets ``svn:special`` and a ``purchase`` unsets it.
     Returns the log, the property events and the content variants."""
-    return events_to_export(events_base(spark, sf_dir))
+    log, props, variants = events_to_export(events_base(spark, sf_dir))
+    return log, props, variants.dropDuplicates(["blob_id"])
 
 
 def events_to_export(ev: DataFrame) -> tuple[ChangeLog, DataFrame, DataFrame]:
-    """``events_export_log`` on numbered events."""
+    """``events_export_log`` on numbered events; a content that comes again
+    has its variants again."""
     data = _export_data()
     path = F.concat(F.lit("d"), F.floor(F.col("k") / 10).cast("string"), F.lit("/f"), F.col("k").cast("string"))
     special = ev.where((F.col("k") % 3 == 1) & F.col("event_type").isin("view", "purchase")).select(
         "origin", "rev", path.alias("path"), F.lit("svn:special").alias("name"),
         F.when(F.col("event_type") == "view", F.lit("*")).alias("value"))
-    variants = ev.select(*content_variants(F.encode(data, "UTF-8"))).dropDuplicates(["blob_id"])
+    variants = ev.select(*content_variants(F.encode(data, "UTF-8")))
     return events_to_changelog(ev, data), _event_properties(ev).unionByName(special), variants
 
 

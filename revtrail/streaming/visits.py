@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtrail.operators.ordinals import dense_ordinal
-from revtrail.plans.load import archived_props, archived_state, load
+from revtrail.operators.props import lean_variants
+from revtrail.plans.load import REV_BUCKET, archived_props, archived_state, load
 from revtrail.session import children, cut_lineage, ensure_checkpoint_dir, path_exists
 from revtrail.sources.adapters import ChangeLog, events_to_changelog, events_to_export, uuid_of
 from revtrail.sources.tables import TABLE_SCHEMAS
@@ -103,39 +104,49 @@ class VisitStream:
         return self.spark.read.schema(EVENTS).parquet(*files).dropDuplicates(["origin", "event_id"])
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        ev = cut_lineage(_events(batch).withColumn("bkt", self._bucket(F.col("origin"))))
-        touched = sorted(r[0] for r in ev.select("bkt").distinct().collect())  # <= buckets ints
+        # written once, where a reload finds them, and read back from there
+        self._put(_events(batch).withColumn("bkt", self._bucket(F.col("origin"))), self._table("events"), batch_id, "bkt")
+        written = [f"{self._table('events')}/bkt={bkt}/batch={batch_id}" for bkt in range(self.buckets)]
+        written = {bkt: path for bkt, path in enumerate(written) if path_exists(self.spark, path)}
+        touched = sorted(written)
         if not touched:
             return
-        self._put(ev, self._table("events"), batch_id, "bkt")
+        ev = self.spark.read.schema(EVENTS).parquet(*written.values()).drop("user_id")
         heads = self._state("heads", HEADS, batch_id, touched)
         tree = self._state("tree", TREE, batch_id, touched)
-        ev = ev.join(heads.select("origin", "last_rev", "last_ts", "last_event", "reloaded"), "origin", "left")
-        is_late = F.struct("ts", "event_id") <= F.struct("last_ts", "last_event")
-        altered = cut_lineage(ev.where(F.col("last_ts").isNotNull() & is_late).select("origin", "bkt").distinct())
-        late = sorted(r[0] for r in altered.select("bkt").distinct().collect())
-        altered = altered.drop("bkt")
-        ev = ev.drop("bkt")
+        # an origin is late if its first event of the batch is
+        arrived = cut_lineage(ev.groupBy("origin").agg(F.min(F.struct("ts", "event_id")).alias("first"), F.count(F.lit(1)).alias("n")))
+        is_late = F.col("first") <= F.struct("last_ts", "last_event")
+        altered = cut_lineage(arrived.join(heads, "origin").where(F.col("last_ts").isNotNull() & is_late).select("origin"))
+        late = sorted(r[0] for r in altered.select(self._bucket(F.col("origin"))).distinct().collect())
+        known = heads.select("origin", "last_rev", "reloaded")
         if late:
             again = self._history(batch_id, late).join(altered, "origin", "left_semi")
-            ev = ev.join(altered, "origin", "left_anti").unionByName(
-                again.withColumn("reloaded", F.lit(batch_id).cast("long")), allowMissingColumns=True)
-        ev = ev.withColumn("reloaded", F.coalesce("reloaded", F.lit(-1).cast("long")))
-        ev = dense_ordinal(ev, ["origin"], ["ts", "event_id"], F.to_date("ts"), out="n")
-        ev = cut_lineage(ev.withColumn("rev", F.coalesce("last_rev", F.lit(0)) + F.col("n")).drop("n"))
+            ev = ev.join(altered, "origin", "left_anti").unionByName(again.drop("user_id"))
+            known = known.join(altered, "origin", "left_anti").unionByName(
+                altered.select("origin", F.lit(None).cast("long").alias("last_rev"), F.lit(batch_id).cast("long").alias("reloaded")))
+            most = ev.groupBy("origin").count().agg(F.max("count")).first()[0]
+        else:
+            most = arrived.agg(F.max("n")).first()[0]
+        ev = dense_ordinal(ev, ["origin"], ["ts", "event_id"], F.to_date("ts"), out="n", split=most >= REV_BUCKET)
+        ev = ev.join(known, "origin", "left").withColumn("reloaded", F.coalesce("reloaded", F.lit(-1).cast("long")))
+        ev = cut_lineage(ev.withColumn("rev", F.coalesce("last_rev", F.lit(0)) + F.col("n")).drop("n", "last_rev"))
+        last_rev = ev.agg(F.max("rev")).first()[0] or 0
         log, props, variants = events_to_export(ev) if self.export else (events_to_changelog(ev), None, None)
-        origins = ev.select("origin").distinct().select(
+        origins = cut_lineage(ev.select("origin").distinct().select(
             "origin", uuid_of(F.col("origin")).alias("uuid"),
-            F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url"))
-        goes_on = origins.select("origin").join(altered, "origin", "left_anti")
+            F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url")))
+        goes_on = origins.select("origin").join(altered, "origin", "left_anti") if late else origins.select("origin")
         prior = tree.where(F.col("action") == "put").join(goes_on, "origin", "left_semi")
         if self.export:
             old_props = self._state("props", PROPS, batch_id, touched)
             old_variants = self._state("variants", VARIANTS, batch_id, touched)
             props = cut_lineage(props.unionByName(old_props.join(goes_on, "origin", "left_semi")))
-            variants = cut_lineage(variants.unionByName(old_variants.drop("origin")).dropDuplicates(["blob_id"]))
+            # what a content becomes follows from it, so equal ids have equal rows
+            variants = cut_lineage(lean_variants(variants.unionByName(old_variants.drop("origin"))).distinct())
         seeds = heads.join(altered, "origin", "left_anti").select("origin", F.col("last_id").alias("seed_parent"))
-        res = load(ChangeLog(origins, log.commits, prior.unionByName(log.changes)), seeds=seeds, props=props, variants=variants)
+        res = load(ChangeLog(origins, log.commits, prior.unionByName(log.changes)), seeds=seeds, props=props, variants=variants,
+                   last_rev=last_rev)
         last = ev.groupBy("origin").agg(
             F.max(F.struct("ts", "event_id", "rev")).alias("m"), F.max("reloaded").alias("reloaded")).select(
             "origin", "reloaded", F.col("m.rev").alias("last_rev"), F.col("m.ts").alias("last_ts"), F.col("m.event_id").alias("last_event"))
@@ -158,7 +169,8 @@ class VisitStream:
         if self.export:
             held = archived_props(res.props, at).unionByName(last.select(
                 "origin", F.col("last_rev").alias("rev"), F.lit("").alias("path"), F.lit("").alias("name"), none.alias("value")))
-            blobs = state.where(F.col("blob_id").isNotNull()).select("origin", "blob_id").distinct().join(variants, "blob_id")
+            # dealt once, for the distinct rows and the join
+            blobs = state.where(F.col("blob_id").isNotNull()).select("origin", "blob_id").repartition("blob_id").distinct().join(variants, "blob_id")
             blobs = blobs.unionByName(last.select("origin", *[none.alias(c) for c in ("blob_id", "link_id", "id_lf", "id_crlf", "id_cr")]))
             tables |= {"props": (held, old_props), "variants": (blobs, old_variants)}
         for name, (new, old) in tables.items():
@@ -166,7 +178,11 @@ class VisitStream:
             self._put(rows.withColumn("bkt", self._bucket(F.col("origin"))), self._table(name), batch_id, "bkt")
 
     def _put(self, df: DataFrame, path: str, batch_id: int, *by: str) -> None:
-        """Write the rows as those of the batch, in place of what an earlier try wrote."""
+        """Write the rows as those of the batch, in place of what an earlier try
+        wrote.  Rows of a bucket are brought together first, so that a bucket
+        is a file or a few by its size, not one by every task."""
+        if by:
+            df = df.hint("rebalance", *[F.col(c) for c in by])
         (df.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*by, "batch").parquet(path))
 
