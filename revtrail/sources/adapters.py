@@ -124,22 +124,14 @@ def events_to_export(ev: DataFrame) -> tuple[ChangeLog, DataFrame, DataFrame]:
     return events_to_changelog(ev, data), _event_properties(ev).unionByName(special), variants
 
 
-def events_to_changelog(ev: DataFrame, data: Column | None = None) -> ChangeLog:
-    """Adapter E on numbered events (origin, rev, event_id, ts, event_type, k)."""
+def _event_change(data: Column) -> list[Column]:
+    """The change that a numbered event makes, see ``change_row``."""
     dir_path = F.concat(F.lit("d"), F.floor(F.col("k") / 10).cast("string"))
     file_path = F.concat(dir_path, F.lit("/f"), F.col("k").cast("string"))
     is_file_delete = F.col("event_type") == "error"
     is_dir_delete = (F.col("event_type") == "signup") & (F.col("k") % 10 == 0)
-    if data is None:
-        data = F.concat_ws(" ", F.col("event_type"), F.col("event_id").cast("string"))
-
-    commits = ev.select(
-        "origin", "rev", F.col("ts").cast("timestamp").alias("date"),
-        F.col("event_type").alias("author"),
-        F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("message"))
-
     action = F.when(is_file_delete | is_dir_delete, "delete").otherwise("put")
-    changes = ev.select(*change_row(
+    return change_row(
         F.col("origin"), F.col("rev"),
         F.when(is_file_delete | is_dir_delete, SEQ_DELETE).otherwise(SEQ_PUT),
         F.when(is_dir_delete, dir_path).otherwise(file_path),
@@ -147,7 +139,19 @@ def events_to_changelog(ev: DataFrame, data: Column | None = None) -> ChangeLog:
         action,
         blob=F.when(action == "put", blob_id(data)),
         length=F.when(action == "put", F.octet_length(data).cast("long")),
-    ))
+    )
+
+
+def events_to_changelog(ev: DataFrame, data: Column | None = None) -> ChangeLog:
+    """Adapter E on numbered events (origin, rev, event_id, ts, event_type, k)."""
+    if data is None:
+        data = F.concat_ws(" ", F.col("event_type"), F.col("event_id").cast("string"))
+
+    commits = ev.select(
+        "origin", "rev", F.col("ts").cast("timestamp").alias("date"),
+        F.col("event_type").alias("author"),
+        F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("message"))
+    changes = ev.select(*_event_change(data))
     origins = commits.select("origin").distinct().select(
         "origin", uuid_of(F.col("origin")).alias("uuid"),
         F.concat(F.lit("file:///repos/"), F.col("origin")).alias("url"))
@@ -178,8 +182,7 @@ def events_dump_records(spark: SparkSession, sf_dir: str) -> tuple[ChangeLog, Da
     log = events_to_changelog(ev, data)
     revs = log.commits.select("origin", "rev", F.lit(0).alias("no"),
                               revision_record(F.col("rev"), {"svn:author": F.col("author"), "svn:log": F.col("message")}).alias("record"))
-    texts = ev.select("origin", "rev", data.alias("text"))
-    nodes = log.changes.join(texts, ["origin", "rev"]).select(
+    nodes = ev.select(*_event_change(data), data.alias("text")).select(
         "origin", "rev", F.lit(1).alias("no"),
         node_record(F.col("path"), F.col("kind"), F.when(F.col("action") == "put", "change").otherwise("delete"),
                     F.when(F.col("action") == "put", F.col("text"))).alias("record"))

@@ -17,6 +17,12 @@ no walk.
 
 Plain files are split over tasks.  Compressed ones are read by one task each,
 their size is that of their lines (so a missing last newline goes unnoticed).
+
+Files of very many origins take their time by number, not by bytes: some 30 ms
+of a core each to write, to list and to open.  Bundles hold them in one text
+file per task, plain or gzip; every line starts with the name of the file it
+belongs to and a tab, so contents may still hold anything, and they are read
+by the same steps.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ from pyspark.sql import functions as F
 from revtrail.functions.hashing import INF_REV
 from revtrail.functions.urls import PARTIAL_LOAD_CODES
 from revtrail.operators.ordinals import asof_lookup, next_matching, prefix_max, prefix_sum
-from revtrail.session import cut_lineage
+from revtrail.session import cut_lineage, dealt
 
 # First lines of records, header of the content's size, dumper log markers and error codes.
 REVISION_LINE = "Revision-number: "
@@ -91,13 +97,19 @@ def write_dumps(records: DataFrame, origins: DataFrame, path: str, quota: int |
     """One dump file per origin below ``path``; records (origin, rev, no,
     record, each ending with one newline less than in the file).  Returns the
     rows as written, without the texts."""
-    first = origins.select("origin", F.lit(-1).cast("long").alias("rev"), F.lit(0).alias("no"),
-                           F.concat(F.lit("SVN-fs-dump-format-version: 2\n\nUUID: "), "uuid", F.lit("\n")).alias("record"))
-    rows = cut_lineage(cut_at(first.unionByName(records.select("origin", "rev", F.col("no").cast("int").alias("no"), "record")), quota))
+    rows = dump_rows(records, origins, quota)
     _one_file_each(rows.where(F.col("record").isNotNull()), ["rev", "no"], "record", path, compression)
     return rows.drop("record").where("rev >= 0")
 
 
+def dump_rows(records: DataFrame, origins: DataFrame, quota: int | None = None) -> DataFrame:
+    """The rows of each origin's dump as a file of at most ``quota`` bytes holds
+    them (see ``cut_at``), its first lines (rev -1) included."""
+    first = origins.select("origin", F.lit(-1).cast("long").alias("rev"), F.lit(0).alias("no"),
+                           F.concat(F.lit("SVN-fs-dump-format-version: 2\n\nUUID: "), "uuid", F.lit("\n")).alias("record"))
+    return cut_lineage(cut_at(first.unionByName(records.select("origin", "rev", F.col("no").cast("int").alias("no"), "record")), quota))
+
+
 def dumper_log(written: DataFrame, wanted: DataFrame) -> DataFrame:
     """(origin, line_no, line) of the dumper's output: a line per revision that
     was written whole, and why it stopped.  ``wanted`` origins without a
@@ -129,15 +141,38 @@ def _one_file_each(rows: DataFrame, order: list[str], text: str, path: str, comp
      .partitionBy("origin").text(path))
 
 
+def write_bundles(rows: DataFrame, order: list[str], text: str, path: str, compression: str = "none") -> None:
+    """The texts of each origin in ``order``, as ``_one_file_each`` writes them,
+    in bundles: a file per task, in which an origin's lines follow each other,
+    each with the origin in front.  Rows without a text have no line."""
+    name = F.concat(F.url_encode("origin"), F.lit("\t"))
+    lines = F.concat(name, F.replace(F.col(text), F.lit("\n"), F.concat(F.lit("\n"), name)))
+    (dealt(rows.where(F.col(text).isNotNull()), "origin").sortWithinPartitions("origin", *order).select(lines.alias("value"))
+     .write.mode("overwrite").option("compression", compression).text(path))
+
+
 # ------------------------------------------------------------------- reading
 
+def read_bundles(spark: SparkSession, path: str) -> DataFrame:
+    """``read_lines`` of the files in the bundles below ``path``; ``file`` is
+    the origin.  Their own size isn't known but by their lines."""
+    df = spark.read.option("lineSep", "\n").text(path, recursiveFileLookup=True)
+    # as bytes, for a line may be cut off within a character
+    line = F.substring(F.col("value").cast("binary"), F.instr("value", "\t") + 1, F.lit(1 << 30)).cast("string")
+    return df.select(F.url_decode(F.substring_index("value", "\t", 1)).alias("file"), F.lit(INF_REV).cast("long").alias("file_size"), _place_in_file(),
+                     F.octet_length(line).cast("long").alias("bytes"), line.alias("line"))
+
+
+def _place_in_file() -> Column:
+    return F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("n")).alias("at")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, at, bytes, line) of every line of the text files below ``path``
     (plain or gzip); ``at`` sorts the lines of a file: split, place in it."""
     df = spark.read.text(path, recursiveFileLookup=True)
     return df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("file_size"),
-                     F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("n")).alias("at"),
-                     F.octet_length("value").cast("long").alias("bytes"), F.col("value").alias("line"))
+                     _place_in_file(), F.octet_length("value").cast("long").alias("bytes"), F.col("value").alias("line"))
 
 
 def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -145,11 +180,16 @@ def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     (revision or node), start, header_end, finish (byte offsets; finish is
     where the content should end), rev, complete.  files: file, size, garbage
     (something follows the last record that is none)."""
+    return records_in(read_lines(spark, path))
+
+
+def records_in(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``read_records`` of lines as of ``read_lines`` or ``read_bundles``."""
     line = F.col("line")
     number = F.regexp_extract(line, r": (\d+)\s*$", 1).try_cast("long")
     kind = (F.when(line.rlike(f"^{REVISION_LINE}\\d"), "revision").when(line.startswith(NODE_LINE), "node")
             .when(line.startswith(LENGTH_LINE), "length").when(line == "", "blank"))
-    lines = read_lines(spark, path).select(
+    lines = lines.select(
         "file", "file_size", F.col("at")["split"].alias("split"), "bytes", kind.alias("kind"), F.when(kind.isin("revision", "length"), number).alias("number"))
     # a task reads the lines of a split in their order, so nothing needs to be sorted
     seen = cut_lineage(lines.mapInPandas(_place, PLACED_SCHEMA))

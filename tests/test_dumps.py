@@ -172,3 +172,50 @@ def test_lines_are_placed_alike_in_batches_of_any_size():
         got = pd.concat(D._place(batches))
         found = [(r.file, r.split, r.kind, r.start, None if pd.isna(r.number) else int(r.number)) for r in got.itertuples()]
         assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_bundles_hold_what_files_hold(spark, tmp_path):
+    """Dumps and logs of many origins in a few files, cut off in a character, with tabs and names to be quoted."""
+    texts = ["plain", "two\n\tlines\n", "", "Revision-number: 9\n\nü", None, "a\tb\n\nNode-path: z\n\n"]
+    base = spark.createDataFrame([(f"o {i}\t%/{i}" if i == 7 else f"o{i}", r, texts[(i + r) % 6]) for i in range(40) for r in range(5)],
+                                 "origin string, rev long, t string")
+    records = base.select("origin", "rev", F.lit(0).alias("no"), D.revision_record(F.col("rev"), {"svn:log": F.lit("é" * 20)}).alias("record")).unionByName(
+        base.select("origin", "rev", F.lit(1).alias("no"), D.node_record(F.lit("p"), F.lit("file"), F.lit("add"), F.col("t")).alias("record")))
+    origins = base.select("origin").distinct().withColumn("uuid", F.lit("u"))
+    for codec, quota in (("none", None), ("none", 401), ("gzip", 402)):
+        root = f"{tmp_path}/{codec}{quota}"
+        written = D.write_dumps(records, origins, f"{root}/files", quota, codec)
+        rows = D.dump_rows(records, origins, quota)
+        D.write_bundles(rows, ["rev", "no"], "record", f"{root}/bundles", codec)
+        assert sorted(written.collect()) == sorted(rows.drop("record").where("rev >= 0").collect())
+        assert len(list((tmp_path / f"{codec}{quota}" / "bundles").glob("part-*"))) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        cols = ["kind", "start", "header_end", "finish", "rev", "complete"]
+        origin = F.url_decode(F.url_decode(F.regexp_extract("file", r"/origin=([^/]+)/", 1)))  # the path as a url, the name as a folder
+        one, their = D.read_records(spark, f"{root}/files")
+        two, own = D.records_in(D.read_bundles(spark, f"{root}/bundles"))
+        assert sorted(map(str, two.select("file", *cols).collect())) == sorted(map(str, one.select(origin.alias("file"), *cols).collect()))
+        assert sorted(map(str, own.select("file", "size", "garbage").collect())) == sorted(map(str, their.select(origin.alias("file"), "size", "garbage").collect()))
+
+
+def test_bundled_lines_keep_their_order(spark, tmp_path):
+    rows = [(f"o{i}", n, None if n == 3 else f"{n}\tx" * (n % 2)) for i in range(30) for n in range(20)]
+    D.write_bundles(spark.createDataFrame(rows, "origin string, line_no int, line string"), ["line_no"], "line", f"{tmp_path}/logs")
+    got = D.read_bundles(spark, f"{tmp_path}/logs").orderBy("file", "at").collect()
+    want = sorted((o, n, t) for o, n, t in rows if t is not None)
+    assert [(r.file, r.line, r.bytes) for r in got] == [(o, t, len(t)) for o, _, t in want]
+
+
+def test_dump_queries_read_no_more_than_they_need(spark, tmp_path):
+    """The state of the dumper's logs needs neither records read back nor logs of loading; no origin has a file of its own."""
+    from datetime import datetime, timedelta
+
+    from revtrail.plans import catalog, jobs
+    rows = [(i, datetime(2024, 1, 1) + timedelta(minutes=i), i % 30, "purchase", '{"k": %d}' % (i % 7)) for i in range(300)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
+    assert catalog.QUERIES["dump_log_status"](spark, str(tmp_path)).count() == 31
+    made = {k[2] for k in jobs._CACHE if k[1] == str(tmp_path)}
+    assert "dumper_logs" in made and not made & {"dump_records", "load_logs"}
+    folder = jobs._CACHE[(spark.sparkContext.applicationId, str(tmp_path), "dumps")][0].removeprefix("file:")
+    import pathlib
+    assert 0 < len(list(pathlib.Path(folder).rglob("part-*"))) <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert catalog.QUERIES["dump_frames"](spark, str(tmp_path)).count() == 30
