@@ -1,6 +1,7 @@
 """Copies of every shape, and as-of lookups on equal and unordered dates."""
 
 import hashlib
+import time
 
 from pyspark.sql import functions as F
 
@@ -91,3 +92,69 @@ def test_ancestors_are_exploded_as_deep_as_sources(spark):
     changes = spark.createDataFrame(log, CHANGES)
     got = expand_once(copy_rows(changes), build_intervals(changes.where("copyfrom_rev = -1")))
     assert {r.path for r in got.collect() if r.kind == "file"} == {"t/c/d/e", "all/a/b/c/d/e", "all/a/f"}
+
+
+def test_a_copy_is_expanded_once(spark, monkeypatch):
+    """A chain takes a round per link, in which only its next copies are expanded, from what is near destinations alone."""
+    from revtrail.operators import copies as C
+    given = []
+    real = C.expand_once
+
+    def recorded(copies, iv):
+        given.append((sorted(r.dst for r in copies.collect()), {r.path for r in iv.files.collect()}))
+        return real(copies, iv)
+    monkeypatch.setattr(C, "expand_once", recorded)
+    log = [put(1, "d1/f"), put(1, "far/g")] + [copy(i, f"d{i - 1}", i - 1, f"d{i}") for i in range(2, 6)] + [copy(6, "d5", 3, "e")]
+    assert files_at(spark, log, 6) == {"far/g": "far/g@1"} | {f"d{i}/f": "d1/f@1" for i in range(1, 6)}
+    # d5 did not exist at revision 3, so that copy waits for none and finds nothing
+    assert [g for g, _ in given] == [["d2"], ["d3", "e"], ["d4"], ["d5"]]
+    assert all("far/g" not in paths for _, paths in given[1:])
+
+
+def test_copies_wait_for_what_they_read_above_and_below(spark):
+    log = [put(1, "t/a"), copy(2, "t", 1, "x/y/z"), copy(3, "x", 2, "w"), copy(4, "w/y", 3, "v"), copy(5, "", 4, "all"), copy(6, "all/v/z", 5, "u")]
+    got = files_at(spark, log, 6)
+    assert got["u/a"] == got["all/x/y/z/a"] == got["all/w/y/z/a"] == got["v/z/a"] == "t/a@1" and "all/all/t/a" not in got
+
+
+def test_what_is_read_by_nobody_is_let_go(spark, tmp_path):
+    """Neither the shuffles of a table that is written nor the tables between two steps stay on disk."""
+    from revtrail.operators import intervals as I
+    from revtrail.session import cut_lineage, path_exists
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        names = disk.getAllFiles()
+        return {names.apply(i).getName() for i in range(names.size()) if names.apply(i).getName().startswith("shuffle_")}
+    before = shuffles()
+    made = cut_lineage(spark.range(1000).repartition(7, "id"))
+    for _ in range(100):  # they are removed in the background
+        left = shuffles() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and made.count() == 1000
+    cuts, real = [], I.cut_lineage
+    I.cut_lineage = lambda df: cuts.append(real(df)) or cuts[-1]
+    try:
+        log = [put(1, "a/b"), put(1, "a/c"), ("o", 2, 0, "a", "dir", "delete", None, -1, None, None)]
+        iv = I.build_intervals(spark.createDataFrame(log, CHANGES))
+    finally:
+        I.cut_lineage = real
+    there = [df.cut_path for df in cuts if path_exists(spark, df.cut_path)]
+    assert len(cuts) == 4 and sorted(there) == sorted(df.cut_path for df in iv.held)
+    assert sorted((r.path, r.from_rev, r.to_rev) for r in iv.files.collect()) == [("a/b", 1, 2), ("a/c", 1, 2)]
+
+
+def test_orders_log_is_made_once_and_a_subtree_alone_is_hashed(spark, monkeypatch):
+    from paths import SF_SMALL
+
+    from revtrail.operators import trees as T
+    from revtrail.plans import catalog
+    from revtrail.sources import adapters
+    hashed = []
+    real = T.build_trees
+    monkeypatch.setattr(T, "build_trees", lambda iv, *a, **k: hashed.append(iv) or real(iv, *a, **k))
+    assert adapters.orders_changelog(spark, SF_SMALL) is adapters.orders_changelog(spark, SF_SMALL)
+    assert catalog.QUERIES["root_projection"](spark, SF_SMALL).count() > 0
+    assert {r.p for r in hashed[0].files.selectExpr("substring_index(path, '/', 1) p").distinct().collect()} == {"p4"}
