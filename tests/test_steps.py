@@ -64,3 +64,26 @@ def test_lifetimes_of_the_asked_paths_alone(spark):
     asked = spark.createDataFrame([("o", "d/a"), ("o", ""), ("o", "gone"), ("x", "d/a")], "origin string, path string")
     assert sorted(r.path for r in P.node_lifetimes(iv, asked).collect()) == ["", "d/a"]
     assert sorted(r.path for r in P.node_lifetimes(iv).collect()) == ["", "c", "d", "d/a", "d/b"]
+
+
+def test_a_small_file_of_many_rows_is_no_broadcast(spark):
+    """Rows that repeat are small as a file and large on the driver."""
+    from revtrail.session import cut_lineage
+    side = cut_lineage(spark.range(600_000).selectExpr("id", "'a long text that is the same in every row of it' as t"))
+    size = int(spark.read.parquet(side.cut_path)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    plans, real = [], type(side.write).parquet
+
+    def recorded(writer, path, *a, **k):
+        plans.append(writer._df._jdf.queryExecution().sparkPlan().toString())
+        return real(writer, path, *a, **k)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(3 * size))
+    try:
+        type(side.write).parquet = recorded
+        made = cut_lineage(side.selectExpr("id", "t as u").join(side, "id"))
+    finally:
+        type(side.write).parquet = real
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert made.count() == 600_000
+    assert plans and "BroadcastHashJoin" not in plans[0]
+    assert spark.conf.get("spark.sql.sources.fileCompressionFactor") == "1.0"
