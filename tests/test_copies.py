@@ -158,3 +158,8 @@ def test_orders_log_is_made_once_and_a_subtree_alone_is_hashed(spark, monkeypatc
     assert adapters.orders_changelog(spark, SF_SMALL) is adapters.orders_changelog(spark, SF_SMALL)
     assert catalog.QUERIES["root_projection"](spark, SF_SMALL).count() > 0
     assert {r.p for r in hashed[0].files.selectExpr("substring_index(path, '/', 1) p").distinct().collect()} == {"p4"}
+
+
+def test_rounds_end_with_a_copy_to_nowhere(spark):
+    log = [put(1, "a/f"), copy(2, "a", 1, "b"), copy(3, "b", 2, None), copy(4, "b", 3, "c")]
+    assert files_at(spark, log, 4)["c/f"] == "a/f@1"
